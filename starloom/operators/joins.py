@@ -1,0 +1,20 @@
+"""Join helpers: a broadcast that is only taken behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension with at most this many rows is broadcast; anything larger goes through
+# Spark's own join selection (sort-merge, or a runtime broadcast chosen by AQE).
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def guarded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check counts at most ``max_rows + 1`` rows (``limit`` stops the scan early), so it
+    is cheap even when the answer is "too big".
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
