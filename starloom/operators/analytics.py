@@ -32,7 +32,7 @@ from starloom.functions.money import (
     rounded_money,
 )
 from starloom.operators import ranking as R
-from starloom.operators.joins import guarded_broadcast
+from starloom.operators.joins import guarded_broadcast, row_bound
 from starloom.operators.scd import scd_current
 
 
@@ -164,8 +164,11 @@ def q04_top_customers(star: Star, buckets: int | None = None) -> DataFrame:
             money("__revenue").alias("__revenue"),
         )
     )
-    g = R.pin(g)  # read twice by the rank (keys, join back); pinning avoids a second fact scan
-    ranked = R.rank(g, [R.desc("__revenue")], out="revenue_rank", buckets=buckets)
+    # Groups <= current customers: a proven bound that picks the local or distributed rank.
+    bound = row_bound(scd_current(star.dim_customer), R.LOCAL_ROWS)
+    if bound > R.LOCAL_ROWS:
+        g = R.pin(g)  # the distributed rank reads its input twice (keys, join back)
+    ranked = R.rank(g, [R.desc("__revenue")], out="revenue_rank", buckets=buckets, bound=bound)
     return ranked.drop("__revenue").orderBy("revenue_rank", "customer_name", "customer_segment",
                                             "city", "state")
 
@@ -226,9 +229,11 @@ def q06_product_margin(star: Star, buckets: int | None = None) -> DataFrame:
             pct(money("__profit"), money("__rev"), guard_zero=True).alias("profit_margin_pct"),
         )
     )
-    pm = R.pin(pm)
-    pm = R.rank(pm, [R.desc("profit_margin_pct")], out="margin_rank", buckets=buckets)
-    pm = R.rank(pm, [R.desc("total_revenue")], out="revenue_rank", buckets=buckets)
+    bound = row_bound(scd_current(star.dim_product), R.LOCAL_ROWS)  # groups <= products
+    if bound > R.LOCAL_ROWS:
+        pm = R.pin(pm)
+    pm = R.rank(pm, [R.desc("profit_margin_pct")], out="margin_rank", buckets=buckets, bound=bound)
+    pm = R.rank(pm, [R.desc("total_revenue")], out="revenue_rank", buckets=buckets, bound=bound)
     return pm.orderBy("revenue_rank", "margin_rank", "product_name", "category", "brand")
 
 
@@ -380,11 +385,13 @@ def q11_rfm(star: Star, as_of: date | str, buckets: int | None = None) -> DataFr
             D.days_between(F.lit(as_of).cast("date"), F.col("last_purchase_date")),
         )
     )
-    base = R.pin(base)
+    bound = row_bound(scd_current(star.dim_customer), R.LOCAL_ROWS)  # groups <= customers
+    if bound > R.LOCAL_ROWS:
+        base = R.pin(base)
     tie = [R.asc("customer_name"), R.asc("customer_segment")]
-    out = R.ntile(base, 3, [R.asc("days_since_last_purchase"), *tie], "recency_score", buckets)
-    out = R.ntile(out, 3, [R.desc("frequency"), *tie], "frequency_score", buckets)
-    out = R.ntile(out, 3, [R.desc("monetary"), *tie], "monetary_score", buckets)
+    out = R.ntile(base, 3, [R.asc("days_since_last_purchase"), *tie], "recency_score", buckets, bound)
+    out = R.ntile(out, 3, [R.desc("frequency"), *tie], "frequency_score", buckets, bound)
+    out = R.ntile(out, 3, [R.desc("monetary"), *tie], "monetary_score", buckets, bound)
     return out.orderBy(F.col("monetary").desc_nulls_first(), "customer_name", "customer_segment")
 
 

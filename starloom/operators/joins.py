@@ -1,7 +1,9 @@
-"""Join helpers: a broadcast that is only taken behind a size check."""
+"""Size guards: a broadcast (or a single-task window) is only taken behind a row count."""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +11,31 @@ from pyspark.sql import functions as F
 # Spark's own join selection (sort-merge, or a runtime broadcast chosen by AQE).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+_LOCK = threading.Lock()
+_BOUNDS: dict[tuple, int] = {}
 
-def guarded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check counts at most ``max_rows + 1`` rows (``limit`` stops the scan early), so it
-    is cheap even when the answer is "too big".
+def row_bound(df: DataFrame, cap: int) -> int:
+    """``min(row count, cap + 1)``: enough to decide "at most cap rows?".
+
+    ``limit`` stops the scan after ``cap + 1`` rows. The answer is remembered per (plan,
+    input files), so asking again about the same stored table costs no job.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), cap)
+    except Exception:  # plans without a semantic hash: just count
+        key = None
+    if key is not None:
+        with _LOCK:
+            if key in _BOUNDS:
+                return _BOUNDS[key]
+    n = df.limit(cap + 1).count()
+    if key is not None:
+        with _LOCK:
+            _BOUNDS[key] = n
+    return n
+
+
+def guarded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if row_bound(df, max_rows) <= max_rows else df

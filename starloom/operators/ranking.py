@@ -18,6 +18,10 @@ are joined back on the key (broadcast when the key table is small, otherwise a s
 that AQE's skew handling can split).
 
 Inputs bounded by nature (months, weeks, stores, segments) should keep the plain window.
+The operators also take a proven ``bound`` on the input's row count (for example the row
+count of the dimension a query groups by): at or below ``LOCAL_ROWS`` one task sorts the
+input with a plain window, which is faster than three distributed steps; above it the
+distributed path runs.
 """
 
 from __future__ import annotations
@@ -36,6 +40,13 @@ _BN = "__bucket_rows"
 _OFF = "__offset"
 _TOTAL = "__total"
 
+# Largest input that a single task may sort for a global rank (a proven upper bound).
+LOCAL_ROWS = 200_000
+
+
+def _local(bound: int | None) -> bool:
+    return bound is not None and bound <= LOCAL_ROWS
+
 
 @dataclass(frozen=True)
 class SortKey:
@@ -99,6 +110,7 @@ def row_number(
     out: str = "row_number",
     buckets: int | None = None,
     with_total: str | None = None,
+    bound: int | None = None,
 ) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order) as a BIGINT column ``out``.
 
@@ -106,6 +118,12 @@ def row_number(
     whole key are numbered in an unspecified order, as in SQL.
     """
     keys = _keys(order)
+    if _local(bound):
+        w = Window.orderBy(*[k.column() for k in keys])
+        out_df = df.withColumn(out, F.row_number().over(w).cast("long"))
+        if with_total:
+            out_df = out_df.withColumn(with_total, F.count(F.lit(1)).over(Window.partitionBy()))
+        return out_df
     b = _bucketed(df, keys, buckets)
     offs = _offsets(b, F.lit(1))
     local = F.row_number().over(Window.partitionBy(_B).orderBy(*[k.column() for k in keys]))
@@ -123,10 +141,18 @@ def rank(
     out: str = "rank",
     buckets: int | None = None,
     broadcast_keys_below: int = 1_000_000,
+    bound: int | None = None,
 ) -> DataFrame:
     """RANK() OVER (ORDER BY order) as a BIGINT column ``out``; ties share a rank and the
-    next rank skips, NULL keys are ordered as ``SortKey`` says."""
+    next rank skips, NULL keys are ordered as ``SortKey`` says.
+
+    The distributed path reads ``df`` twice (distinct keys, join back): pin an expensive
+    input first.
+    """
     keys = _keys(order)
+    if _local(bound):
+        w = Window.orderBy(*[k.column() for k in keys])
+        return df.withColumn(out, F.rank().over(w).cast("long"))
     names = [k.name for k in keys]
     distinct = df.groupBy(*names).agg(F.count(F.lit(1)).alias(_N))
     b = _bucketed(distinct, keys, buckets)
@@ -153,6 +179,7 @@ def ntile(
     order: Sequence[SortKey | str],
     out: str = "ntile",
     buckets: int | None = None,
+    bound: int | None = None,
 ) -> DataFrame:
     """NTILE(k) OVER (ORDER BY order) as a BIGINT column.
 
@@ -160,15 +187,19 @@ def ntile(
     ``order`` must be a total order for a deterministic answer.
     """
     k = buckets_out
+    if _local(bound):
+        w = Window.orderBy(*[key.column() for key in _keys(order)])
+        return df.withColumn(out, F.ntile(k).over(w).cast("long"))
     rn = "__rn"
     tot = "__tot"
     numbered = row_number(df, order, out=rn, buckets=buckets, with_total=tot)
-    q = F.floor(F.col(tot) / k)
-    r = F.col(tot) - q * k
-    big = r * (q + 1)
-    tile = F.when(
-        F.col(rn) <= big, F.floor((F.col(rn) - 1) / (q + 1)) + 1
-    ).otherwise(r + F.floor((F.col(rn) - big - 1) / F.nullif(q, F.lit(0))) + 1)
+    q = f"({tot} div {k})"          # rows per tile
+    r = f"({tot} - {q} * {k})"      # tiles holding one extra row
+    big = f"({r} * ({q} + 1))"      # rows in the larger tiles
+    tile = F.expr(
+        f"CASE WHEN {rn} <= {big} THEN ({rn} - 1) div ({q} + 1) + 1 "
+        f"ELSE {r} + ({rn} - 1 - {big}) div nullif({q}, 0) + 1 END"
+    )
     return numbered.withColumn(out, tile.cast("long")).drop(rn, tot)
 
 
@@ -179,12 +210,14 @@ def assign_surrogate_keys(
     start_after: int | Column = 0,
     key_type: str = "int",
     buckets: int | None = None,
+    bound: int | None = None,
 ) -> DataFrame:
     """Surrogate key = ``start_after`` + ROW_NUMBER over the natural key.
 
     Keys are dense within one batch, unique across batches when ``start_after`` is the
     maximum key already in the table, and stable once written (the numbering is pinned).
     """
-    numbered = row_number(df, [asc(c) for c in natural_key], out="__sk", buckets=buckets)
+    numbered = row_number(df, [asc(c) for c in natural_key], out="__sk", buckets=buckets,
+                          bound=bound)
     start = start_after if isinstance(start_after, Column) else F.lit(start_after)
     return numbered.withColumn(out, (start + F.col("__sk")).cast(key_type)).drop("__sk")

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.contracts import SENTINEL_EXPIRY
-from starloom.operators.ranking import assign_surrogate_keys
+from starloom.operators.joins import row_bound
+from starloom.operators.ranking import LOCAL_ROWS, assign_surrogate_keys
 
 NEW = "new"
 CHANGED = "changed"
@@ -85,6 +86,7 @@ def scd1_upsert(
     fresh = assign_surrogate_keys(
         merged.where(~F.col("__old")).drop("__old", surrogate),
         key, surrogate, start_after=_max_key(target, surrogate), key_type=key_type,
+        bound=row_bound(source, LOCAL_ROWS),  # new keys <= batch rows
     )
     return kept.unionByName(fresh).select(*target.columns)
 
@@ -219,6 +221,7 @@ def scd2_apply(
     opened = assign_surrogate_keys(
         opened, key, surrogate, start_after=_max_key(dim, surrogate),
         key_type=dim.schema[surrogate].dataType.simpleString(),
+        bound=row_bound(source, LOCAL_ROWS),  # opened versions <= batch rows
     )
     return history.unionByName(closed).unionByName(opened.select(*dim.columns))
 
