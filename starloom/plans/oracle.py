@@ -352,10 +352,10 @@ rb AS (SELECT customer_name, customer_segment, count(DISTINCT order_id) AS frequ
 # loads, staging, refreshes, reports
 # ---------------------------------------------------------------------------
 
-DIM_DATE = """
+DIM_DATE = f"""
 WITH rng AS (
-  SELECT make_date(CAST(year(min(o_orderdate)) AS BIGINT), 1, 1) AS lo,
-         make_date(CAST(year(max(o_orderdate)) AS BIGINT), 12, 31) AS hi
+  SELECT make_date(CAST(least(year(min(o_orderdate)), {CONFIG.as_of.year}) AS BIGINT), 1, 1) AS lo,
+         make_date(CAST(greatest(year(max(o_orderdate)), {CONFIG.as_of.year}) AS BIGINT), 12, 31) AS hi
   FROM orders),
 days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
          FROM rng)

@@ -19,9 +19,15 @@ from pyspark.sql import functions as F
 from starloom.functions.hashing import hash_hex
 from starloom.operators import analytics as A
 from starloom.operators import dims, quality
-from starloom.operators.calendar import dim_date, year_range_of
+from starloom.operators.calendar import dim_date
 from starloom.operators.scd import DEFERRED, SINGLE_PASS
-from starloom.plans.warehouse import TESTDATA_CONFIG, LoadConfig, build_star, stage_mirror
+from starloom.plans.warehouse import (
+    TESTDATA_CONFIG,
+    LoadConfig,
+    build_star,
+    calendar_range,
+    stage_mirror,
+)
 from starloom.session import ensure_checkpoint_dir, scratch_path
 from starloom.sources import batches
 from starloom.sources.adapter import adapt
@@ -92,7 +98,7 @@ ANALYTICS = {
 
 def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_driver_tables(spark, sf_dir, ["orders"])["orders"]
-    lo, hi = year_range_of(orders.select(F.col("o_orderdate").cast("date").alias("d")), "d")
+    lo, hi = calendar_range(orders.select(F.col("o_orderdate").cast("date").alias("d")), CONFIG, "d")
     return dim_date(spark, lo, hi)
 
 

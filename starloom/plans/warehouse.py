@@ -63,10 +63,14 @@ def _write_read(df: DataFrame, root: str, name: str, partition_by: list[str] | N
     return df.sparkSession.read.parquet(layer_path(root, "warehouse", name))
 
 
-def calendar_range(staging: dict[str, DataFrame], cfg: LoadConfig) -> tuple[date, date]:
+def calendar_range(orders: DataFrame, cfg: LoadConfig, date_col: str = "order_date") -> tuple[date, date]:
+    """Whole years spanning every order date and the load date (the snapshot fact is keyed
+    on the load date, so it must be in the calendar too)."""
     if cfg.calendar_start and cfg.calendar_end:
         return cfg.calendar_start, cfg.calendar_end
-    lo, hi = calendar.year_range_of(staging["orders"], "order_date")
+    lo, hi = calendar.year_range_of(orders, date_col)
+    lo = min(lo, date(cfg.as_of.year, 1, 1))
+    hi = max(hi, date(cfg.as_of.year, 12, 31))
     return cfg.calendar_start or lo, cfg.calendar_end or hi
 
 
@@ -79,7 +83,7 @@ def build_dimensions(
 ) -> dict[str, DataFrame]:
     """Load the five dimensions into ``root`` (first load when ``previous`` is None)."""
     prev = previous
-    start, end = calendar_range(staging, cfg)
+    start, end = calendar_range(staging["orders"], cfg)
     out = {}
     if prev is not None:
         out["dim_date"] = prev.dim_date  # generated once; a calendar load is not repeated
