@@ -28,6 +28,7 @@ from starloom.functions import dates as D
 from starloom.functions.money import decimal_lit
 from starloom.operators.joins import guarded_broadcast
 from starloom.operators.scd import scd_current
+from starloom.operators.skew import number_hot, split_hot
 from starloom.sources.tables import conform
 
 TAX_RATE = "0.08"
@@ -133,18 +134,29 @@ def fact_sales(
         scd_current(dim_product).select("product_id", "product_key")
         .join(products.select("product_id", F.col("cost").alias("unit_cost")), "product_id")
     )
+    items = order_items.select("item_id", "order_id", "product_id", "quantity", "unit_price", "discount")
+    # Orders with a huge number of lines are split off: they meet a broadcast of their own
+    # headers and are numbered by the distributed path instead of one task per order.
+    items, hot_items, hot = split_hot(items, ["order_id"])
     lines = (
-        order_items.select("item_id", "order_id", "product_id", "quantity", "unit_price", "discount")
-        .join(product_lookup, "product_id")
+        items.join(product_lookup, "product_id")
         .join(headers, "order_id")
+        .withColumn("order_line_num", line_number())
     )
+    if hot_items is not None:
+        hot_headers = guarded_broadcast(headers.join(hot, "order_id", "left_semi"))
+        hot_lines = number_hot(
+            hot_items.join(product_lookup, "product_id").join(hot_headers, "order_id"),
+            ["order_id"], ["item_id"], "order_line_num",
+        )
+        lines = lines.unionByName(hot_lines.select(*lines.columns))
     price, qty, pct, cost = F.col("unit_price"), F.col("quantity"), F.col("discount"), F.col("unit_cost")
     out = lines.select(
         D.date_key("order_date").alias("date_key"),
         "customer_key", "product_key", "store_key",
         promo_resolve(pct, promotions, dim_promotion).alias("promotion_key"),
         "order_id",
-        line_number().alias("order_line_num"),
+        "order_line_num",
         "quantity", "unit_price", "unit_cost",
         measure_discount(price, qty, pct).alias("discount_amount"),
         measure_net_revenue(price, qty, pct).alias("net_revenue"),

@@ -28,11 +28,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.contracts import SOURCE
 from starloom.operators.joins import guarded_broadcast
+from starloom.operators.skew import row_number_within
 from starloom.sources.tables import conform
 
 # Store types by nation key mod 5 (same five types as the reference sample).
@@ -135,15 +136,20 @@ def adapt(
         store_id(F.col("c_nationkey")).alias("store_id"),
     )
 
-    line_order = Window.partitionBy("l_orderkey").orderBy(
+    # Position of a line inside its order, ordered by every column (lines are not unique on
+    # l_linenumber). Orders with a huge number of lines are numbered without a per-order task.
+    line_cols = [
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ]
+    numbered = row_number_within(
+        li.select("l_orderkey", *line_cols), ["l_orderkey"], line_cols, "line_seq"
     )
     qty = F.col("l_quantity").cast("int")
-    order_items = li.select(
+    order_items = numbered.select(
         F.concat(
             F.col("l_orderkey").cast("string"), F.lit("-"),
-            F.lpad(F.row_number().over(line_order).cast("string"), 4, "0"),
+            F.lpad(F.col("line_seq").cast("string"), 4, "0"),
         ).alias("item_id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
