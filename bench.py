@@ -1,7 +1,7 @@
 """Benchmark: build the star from the driver tables, then time q01..q11 on the stored star.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3 timed runs per query after one warm-up run).
+BENCH_REPEAT (default 5 timed runs per query after one warm-up run).
 Prints one JSON line: {"metric", "value" (sum of per-query medians), "unit", "queries", "sf", ...}.
 """
 
@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 

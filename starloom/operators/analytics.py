@@ -58,6 +58,14 @@ def _stores(star: Star, *cols: str) -> DataFrame:
     return guarded_broadcast(star.dim_store.select("store_key", *cols))
 
 
+def _sorted_bounded(df: DataFrame, *cols) -> DataFrame:
+    """Final ORDER BY of a result whose size is bounded by nature (months x categories,
+    regions x top-k, cohort months x months): one task sorts it, which avoids the sampling
+    pass of a range-partitioned sort. Results that grow with customers or products use the
+    distributed ``orderBy`` instead."""
+    return df.coalesce(1).sortWithinPartitions(*cols)
+
+
 def _bigint(c):
     return (F.col(c) if isinstance(c, str) else c).cast("long")
 
@@ -95,17 +103,25 @@ def q01_monthly_trend(star: Star) -> DataFrame:
 def q02_category_rank_by_region(star: Star, top: int = 5) -> DataFrame:
     f = star.fact_sales.select("product_key", "store_key", "net_revenue")
     p = scd_current(star.dim_product).select("product_key", "category")
+    # Eager aggregation: the product join (a shuffle join once products outgrow a broadcast)
+    # sees one row per (product, region) instead of one per order line.
+    per_product = (
+        f.join(_stores(star, "region"), "store_key")
+        .groupBy("product_key", "region")
+        .agg(F.sum("net_revenue").alias("revenue"))
+    )
     cr = (
-        f.join(p, "product_key")
-        .join(_stores(star, "region"), "store_key")
+        per_product.join(p, "product_key")
         .groupBy("region", "category")
-        .agg(money(F.sum("net_revenue")).alias("total_revenue"))
+        .agg(money(F.sum("revenue")).alias("total_revenue"))
     )
     w = Window.partitionBy("region").orderBy(F.col("total_revenue").desc_nulls_first())
     return (
-        cr.withColumn("category_rank", _bigint(F.rank().over(w)))
-        .where(F.col("category_rank") <= top)
-        .orderBy(F.col("region").asc_nulls_last(), "category_rank")
+        _sorted_bounded(
+            cr.withColumn("category_rank", _bigint(F.rank().over(w)))
+            .where(F.col("category_rank") <= top),
+            F.col("region").asc_nulls_last(), "category_rank",
+        )
     )
 
 
@@ -125,7 +141,7 @@ def q03_cohort(star: Star) -> DataFrame:
     )
     first = Window.partitionBy("customer_key")
     cm = cm.withColumn("cohort_month", F.min("activity_month").over(first))
-    return (
+    cohorts = (
         cm.groupBy(
             "cohort_month",
             D.months_between_starts("activity_month", "cohort_month").alias("months_since_first"),
@@ -135,8 +151,8 @@ def q03_cohort(star: Star) -> DataFrame:
             F.count(F.lit(1)).alias("active_customers"),
             money(F.sum("revenue")).alias("cohort_revenue"),
         )
-        .orderBy("cohort_month", "months_since_first")
     )
+    return _sorted_bounded(cohorts, "cohort_month", "months_since_first")
 
 
 # ---------------------------------------------------------------------------
@@ -144,18 +160,25 @@ def q03_cohort(star: Star) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q04_top_customers(star: Star, buckets: int | None = None) -> DataFrame:
-    f = star.fact_sales.select("customer_key", "order_id", "quantity", "net_revenue")
     c = scd_current(star.dim_customer).select(
         "customer_key", "customer_name", "customer_segment", "city", "state"
     )
+    # Eager aggregation to one row per customer version: an order belongs to one customer,
+    # so distinct orders per group are the sum of distinct orders per customer key.
+    per_customer = star.fact_sales.groupBy("customer_key").agg(
+        F.count_distinct("order_id").alias("orders"),
+        F.sum("quantity").alias("items"),
+        F.sum("net_revenue").alias("revenue"),
+        F.count("net_revenue").alias("lines"),
+    )
     g = (
-        f.join(c, "customer_key")
+        per_customer.join(c, "customer_key")
         .groupBy("customer_name", "customer_segment", "city", "state")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            _bigint(F.sum("quantity")).alias("total_items"),
-            F.sum("net_revenue").alias("__revenue"),
-            F.count("net_revenue").alias("__lines"),
+            _bigint(F.sum("orders")).alias("total_orders"),
+            _bigint(F.sum("items")).alias("total_items"),
+            F.sum("revenue").alias("__revenue"),
+            F.sum("lines").alias("__lines"),
         )
         .select(
             "customer_name", "customer_segment", "city", "state", "total_orders", "total_items",
@@ -208,18 +231,21 @@ def q05_store_vs_avg(star: Star) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q06_product_margin(star: Star, buckets: int | None = None) -> DataFrame:
-    f = star.fact_sales.select(
-        "product_key", "quantity", "net_revenue", "gross_profit", "discount_amount"
-    )
     p = scd_current(star.dim_product).select("product_key", "product_name", "category", "brand")
+    per_product = star.fact_sales.groupBy("product_key").agg(  # eager aggregation
+        F.sum("quantity").alias("units"),
+        F.sum("net_revenue").alias("rev"),
+        F.sum("gross_profit").alias("profit"),
+        F.sum("discount_amount").alias("disc"),
+    )
     pm = (
-        f.join(p, "product_key")
+        per_product.join(p, "product_key")
         .groupBy("product_name", "category", "brand")
         .agg(
-            _bigint(F.sum("quantity")).alias("units_sold"),
-            F.sum("net_revenue").alias("__rev"),
-            F.sum("gross_profit").alias("__profit"),
-            F.sum("discount_amount").alias("__disc"),
+            _bigint(F.sum("units")).alias("units_sold"),
+            F.sum("rev").alias("__rev"),
+            F.sum("profit").alias("__profit"),
+            F.sum("disc").alias("__disc"),
         )
         .select(
             "product_name", "category", "brand", "units_sold",
@@ -270,17 +296,25 @@ def q07_weekly_moving_avg(star: Star) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q08_segment_share(star: Star) -> DataFrame:
-    f = star.fact_sales.select("customer_key", "order_id", "net_revenue", "gross_profit")
     c = scd_current(star.dim_customer).select("customer_key", "customer_segment")
+    # Eager aggregation per customer version: COUNT(DISTINCT customer_key) becomes a row
+    # count and COUNT(DISTINCT order_id) a sum (an order has one customer), so the segment
+    # step needs no distinct aggregation and the customer join is customer-sized.
+    per_customer = star.fact_sales.groupBy("customer_key").agg(
+        F.count_distinct("order_id").alias("orders"),
+        F.sum("net_revenue").alias("revenue"),
+        F.count("net_revenue").alias("lines"),
+        F.sum("gross_profit").alias("profit"),
+    )
     sm = (
-        f.join(c, "customer_key")
+        per_customer.join(c, "customer_key")
         .groupBy("customer_segment")
         .agg(
-            F.count_distinct("customer_key").alias("customer_count"),
-            F.count_distinct("order_id").alias("total_orders"),
-            rounded_money(F.sum("net_revenue")).alias("total_revenue"),
-            rounded_mean(F.sum("net_revenue"), F.count("net_revenue")).alias("avg_order_value"),
-            rounded_money(F.sum("gross_profit")).alias("total_profit"),
+            F.count(F.lit(1)).alias("customer_count"),
+            _bigint(F.sum("orders")).alias("total_orders"),
+            rounded_money(F.sum("revenue")).alias("total_revenue"),
+            rounded_mean(F.sum("revenue"), F.sum("lines")).alias("avg_order_value"),
+            rounded_money(F.sum("profit")).alias("total_profit"),
         )
     )
     every = Window.partitionBy()  # one row per segment: bounded
@@ -339,26 +373,29 @@ def q09_promo_effect(star: Star) -> DataFrame:
 def q10_quarterly_growth(star: Star) -> DataFrame:
     f = star.fact_sales.select("date_key", "product_key", "net_revenue", "quantity")
     p = scd_current(star.dim_product).select("product_key", "category")
-    qc = (
+    per_product = (  # eager aggregation to (product, quarter) before the product join
         f.join(_dates(star, "year_number", "quarter_number", "quarter_name"), "date_key")
-        .join(p, "product_key")
+        .groupBy("product_key", "year_number", "quarter_number", "quarter_name")
+        .agg(F.sum("net_revenue").alias("rev"), F.sum("quantity").alias("units"))
+    )
+    qc = (
+        per_product.join(p, "product_key")
         .groupBy("year_number", "quarter_number", "quarter_name", "category")
         .agg(
-            rounded_money(F.sum("net_revenue")).alias("quarterly_revenue"),
-            _bigint(F.sum("quantity")).alias("units_sold"),
+            rounded_money(F.sum("rev")).alias("quarterly_revenue"),
+            _bigint(F.sum("units")).alias("units_sold"),
         )
     )
     w = Window.partitionBy("category").orderBy("year_number", "quarter_number")
     prev = F.lag("quarterly_revenue").over(w)
-    return (
-        qc.select(
-            "year_number", "quarter_number", "quarter_name", "category", "quarterly_revenue",
-            "units_sold", prev.alias("prev_quarter_revenue"),
-            growth_pct(F.col("quarterly_revenue"), prev).alias("qoq_growth_pct"),
-        )
-        .orderBy("year_number", "quarter_number", F.col("category").asc_nulls_last())
-        .drop("quarter_number")
+    out = qc.select(
+        "year_number", "quarter_number", "quarter_name", "category", "quarterly_revenue",
+        "units_sold", prev.alias("prev_quarter_revenue"),
+        growth_pct(F.col("quarterly_revenue"), prev).alias("qoq_growth_pct"),
     )
+    return _sorted_bounded(
+        out, "year_number", "quarter_number", F.col("category").asc_nulls_last()
+    ).drop("quarter_number")
 
 
 # ---------------------------------------------------------------------------
@@ -369,20 +406,28 @@ def q11_rfm(star: Star, as_of: date | str, buckets: int | None = None) -> DataFr
     """Recency / frequency / monetary terciles (1 = best). ``as_of`` replaces CURRENT_DATE.
     Ties inside each score are broken by (customer_name, customer_segment), the group key,
     so the tiles are deterministic."""
-    f = star.fact_sales.select("customer_key", "date_key", "order_id", "net_revenue")
     c = scd_current(star.dim_customer).select("customer_key", "customer_name", "customer_segment")
-    base = (
-        f.join(c, "customer_key")
-        .join(_dates(star, "full_date"), "date_key")
+    per_customer = star.fact_sales.groupBy("customer_key").agg(  # eager aggregation
+        F.count_distinct("order_id").alias("orders"),
+        F.sum("net_revenue").alias("revenue"),
+        F.max("date_key").alias("last_date_key"),
+    )
+    grouped = (
+        per_customer.join(c, "customer_key")
         .groupBy("customer_name", "customer_segment")
         .agg(
-            F.count_distinct("order_id").alias("frequency"),
-            rounded_money(F.sum("net_revenue")).alias("monetary"),
-            F.max("full_date").alias("last_purchase_date"),
+            _bigint(F.sum("orders")).alias("frequency"),
+            rounded_money(F.sum("revenue")).alias("monetary"),
+            F.max("last_date_key").alias("date_key"),
         )
-        .withColumn(
-            "days_since_last_purchase",
-            D.days_between(F.lit(as_of).cast("date"), F.col("last_purchase_date")),
+    )
+    base = (
+        grouped.join(_dates(star, "full_date"), "date_key")
+        .select(
+            "customer_name", "customer_segment", "frequency", "monetary",
+            F.col("full_date").alias("last_purchase_date"),
+            D.days_between(F.lit(as_of).cast("date"), F.col("full_date"))
+            .alias("days_since_last_purchase"),
         )
     )
     bound = row_bound(scd_current(star.dim_customer), R.LOCAL_ROWS)  # groups <= customers

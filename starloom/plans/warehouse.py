@@ -11,8 +11,11 @@ A refresh writes the new star under a new root and never overwrites the root it
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import date
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,8 @@ from starloom.operators.analytics import Star
 from starloom.operators.scd import SINGLE_PASS
 from starloom.sources.tables import conform, layer_path, read_table, write_table
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class LoadConfig:
@@ -44,14 +49,24 @@ class LoadConfig:
 TESTDATA_CONFIG = LoadConfig(as_of=date(2002, 1, 1), gold=2_900_000, silver=2_000_000)
 
 
+def run_concurrently(jobs: dict[str, Callable[[], T]], max_workers: int = 8) -> dict[str, T]:
+    """Submit independent Spark jobs from driver threads so that they share the cluster
+    (small tables finish while large ones run); results by name, first error re-raised."""
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def stage_mirror(sources: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Copy every source table to ``<root>/staging`` (contract-typed) and read it back."""
-    out = {}
-    for name in SOURCE_TABLES:
-        df = conform(sources[name], STAGING[name])
-        write_table(df, root, "staging", name)
-        out[name] = read_table(df.sparkSession, root, "staging", name)
-    return out
+    def copy(name: str) -> Callable[[], DataFrame]:
+        def run() -> DataFrame:
+            df = conform(sources[name], STAGING[name])
+            write_table(df, root, "staging", name)
+            return read_table(df.sparkSession, root, "staging", name)
+        return run
+
+    return run_concurrently({name: copy(name) for name in SOURCE_TABLES})
 
 
 def read_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -83,25 +98,30 @@ def build_dimensions(
 ) -> dict[str, DataFrame]:
     """Load the five dimensions into ``root`` (first load when ``previous`` is None)."""
     prev = previous
-    start, end = calendar_range(staging["orders"], cfg)
-    out = {}
+    jobs: dict[str, Callable[[], DataFrame]] = {
+        "dim_store": lambda: _write_read(
+            dims.dim_store(prev.dim_store if prev else None, staging["stores"]), root, "dim_store"),
+        "dim_customer": lambda: _write_read(
+            dims.dim_customer(prev.dim_customer if prev else None, staging["customers"],
+                              staging["orders"], cfg.as_of, cfg.scd2_mode, cfg.gold, cfg.silver),
+            root, "dim_customer"),
+        "dim_product": lambda: _write_read(
+            dims.dim_product(prev.dim_product if prev else None, staging["products"],
+                             staging["suppliers"], cfg.as_of, cfg.scd2_mode),
+            root, "dim_product"),
+        "dim_promotion": lambda: _write_read(
+            dims.dim_promotion(prev.dim_promotion if prev else None, staging["promotions"]),
+            root, "dim_promotion"),
+    }
+    if prev is None:
+        def calendar_job() -> DataFrame:
+            start, end = calendar_range(staging["orders"], cfg)
+            return _write_read(calendar.dim_date(spark, start, end), root, "dim_date")
+        jobs["dim_date"] = calendar_job
+    # The five dimensions are mutually independent.
+    out = run_concurrently(jobs)
     if prev is not None:
         out["dim_date"] = prev.dim_date  # generated once; a calendar load is not repeated
-    else:
-        out["dim_date"] = _write_read(calendar.dim_date(spark, start, end), root, "dim_date")
-    out["dim_store"] = _write_read(
-        dims.dim_store(prev.dim_store if prev else None, staging["stores"]), root, "dim_store")
-    out["dim_customer"] = _write_read(
-        dims.dim_customer(prev.dim_customer if prev else None, staging["customers"],
-                          staging["orders"], cfg.as_of, cfg.scd2_mode, cfg.gold, cfg.silver),
-        root, "dim_customer")
-    out["dim_product"] = _write_read(
-        dims.dim_product(prev.dim_product if prev else None, staging["products"],
-                         staging["suppliers"], cfg.as_of, cfg.scd2_mode),
-        root, "dim_product")
-    out["dim_promotion"] = _write_read(
-        dims.dim_promotion(prev.dim_promotion if prev else None, staging["promotions"]),
-        root, "dim_promotion")
     return out
 
 
@@ -123,11 +143,11 @@ def build_facts(
     snap = facts.fact_inventory_snapshot(
         staging["inventory"], dim["dim_product"], dim["dim_store"], cfg.as_of
     )
-    return {
-        "fact_sales": _write_read(sales, root, "fact_sales", part),
-        "fact_inventory_snapshot": _write_read(
+    return run_concurrently({
+        "fact_sales": lambda: _write_read(sales, root, "fact_sales", part),
+        "fact_inventory_snapshot": lambda: _write_read(
             snap, root, "fact_inventory_snapshot", ["snapshot_date"]),
-    }
+    })
 
 
 def build_star(
