@@ -12,7 +12,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,14 +26,14 @@ def main() -> None:
 
     from starloom.session import get_session, scratch_path
 
-    scratch = tempfile.mkdtemp(prefix="starloom-bench-")
+    # The checkpoint folder comes from the session configuration (spark.checkpoint.dir);
+    # get_session only creates a private one when none is configured.
     spark = get_session(
         f"local[{cpus}]",
         app_name="starloom-bench",
         shuffle_partitions=cpus,
         extra={
             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
-            "spark.checkpoint.dir": os.environ.get("BENCH_CHECKPOINT_DIR", scratch),
         },
     )
 

@@ -61,3 +61,21 @@ def test_length_and_defaults(spark):
 def test_rowcounts(spark):
     t = {"b": spark.range(3), "a": spark.range(5)}
     assert [(r.tbl, r.row_count) for r in quality.dq_rowcounts(t).collect()] == [("a", 5), ("b", 3)]
+
+
+def test_loadcount(spark):
+    r = quality.dq_loadcount(spark.range(25), 25).first()
+    assert (r.actual, r.expected, r.ok) == (25, 25, True)
+    assert quality.dq_loadcount(spark.range(24), 25).first().ok is False
+
+
+def test_tables_present(spark):
+    from starloom.plans.registry import warehouse_for
+
+    from conftest import SF_SMALL
+
+    wh = warehouse_for(spark, SF_SMALL)
+    rows = quality.dq_tables_present(spark, wh.root).collect()
+    present = {(r.table_schema, r.table_name): r.present for r in rows}
+    assert all(v for (layer, _), v in present.items() if layer in ("staging", "warehouse"))
+    assert not any(v for (layer, _), v in present.items() if layer == "public")
