@@ -103,17 +103,14 @@ def q01_monthly_trend(star: Star) -> DataFrame:
 def q02_category_rank_by_region(star: Star, top: int = 5) -> DataFrame:
     f = star.fact_sales.select("product_key", "store_key", "net_revenue")
     p = scd_current(star.dim_product).select("product_key", "category")
-    # Eager aggregation: the product join (a shuffle join once products outgrow a broadcast)
-    # sees one row per (product, region) instead of one per order line.
-    per_product = (
-        f.join(_stores(star, "region"), "store_key")
-        .groupBy("product_key", "region")
-        .agg(F.sum("net_revenue").alias("revenue"))
-    )
+    # Join first: grouping by (product, region) before the product join would hash on both
+    # keys and force a second exchange for the join; the (region, category) aggregate after
+    # it is tiny and fully combined map-side.
     cr = (
-        per_product.join(p, "product_key")
+        f.join(p, "product_key")
+        .join(_stores(star, "region"), "store_key")
         .groupBy("region", "category")
-        .agg(money(F.sum("revenue")).alias("total_revenue"))
+        .agg(money(F.sum("net_revenue")).alias("total_revenue"))
     )
     w = Window.partitionBy("region").orderBy(F.col("total_revenue").desc_nulls_first())
     return (
@@ -373,17 +370,13 @@ def q09_promo_effect(star: Star) -> DataFrame:
 def q10_quarterly_growth(star: Star) -> DataFrame:
     f = star.fact_sales.select("date_key", "product_key", "net_revenue", "quantity")
     p = scd_current(star.dim_product).select("product_key", "category")
-    per_product = (  # eager aggregation to (product, quarter) before the product join
-        f.join(_dates(star, "year_number", "quarter_number", "quarter_name"), "date_key")
-        .groupBy("product_key", "year_number", "quarter_number", "quarter_name")
-        .agg(F.sum("net_revenue").alias("rev"), F.sum("quantity").alias("units"))
-    )
     qc = (
-        per_product.join(p, "product_key")
+        f.join(_dates(star, "year_number", "quarter_number", "quarter_name"), "date_key")
+        .join(p, "product_key")
         .groupBy("year_number", "quarter_number", "quarter_name", "category")
         .agg(
-            rounded_money(F.sum("rev")).alias("quarterly_revenue"),
-            _bigint(F.sum("units")).alias("units_sold"),
+            rounded_money(F.sum("net_revenue")).alias("quarterly_revenue"),
+            _bigint(F.sum("quantity")).alias("units_sold"),
         )
     )
     w = Window.partitionBy("category").orderBy("year_number", "quarter_number")

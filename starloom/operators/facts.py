@@ -130,9 +130,12 @@ def fact_sales(
         .join(store, "store_id")
         .select("order_id", "order_date", "customer_key", "store_key")
     )
+    current_products = scd_current(dim_product).select("product_id", "product_key")
+    # inner join on a key unique in both: never more rows than current product versions
     product_lookup = guarded_broadcast(
-        scd_current(dim_product).select("product_id", "product_key")
-        .join(products.select("product_id", F.col("cost").alias("unit_cost")), "product_id")
+        current_products.join(
+            products.select("product_id", F.col("cost").alias("unit_cost")), "product_id"),
+        bounded_by=current_products,
     )
     items = order_items.select("item_id", "order_id", "product_id", "quantity", "unit_price", "discount")
     # Orders with a huge number of lines are split off: they meet a broadcast of their own
@@ -144,7 +147,8 @@ def fact_sales(
         .withColumn("order_line_num", line_number())
     )
     if hot_items is not None:
-        hot_headers = guarded_broadcast(headers.join(hot, "order_id", "left_semi"))
+        # one header per hot order: bounded by the (pinned) hot-key table
+        hot_headers = guarded_broadcast(headers.join(hot, "order_id", "left_semi"), bounded_by=hot)
         hot_lines = number_hot(
             hot_items.join(product_lookup, "product_id").join(hot_headers, "order_id"),
             ["order_id"], ["item_id"], "order_line_num",

@@ -36,6 +36,14 @@ def row_bound(df: DataFrame, cap: int) -> int:
     return n
 
 
-def guarded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if row_bound(df, max_rows) <= max_rows else df
+def guarded_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bounded_by: DataFrame | None = None
+) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    ``bounded_by`` is a cheaper DataFrame whose row count is an upper bound of ``df``'s (for
+    a key lookup joined from a dimension: the dimension itself), so the guard scans a table
+    instead of computing a join.
+    """
+    probe = df if bounded_by is None else bounded_by
+    return F.broadcast(df) if row_bound(probe, max_rows) <= max_rows else df
