@@ -92,6 +92,19 @@ def _bucketed(df: DataFrame, keys: list[SortKey], buckets: int | None) -> DataFr
     return pin(ranged.withColumn(_B, F.spark_partition_id()))
 
 
+def largest_bucket_share(df: DataFrame, order: Sequence[SortKey | str], buckets: int | None = None) -> float:
+    """Share of all rows that the biggest range bucket gets (1.0 for a single-partition sort):
+    the skew measure of the distributed path. Returns one number to the driver."""
+    keys = _keys(order)
+    n = buckets or shuffle_partitions(df.sparkSession)
+    sizes = (
+        df.repartitionByRange(n, *[k.column() for k in keys])
+        .groupBy(F.spark_partition_id().alias(_B)).count()
+    )
+    row = sizes.agg(F.max("count").alias("mx"), F.sum("count").alias("tot")).first()
+    return float(row["mx"]) / float(row["tot"]) if row and row["tot"] else 0.0
+
+
 def _offsets(bucketed: DataFrame, weight: Column) -> DataFrame:
     """Rows before each bucket. One row per bucket: bounded by the bucket count."""
     sizes = bucketed.groupBy(_B).agg(F.sum(weight).alias(_BN))
