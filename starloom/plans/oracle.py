@@ -352,13 +352,14 @@ rb AS (SELECT customer_name, customer_segment, count(DISTINCT order_id) AS frequ
 # loads, staging, refreshes, reports
 # ---------------------------------------------------------------------------
 
-DIM_DATE = f"""
-WITH rng AS (
+CALENDAR_CTES = f"""
+rng AS (
   SELECT make_date(CAST(least(year(min(o_orderdate)), {CONFIG.as_of.year}) AS BIGINT), 1, 1) AS lo,
          make_date(CAST(greatest(year(max(o_orderdate)), {CONFIG.as_of.year}) AS BIGINT), 12, 31) AS hi
   FROM orders),
 days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
-         FROM rng)
+         FROM rng),
+w_dim_date AS (
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
        CAST(isodow(d) AS SMALLINT) AS day_of_week, rpad(dayname(d), 9, ' ') AS day_name,
        CAST(day(d) AS SMALLINT) AS day_of_month, CAST(dayofyear(d) AS SMALLINT) AS day_of_year,
@@ -369,7 +370,9 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
        CAST(CASE WHEN month(d) IN (7, 8, 9) THEN 1 WHEN month(d) IN (10, 11, 12) THEN 2
                  WHEN month(d) IN (1, 2, 3) THEN 3 ELSE 4 END AS SMALLINT) AS fiscal_quarter,
        isodow(d) IN (6, 7) AS is_weekend, false AS is_holiday, CAST(NULL AS VARCHAR) AS holiday_name
-FROM days"""
+FROM days)"""
+
+DIM_DATE = "WITH " + CALENDAR_CTES.strip() + "\nSELECT * FROM w_dim_date"
 
 DIM_CUSTOMER = _with("SELECT * FROM d_customer")
 DIM_PRODUCT = _with("SELECT * FROM d_product")
@@ -460,6 +463,57 @@ DQ_ROWCOUNTS = _with(" UNION ALL ".join(
 ))
 
 
+def _violations_sql() -> str:
+    """One row per declared rule (same names as ``quality.violations``) with its count."""
+    from starloom.contracts import STAGING, WAREHOUSE
+
+    staging = {n: f"s_{n}" for n in STAGING}
+    warehouse = {
+        "dim_date": "w_dim_date", "dim_customer": "d_customer", "dim_product": "d_product",
+        "dim_store": "d_store", "dim_promotion": "d_promotion",
+        "fact_sales": "w_fact_sales", "fact_inventory_snapshot": "w_fact_inventory",
+    }
+    parts = []
+
+    def add(check: str, count_sql: str) -> None:
+        parts.append(f"SELECT '{check}' AS check_name, CAST(({count_sql}) AS BIGINT) AS violations")
+
+    for contracts, tables in ((STAGING, staging), (WAREHOUSE, warehouse)):
+        for name, rel in tables.items():
+            c = contracts[name]
+            cond = " OR ".join(f"{x} IS NULL" for x in c.required) or "false"
+            add(f"{name}.not_null", f"SELECT count(*) FROM {rel} WHERE {cond}")
+            uniques = ([("unique_key", c.key)] if c.key else []) + [
+                ("unique_" + "_".join(u), u) for u in c.unique]
+            for label, cols in uniques:
+                add(f"{name}.{label}", f"SELECT count(*) FROM (SELECT 1 FROM {rel} "
+                                       f"GROUP BY {', '.join(cols)} HAVING count(*) > 1)")
+            for child_cols, parent, parent_cols in c.foreign_keys:
+                if parent not in tables:
+                    continue
+                nn = " AND ".join(f"x.{k} IS NOT NULL" for k in child_cols)
+                eq = " AND ".join(f"p.{pk} = x.{ck}" for ck, pk in zip(child_cols, parent_cols))
+                add(f"{name}.fk_{parent}", f"SELECT count(*) FROM {rel} x WHERE {nn} AND NOT EXISTS "
+                                           f"(SELECT 1 FROM {tables[parent]} p WHERE {eq})")
+            lens = [f"(SELECT count(*) FROM {rel} WHERE length({col}) > {n})"
+                    for col, n in c.lengths.items()]
+            add(f"{name}.length", " + ".join(lens) if lens else "0")
+    extra = CALENDAR_CTES.strip() + ",\n" + f"""
+w_fact_sales AS (SELECT row_number() OVER () AS sales_key, * FROM fact),
+w_fact_inventory AS (
+  SELECT row_number() OVER () AS inventory_snapshot_key, dp.product_key, ds.store_key,
+         CAST(strftime(DATE '{AS_OF}', '%Y%m%d') AS INTEGER) AS date_key,
+         i.quantity_on_hand AS qty_on_hand, i.reorder_point, i.last_restock_date,
+         DATE '{AS_OF}' AS snapshot_date
+  FROM s_inventory i
+  JOIN d_product dp ON i.product_id = dp.product_id
+  JOIN d_store ds ON i.store_id = ds.store_id)"""
+    return _with("\nUNION ALL\n".join(parts), extra)
+
+
+DQ_VIOLATIONS = _violations_sql()
+
+
 SQL: dict[str, str] = {
     "q01_monthly_trend": Q01,
     "q02_category_rank_by_region": Q02,
@@ -488,4 +542,5 @@ SQL: dict[str, str] = {
     "dq_sales_sanity": DQ_SALES_SANITY,
     "dq_inventory_listing": DQ_INVENTORY_LISTING,
     "dq_rowcounts": DQ_ROWCOUNTS,
+    "dq_violations": DQ_VIOLATIONS,
 }

@@ -15,9 +15,7 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert df.columns == ["region", "category", "total_revenue", "category_rank"]
     qs, sql = E.queries(), E.oracle_sql()
-    assert set(sql) <= set(qs)
-    missing = set(qs) - set(sql)
-    assert missing == {"dq_violations"}  # counts of rule violations: no single SQL statement
+    assert set(sql) == set(qs)
 
 
 @pytest.mark.parametrize("name", sorted(__import__("__spark_entry__").oracle_sql()))
