@@ -16,6 +16,20 @@ import duckdb
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
+# Spark simpleString -> DuckDB type name (decimals compare as DECIMAL(p,s) on both sides).
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "string": "VARCHAR",
+          "date": "DATE", "boolean": "BOOLEAN", "binary": "BLOB"}
+
+
+def type_mismatches(sdf, rel) -> list[tuple[str, str, str]]:
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        if duck_types.get(f.name) != _TYPES.get(t, t.upper()):
+            out.append((f.name, t, duck_types.get(f.name)))
+    return out
+
 
 def _norm(v) -> str:
     if v is None:
@@ -65,6 +79,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, dict]:
             if verbose:
                 print(rec)
             continue
+        rec["type_mismatches"] = type_mismatches(sdf, con.sql(sql[name]))
         cur = con.execute(sql[name])
         dcols = [d[0] for d in cur.description]
         drows = [tuple(_norm(x) for x in r) for r in cur.fetchall()]
@@ -75,8 +90,10 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, dict]:
             order = [dcols.index(c) for c in scols]
             drows = [tuple(r[i] for i in order) for r in drows]
             s_set, d_set = sorted(srows), sorted(drows)
-            if s_set == d_set:
+            if s_set == d_set and not rec["type_mismatches"]:
                 rec["status"] = "match"
+            elif s_set == d_set:
+                rec["status"] = "TYPES"
             else:
                 only_s = [r for r in s_set if r not in set(d_set)][:3]
                 only_d = [r for r in d_set if r not in set(s_set)][:3]
