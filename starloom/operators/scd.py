@@ -232,8 +232,15 @@ def scd_current(dim: DataFrame) -> DataFrame:
 
 
 def overlapping_versions(dim: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Quality check: keys with more than one current version, or with a version whose
-    expiry precedes its effective date (a same-day second change)."""
+    """Quality check on a Type 2 dimension, one row per offending version:
+
+    * more than one current version of a key;
+    * a version whose expiry precedes its effective date (a same-day second change);
+    * a version that starts on or before the previous version of its key expired (overlap).
+
+    The overlap test compares each version with its predecessor in a window per natural key
+    (a key has one version per load, so windows are small); no pairs are formed.
+    """
     key = list(key)
     multi = (
         dim.where("is_current").groupBy(*key).count().where("count > 1")
@@ -242,4 +249,13 @@ def overlapping_versions(dim: DataFrame, key: Sequence[str]) -> DataFrame:
     inverted = dim.where(F.col("expiry_date") < F.col("effective_date")).select(
         *key, F.lit("expiry before effective date").alias("problem")
     )
-    return multi.unionByName(inverted)
+    from pyspark.sql import Window
+
+    prev_expiry = F.lag("expiry_date").over(
+        Window.partitionBy(*key).orderBy("effective_date", "expiry_date"))
+    overlap = (
+        dim.select(*key, "effective_date", prev_expiry.alias("__prev_expiry"))
+        .where(F.col("__prev_expiry") >= F.col("effective_date"))
+        .select(*key, F.lit("overlapping validity").alias("problem"))
+    )
+    return multi.unionByName(inverted).unionByName(overlap)

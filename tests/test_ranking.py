@@ -101,3 +101,20 @@ def test_surrogate_keys_dense_and_offset(spark):
     got = {r.k: r.sk for r in out.collect()}
     assert sorted(got.values()) == list(range(101, 151))
     assert got["K000"] == 101 and got["K049"] == 150
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(min_value=0, max_value=6), min_size=1, max_size=60),
+       tiles=st.integers(min_value=1, max_value=5), buckets=st.integers(min_value=1, max_value=5))
+def test_property_rank_and_ntile_equal_native(spark, values, tiles, buckets):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v int")
+    r = R.rank(df, [R.desc("v")], out="r", buckets=buckets)
+    nr = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc())).cast("long"))
+    assert set(r.select("id", "r").collect()) == set(nr.select("id", "r").collect())
+    t = R.ntile(df, tiles, [R.asc("v"), R.asc("id")], out="t", buckets=buckets)
+    nt = df.withColumn("t", F.ntile(tiles).over(Window.orderBy("v", "id")).cast("long"))
+    assert set(t.select("id", "t").collect()) == set(nt.select("id", "t").collect())
