@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import os
 import threading
+from functools import reduce
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.contracts import STAGING, WAREHOUSE
 from starloom.functions.hashing import hash_hex
 from starloom.operators import analytics as A
 from starloom.operators import dims, quality
@@ -173,7 +175,6 @@ def q_dq_violations(spark, sf_dir):
     """Number of violations of every declared rule over the staging layer and the star."""
     wh = warehouse_for(spark, sf_dir)
     s = wh.star
-    from starloom.contracts import STAGING, WAREHOUSE
     checks = quality.violations(wh.staging, STAGING)
     star_tables = {
         "dim_date": s.dim_date, "dim_customer": s.dim_customer, "dim_product": s.dim_product,
@@ -183,7 +184,6 @@ def q_dq_violations(spark, sf_dir):
     checks.update(quality.violations(star_tables, WAREHOUSE))
     parts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(n).alias("check_name"), "violations")
              for n, df in checks.items()]
-    from functools import reduce
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -215,4 +215,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 FLAGSHIP = "q02_category_rank_by_region"
 
-__all__ = ["QUERIES", "FLAGSHIP", "warehouse_for", "CONFIG", "AS_OF_2", "date"]
+__all__ = ["QUERIES", "FLAGSHIP", "warehouse_for", "CONFIG", "AS_OF_2"]
