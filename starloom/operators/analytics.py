@@ -66,6 +66,12 @@ def _sorted_bounded(df: DataFrame, *cols) -> DataFrame:
     return df.coalesce(1).sortWithinPartitions(*cols)
 
 
+def _final_sort(df: DataFrame, bounded: bool, *cols) -> DataFrame:
+    """ORDER BY for a customer/product-sized result: one task when its size is proven
+    bounded (the local ranking path already left it in one partition), else distributed."""
+    return _sorted_bounded(df, *cols) if bounded else df.orderBy(*cols)
+
+
 def _bigint(c):
     return (F.col(c) if isinstance(c, str) else c).cast("long")
 
@@ -189,8 +195,8 @@ def q04_top_customers(star: Star, buckets: int | None = None) -> DataFrame:
     if bound > R.LOCAL_ROWS:
         g = R.pin(g)  # the distributed rank reads its input twice (keys, join back)
     ranked = R.rank(g, [R.desc("__revenue")], out="revenue_rank", buckets=buckets, bound=bound)
-    return ranked.drop("__revenue").orderBy("revenue_rank", "customer_name", "customer_segment",
-                                            "city", "state")
+    return _final_sort(ranked.drop("__revenue"), R.is_local(bound), "revenue_rank",
+                       "customer_name", "customer_segment", "city", "state")
 
 
 # ---------------------------------------------------------------------------
@@ -208,19 +214,24 @@ def q05_store_vs_avg(star: Star) -> DataFrame:
             rounded_mean(F.sum("net_revenue"), F.count("net_revenue")).alias("avg_order_value"),
         )
     )
-    every = Window.partitionBy()  # one row per store: bounded by the store count
-    avg = F.sum("total_revenue").over(every) / F.count("total_revenue").over(every)
-    by_revenue = Window.orderBy(F.col("total_revenue").desc_nulls_first())
-    return (
-        sr.select(
-            "store_name", "region", "store_type", "total_revenue", "total_orders",
-            "avg_order_value",
-            round2(avg).cast(MONEY_TOTAL).alias("avg_store_revenue"),
-            round2(F.col("total_revenue") - avg).cast(MONEY_TOTAL).alias("deviation_from_avg"),
-            _bigint(F.rank().over(by_revenue)).alias("store_rank"),
-        )
-        .orderBy("store_rank", "store_name")
+    # One row per store: the store dimension's row count bounds it. Small (always, in
+    # practice): a one-task window for the mean and the rank. Otherwise the mean is a scalar
+    # subquery and the rank goes through the distributed path.
+    bound = row_bound(star.dim_store, R.LOCAL_ROWS)
+    if R.is_local(bound):
+        every = Window.partitionBy()
+        avg = F.sum("total_revenue").over(every) / F.count("total_revenue").over(every)
+    else:
+        sr = R.pin(sr)
+        avg = sr.agg(F.sum("total_revenue") / F.count("total_revenue")).scalar()
+    out = sr.select(
+        "store_name", "region", "store_type", "total_revenue", "total_orders",
+        "avg_order_value",
+        round2(avg).cast(MONEY_TOTAL).alias("avg_store_revenue"),
+        round2(F.col("total_revenue") - avg).cast(MONEY_TOTAL).alias("deviation_from_avg"),
     )
+    out = R.rank(out, [R.desc("total_revenue")], out="store_rank", bound=bound)
+    return _final_sort(out, R.is_local(bound), "store_rank", "store_name")
 
 
 # ---------------------------------------------------------------------------
@@ -257,7 +268,8 @@ def q06_product_margin(star: Star, buckets: int | None = None) -> DataFrame:
         pm = R.pin(pm)
     pm = R.rank(pm, [R.desc("profit_margin_pct")], out="margin_rank", buckets=buckets, bound=bound)
     pm = R.rank(pm, [R.desc("total_revenue")], out="revenue_rank", buckets=buckets, bound=bound)
-    return pm.orderBy("revenue_rank", "margin_rank", "product_name", "category", "brand")
+    return _final_sort(pm, R.is_local(bound), "revenue_rank", "margin_rank", "product_name",
+                       "category", "brand")
 
 
 # ---------------------------------------------------------------------------
@@ -430,7 +442,8 @@ def q11_rfm(star: Star, as_of: date | str, buckets: int | None = None) -> DataFr
     out = R.ntile(base, 3, [R.asc("days_since_last_purchase"), *tie], "recency_score", buckets, bound)
     out = R.ntile(out, 3, [R.desc("frequency"), *tie], "frequency_score", buckets, bound)
     out = R.ntile(out, 3, [R.desc("monetary"), *tie], "monetary_score", buckets, bound)
-    return out.orderBy(F.col("monetary").desc_nulls_first(), "customer_name", "customer_segment")
+    return _final_sort(out, R.is_local(bound), F.col("monetary").desc_nulls_first(),
+                       "customer_name", "customer_segment")
 
 
 QUERIES = {

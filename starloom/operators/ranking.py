@@ -44,10 +44,14 @@ _TOTAL = "__total"
 LOCAL_ROWS = 200_000
 
 
-def _local(bound: int | None) -> bool:
+def is_local(bound: int | None) -> bool:
+    """True when a proven row bound allows the one-task path."""
     return bound is not None and bound <= LOCAL_ROWS
 
 
+_local = is_local
+
+
 @dataclass(frozen=True)
 class SortKey:
     """One ORDER BY item. ``nulls_first=None`` applies PostgreSQL's default null order

@@ -201,14 +201,15 @@ def test_inventory_listing(star):
 
 
 def test_distributed_rank_paths_give_golden_results(star, monkeypatch):
-    """q04, q06 and q11 through the range-bucketed path (as at scale) equal the local path."""
+    """q04, q05, q06 and q11 through the range-bucketed path (as at scale) equal the local path."""
     from starloom.operators import ranking as R
 
     local = {n: sorted(map(tuple, f(star).collect())) for n, f in
-             [("q04", A.q04_top_customers), ("q06", A.q06_product_margin),
-              ("q11", lambda s: A.q11_rfm(s, AS_OF))]}
+             [("q04", A.q04_top_customers), ("q05", A.q05_store_vs_avg),
+              ("q06", A.q06_product_margin), ("q11", lambda s: A.q11_rfm(s, AS_OF))]}
     monkeypatch.setattr(R, "LOCAL_ROWS", 0)
-    dist = {"q04": A.q04_top_customers(star, buckets=3), "q06": A.q06_product_margin(star, buckets=3),
+    dist = {"q04": A.q04_top_customers(star, buckets=3), "q05": A.q05_store_vs_avg(star),
+            "q06": A.q06_product_margin(star, buckets=3),
             "q11": A.q11_rfm(star, AS_OF, buckets=3)}
     for n, df in dist.items():
         assert sorted(map(tuple, df.collect())) == local[n], n
