@@ -10,8 +10,10 @@ partial aggregate, so the count itself is skew-proof) and split the input:
   numbered with the distributed range-partitioned numbering of ``ranking.row_number`` over
   ``(g, o)``, re-based to start at 1 inside each group.
 
-The hot-group table has at most ``rows / threshold`` entries, so it is broadcast behind the
-usual row-count guard; when no group is hot the extra branch is skipped entirely.
+Hot groups are found from a sample of the key column (a full per-key count would be one
+more key-level shuffle of the whole input). The hot-group table has about ``2 * rows /
+threshold`` entries at most, so it is broadcast behind the usual row-count guard; when no
+group is hot the extra branch is skipped entirely.
 """
 
 from __future__ import annotations
@@ -28,11 +30,32 @@ from starloom.operators.joins import DEFAULT_BROADCAST_ROWS, guarded_broadcast,
 HOT_GROUP_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int | None = None) -> DataFrame:
-    """Key values that occur more than ``threshold`` times, pinned (a small table)."""
+def hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    threshold: int | None = None,
+    sample_fraction: float | None = None,
+) -> DataFrame:
+    """Key values that hold about ``threshold`` rows or more, pinned (a small table).
+
+    Detection reads a seeded Bernoulli sample of the key columns (fraction ``1000 /
+    threshold`` by default, so a hot key shows up ~1000 times) and keeps keys whose sampled
+    count reaches half the expected count, which catches every key above the threshold with
+    overwhelming probability. The split is only a performance device: each group stays whole
+    in one branch and is numbered exactly either way, so a misclassified group costs time,
+    never correctness, and no result row is sampled away. Small thresholds count exactly.
+    """
     threshold = HOT_GROUP_ROWS if threshold is None else threshold
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    return R.pin(counts.where(F.col("__rows") > threshold).select(*keys))
+    fraction = sample_fraction if sample_fraction is not None else min(1.0, 1000.0 / max(threshold, 1))
+    source = df.select(*keys)
+    if fraction < 1.0:
+        source = source.sample(withReplacement=False, fraction=fraction, seed=17)
+        cutoff = max(1.0, fraction * threshold / 2.0)
+        cond = F.col("__rows") >= F.lit(cutoff)
+    else:
+        cond = F.col("__rows") > F.lit(threshold)
+    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return R.pin(counts.where(cond).select(*keys))
 
 
 def split_hot(

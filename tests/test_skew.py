@@ -49,3 +49,14 @@ def test_fact_sales_with_hot_order(spark, monkeypatch):
     split = facts.fact_sales(*args).drop("sales_key")
     assert split.count() == 25
     assert set(base.collect()) == set(split.collect())
+
+
+def test_sampled_detection_finds_hot_key(spark):
+    rows = [(f"O{i % 2000}", i) for i in range(20_000)] + [("HOT", i) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "order_id string, v long")
+    hot = skew.hot_keys(df, ["order_id"], threshold=5_000, sample_fraction=0.05)
+    assert [r.order_id for r in hot.collect()] == ["HOT"]
+    ours = skew.row_number_within(df, ["order_id"], ["v"], "rn", threshold=5_000)
+    native = df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("order_id").orderBy("v")).cast("int"))
+    assert set(ours.collect()) == set(native.collect())
