@@ -94,7 +94,8 @@ def dim_customer(
 ) -> DataFrame:
     src = scd2_source_customer(customers, orders, gold, silver)
     dim = current if current is not None else _empty_like(customers, "dim_customer")
-    out = scd2_apply(dim, src, ["customer_id"], "customer_key", as_of, mode)
+    out = scd2_apply(dim, src, ["customer_id"], "customer_key", as_of, mode,
+                     source_rows=customers.select("customer_id"))
     return conform(out, WAREHOUSE["dim_customer"])
 
 
@@ -107,7 +108,8 @@ def dim_product(
 ) -> DataFrame:
     src = scd2_source_product(products, suppliers)
     dim = current if current is not None else _empty_like(products, "dim_product")
-    out = scd2_apply(dim, src, ["product_id"], "product_key", as_of, mode)
+    out = scd2_apply(dim, src, ["product_id"], "product_key", as_of, mode,
+                     source_rows=products.select("product_id"))
     return conform(out, WAREHOUSE["dim_product"])
 
 

@@ -168,9 +168,14 @@ def scd2_apply(
     mode: str = SINGLE_PASS,
     hash_col: str = "row_hash",
     validate: bool = True,
+    source_rows: DataFrame | None = None,
 ) -> DataFrame:
     """One Type 2 load of ``source`` into ``dim``.
 
+    ``source_rows`` is a cheap table with the same rows per key as ``source`` (the staging
+    table a derived source was built from by 1:1 joins): the batch-uniqueness check and the
+    row bound for key assignment scan it instead of evaluating the derived source.
+
     ``mode='single_pass'`` expires a changed version and opens its successor in the same run
     (the documented intent). ``mode='deferred'`` reproduces the literal two-statement
     outcome where the insert still sees the pre-update snapshot: a changed key is only
@@ -181,8 +186,9 @@ def scd2_apply(
     if mode not in (SINGLE_PASS, DEFERRED):
         raise ValueError(f"unknown mode {mode!r}")
     key = list(key)
+    raw = source if source_rows is None else source_rows
     if validate:
-        check_unique_batch(source, key)
+        check_unique_batch(raw, key)
     history = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current"))
     attrs = [c for c in source.columns if c not in key]
@@ -221,7 +227,7 @@ def scd2_apply(
     opened = assign_surrogate_keys(
         opened, key, surrogate, start_after=_max_key(dim, surrogate),
         key_type=dim.schema[surrogate].dataType.simpleString(),
-        bound=row_bound(source, LOCAL_ROWS),  # opened versions <= batch rows
+        bound=row_bound(raw, LOCAL_ROWS),  # opened versions <= batch rows
     )
     return history.unionByName(closed).unionByName(opened.select(*dim.columns))
 
