@@ -79,3 +79,13 @@ def test_tables_present(spark):
     present = {(r.table_schema, r.table_name): r.present for r in rows}
     assert all(v for (layer, _), v in present.items() if layer in ("staging", "warehouse"))
     assert not any(v for (layer, _), v in present.items() if layer == "public")
+
+
+def test_decimal_overflow_raises_on_conform(spark):
+    import pytest
+    df = spark.createDataFrame([("P1", "n", "c", None, None, D("123456789.99"), D("1.00"), None)],
+                               "product_id string, name string, category string, subcategory string, "
+                               "brand string, cost decimal(12,2), list_price decimal(12,2), "
+                               "supplier_id string")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST_OVERFLOW|overflow"):
+        conform(df, SOURCE["products"]).collect()
