@@ -21,6 +21,8 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.decimalOperations.allowPrecisionLoss": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # pinned rank buckets / hot-key tables are deleted once no DataFrame references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
