@@ -45,7 +45,7 @@ def main() -> None:
     cfg = TESTDATA_CONFIG
     t0 = time.time()
     root = scratch_path(spark, "star")
-    staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root)
+    staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root, cfg.order_buckets)
     t_stage = time.time() - t0
     t1 = time.time()
     star = build_star(spark, staging, cfg, root)

@@ -115,9 +115,15 @@ def fact_sales(
     dim_promotion: DataFrame,
     tax_rate: str = TAX_RATE,
     start_after: int | Column = 0,
+    lines_colocated: bool = False,
 ) -> DataFrame:
     """One row per order line with surrogate keys and measures.
 
+    ``lines_colocated``: order lines are already partitioned by ``order_id`` (a bucketed
+    staging table). Lines then meet the headers first, keep that partitioning through the
+    line-number window, and meet the product lookup last, so with a broadcast lookup the
+    lines are not shuffled at all.
+
     Inner joins: orders, current customer, current product, store, staging product (the
     cost comes from staging, not from the dimension version). Left: promotion. Lines whose
     keys do not resolve are dropped; no filter on order status.
@@ -141,11 +147,18 @@ def fact_sales(
     # Orders with a huge number of lines are split off: they meet a broadcast of their own
     # headers and are numbered by the distributed path instead of one task per order.
     items, hot_items, hot = split_hot(items, ["order_id"])
-    lines = (
-        items.join(product_lookup, "product_id")
-        .join(headers, "order_id")
-        .withColumn("order_line_num", line_number())
-    )
+    if lines_colocated:
+        lines = (
+            items.join(headers, "order_id")
+            .withColumn("order_line_num", line_number())
+            .join(product_lookup, "product_id")
+        )
+    else:
+        lines = (
+            items.join(product_lookup, "product_id")
+            .join(headers, "order_id")
+            .withColumn("order_line_num", line_number())
+        )
     if hot_items is not None:
         # one header per hot order: bounded by the (pinned) hot-key table
         hot_headers = guarded_broadcast(headers.join(hot, "order_id", "left_semi"), bounded_by=hot)

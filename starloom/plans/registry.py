@@ -57,7 +57,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str, cfg: LoadConfig = CONFIG) ->
         if key not in _BUILT:
             ensure_checkpoint_dir(spark)
             root = scratch_path(spark, "star")
-            staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root)
+            staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root, cfg.order_buckets)
             star = build_star(spark, staging, cfg, root)
             _BUILT[key] = Warehouse(root, staging, star)
         return _BUILT[key]
