@@ -146,6 +146,47 @@ def violations(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract
     return out
 
 
+def violation_counts(
+    tables: Mapping[str, DataFrame],
+    contracts: Mapping[str, Contract],
+    parents: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Number of violations per rule (``check_name``, ``violations``), same rules and names as
+    ``violations``. NOT NULL and length rules of a table are counted in one aggregate (one
+    read of the table); key rules group by the key and foreign keys anti-join the parent."""
+    parents = dict(parents or {})
+    parents.update(tables)
+    parts = []
+    for name, df in tables.items():
+        c = contracts[name]
+        nn = (reduce(lambda a, b: a | b, [F.col(x).isNull() for x in c.required])
+              if c.required else F.lit(False))
+        lens = [F.when(F.length(col) > n, 1).otherwise(0) for col, n in c.lengths.items()
+                if col in df.columns]
+        length = reduce(lambda a, b: a + b, lens) if lens else F.lit(0)
+        parts.append(
+            df.agg(F.sum(F.when(nn, 1).otherwise(0)).alias("nn"), F.sum(length).alias("ln"))
+            .select(F.explode(F.array(
+                F.struct(F.lit(f"{name}.not_null").alias("check_name"),
+                         F.coalesce(F.col("nn"), F.lit(0)).cast("long").alias("violations")),
+                F.struct(F.lit(f"{name}.length").alias("check_name"),
+                         F.coalesce(F.col("ln"), F.lit(0)).cast("long").alias("violations")),
+            )).alias("v")).select("v.*")
+        )
+        keyed = ([("unique_key", c.key)] if c.key else []) + [
+            ("unique_" + "_".join(u), u) for u in c.unique]
+        for label, cols in keyed:
+            parts.append(dq_unique(df, cols).agg(F.count(F.lit(1)).alias("violations"))
+                         .select(F.lit(f"{name}.{label}").alias("check_name"), "violations"))
+        for child_cols, parent, parent_cols in c.foreign_keys:
+            if parent in parents:
+                parts.append(
+                    dq_fk(df, parents[parent], child_cols, parent_cols)
+                    .agg(F.count(F.lit(1)).alias("violations"))
+                    .select(F.lit(f"{name}.fk_{parent}").alias("check_name"), "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def validate(checks: Mapping[str, DataFrame], examples: int = 3) -> None:
     """Raise ``ValueError`` naming the first failed check (with a few example rows)."""
     for name, df in checks.items():

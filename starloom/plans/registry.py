@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import threading
-from functools import reduce
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
@@ -175,16 +174,13 @@ def q_dq_violations(spark, sf_dir):
     """Number of violations of every declared rule over the staging layer and the star."""
     wh = warehouse_for(spark, sf_dir)
     s = wh.star
-    checks = quality.violations(wh.staging, STAGING)
     star_tables = {
         "dim_date": s.dim_date, "dim_customer": s.dim_customer, "dim_product": s.dim_product,
         "dim_store": s.dim_store, "dim_promotion": s.dim_promotion,
         "fact_sales": s.fact_sales, "fact_inventory_snapshot": s.fact_inventory_snapshot,
     }
-    checks.update(quality.violations(star_tables, WAREHOUSE))
-    parts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(n).alias("check_name"), "violations")
-             for n, df in checks.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return quality.violation_counts(wh.staging, STAGING).unionByName(
+        quality.violation_counts(star_tables, WAREHOUSE))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

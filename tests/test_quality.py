@@ -89,3 +89,24 @@ def test_decimal_overflow_raises_on_conform(spark):
                                "supplier_id string")
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST_OVERFLOW|overflow"):
         conform(df, SOURCE["products"]).collect()
+
+
+def _nullable(schema):
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def test_violation_counts_match_violation_rows(spark):
+    items = spark.createDataFrame(
+        [("I1", "O1", "P1", 1, D("1.00"), None), ("I1", "O2", "P9", None, D("1.00"), D("0")),
+         ("I-TOO-LONG-FOR-TWENTY", "O3", "P1", 1, D("1.00"), D("0"))],
+        _nullable(SOURCE["order_items"].schema),
+    )
+    orders = spark.createDataFrame(
+        [("O1", "C1", date(2023, 1, 1), "Completed", D("1.00"), None)], SOURCE["orders"].schema)
+    tables = {"order_items": items, "orders": orders}
+    rows = {n: df.count() for n, df in quality.violations(tables, SOURCE).items()}
+    counts = {r.check_name: r.violations for r in quality.violation_counts(tables, SOURCE).collect()}
+    assert counts == rows
+    assert counts["order_items.not_null"] == 1 and counts["order_items.length"] == 1
+    assert counts["order_items.unique_key"] == 1 and counts["order_items.fk_orders"] == 2
