@@ -63,3 +63,30 @@ def test_bucketed_staging_gives_same_fact(spark):
         assert "Bucketed: true" in plan
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_unresolved_product_leaves_no_gap(spark):
+    """A line whose product is unknown is dropped and the later lines of its order close up
+    (both join orders)."""
+    from decimal import Decimal as D
+
+    from pyspark.sql import functions as F
+
+    from starloom.operators import dims
+
+    t = seed_tables(spark)
+    extra = spark.createDataFrame([("ITM0175", "ORD011", "PRD999", 1, D("5.00"), D("0"))],
+                                  t["order_items"].schema)
+    items = t["order_items"].unionByName(extra)
+    as_of = date(2024, 4, 1)
+    d = (dims.dim_customer(None, t["customers"], t["orders"], as_of).checkpoint(),
+         dims.dim_product(None, t["products"], t["suppliers"], as_of).checkpoint(),
+         dims.dim_store(None, t["stores"]).checkpoint(),
+         dims.dim_promotion(None, t["promotions"]).checkpoint())
+    for colocated in (False, True):
+        f = facts.fact_sales(items, t["orders"], t["products"], t["promotions"], *d,
+                             lines_colocated=colocated)
+        assert f.count() == 25
+        nums = sorted(r[0] for r in f.where(F.col("order_id") == "ORD011")
+                      .select("order_line_num").collect())
+        assert nums == [1, 2, 3], (colocated, nums)
