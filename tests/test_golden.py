@@ -213,3 +213,26 @@ def test_distributed_rank_paths_give_golden_results(star, monkeypatch):
             "q11": A.q11_rfm(star, AS_OF, buckets=3)}
     for n, df in dist.items():
         assert sorted(map(tuple, df.collect())) == local[n], n
+
+
+def test_expired_versions_leave_current_filtered_queries(spark, star):
+    """SURVEY D7: after a refresh that re-versions a customer, facts bound to the old version
+    drop out of Q04/Q08/Q11 (current filter) but stay in Q01."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from starloom.operators import dims
+
+    t = seed_tables(spark)
+    moved = t["customers"].withColumn(
+        "city", F.when(F.col("customer_id") == "CUS001", F.lit("Boston")).otherwise(F.col("city")))
+    dc2 = dims.dim_customer(star.dim_customer, moved, t["orders"], date(2024, 5, 1)).checkpoint()
+    star2 = replace(star, dim_customer=dc2)
+    assert dc2.count() == 11 and dc2.where("is_current").count() == 10
+    q04 = {r.customer_name: r for r in A.q04_top_customers(star2).collect()}
+    assert "Alice Johnson" not in q04            # her facts point at the expired version
+    assert len(q04) == 9
+    (q08,) = A.q08_segment_share(star2).collect()
+    assert q08.total_revenue == D("2167.24") - D("472.45")
+    assert sum(r.monthly_revenue for r in A.q01_monthly_trend(star2).collect()) == D("2167.24")
