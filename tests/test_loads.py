@@ -90,3 +90,12 @@ def test_unresolved_product_leaves_no_gap(spark):
         nums = sorted(r[0] for r in f.where(F.col("order_id") == "ORD011")
                       .select("order_line_num").collect())
         assert nums == [1, 2, 3], (colocated, nums)
+
+
+def test_job_writes_reports(spark):
+    from starloom.plans import job
+
+    out = job.run(spark, "/root/testdata/sf0.001", queries=["q01_monthly_trend", "q09_promo_effect"])
+    assert spark.read.parquet(f"{out['root']}/reports/q01_monthly_trend").count() == 80
+    assert spark.read.parquet(f"{out['root']}/reports/q09_promo_effect").count() == 2
+    assert set(out["seconds"]) == {"stage", "build_star", "q01_monthly_trend", "q09_promo_effect"}
