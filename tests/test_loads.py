@@ -99,3 +99,20 @@ def test_job_writes_reports(spark):
     assert spark.read.parquet(f"{out['root']}/reports/q01_monthly_trend").count() == 80
     assert spark.read.parquet(f"{out['root']}/reports/q09_promo_effect").count() == 2
     assert set(out["seconds"]) == {"stage", "build_star", "q01_monthly_trend", "q09_promo_effect"}
+
+
+def test_empty_orders_build_and_query(spark):
+    """No orders and no lines: the star builds, facts are empty, every query returns no rows."""
+    from starloom.operators import analytics as A
+
+    t = seed_tables(spark)
+    t["orders"] = t["orders"].limit(0)
+    t["order_items"] = t["order_items"].limit(0)
+    root = scratch_path(spark, "empty")
+    cfg = LoadConfig(as_of=date(2024, 4, 1))
+    star = build_star(spark, stage_mirror(t, root), cfg, root)
+    assert star.fact_sales.count() == 0
+    assert star.dim_customer.count() == 10
+    for name, fn in A.QUERIES.items():
+        df = fn(star, cfg.as_of) if name == "q11_rfm" else fn(star)
+        assert df.count() == 0, name

@@ -118,3 +118,10 @@ def test_property_rank_and_ntile_equal_native(spark, values, tiles, buckets):
     t = R.ntile(df, tiles, [R.asc("v"), R.asc("id")], out="t", buckets=buckets)
     nt = df.withColumn("t", F.ntile(tiles).over(Window.orderBy("v", "id")).cast("long"))
     assert set(t.select("id", "t").collect()) == set(nt.select("id", "t").collect())
+
+
+def test_distributed_paths_on_empty_input(spark):
+    df = spark.createDataFrame([], "id long, v int")
+    assert R.rank(df, [R.desc("v")], out="r", buckets=3).count() == 0
+    assert R.ntile(df, 3, [R.asc("v"), R.asc("id")], out="t", buckets=3).count() == 0
+    assert R.assign_surrogate_keys(df, ["id"], "sk", buckets=3).count() == 0
