@@ -49,8 +49,6 @@ def is_local(bound: int | None) -> bool:
     return bound is not None and bound <= LOCAL_ROWS
 
 
-_local = is_local
-
 
 @dataclass(frozen=True)
 class SortKey:
@@ -135,7 +133,7 @@ def row_number(
     whole key are numbered in an unspecified order, as in SQL.
     """
     keys = _keys(order)
-    if _local(bound):
+    if is_local(bound):
         w = Window.orderBy(*[k.column() for k in keys])
         out_df = df.withColumn(out, F.row_number().over(w).cast("long"))
         if with_total:
@@ -167,7 +165,7 @@ def rank(
     input first.
     """
     keys = _keys(order)
-    if _local(bound):
+    if is_local(bound):
         w = Window.orderBy(*[k.column() for k in keys])
         return df.withColumn(out, F.rank().over(w).cast("long"))
     names = [k.name for k in keys]
@@ -204,7 +202,7 @@ def ntile(
     ``order`` must be a total order for a deterministic answer.
     """
     k = buckets_out
-    if _local(bound):
+    if is_local(bound):
         w = Window.orderBy(*[key.column() for key in _keys(order)])
         return df.withColumn(out, F.ntile(k).over(w).cast("long"))
     rn = "__rn"
