@@ -7,6 +7,7 @@ writes the layers under the session's checkpoint folder; later calls read that s
 
 from __future__ import annotations
 
+import hashlib
 import os
 import threading
 from collections.abc import Callable
@@ -16,7 +17,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.contracts import STAGING, WAREHOUSE
+from starloom.contracts import DRIVER_SCHEMAS, STAGING, WAREHOUSE
 from starloom.functions.hashing import hash_hex
 from starloom.operators import analytics as A
 from starloom.operators import dims, quality
@@ -27,6 +28,8 @@ from starloom.plans.warehouse import (
     LoadConfig,
     build_star,
     calendar_range,
+    read_staging,
+    read_star,
     stage_mirror,
 )
 from starloom.session import ensure_checkpoint_dir, scratch_path
@@ -50,16 +53,64 @@ _LOCK = threading.Lock()
 _BUILT: dict[tuple, Warehouse] = {}
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _build_key(spark: SparkSession, sf_dir: str, cfg: LoadConfig) -> str:
+    """Identity of a star: input files (path, size, mtime), load config, library source."""
+    h = hashlib.sha1(repr(cfg).encode())
+    for name in sorted(DRIVER_SCHEMAS):
+        fs, path = _hadoop_fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for st in fs.listStatus(path) if fs.exists(path) else []:
+            h.update(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}".encode())
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for dirpath, _, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()[:20]
+
+
+def _record_path(spark: SparkSession, key: str) -> str:
+    """Durable record of finished builds, in the configured (shared) checkpoint folder."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/starloom-stars/{key}"
+
+
+def _load_recorded(spark: SparkSession, record: str) -> Warehouse | None:
+    fs, path = _hadoop_fs(spark, record + "/_SUCCESS")
+    if not fs.exists(path):
+        return None
+    root = spark.read.json(record).first()["root"]
+    fs_root, root_path = _hadoop_fs(spark, root)
+    if not fs_root.exists(root_path):
+        return None
+    return Warehouse(root, read_staging(spark, root), read_star(spark, root))
+
+
 def warehouse_for(spark: SparkSession, sf_dir: str, cfg: LoadConfig = CONFIG) -> Warehouse:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), cfg)
+    """The star for ``sf_dir``: built once, then reused within the application and, through a
+    record in the shared checkpoint folder, by later applications (a fresh session or process
+    reads the finished star instead of rebuilding it). A build that fails leaves no record."""
+    app_key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), cfg)
     with _LOCK:
-        if key not in _BUILT:
-            ensure_checkpoint_dir(spark)
+        if app_key in _BUILT:
+            return _BUILT[app_key]
+        ensure_checkpoint_dir(spark)
+        record = _record_path(spark, _build_key(spark, sf_dir, cfg))
+        wh = _load_recorded(spark, record)
+        if wh is None:
             root = scratch_path(spark, "star")
             staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root, cfg.order_buckets)
             star = build_star(spark, staging, cfg, root)
-            _BUILT[key] = Warehouse(root, staging, star)
-        return _BUILT[key]
+            wh = Warehouse(root, staging, star)
+            spark.createDataFrame([(root,)], "root string").coalesce(1).write.mode("overwrite").json(record)
+        _BUILT[app_key] = wh
+        return wh
 
 
 def _star(spark: SparkSession, sf_dir: str) -> A.Star:

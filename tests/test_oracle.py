@@ -31,3 +31,18 @@ def test_violation_report_is_clean(spark):
 
     rows = E.queries()["dq_violations"](spark, SF_SMALL).collect()
     assert rows and all(r.violations == 0 for r in rows), [r for r in rows if r.violations]
+
+
+def test_recorded_star_is_reused_by_a_new_application(spark):
+    """A later application (simulated by forgetting the in-process memo) reads the recorded
+    star instead of rebuilding it, and its queries still match the oracle."""
+    from oracle_compare import compare
+
+    from starloom.plans import registry
+
+    first = registry.warehouse_for(spark, SF_SMALL)
+    registry._BUILT.clear()
+    again = registry.warehouse_for(spark, SF_SMALL)
+    assert again.root == first.root and again is not first
+    for name in ["q04_top_customers", "stage_order_items", "scd2_customer_refresh"]:
+        assert compare(spark, SF_SMALL, [name], verbose=False)[name]["status"] == "match"
