@@ -236,3 +236,24 @@ def test_expired_versions_leave_current_filtered_queries(spark, star):
     (q08,) = A.q08_segment_share(star2).collect()
     assert q08.total_revenue == D("2167.24") - D("472.45")
     assert sum(r.monthly_revenue for r in A.q01_monthly_trend(star2).collect()) == D("2167.24")
+
+
+def test_null_ordering_follows_reference_engine(spark):
+    """SURVEY 1.4.6: a NULL region sorts last in Q02 (ASC NULLS LAST), and a product with zero
+    revenue has a NULL margin that ranks first in Q06 (DESC NULLS FIRST)."""
+    from pyspark.sql import functions as F
+
+    t = seed_tables(spark)
+    t["stores"] = t["stores"].withColumn(
+        "region", F.when(F.col("store_id") == "STR003", F.lit(None)).otherwise(F.col("region")))
+    t["order_items"] = t["order_items"].withColumn(
+        "unit_price", F.when(F.col("item_id") == "ITM016", F.lit(0).cast("decimal(10,2)"))
+        .otherwise(F.col("unit_price")))
+    root = scratch_path(spark, "nulls")
+    cfg = LoadConfig(as_of=AS_OF)
+    s = build_star(spark, stage_mirror(t, root), cfg, root)
+    q02 = A.q02_category_rank_by_region(s).collect()
+    assert q02[-1].region is None and q02[0].region is not None
+    q06 = {r.product_name: r for r in A.q06_product_margin(s).collect()}
+    lamp = q06["Desk Lamp"]  # its only line now has zero revenue
+    assert lamp.profit_margin_pct is None and lamp.margin_rank == 1
