@@ -102,15 +102,19 @@ def read_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {n: read_table(spark, root, "staging", n) for n in SOURCE_TABLES}
 
 
-def _bucketed_fact(df: DataFrame, root: str, buckets: int) -> DataFrame:
+def _fact_table_name(root: str) -> str:
+    return f"starloom_fact_sales_{hashlib.md5(root.encode()).hexdigest()[:12]}"
+
+
+def _bucketed_fact(df: DataFrame, root: str, buckets: int, mode: str = "overwrite") -> DataFrame:
     """Write the sales fact bucketed and sorted by ``order_id``. On the co-located build the
     rows already arrive hash-partitioned by ``order_id`` into ``buckets`` partitions, so the
     write adds no shuffle and each task writes one bucket file. Reading it back through the
     catalog lets every per-order step of the queries (``COUNT(DISTINCT order_id)`` groups on
     ``(group, order_id)``) run without a shuffle of the fact."""
     path = layer_path(root, "warehouse", "fact_sales")
-    table = f"starloom_fact_sales_{hashlib.md5(root.encode()).hexdigest()[:12]}"
-    (df.write.mode("overwrite").bucketBy(buckets, "order_id").sortBy("order_id")
+    table = _fact_table_name(root)
+    (df.write.mode(mode).bucketBy(buckets, "order_id").sortBy("order_id")
      .option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
 
@@ -247,6 +251,7 @@ def append_sales(
     new_rows: DataFrame,
     root: str,
     name: str = "fact_sales",
+    order_buckets: int | None = None,
 ) -> DataFrame:
     """``sink_append`` for the sales fact that is safe to re-run: order lines already in the
     table (same order_id and order_line_num) are skipped, and the new rows' identity keys
@@ -255,14 +260,18 @@ def append_sales(
     ``new_rows`` is a fact built with ``start_after=0``; its keys are shifted here. The
     anti-join reads only three narrow columns of the existing fact; with
     ``fact_partition_by_month`` the date key in the condition lets Spark prune months.
-    This appends plain Parquet files: use it on a fact written without ``order_buckets``
-    (a bucketed fact is rebuilt instead, so its bucket layout stays valid).
+    With ``order_buckets`` (a fact written by a bucketed build) the rows are appended through
+    the catalog table with the same bucket spec, so the bucket layout stays valid.
     """
     key_cols = ["date_key", "order_id", "order_line_num"]
     fresh = new_rows.join(existing.select(*key_cols), key_cols, "left_anti")
     start = existing.agg(F.coalesce(F.max("sales_key"), F.lit(0)).alias("m")).scalar()
     fresh = fresh.withColumn("sales_key", (F.col("sales_key") + start).cast("long"))
     fresh = fresh.select(*[c for c in existing.columns if c in fresh.columns])
+    if order_buckets:
+        # materialise first: the appended table is also the anti-join's input
+        fresh = fresh.checkpoint(eager=True)
+        return _bucketed_fact(fresh, root, order_buckets, mode="append")
     write_table(fresh, root, "warehouse", name, mode="append")
     return fresh.sparkSession.read.parquet(layer_path(root, "warehouse", name))
 

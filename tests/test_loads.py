@@ -116,3 +116,24 @@ def test_empty_orders_build_and_query(spark):
     for name, fn in A.QUERIES.items():
         df = fn(star, cfg.as_of) if name == "q11_rfm" else fn(star)
         assert df.count() == 0, name
+
+
+def test_append_to_bucketed_fact(spark):
+    from dataclasses import replace
+
+    root = scratch_path(spark, "bucket-append")
+    cfg = replace(LoadConfig(as_of=date(2024, 4, 1)), order_buckets=3)
+    staging = stage_mirror(seed_tables(spark), root, cfg.order_buckets)
+    star = build_star(spark, staging, cfg, root)
+    extra = staging["order_items"].limit(1).selectExpr(
+        "'ITM999' AS item_id", "'ORD015' AS order_id", "'PRD010' AS product_id", "quantity",
+        "unit_price", "discount")
+    rows = facts.fact_sales(
+        staging["order_items"].unionByName(extra), staging["orders"], staging["products"],
+        staging["promotions"], star.dim_customer, star.dim_product, star.dim_store,
+        star.dim_promotion)
+    after = append_sales(star.fact_sales, rows, root, order_buckets=3)
+    assert after.count() == 26
+    assert after.select("sales_key").distinct().count() == 26
+    plan = after.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan or "SelectedBucketsCount" in plan
