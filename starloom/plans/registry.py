@@ -81,7 +81,7 @@ def _record_path(spark: SparkSession, key: str) -> str:
     return f"{base.rstrip('/')}/starloom-stars/{key}"
 
 
-def _load_recorded(spark: SparkSession, record: str) -> Warehouse | None:
+def _load_recorded(spark: SparkSession, record: str, cfg: LoadConfig) -> Warehouse | None:
     fs, path = _hadoop_fs(spark, record + "/_SUCCESS")
     if not fs.exists(path):
         return None
@@ -89,7 +89,7 @@ def _load_recorded(spark: SparkSession, record: str) -> Warehouse | None:
     fs_root, root_path = _hadoop_fs(spark, root)
     if not fs_root.exists(root_path):
         return None
-    return Warehouse(root, read_staging(spark, root), read_star(spark, root))
+    return Warehouse(root, read_staging(spark, root), read_star(spark, root, cfg.order_buckets))
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, cfg: LoadConfig = CONFIG) -> Warehouse:
@@ -102,7 +102,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str, cfg: LoadConfig = CONFIG) ->
             return _BUILT[app_key]
         ensure_checkpoint_dir(spark)
         record = _record_path(spark, _build_key(spark, sf_dir, cfg))
-        wh = _load_recorded(spark, record)
+        wh = _load_recorded(spark, record, cfg)
         if wh is None:
             root = scratch_path(spark, "star")
             staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root, cfg.order_buckets)

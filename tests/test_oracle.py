@@ -44,5 +44,7 @@ def test_recorded_star_is_reused_by_a_new_application(spark):
     registry._BUILT.clear()
     again = registry.warehouse_for(spark, SF_SMALL)
     assert again.root == first.root and again is not first
+    plan = again.star.fact_sales.groupBy("order_id").count()._jdf.queryExecution().executedPlan()
+    assert "Exchange" not in plan.toString()  # the re-registered fact is still bucketed
     for name in ["q04_top_customers", "stage_order_items", "scd2_customer_refresh"]:
         assert compare(spark, SF_SMALL, [name], verbose=False)[name]["status"] == "match"
