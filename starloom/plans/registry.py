@@ -102,7 +102,10 @@ def warehouse_for(spark: SparkSession, sf_dir: str, cfg: LoadConfig = CONFIG) ->
             return _BUILT[app_key]
         ensure_checkpoint_dir(spark)
         record = _record_path(spark, _build_key(spark, sf_dir, cfg))
-        wh = _load_recorded(spark, record, cfg)
+        try:
+            wh = _load_recorded(spark, record, cfg)
+        except Exception:  # unreadable record or files: build afresh
+            wh = None
         if wh is None:
             root = scratch_path(spark, "star")
             staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root, cfg.order_buckets)
