@@ -514,7 +514,36 @@ w_fact_inventory AS (
 DQ_VIOLATIONS = _violations_sql()
 
 
-SQL: dict[str, str] = {
+_DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+               "timestamp_ntz": "TIMESTAMP"}
+
+
+def _decimal_outputs_as_double(sql_by_name: dict[str, str]) -> dict[str, str]:
+    """Wrap each statement so that its DECIMAL output columns come out as DOUBLE, matching the
+    driver-facing Spark queries. The decimal columns are found by describing each statement
+    against empty tables with the driver schemas (no data is read)."""
+    import duckdb
+
+    from starloom.contracts import DRIVER_SCHEMAS
+
+    con = duckdb.connect()
+    for name, schema in DRIVER_SCHEMAS.items():
+        cols = ", ".join(f"{f.name} {_DUCK_TYPES[f.dataType.simpleString()]}" for f in schema.fields)
+        con.execute(f"CREATE TABLE {name} ({cols})")
+    out = {}
+    for name, sql in sql_by_name.items():
+        rel = con.sql(sql)
+        decimals = [c for c, t in zip(rel.columns, rel.types) if str(t).startswith("DECIMAL")]
+        if decimals:
+            repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in decimals)
+            out[name] = f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS exact_result"
+        else:
+            out[name] = sql
+    con.close()
+    return out
+
+
+SQL_EXACT: dict[str, str] = {
     "q01_monthly_trend": Q01,
     "q02_category_rank_by_region": Q02,
     "q03_cohort": Q03,
@@ -544,3 +573,5 @@ SQL: dict[str, str] = {
     "dq_rowcounts": DQ_ROWCOUNTS,
     "dq_violations": DQ_VIOLATIONS,
 }
+
+SQL: dict[str, str] = _decimal_outputs_as_double(SQL_EXACT)

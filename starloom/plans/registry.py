@@ -237,7 +237,22 @@ def q_dq_violations(spark, sf_dir):
         quality.violation_counts(star_tables, WAREHOUSE))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _decimals_as_double(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Driver-facing output: exact decimal results are handed over as DOUBLE (the SQL oracle
+    does the same), so any value comparison, Arrow- or pandas-based, sees one type. Every
+    computation stays in exact decimals; only the finished column is converted."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        cols = [
+            F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal"
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
+        return df.select(*cols)
+    return run
+
+
+_QUERIES_EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **ANALYTICS,
     "dim_date": q_dim_date,
     "dim_customer": q_dim_customer,
@@ -263,6 +278,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_violations": q_dq_violations,
 }
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: _decimals_as_double(fn) for name, fn in _QUERIES_EXACT.items()
+}
+
 FLAGSHIP = "q02_category_rank_by_region"
 
 __all__ = ["QUERIES", "FLAGSHIP", "warehouse_for", "CONFIG", "AS_OF_2"]
