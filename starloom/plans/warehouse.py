@@ -35,14 +35,15 @@ class LoadConfig:
     """Parameters of one warehouse load."""
 
     as_of: date                              # load date (replaces CURRENT_DATE)
-    calendar_start: date | None = None       # None: Jan 1 of the first order year
-    calendar_end: date | None = None         # None: Dec 31 of the last order year
+    calendar_start: date | None = None       # None: Jan 1 of the first order (or load) year
+    calendar_end: date | None = None         # None: Dec 31 of the last order (or load) year
     gold: int = dims.GOLD_THRESHOLD
     silver: int = dims.SILVER_THRESHOLD
     tax_rate: str = facts.TAX_RATE
     scd2_mode: str = SINGLE_PASS
     fact_partition_by_month: bool = False    # Hive-style month folders for the sales fact
-    order_buckets: int | None = None         # co-locate staging orders + order lines by order_id
+    order_buckets: int | None = None         # bucket staging orders, order lines and the
+                                             # sales fact by order_id (co-located joins)
 
 
 # Profile for the driver's test tables: orders 1995-2001, lifetime spend per customer
