@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from starloom.llm import decontaminate, quality
+from starloom.llm import bpe, decontaminate, quality, token_store
 
 QUERIES = {
     "op4_decontamination": decontaminate.op4_decontamination,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op8_token_store": token_store.op8_token_store,
 }
 
 SQL = {
