@@ -22,6 +22,7 @@ from starloom.llm.common import ascii_lower, broadcast_below, pin
 
 #: Fixed values of the contract.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what stands between words
 CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same before lower-casing
 N = 13
 MIN_SHARE_INVERSE = 20  # contaminated: at least 1 word in 20 is hit
@@ -31,8 +32,9 @@ MAX_BROADCAST_WINDOWS = 4_000_000
 
 
 def words_of(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)),
-                      F.array().cast("array<string>"))
+    # a split at what is no word costs a sixth of extracting every match; it leaves empty strings
+    # at the ends only
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NO_WORD), "")
 
 
 def text_key(text: Column) -> Column:
