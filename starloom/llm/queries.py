@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from starloom.llm import bpe, decontaminate, quality, token_store
+from starloom.llm import bpe, decontaminate, language_id, quality, token_store
 
 QUERIES = {
+    "op2_language_id": language_id.op2_language_id,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_byte_bpe": bpe.op7_byte_bpe,
