@@ -39,22 +39,12 @@ NEVER = 1 << 62
 ROOT = 0
 
 
-class State:
-    """The open paths, each as (trie node of the bytes since its last border, token that ends at
-    that border, tokens not emitted yet up to it). ``next`` holds, for each byte met, the tokens
-    that are then certain and the next state."""
-
-    __slots__ = ("paths", "next", "rest")
-
-    def __init__(self, paths: tuple):
-        self.paths = paths
-        self.next: dict[int, tuple[tuple[int, ...], State]] = {}
-        #: what is left to emit if the input ends here: the path whose last border is here
-        self.rest = next((held for node, _, held in paths if node == ROOT), ())
-
-
 class MergeTransducer:
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pieces: int = 200_000):
+    """States are numbered. ``paths[state]`` holds the open paths, each as (trie node of the bytes
+    since its last border, token that ends at that border, tokens not emitted yet up to it);
+    ``moves[state << 8 | byte]`` the next state, or the tokens that are then certain and it."""
+
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000, max_pieces: int = 100_000):
         self.ranks, self.bytes = ranks, {i: b for b, i in ranks.items()}
         self.max_states, self.max_pieces = max_states, max_pieces
         # trie: (node << 8 | byte) -> child; token_at[node]: the token that ends there
@@ -70,17 +60,22 @@ class MergeTransducer:
                 node = child
             self.token_at[node] = rank
         self.splits: dict[int, tuple[int, int] | None] = {}
-        self.sides: dict[tuple[int, int], bool] = {}
+        self.sides: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.states: dict[tuple, State] = {}
+        self.states: dict[tuple, int] = {}
+        self.paths: list[tuple] = []
+        self.moves: dict[int, int | tuple[tuple[int, ...], int]] = {}
+        self.shared: dict[tuple, tuple] = {}  # one object for equal paths of different states
         self.start = self._state(((ROOT, None, ()),))
 
-    def _state(self, paths: tuple) -> State:
+    def _state(self, paths: tuple) -> int:
         state = self.states.get(paths)
         if state is None:
-            state = self.states[paths] = State(paths)
+            paths = tuple([self.shared.setdefault(p, p) for p in paths])
+            state = self.states[paths] = len(self.paths)
+            self.paths.append(paths)
         return state
 
     # -- which tokens may stand side by side ------------------------------------------------
@@ -122,19 +117,19 @@ class MergeTransducer:
     def fit(self, x: int | None, y: int) -> bool:
         if x is None:
             return self.reachable(y)
-        known = self.sides.get((x, y))
+        known = self.sides.get(x << 32 | y)
         if known is None:
-            if len(self.sides) > 4 * self.max_states:
+            if len(self.sides) > 2 * self.max_states:
                 self.sides.clear()
-            known = self.sides[x, y] = self.reachable(y) and self._apart(x, y, NEVER)
+            known = self.sides[x << 32 | y] = self.reachable(y) and self._apart(x, y, NEVER)
         return known
 
     # -- the transducer -----------------------------------------------------------------------
 
-    def step(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
-        """Build a transition: the tokens that are now certain, and the next state."""
+    def step(self, state: int, byte: int) -> int | tuple[tuple[int, ...], int]:
+        """Build a transition."""
         paths, border = [], None
-        for node, last, held in state.paths:
+        for node, last, held in self.paths[state]:
             child = self.trie.get(node << 8 | byte)
             if child is not None:
                 paths.append((child, last, held))
@@ -150,32 +145,36 @@ class MergeTransducer:
             n = next((k for k in range(min(n, len(held))) if held[k] != first[k]), min(n, len(held)))
         if n:
             paths = [(node, last, held[n:]) for node, last, held in paths]
-        result = state.next[byte] = first[:n], self._state(tuple(paths))
-        return result
+        after = self._state(tuple(paths))
+        move = self.moves[state << 8 | byte] = (first[:n], after) if n else after
+        return move
+
+    def _rest(self, state: int) -> tuple[int, ...]:
+        """What is left if the input ends here: the path whose last border is here."""
+        return next((held for node, _, held in self.paths[state] if node == ROOT), ())
 
     def stream(self, data: Iterable[int]) -> Iterator[int]:
         """Tokens of one match of the pattern, each as soon as it is certain."""
-        state = self.start
+        state, moves = self.start, self.moves
         for byte in data:
-            found = state.next.get(byte) or self.step(state, byte)
-            yield from found[0]
-            state = found[1]
-        yield from state.rest
+            move = moves.get(state << 8 | byte)
+            if move is None:
+                move = self.step(state, byte)
+            if move.__class__ is int:
+                state = move
+            else:
+                yield from move[0]
+                state = move[1]
+        yield from self._rest(state)
 
     def piece(self, data: bytes) -> tuple[int, ...]:
         """Tokens of one match: a match that is itself a token is that token."""
         whole = self.ranks.get(data)
         if whole is not None:
             return (whole,)
-        if len(self.states) > self.max_states:
+        if len(self.paths) > self.max_states:
             self._reset()
-        state, out = self.start, []
-        for byte in data:
-            found = state.next.get(byte) or self.step(state, byte)
-            if found[0]:
-                out += found[0]
-            state = found[1]
-        return (*out, *state.rest)
+        return tuple(self.stream(data))
 
 
 class Encoder(dict):
@@ -341,12 +340,22 @@ def default_vocabulary(spark: SparkSession) -> Vocabulary:
 
 
 def round_trip(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, n_tokens, ids, and digests of the ids and of the decoded text."""
-    # unpacked between the two functions, so that ids are made once
-    rows = decode(encode(documents.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
-    return rows.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids",
-                       F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    """doc_id, n_tokens, ids, and digests of the ids and of the decoded text. Both directions
+    run in one Python worker, which needs one batch of texts."""
+    key, shared = vocabulary.key, vocabulary.shared
+
+    @F.pandas_udf("ids binary, decoded string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, decoder = _worker(Encoder, key, shared), _worker(Decoder, key, shared)
+        for texts in parts:
+            ids = texts.map(encoder.encode)
+            yield pd.DataFrame({"ids": ids, "decoded": ids.map(
+                lambda b: decoder.decode(np.frombuffer(b, "<u4").tolist()))})
+
+    rows = documents.select("doc_id", run(F.coalesce("text", F.lit(""))).alias("r"))
+    return rows.select("doc_id", F.expr("octet_length(r.ids) div 4").alias("n_tokens"), "r.ids",
+                       F.sha2("r.ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("r.decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op7_byte_bpe(spark, sf_dir: str) -> DataFrame:
