@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import bpe, decontaminate, language_id, quality, token_store
+from starloom.llm import bpe, decontaminate, jaccard_join, language_id, quality, token_store
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_token_store": token_store.op8_token_store,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
 }
 
 SQL = {
