@@ -21,10 +21,12 @@ bytes; an empty table gives no files and reads back as no rows; other columns ar
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
-from collections.abc import Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -33,6 +35,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from starloom.llm.common import broadcast_below, pin, read
 from starloom.session import scratch_path
@@ -41,7 +44,11 @@ from starloom.session import scratch_path
 INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 END_ID = 2
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\s{L}{N}]+"  # the vocabulary's own pattern
-WORD_END = "</w>"
+
+#: The vocabulary writes bytes as letters: those of visible characters as themselves, the rest
+#: from U+0100 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 SHARD_BYTES = 8 << 20  # a file is closed beyond this; one document more may pass it
 
@@ -100,27 +107,23 @@ class TokenReader:
         return np.frombuffer(data, f"<u{self.item}").astype("<u4")
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Encodes whole texts with a `tokenizers` vocabulary whose tokens never span words.
 
-    Words met before are remembered; the new ones of a batch go to the library together, apart by
-    spaces, and their ids are told apart by the vocabulary's word-end mark. That holds for texts
-    of plain printable characters, which normalise to their lower case; a text with any other
-    character is given to the library as it is."""
+    The library's model encodes each word when it is first met; the dict then holds the word's
+    place in ``flat``, the ids of all words met (a bounded number). That holds for texts of plain
+    printable characters, which normalise to their lower case; a text with any other character
+    is given to the whole library as it is."""
 
-    KEPT = 400_000
+    KEPT = 500_000
+    BLOCK = 1 << 20  # characters of texts that are held as words at a time
 
     def __init__(self, content: str, ordinary_specials: bool = True):
-        import re
-
-        from tokenizers import Tokenizer
-
+        super().__init__()
         self.library = Tokenizer.from_str(content)
         self.library.encode_special_tokens = ordinary_specials
-        vocabulary = self.library.get_vocab()
-        self.item = 2 if max(vocabulary.values()) < 1 << 16 else 4
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.model = self.library.model
+        self.item = 2 if max(self.library.get_vocab().values()) < 1 << 16 else 4
         # printable characters below U+0250 that lower-case and compose one by one
         plain = [c for c in map(chr, [9, 10, 13, *range(32, 127), *range(161, 0x250)])
                  if c != "\xad" and len(c.lower()) == 1 and ord(c.lower()) < 0x250]
@@ -129,41 +132,46 @@ class WordEncoder:
         self.words = re.compile(WORD.replace("{L}", of("L")).replace("{N}", of("N")))
         self.specials = [] if ordinary_specials else [
             t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, tuple[int, ...]] = {}
+        self._reset()
+
+    def _reset(self) -> None:
+        self.clear()
+        self.flat, self.start = array("I"), array("q", [0])  # word k: flat[start[k]:start[k + 1]]
+
+    def __missing__(self, word: str) -> int:
+        raw = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        self.flat.extend([t.id for t in self.model.tokenize(raw)])
+        self.start.append(len(self.flat))
+        k = self[word] = len(self)
+        return k
 
     def _plain(self, text: str) -> bool:
         return not self.other.search(text) and not any(s in text for s in self.specials)
 
-    def _learn(self, words: list[str]) -> None:
-        for k in range(0, len(words), 20_000):
-            part = words[k:k + 20_000]
-            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            if len(cut) != len(part):
-                raise ValueError("the vocabulary does not mark the ends of words")
-            self.known.update(zip(part, map(tuple, np.split(ids, cut[:-1])), strict=True))
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text. Words are held for about a million characters at a time."""
-        block, size = [], 0
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text."""
         for text in texts:
-            block.append(text or "")
-            size += len(block[-1])
-            if size > 1 << 20:
-                yield from self._block(block)
-                block, size = [], 0
-        yield from self._block(block)
-
-    def _block(self, texts: list[str]) -> Iterator[np.ndarray]:
-        found = [self.words.findall(t.lower()) if self._plain(t) else None for t in texts]
-        if len(self.known) > self.KEPT:
-            self.known.clear()
-        self._learn(list(set(chain.from_iterable(f for f in found if f)).difference(self.known)))
-        for text, words in zip(texts, found, strict=True):
-            if words is None:
-                yield np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+            text = text or ""
+            if not self._plain(text):
+                yield np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+            elif len(text) <= self.BLOCK:
+                yield self._ids(self.words.findall(text.lower()))
             else:
-                yield np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), "<u4")
+                found = (m[0] for m in self.words.finditer(text.lower()))
+                blocks = iter(lambda: list(islice(found, self.BLOCK)), [])
+                yield np.concatenate([self._ids(words) for words in blocks] or [np.empty(0, np.uint32)])
+
+    def _ids(self, words: list[str]) -> np.ndarray:
+        if len(self) > self.KEPT:
+            self._reset()
+        if not words:
+            return np.empty(0, np.uint32)
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        starts = np.frombuffer(self.start, np.int64)  # a view: gone before the array grows
+        start, size = starts[at], starts[at + 1] - starts[at]
+        # the places of all ids: each word's start, counted on
+        first = np.cumsum(size) - size
+        return np.frombuffer(self.flat, np.uint32)[np.repeat(start - first, size) + np.arange(size.sum())]
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
