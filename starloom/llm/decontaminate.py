@@ -29,6 +29,7 @@ MIN_SHARE_INVERSE = 20  # contaminated: at least 1 word in 20 is hit
 
 #: 16 bytes a row: at most 64 MB are broadcast; beyond it the join is shuffled.
 MAX_BROADCAST_WINDOWS = 4_000_000
+MAX_BROADCAST_KEYS = 1_000_000  # 32-byte digests of texts with hits
 
 
 def words_of(text: Column) -> Column:
@@ -39,7 +40,7 @@ def words_of(text: Column) -> Column:
 
 def text_key(text: Column) -> Column:
     """Identity of a text: equal texts have equal results. Null for null."""
-    return F.sha2(text, 256)
+    return F.unhex(F.sha2(text, 256))
 
 
 def _starts(n_words: Column, size: Column | int) -> Column:
@@ -83,10 +84,12 @@ def hits(documents: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     known = broadcast_below(bench.select("size", "hash").distinct(), MAX_BROADCAST_WINDOWS)
     found = scanned.join(known, ["size", "hash"], "left_semi")
     found = found.groupBy("key").agg(F.collect_set(F.struct("size", "pos")).alias("at"))
-    # verification: the words of each hit, taken from the text again, against the items' words
-    texts = documents.select("text").where(F.col("text").isNotNull()).select(
-        text_key(F.col("text")).alias("key"), "text").join(found, "key").select(
-        "key", "at", words_of(F.col("text")).alias("words"))
+    # verification: the words of each hit, taken from the text again, against the items' words;
+    # only texts with hits are moved
+    found = pin(found, "window-hits")
+    some = documents.select("text").where(F.col("text").isNotNull()).withColumn("key", text_key(F.col("text"))).join(
+        broadcast_below(found.select("key"), MAX_BROADCAST_KEYS), "key", "left_semi")
+    texts = some.join(found, "key").select("key", "at", words_of(F.col("text")).alias("words"))
     windows = texts.select("key", F.explode(F.transform("at", lambda a: F.struct(
         a["size"].alias("size"), a["pos"].alias("pos"),
         F.concat_ws(" ", F.slice("words", a["pos"], a["size"])).alias("window")))).alias("w")).select("key", "w.*")
@@ -127,7 +130,7 @@ def remove_documents(documents: DataFrame, benchmark: DataFrame, n: int = N) ->
     dirty = found.select(F.col("key").alias("__key"), F.col("n_hit").alias("__n_hit"))
     marked = documents.withColumn("__key", text_key(documents["text"]))
     # only texts with hits are counted again; most rows meet no partner
-    joined = marked.join(broadcast_below(pin(dirty, "dirty"), MAX_BROADCAST_WINDOWS // 8), "__key", "left")
+    joined = marked.join(broadcast_below(pin(dirty, "dirty"), MAX_BROADCAST_KEYS), "__key", "left")
     clean = F.col("__n_hit").isNull() | ~is_contaminated(F.col("__n_hit"), F.size(words_of(F.col("text"))))
     return joined.where(clean).select(*[F.col(f"`{c}`") for c in documents.columns])
 
