@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from starloom.llm import bpe, decontaminate, jaccard_join, language_id, quality, token_store
+from starloom.llm import bpe, chat, decontaminate, jaccard_join, language_id, quality, token_counts, token_store
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op2_language_id": language_id.op2_language_id,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_token_store": token_store.op8_token_store,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
+    "op10_chat_format": chat.op10_chat_format,
 }
 
 SQL = {
     "op4_decontamination": decontaminate.SQL,
     "op6_quality_rules": quality.SQL,
+    "op10_chat_format": chat.SQL,
 }
