@@ -339,9 +339,9 @@ def default_vocabulary(spark: SparkSession) -> Vocabulary:
     return Vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-def round_trip(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, n_tokens, ids, and digests of the ids and of the decoded text. Both directions
-    run in one Python worker, which needs one batch of texts."""
+def round_trip(documents: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
+    """doc_id, the columns to keep, n_tokens, ids, and digests of the ids and of the decoded text.
+    Both directions run in one Python worker, which needs one batch of texts."""
     key, shared = vocabulary.key, vocabulary.shared
 
     @F.pandas_udf("ids binary, decoded string")
@@ -352,8 +352,8 @@ def round_trip(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield pd.DataFrame({"ids": ids, "decoded": ids.map(
                 lambda b: decoder.decode(np.frombuffer(b, "<u4").tolist()))})
 
-    rows = documents.select("doc_id", run(F.coalesce("text", F.lit(""))).alias("r"))
-    return rows.select("doc_id", F.expr("octet_length(r.ids) div 4").alias("n_tokens"), "r.ids",
+    rows = documents.select("doc_id", *keep, run(F.coalesce("text", F.lit(""))).alias("r"))
+    return rows.select("doc_id", *keep, F.expr("octet_length(r.ids) div 4").alias("n_tokens"), "r.ids",
                        F.sha2("r.ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("r.decoded").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from starloom.llm import bpe, chat, decontaminate, jaccard_join, language_id, quality, token_counts, token_store, toxicity
+from starloom.llm import bpe, chat, decontaminate, jaccard_join, language_id, quality, token_counts, token_store, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_language_id": language_id.op2_language_id,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_decontamination": decontaminate.op4_decontamination,
+    "op5_url_filter": url_filter.op5_url_filter,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_token_store": token_store.op8_token_store,
