@@ -32,7 +32,7 @@ MIN_GROUP = 30
 FENCE = 3.0
 #: measure -> (least allowed distance from the quartile, whether the low side is fenced too)
 FLOORS = {"symbol_share": (0.02, False), "word_length": (1.0, True),
-          "dup_line_share": (0.2, False), "repeat_share": (0.1, False)}
+          "dup_line_share": (0.5, False), "repeat_share": (0.4, False)}
 MAX_BROADCAST_GROUPS = 100_000
 
 
