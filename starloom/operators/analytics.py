@@ -32,7 +32,6 @@ from starloom.functions.money import (
     rounded_money,
 )
 from starloom.operators import ranking as R
-from starloom.operators.joins import guarded_broadcast, row_bound
 from starloom.operators.scd import scd_current
 
 
@@ -51,25 +50,11 @@ class Star:
 
 def _dates(star: Star, *cols: str) -> DataFrame:
     # The calendar is bounded by its date range (~366 rows per year).
-    return guarded_broadcast(star.dim_date.select("date_key", *cols))
+    return star.dim_date.select("date_key", *cols)
 
 
 def _stores(star: Star, *cols: str) -> DataFrame:
-    return guarded_broadcast(star.dim_store.select("store_key", *cols))
-
-
-def _sorted_bounded(df: DataFrame, *cols) -> DataFrame:
-    """Final ORDER BY of a result whose size is bounded by nature (months x categories,
-    regions x top-k, cohort months x months): one task sorts it, which avoids the sampling
-    pass of a range-partitioned sort. Results that grow with customers or products use the
-    distributed ``orderBy`` instead."""
-    return df.coalesce(1).sortWithinPartitions(*cols)
-
-
-def _final_sort(df: DataFrame, bounded: bool, *cols) -> DataFrame:
-    """ORDER BY for a customer/product-sized result: one task when its size is proven
-    bounded (the local ranking path already left it in one partition), else distributed."""
-    return _sorted_bounded(df, *cols) if bounded else df.orderBy(*cols)
+    return star.dim_store.select("store_key", *cols)
 
 
 def _bigint(c):
@@ -120,11 +105,9 @@ def q02_category_rank_by_region(star: Star, top: int = 5) -> DataFrame:
     )
     w = Window.partitionBy("region").orderBy(F.col("total_revenue").desc_nulls_first())
     return (
-        _sorted_bounded(
-            cr.withColumn("category_rank", _bigint(F.rank().over(w)))
-            .where(F.col("category_rank") <= top),
-            F.col("region").asc_nulls_last(), "category_rank",
-        )
+        cr.withColumn("category_rank", _bigint(F.rank().over(w)))
+        .where(F.col("category_rank") <= top)
+        .orderBy(F.col("region").asc_nulls_last(), "category_rank")
     )
 
 
@@ -155,7 +138,7 @@ def q03_cohort(star: Star) -> DataFrame:
             money(F.sum("revenue")).alias("cohort_revenue"),
         )
     )
-    return _sorted_bounded(cohorts, "cohort_month", "months_since_first")
+    return cohorts.orderBy("cohort_month", "months_since_first")
 
 
 # ---------------------------------------------------------------------------
@@ -190,13 +173,10 @@ def q04_top_customers(star: Star, buckets: int | None = None) -> DataFrame:
             money("__revenue").alias("__revenue"),
         )
     )
-    # Groups <= current customers: a proven bound that picks the local or distributed rank.
-    bound = row_bound(scd_current(star.dim_customer), R.LOCAL_ROWS)
-    if bound > R.LOCAL_ROWS:
-        g = R.pin(g)  # the distributed rank reads its input twice (keys, join back)
-    ranked = R.rank(g, [R.desc("__revenue")], out="revenue_rank", buckets=buckets, bound=bound)
-    return _final_sort(ranked.drop("__revenue"), R.is_local(bound), "revenue_rank",
-                       "customer_name", "customer_segment", "city", "state")
+    # the rank reads its input twice (keys, join back)
+    ranked = R.rank(R.pin(g), [R.desc("__revenue")], out="revenue_rank", buckets=buckets)
+    return ranked.drop("__revenue").orderBy(
+        "revenue_rank", "customer_name", "customer_segment", "city", "state")
 
 
 # ---------------------------------------------------------------------------
@@ -214,24 +194,16 @@ def q05_store_vs_avg(star: Star) -> DataFrame:
             rounded_mean(F.sum("net_revenue"), F.count("net_revenue")).alias("avg_order_value"),
         )
     )
-    # One row per store: the store dimension's row count bounds it. Small (always, in
-    # practice): a one-task window for the mean and the rank. Otherwise the mean is a scalar
-    # subquery and the rank goes through the distributed path.
-    bound = row_bound(star.dim_store, R.LOCAL_ROWS)
-    if R.is_local(bound):
-        every = Window.partitionBy()
-        avg = F.sum("total_revenue").over(every) / F.count("total_revenue").over(every)
-    else:
-        sr = R.pin(sr)
-        avg = sr.agg(F.sum("total_revenue") / F.count("total_revenue")).scalar()
+    # the mean and the rank read the stores' totals again
+    sr = R.pin(sr)
+    avg = sr.agg(F.sum("total_revenue") / F.count("total_revenue")).scalar()
     out = sr.select(
         "store_name", "region", "store_type", "total_revenue", "total_orders",
         "avg_order_value",
         round2(avg).cast(MONEY_TOTAL).alias("avg_store_revenue"),
         round2(F.col("total_revenue") - avg).cast(MONEY_TOTAL).alias("deviation_from_avg"),
     )
-    out = R.rank(out, [R.desc("total_revenue")], out="store_rank", bound=bound)
-    return _final_sort(out, R.is_local(bound), "store_rank", "store_name")
+    return R.rank(out, [R.desc("total_revenue")], out="store_rank").orderBy("store_rank", "store_name")
 
 
 # ---------------------------------------------------------------------------
@@ -263,13 +235,9 @@ def q06_product_margin(star: Star, buckets: int | None = None) -> DataFrame:
             pct(money("__profit"), money("__rev"), guard_zero=True).alias("profit_margin_pct"),
         )
     )
-    bound = row_bound(scd_current(star.dim_product), R.LOCAL_ROWS)  # groups <= products
-    if bound > R.LOCAL_ROWS:
-        pm = R.pin(pm)
-    pm = R.rank(pm, [R.desc("profit_margin_pct")], out="margin_rank", buckets=buckets, bound=bound)
-    pm = R.rank(pm, [R.desc("total_revenue")], out="revenue_rank", buckets=buckets, bound=bound)
-    return _final_sort(pm, R.is_local(bound), "revenue_rank", "margin_rank", "product_name",
-                       "category", "brand")
+    pm = R.rank(R.pin(pm), [R.desc("profit_margin_pct")], out="margin_rank", buckets=buckets)
+    pm = R.rank(pm, [R.desc("total_revenue")], out="revenue_rank", buckets=buckets)
+    return pm.orderBy("revenue_rank", "margin_rank", "product_name", "category", "brand")
 
 
 # ---------------------------------------------------------------------------
@@ -347,7 +315,7 @@ def q09_promo_effect(star: Star) -> DataFrame:
     f = star.fact_sales.select(
         "promotion_key", "order_id", "quantity", "discount_amount", "net_revenue", "gross_profit"
     )
-    pr = guarded_broadcast(star.dim_promotion.select("promotion_key", "promo_name", "promo_type"))
+    pr = star.dim_promotion.select("promotion_key", "promo_name", "promo_type")
     pm = (
         f.join(pr, "promotion_key", "left")
         .groupBy("promo_name", "promo_type")
@@ -398,9 +366,7 @@ def q10_quarterly_growth(star: Star) -> DataFrame:
         "units_sold", prev.alias("prev_quarter_revenue"),
         growth_pct(F.col("quarterly_revenue"), prev).alias("qoq_growth_pct"),
     )
-    return _sorted_bounded(
-        out, "year_number", "quarter_number", F.col("category").asc_nulls_last()
-    ).drop("quarter_number")
+    return out.orderBy("year_number", "quarter_number", F.col("category").asc_nulls_last()).drop("quarter_number")
 
 
 # ---------------------------------------------------------------------------
@@ -435,15 +401,12 @@ def q11_rfm(star: Star, as_of: date | str, buckets: int | None = None) -> DataFr
             .alias("days_since_last_purchase"),
         )
     )
-    bound = row_bound(scd_current(star.dim_customer), R.LOCAL_ROWS)  # groups <= customers
-    if bound > R.LOCAL_ROWS:
-        base = R.pin(base)
+    base = R.pin(base)
     tie = [R.asc("customer_name"), R.asc("customer_segment")]
-    out = R.ntile(base, 3, [R.asc("days_since_last_purchase"), *tie], "recency_score", buckets, bound)
-    out = R.ntile(out, 3, [R.desc("frequency"), *tie], "frequency_score", buckets, bound)
-    out = R.ntile(out, 3, [R.desc("monetary"), *tie], "monetary_score", buckets, bound)
-    return _final_sort(out, R.is_local(bound), F.col("monetary").desc_nulls_first(),
-                       "customer_name", "customer_segment")
+    out = R.ntile(base, 3, [R.asc("days_since_last_purchase"), *tie], "recency_score", buckets)
+    out = R.ntile(out, 3, [R.desc("frequency"), *tie], "frequency_score", buckets)
+    out = R.ntile(out, 3, [R.desc("monetary"), *tie], "monetary_score", buckets)
+    return out.orderBy(F.col("monetary").desc_nulls_first(), "customer_name", "customer_segment")
 
 
 QUERIES = {

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from starloom.contracts import WAREHOUSE
 from starloom.functions import dates as D
 from starloom.functions.money import decimal_lit
-from starloom.operators.joins import guarded_broadcast
 from starloom.operators.scd import scd_current
 from starloom.operators.skew import number_hot, split_hot
 from starloom.sources.tables import conform
@@ -117,7 +116,8 @@ def fact_sales(
     start_after: int | Column = 0,
     lines_colocated: bool = False,
 ) -> DataFrame:
-    """One row per order line with surrogate keys and measures.
+    """One row per order line with surrogate keys and measures, and as a last column the
+    ``item_id`` that identifies the line in later loads.
 
     ``lines_colocated``: order lines are already partitioned by ``order_id`` (a bucketed
     staging table). Lines then meet the headers first and the product lookup second; with a
@@ -130,7 +130,7 @@ def fact_sales(
     keys do not resolve are dropped; no filter on order status.
     """
     cust = scd_current(dim_customer).select("customer_id", "customer_key")
-    store = guarded_broadcast(dim_store.select("store_id", "store_key"))
+    store = dim_store.select("store_id", "store_key")
     headers = (
         orders.select("order_id", "customer_id", "order_date", "store_id")
         .join(cust, "customer_id")
@@ -138,12 +138,8 @@ def fact_sales(
         .select("order_id", "order_date", "customer_key", "store_key")
     )
     current_products = scd_current(dim_product).select("product_id", "product_key")
-    # inner join on a key unique in both: never more rows than current product versions
-    product_lookup = guarded_broadcast(
-        current_products.join(
-            products.select("product_id", F.col("cost").alias("unit_cost")), "product_id"),
-        bounded_by=current_products,
-    )
+    product_lookup = current_products.join(
+        products.select("product_id", F.col("cost").alias("unit_cost")), "product_id")
     items = order_items.select("item_id", "order_id", "product_id", "quantity", "unit_price", "discount")
     # Orders with a huge number of lines are split off: they meet a broadcast of their own
     # headers and are numbered by the distributed path instead of one task per order.
@@ -161,8 +157,8 @@ def fact_sales(
             .withColumn("order_line_num", line_number())
         )
     if hot_items is not None:
-        # one header per hot order: bounded by the (pinned) hot-key table
-        hot_headers = guarded_broadcast(headers.join(hot, "order_id", "left_semi"), bounded_by=hot)
+        # one header per hot order; hot orders are few (see skew.HOT_GROUP_ROWS)
+        hot_headers = F.broadcast(headers.join(hot, "order_id", "left_semi"))
         hot_lines = number_hot(
             hot_items.join(product_lookup, "product_id").join(hot_headers, "order_id"),
             ["order_id"], ["item_id"], "order_line_num",
@@ -175,6 +171,7 @@ def fact_sales(
         promo_resolve(pct, promotions, dim_promotion).alias("promotion_key"),
         "order_id",
         "order_line_num",
+        "item_id",
         "quantity", "unit_price", "unit_cost",
         measure_discount(price, qty, pct).alias("discount_amount"),
         measure_net_revenue(price, qty, pct).alias("net_revenue"),
@@ -182,7 +179,7 @@ def fact_sales(
         measure_tax(price, qty, pct, tax_rate).alias("tax_amount"),
     )
     out = out.withColumn("sales_key", _identity(start_after))
-    return conform(out, WAREHOUSE["fact_sales"])
+    return conform(out, WAREHOUSE["fact_sales"], "item_id")
 
 
 # ---------------------------------------------------------------------------
@@ -199,7 +196,7 @@ def fact_inventory_snapshot(
     """Stock per product x store at the load date (inner joins: current product, store)."""
     snap = F.lit(as_of).cast("date")
     prod = scd_current(dim_product).select("product_id", "product_key")
-    store = guarded_broadcast(dim_store.select("store_id", "store_key"))
+    store = dim_store.select("store_id", "store_key")
     out = (
         inventory.join(prod, "product_id")
         .join(store, "store_id")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.contracts import ALL, Contract
@@ -21,11 +21,22 @@ def dq_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows with a NULL in any required column, plus the list of offending columns."""
     if not cols:
         return df.limit(0).withColumn("null_columns", F.array().cast("array<string>"))
+    return df.withColumn("null_columns", null_columns(cols)).where(F.size("null_columns") > 0)
+
+
+def null_columns(cols: Sequence[str]) -> Column:
+    """Names of the required columns that are NULL in a row."""
     flags = [F.when(F.col(c).isNull(), F.lit(c)) for c in cols]
-    return (
-        df.withColumn("null_columns", F.filter(F.array(*flags), lambda x: x.isNotNull()))
-        .where(F.size("null_columns") > 0)
-    )
+    return F.filter(F.array(*flags).cast("array<string>"), lambda x: x.isNotNull())
+
+
+def long_values(df: DataFrame, contract: Contract) -> Column:
+    """The values of a row that are longer than their declared length."""
+    checks = [F.when(F.length(c) > n, F.struct(
+        F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), F.lit(n).alias("max_length")))
+        for c, n in contract.lengths.items() if c in df.columns]
+    return F.filter(F.array(*checks).cast("array<struct<column:string,value:string,max_length:int>>"),
+                    lambda x: x.isNotNull())
 
 
 def dq_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,16 +69,7 @@ def dq_default(df: DataFrame, contract: Contract) -> DataFrame:
 
 def dq_domain(df: DataFrame, contract: Contract) -> DataFrame:
     """Values longer than their declared VARCHAR length, one row per offending value."""
-    checks = [(c, n) for c, n in contract.lengths.items() if c in df.columns]
-    if not checks:
-        return df.sparkSession.createDataFrame([], "column string, value string, max_length int")
-    parts = [
-        df.where(F.length(c) > n).select(
-            F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), F.lit(n).alias("max_length")
-        )
-        for c, n in checks
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return df.select(F.explode(long_values(df, contract)).alias("v")).select("v.*")
 
 
 def dq_rowcounts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -87,15 +89,18 @@ def dq_loadcount(df: DataFrame, expected: int | None = None) -> DataFrame:
 
 def dq_sales_sanity(fact_sales: DataFrame) -> DataFrame:
     """Row count, distinct orders / customers / products / stores, revenue and profit."""
-    return fact_sales.agg(
+    # one aggregate for each distinct count, joined as single rows: counting them all in one
+    # would expand every row of the fact by the number of columns
+    one = fact_sales.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct("order_id").alias("distinct_orders"),
-        F.count_distinct("customer_key").alias("distinct_customers"),
-        F.count_distinct("product_key").alias("distinct_products"),
-        F.count_distinct("store_key").alias("distinct_stores"),
         F.round(F.sum("net_revenue"), 2).cast("decimal(22,2)").alias("total_revenue"),
         F.round(F.sum("gross_profit"), 2).cast("decimal(22,2)").alias("total_profit"),
     )
+    for column, name in (("order_id", "distinct_orders"), ("customer_key", "distinct_customers"),
+                         ("product_key", "distinct_products"), ("store_key", "distinct_stores")):
+        one = one.join(F.broadcast(fact_sales.agg(F.count_distinct(column).alias(name))))
+    return one.select("total_rows", "distinct_orders", "distinct_customers", "distinct_products",
+                      "distinct_stores", "total_revenue", "total_profit")
 
 
 def dq_inventory_listing(
@@ -159,18 +164,12 @@ def violation_counts(
     parts = []
     for name, df in tables.items():
         c = contracts[name]
-        nn = (reduce(lambda a, b: a | b, [F.col(x).isNull() for x in c.required])
-              if c.required else F.lit(False))
-        lens = [F.when(F.length(col) > n, 1).otherwise(0) for col, n in c.lengths.items()
-                if col in df.columns]
-        length = reduce(lambda a, b: a + b, lens) if lens else F.lit(0)
         parts.append(
-            df.agg(F.sum(F.when(nn, 1).otherwise(0)).alias("nn"), F.sum(length).alias("ln"))
+            df.agg(F.count_if(F.size(null_columns(c.required)) > 0).alias("nn"),
+                   F.coalesce(F.sum(F.size(long_values(df, c))), F.lit(0)).alias("ln"))
             .select(F.explode(F.array(
-                F.struct(F.lit(f"{name}.not_null").alias("check_name"),
-                         F.coalesce(F.col("nn"), F.lit(0)).cast("long").alias("violations")),
-                F.struct(F.lit(f"{name}.length").alias("check_name"),
-                         F.coalesce(F.col("ln"), F.lit(0)).cast("long").alias("violations")),
+                F.struct(F.lit(f"{name}.not_null").alias("check_name"), F.col("nn").alias("violations")),
+                F.struct(F.lit(f"{name}.length").alias("check_name"), F.col("ln").alias("violations")),
             )).alias("v")).select("v.*")
         )
         keyed = ([("unique_key", c.key)] if c.key else []) + [

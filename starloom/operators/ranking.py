@@ -14,14 +14,11 @@ that is the one place a job would stop scaling, so ranks are computed in three s
 
 For ``rank`` the input is first reduced to its distinct keys with their multiplicities, so a
 key shared by a third of all rows is one row in step 1 and is counted, not sorted. The ranks
-are joined back on the key (broadcast when the key table is small, otherwise a shuffle join
-that AQE's skew handling can split).
-
-Inputs bounded by nature (months, weeks, stores, segments) should keep the plain window.
-The operators also take a proven ``bound`` on the input's row count (for example the row
-count of the dimension a query groups by): at or below ``LOCAL_ROWS`` one task sorts the
-input with a plain window, which is faster than three distributed steps; above it the
-distributed path runs.
+are joined back on the key (by Spark's own choice: a broadcast of a small key table, else a
+shuffle join whose skewed partitions AQE splits).
+
+Inputs bounded by nature (months, weeks, stores, segments) should keep the plain window; every
+other input takes this one path, whatever its size.
 """
 
 from __future__ import annotations
@@ -40,16 +37,6 @@ _BN = "__bucket_rows"
 _OFF = "__offset"
 _TOTAL = "__total"
 
-# Largest input that a single task may sort for a global rank (a proven upper bound).
-LOCAL_ROWS = 200_000
-
-
-def is_local(bound: int | None) -> bool:
-    """True when a proven row bound allows the one-task path."""
-    return bound is not None and bound <= LOCAL_ROWS
-
-
-
 @dataclass(frozen=True)
 class SortKey:
     """One ORDER BY item. ``nulls_first=None`` applies PostgreSQL's default null order
@@ -125,7 +112,6 @@ def row_number(
     out: str = "row_number",
     buckets: int | None = None,
     with_total: str | None = None,
-    bound: int | None = None,
 ) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order) as a BIGINT column ``out``.
 
@@ -133,12 +119,6 @@ def row_number(
     whole key are numbered in an unspecified order, as in SQL.
     """
     keys = _keys(order)
-    if is_local(bound):
-        w = Window.orderBy(*[k.column() for k in keys])
-        out_df = df.withColumn(out, F.row_number().over(w).cast("long"))
-        if with_total:
-            out_df = out_df.withColumn(with_total, F.count(F.lit(1)).over(Window.partitionBy()))
-        return out_df
     b = _bucketed(df, keys, buckets)
     offs = _offsets(b, F.lit(1))
     local = F.row_number().over(Window.partitionBy(_B).orderBy(*[k.column() for k in keys]))
@@ -155,19 +135,13 @@ def rank(
     order: Sequence[SortKey | str],
     out: str = "rank",
     buckets: int | None = None,
-    broadcast_keys_below: int = 1_000_000,
-    bound: int | None = None,
 ) -> DataFrame:
     """RANK() OVER (ORDER BY order) as a BIGINT column ``out``; ties share a rank and the
     next rank skips, NULL keys are ordered as ``SortKey`` says.
 
-    The distributed path reads ``df`` twice (distinct keys, join back): pin an expensive
-    input first.
+    ``df`` is read twice (distinct keys, join back): pin an expensive input first.
     """
     keys = _keys(order)
-    if is_local(bound):
-        w = Window.orderBy(*[k.column() for k in keys])
-        return df.withColumn(out, F.rank().over(w).cast("long"))
     names = [k.name for k in keys]
     distinct = df.groupBy(*names).agg(F.count(F.lit(1)).alias(_N))
     b = _bucketed(distinct, keys, buckets)
@@ -181,9 +155,6 @@ def rank(
         *[F.col(n).alias(f"__k{i}") for i, n in enumerate(names)],
         (F.col(_OFF) + F.coalesce(F.sum(_N).over(before), F.lit(0)) + 1).cast("long").alias(out),
     )
-    # The key table is pinned, so counting it is a cheap scan of the checkpoint.
-    if b.count() <= broadcast_keys_below:
-        ranked = F.broadcast(ranked)
     cond = [df[n].eqNullSafe(ranked[f"__k{i}"]) for i, n in enumerate(names)]
     return df.join(ranked, cond, "inner").drop(*[f"__k{i}" for i in range(len(names))])
 
@@ -194,7 +165,6 @@ def ntile(
     order: Sequence[SortKey | str],
     out: str = "ntile",
     buckets: int | None = None,
-    bound: int | None = None,
 ) -> DataFrame:
     """NTILE(k) OVER (ORDER BY order) as a BIGINT column.
 
@@ -202,9 +172,6 @@ def ntile(
     ``order`` must be a total order for a deterministic answer.
     """
     k = buckets_out
-    if is_local(bound):
-        w = Window.orderBy(*[key.column() for key in _keys(order)])
-        return df.withColumn(out, F.ntile(k).over(w).cast("long"))
     rn = "__rn"
     tot = "__tot"
     numbered = row_number(df, order, out=rn, buckets=buckets, with_total=tot)
@@ -225,14 +192,12 @@ def assign_surrogate_keys(
     start_after: int | Column = 0,
     key_type: str = "int",
     buckets: int | None = None,
-    bound: int | None = None,
 ) -> DataFrame:
     """Surrogate key = ``start_after`` + ROW_NUMBER over the natural key.
 
     Keys are dense within one batch, unique across batches when ``start_after`` is the
     maximum key already in the table, and stable once written (the numbering is pinned).
     """
-    numbered = row_number(df, [asc(c) for c in natural_key], out="__sk", buckets=buckets,
-                          bound=bound)
+    numbered = row_number(df, [asc(c) for c in natural_key], out="__sk", buckets=buckets)
     start = start_after if isinstance(start_after, Column) else F.lit(start_after)
     return numbered.withColumn(out, (start + F.col("__sk")).cast(key_type)).drop("__sk")

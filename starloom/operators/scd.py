@@ -6,8 +6,9 @@
 
 Each operator is a pure function ``(current table, source batch) -> new table``. The caller
 writes the result to a new location and then switches to it; the path being read is never
-overwritten. All work is a keyed ``full_outer`` join (one shuffle per side on the natural
-key) plus unions; new surrogate keys come from ``ranking.assign_surrogate_keys``.
+overwritten. Keys and hashes meet in one keyed ``full_outer`` join; versions are closed and opened
+by joins on the natural key with its result; new surrogate keys come from
+``ranking.assign_surrogate_keys``.
 """
 
 from __future__ import annotations
@@ -19,8 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.contracts import SENTINEL_EXPIRY
-from starloom.operators.joins import row_bound
-from starloom.operators.ranking import LOCAL_ROWS, assign_surrogate_keys
+from starloom.operators.ranking import assign_surrogate_keys, pin
 
 NEW = "new"
 CHANGED = "changed"
@@ -86,7 +86,6 @@ def scd1_upsert(
     fresh = assign_surrogate_keys(
         merged.where(~F.col("__old")).drop("__old", surrogate),
         key, surrogate, start_after=_max_key(target, surrogate), key_type=key_type,
-        bound=row_bound(source, LOCAL_ROWS),  # new keys <= batch rows
     )
     return kept.unionByName(fresh).select(*target.columns)
 
@@ -173,8 +172,8 @@ def scd2_apply(
     """One Type 2 load of ``source`` into ``dim``.
 
     ``source_rows`` is a cheap table with the same rows per key as ``source`` (the staging
-    table a derived source was built from by 1:1 joins): the batch-uniqueness check and the
-    row bound for key assignment scan it instead of evaluating the derived source.
+    table a derived source was built from by 1:1 joins): the batch-uniqueness check scans it
+    instead of evaluating the derived source.
 
     ``mode='single_pass'`` expires a changed version and opens its successor in the same run
     (the documented intent). ``mode='deferred'`` reproduces the literal two-statement
@@ -191,43 +190,13 @@ def scd2_apply(
         check_unique_batch(raw, key)
     history = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current"))
-    attrs = [c for c in source.columns if c not in key]
-    # One keyed full-outer join classifies every key and carries both versions' columns;
-    # the closed and the opened versions are two projections of it.
-    c = current.select(*key, *[F.col(x).alias(f"c__{x}") for x in dim.columns if x not in key],
-                       F.lit(True).alias("__cur"))
-    s = source.select(*key, *[F.col(x).alias(f"s__{x}") for x in attrs], F.lit(True).alias("__src"))
-    j = c.join(s, key, "full_outer")
-    status = (
-        F.when(F.col("__cur").isNull(), F.lit(NEW))
-        .when(F.col("__src").isNull(), F.lit(ABSENT))
-        .when(F.col(f"c__{hash_col}") != F.col(f"s__{hash_col}"), F.lit(CHANGED))
-        .otherwise(F.lit(UNCHANGED))
-    )
-    j = j.withColumn("__status", status)
-    changed = F.col("__status") == F.lit(CHANGED)
-
-    def closed_col(x: str) -> Column:
-        if x in key:
-            return F.col(x)
-        if x == "expiry_date":
-            return F.when(changed, F.date_sub(_lit_date(as_of), 1)).otherwise(F.col(f"c__{x}")).alias(x)
-        if x == "is_current":
-            return F.when(changed, F.lit(False)).otherwise(F.col(f"c__{x}")).alias(x)
-        return F.col(f"c__{x}").alias(x)
-
-    closed = j.where(F.col("__cur").isNotNull()).select(*[closed_col(x) for x in dim.columns])
-    statuses = (NEW, CHANGED) if mode == SINGLE_PASS else (NEW,)
-    opened = j.where(F.col("__status").isin(*statuses)).select(
-        *key, *[F.col(f"s__{x}").alias(x) for x in attrs],
-        _lit_date(as_of).alias("effective_date"),
-        F.lit(SENTINEL_EXPIRY).cast("date").alias("expiry_date"),
-        F.lit(True).alias("is_current"),
-    )
-    opened = assign_surrogate_keys(
-        opened, key, surrogate, start_after=_max_key(dim, surrogate),
+    # one narrow row per key (key, status), classified once for both steps
+    status = pin(scd2_detect(current, source, key, hash_col))
+    closed = scd2_expire(current, status, key, as_of)
+    opened = scd2_insert(
+        source, status, key, surrogate, as_of, start_after=_max_key(dim, surrogate),
+        statuses=(NEW, CHANGED) if mode == SINGLE_PASS else (NEW,),
         key_type=dim.schema[surrogate].dataType.simpleString(),
-        bound=row_bound(raw, LOCAL_ROWS),  # opened versions <= batch rows
     )
     return history.unionByName(closed).unionByName(opened.select(*dim.columns))
 

@@ -10,9 +10,8 @@ partial aggregate, so the count itself is skew-proof) and split the input:
   numbered with the distributed range-partitioned numbering of ``ranking.row_number`` over
   ``(g, o)``, re-based to start at 1 inside each group.
 
-Hot groups are found from a sample of the key column (a full per-key count would be one
-more key-level shuffle of the whole input). The hot-group table has about ``2 * rows /
-threshold`` entries at most, so it is broadcast behind the usual row-count guard; when no
+Hot groups are found by one count by key (partial counts in each task, so a hot key costs one
+row a task). There are at most ``rows / threshold`` of them, so the table is broadcast; when no
 group is hot the extra branch is skipped entirely.
 """
 
@@ -24,38 +23,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators import ranking as R
-from starloom.operators.joins import DEFAULT_BROADCAST_ROWS, guarded_broadcast, row_bound
 
 # A group with more rows than this is treated as hot.
 HOT_GROUP_ROWS = 1_000_000
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    threshold: int | None = None,
-    sample_fraction: float | None = None,
-) -> DataFrame:
-    """Key values that hold about ``threshold`` rows or more, pinned (a small table).
-
-    Detection reads a seeded Bernoulli sample of the key columns (fraction ``1000 /
-    threshold`` by default, so a hot key shows up ~1000 times) and keeps keys whose sampled
-    count reaches half the expected count, which catches every key above the threshold with
-    overwhelming probability. The split is only a performance device: each group stays whole
-    in one branch and is numbered exactly either way, so a misclassified group costs time,
-    never correctness, and no result row is sampled away. Small thresholds count exactly.
-    """
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int | None = None) -> DataFrame:
+    """Key values that hold more than ``threshold`` rows, pinned (a small table)."""
     threshold = HOT_GROUP_ROWS if threshold is None else threshold
-    fraction = sample_fraction if sample_fraction is not None else min(1.0, 1000.0 / max(threshold, 1))
-    source = df.select(*keys)
-    if fraction < 1.0:
-        source = source.sample(withReplacement=False, fraction=fraction, seed=17)
-        cutoff = max(1.0, fraction * threshold / 2.0)
-        cond = F.col("__rows") >= F.lit(cutoff)
-    else:
-        cond = F.col("__rows") > F.lit(threshold)
-    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    return R.pin(counts.where(cond).select(*keys))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return R.pin(counts.where(F.col("__rows") > F.lit(threshold)).select(*keys))
 
 
 def split_hot(
@@ -64,9 +41,9 @@ def split_hot(
     """(rows of ordinary groups, rows of hot groups or None, hot keys or None)."""
     keys = list(keys)
     hot = hot_keys(df, keys, threshold)
-    if row_bound(hot, DEFAULT_BROADCAST_ROWS) == 0:
+    if hot.isEmpty():
         return df, None, None
-    hot_b = guarded_broadcast(hot)
+    hot_b = F.broadcast(hot)  # at most rows / threshold keys
     return df.join(hot_b, keys, "left_anti"), df.join(hot_b, keys, "left_semi"), hot
 
 
@@ -78,7 +55,7 @@ def number_hot(
     numbered = R.row_number(hot_rows, [R.asc(c, nulls_first=True) for c in keys + order], out="__grn")
     first = numbered.groupBy(*keys).agg(F.min("__grn").alias("__first"))
     return (
-        numbered.join(guarded_broadcast(first), keys)
+        numbered.join(F.broadcast(first), keys)
         .withColumn(out, (F.col("__grn") - F.col("__first") + 1).cast(out_type))
         .drop("__grn", "__first")
     )

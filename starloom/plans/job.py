@@ -18,7 +18,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from starloom.operators import analytics as A
-from starloom.plans.warehouse import TESTDATA_CONFIG, build_star, stage_mirror
+from starloom.plans.warehouse import TESTDATA_CONFIG, build_star, stage_mirror, with_buckets
 from starloom.session import get_session, scratch_path
 from starloom.sources.adapter import adapt
 from starloom.sources.tables import read_driver_tables
@@ -34,7 +34,10 @@ def run(spark: SparkSession, sf_dir: str, root: str | None = None, as_of: date |
     root = root or scratch_path(spark, "star")
     timings: dict[str, float] = {}
     t = time.time()
-    staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root, cfg.order_buckets)
+    tables = read_driver_tables(spark, sf_dir)
+    if order_buckets is None:
+        cfg = with_buckets(cfg, tables["lineitem"])
+    staging = stage_mirror(adapt(tables), root, cfg.order_buckets)
     timings["stage"] = time.time() - t
     t = time.time()
     star = build_star(spark, staging, cfg, root)

@@ -100,7 +100,7 @@ s_customers AS (
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
 s_stores AS (
-  SELECT 'STR' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS store_id,
+  SELECT printf('STR%03d', n_nationkey) AS store_id,
          n_name || ' Store' AS name, n_name AS city, CAST(NULL AS VARCHAR) AS state,
          r_name AS region,
          CASE n_nationkey % {len(STORE_TYPES)} {_types} END AS type,
@@ -108,7 +108,7 @@ s_stores AS (
   FROM nat
 ),
 s_promotions AS (
-  SELECT 'PRM' || lpad(CAST(CAST(pct AS INTEGER) AS VARCHAR), 3, '0') AS promo_id,
+  SELECT printf('PRM%03d', CAST(pct AS INTEGER)) AS promo_id,
          CAST(CAST(pct AS INTEGER) AS VARCHAR) || '% Off' AS name,
          'Percentage' AS type, pct AS discount_pct,
          CAST(NULL AS DATE) AS start_date, CAST(NULL AS DATE) AS end_date, 'All' AS channel
@@ -119,12 +119,11 @@ s_orders AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) AS order_id, CAST(o.o_custkey AS VARCHAR) AS customer_id,
          CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderstatus AS status,
          CAST(o.o_totalprice AS DECIMAL(12,2)) AS total_amount,
-         'STR' || lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0') AS store_id
+         printf('STR%03d', c.c_nationkey) AS store_id
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 ),
 s_order_items AS (
-  SELECT CAST(l_orderkey AS VARCHAR) || '-' ||
-           lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_item_order}) AS VARCHAR), 4, '0')
+  SELECT printf('%d-%010d', l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_item_order}))
            AS item_id,
          CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
          CAST(l_quantity AS INTEGER) AS quantity,
@@ -135,7 +134,7 @@ s_order_items AS (
   FROM lineitem
 ),
 s_inventory AS (
-  SELECT 'STR' || lpad(CAST(s.s_nationkey AS VARCHAR), 3, '0') AS store_id,
+  SELECT printf('STR%03d', s.s_nationkey) AS store_id,
          CAST(l.l_partkey AS VARCHAR) AS product_id,
          CAST(sum(CAST(l.l_quantity AS BIGINT)) AS INTEGER) AS quantity_on_hand,
          CAST(sum(CAST(l.l_quantity AS BIGINT)) // 5 AS INTEGER) AS reorder_point,

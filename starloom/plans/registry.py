@@ -14,6 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,7 @@ from starloom.plans.warehouse import (
     read_staging,
     read_star,
     stage_mirror,
+    with_buckets,
 )
 from starloom.session import ensure_checkpoint_dir, scratch_path
 from starloom.sources import batches
@@ -85,11 +87,12 @@ def _load_recorded(spark: SparkSession, record: str, cfg: LoadConfig) -> Warehou
     fs, path = _hadoop_fs(spark, record + "/_SUCCESS")
     if not fs.exists(path):
         return None
-    root = spark.read.json(record).first()["root"]
+    found = spark.read.json(record).first()
+    root, buckets = found["root"], found["order_buckets"]
     fs_root, root_path = _hadoop_fs(spark, root)
     if not fs_root.exists(root_path):
         return None
-    return Warehouse(root, read_staging(spark, root), read_star(spark, root, cfg.order_buckets))
+    return Warehouse(root, read_staging(spark, root), read_star(spark, root, buckets))
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, cfg: LoadConfig = CONFIG) -> Warehouse:
@@ -104,14 +107,17 @@ def warehouse_for(spark: SparkSession, sf_dir: str, cfg: LoadConfig = CONFIG) ->
         record = _record_path(spark, _build_key(spark, sf_dir, cfg))
         try:
             wh = _load_recorded(spark, record, cfg)
-        except Exception:  # unreadable record or files: build afresh
+        except AnalysisException:  # a record or table that is gone or has no files: build afresh
             wh = None
         if wh is None:
             root = scratch_path(spark, "star")
-            staging = stage_mirror(adapt(read_driver_tables(spark, sf_dir)), root, cfg.order_buckets)
-            star = build_star(spark, staging, cfg, root)
+            tables = read_driver_tables(spark, sf_dir)
+            sized = with_buckets(cfg, tables["lineitem"])
+            staging = stage_mirror(adapt(tables), root, sized.order_buckets)
+            star = build_star(spark, staging, sized, root)
             wh = Warehouse(root, staging, star)
-            spark.createDataFrame([(root,)], "root string").coalesce(1).write.mode("overwrite").json(record)
+            spark.createDataFrame([(root, sized.order_buckets)], "root string, order_buckets int").coalesce(
+                1).write.mode("overwrite").json(record)
         _BUILT[app_key] = wh
         return wh
 
@@ -174,7 +180,7 @@ def q_dim_promotion(spark, sf_dir):
 
 
 def q_fact_sales(spark, sf_dir):
-    return _star(spark, sf_dir).fact_sales.drop("sales_key", "month_key")
+    return _star(spark, sf_dir).fact_sales.drop("sales_key", "month_key", "item_id")
 
 
 def q_fact_inventory_snapshot(spark, sf_dir):

@@ -21,11 +21,12 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.contracts import SOURCE_TABLES, STAGING
-from starloom.operators import calendar, dims, facts
+from starloom.contracts import SOURCE_TABLES, STAGING, WAREHOUSE
+from starloom.operators import calendar, dims, facts, quality
 from starloom.operators.analytics import Star
 from starloom.operators.scd import SINGLE_PASS
-from starloom.sources.tables import conform, layer_path, read_table, write_table
+from starloom.operators.skew import row_number_within
+from starloom.sources.tables import conform, layer_path, path_exists, read_table, write_table
 
 T = TypeVar("T")
 
@@ -44,16 +45,26 @@ class LoadConfig:
     fact_partition_by_month: bool = False    # Hive-style month folders for the sales fact
     order_buckets: int | None = None         # bucket staging orders, order lines and the
                                              # sales fact by order_id (co-located joins)
+    lines_per_bucket: int | None = None      # sets order_buckets from the number of lines
+    enforce: bool = True                     # a load that breaks a table contract raises
 
 
 # Profile for the driver's test tables: orders 1995-2001, lifetime spend per customer
 # between ~30 thousand and ~7 million, so the segment thresholds sit near the 30 % / 70 %
 # points of that distribution.
 TESTDATA_CONFIG = LoadConfig(
-    as_of=date(2002, 1, 1), gold=2_900_000, silver=2_000_000, order_buckets=8
+    as_of=date(2002, 1, 1), gold=2_900_000, silver=2_000_000, lines_per_bucket=50_000
 )
 
 
+def with_buckets(cfg: LoadConfig, lines: DataFrame) -> LoadConfig:
+    """``cfg`` with its bucket count set from the number of order lines: one bucket for every
+    ``lines_per_bucket``, so tasks grow in number with the data and not in size."""
+    if cfg.lines_per_bucket is None:
+        return cfg
+    return replace(cfg, order_buckets=max(1, -(-lines.count() // cfg.lines_per_bucket)))
+
+
 def run_concurrently(jobs: dict[str, Callable[[], T]], max_workers: int = 8) -> dict[str, T]:
     """Submit independent Spark jobs from driver threads so that they share the cluster
     (small tables finish while large ones run); results by name, first error re-raised."""
@@ -79,10 +90,20 @@ def _bucketed_table(df: DataFrame, root: str, name: str, buckets: int) -> DataFr
     return df.sparkSession.table(table)
 
 
+def enforce(tables: dict[str, DataFrame], contracts: dict, parents: dict[str, DataFrame] | None = None) -> None:
+    """Raise if any rule of the tables' contracts is broken: NOT NULL, lengths, keys and foreign
+    keys are counted in one job, and only the broken rules' names and counts reach the driver."""
+    broken = quality.violation_counts(tables, contracts, parents).where("violations > 0").collect()
+    if broken:
+        raise ValueError("load breaks its contract: " + ", ".join(
+            f"{r['check_name']} ({r['violations']})" for r in broken))
+
+
 def stage_mirror(
-    sources: dict[str, DataFrame], root: str, order_buckets: int | None = None
+    sources: dict[str, DataFrame], root: str, order_buckets: int | None = None, check: bool = True
 ) -> dict[str, DataFrame]:
-    """Copy every source table to ``<root>/staging`` (contract-typed) and read it back.
+    """Copy every source table to ``<root>/staging`` (contract-typed), read it back and check it
+    against its contract.
 
     With ``order_buckets`` the two order-keyed tables are written as bucketed tables, which
     removes the line-side shuffle from the sales-fact join and its line-number window.
@@ -96,7 +117,10 @@ def stage_mirror(
             return read_table(df.sparkSession, root, "staging", name)
         return run
 
-    return run_concurrently({name: copy(name) for name in SOURCE_TABLES})
+    staged = run_concurrently({name: copy(name) for name in SOURCE_TABLES})
+    if check:
+        enforce(staged, STAGING)
+    return staged
 
 
 def read_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -160,16 +184,17 @@ def build_dimensions(
             dims.dim_promotion(prev.dim_promotion if prev else None, staging["promotions"]),
             root, "dim_promotion"),
     }
-    if prev is None:
-        def calendar_job() -> DataFrame:
-            start, end = calendar_range(staging["orders"], cfg)
-            return _write_read(calendar.dim_date(spark, start, end), root, "dim_date")
-        jobs["dim_date"] = calendar_job
+    def calendar_job() -> DataFrame:
+        # a later load keeps the days that are there and adds those its own dates need
+        start, end = calendar_range(staging["orders"], cfg)
+        days = calendar.dim_date(spark, start, end)
+        if prev:
+            days = prev.dim_date.unionByName(days.join(prev.dim_date.select("date_key"), "date_key", "left_anti"))
+        return _write_read(days, root, "dim_date")
+
+    jobs["dim_date"] = calendar_job
     # The five dimensions are mutually independent.
-    out = run_concurrently(jobs)
-    if prev is not None:
-        out["dim_date"] = prev.dim_date  # generated once; a calendar load is not repeated
-    return out
+    return run_concurrently(jobs)
 
 
 def build_facts(
@@ -210,9 +235,12 @@ def build_star(
     root: str,
     previous: Star | None = None,
 ) -> Star:
-    """Dimensions then facts, each written under ``root`` and read back."""
+    """Dimensions then facts, each written under ``root``, read back and checked against their
+    contracts (a broken rule raises)."""
     d = build_dimensions(spark, staging, cfg, root, previous)
     f = build_facts(staging, d, cfg, root)
+    if cfg.enforce:
+        enforce({**d, **f}, WAREHOUSE)
     return Star(
         fact_sales=f["fact_sales"],
         dim_date=d["dim_date"],
@@ -268,37 +296,75 @@ def append_sales(
     name: str = "fact_sales",
     order_buckets: int | None = None,
 ) -> DataFrame:
-    """``sink_append`` for the sales fact that is safe to re-run: order lines already in the
-    table (same order_id and order_line_num) are skipped, and the new rows' identity keys
-    start after the largest key written so far.
-
-    ``new_rows`` is a fact built with ``start_after=0``; its keys are shifted here. The
-    anti-join reads only three narrow columns of the existing fact; with
-    ``fact_partition_by_month`` the date key in the condition lets Spark prune months.
-    With ``order_buckets`` (a fact written by a bucketed build) the rows are appended through
-    the catalog table with the same bucket spec, so the bucket layout stays valid.
+    """``sink_append`` for the sales fact that is safe to re-run. A line is known by its
+    identity (order_id, item_id), not by its position: lines already in the table are skipped,
+    lines it lacks are added whether or not the batch holds the rest of their order. Stored rows
+    keep their numbers; an order's new lines are numbered on from its last one, in item order.
+    Identity keys start after the largest key written so far.
+
+    ``new_rows`` is a fact built with ``start_after=0``. The anti-join reads two narrow columns
+    of the existing fact. A fact with month folders is appended to by month; with
+    ``order_buckets`` the rows go through the catalog table with the same bucket spec.
     """
-    key_cols = ["date_key", "order_id", "order_line_num"]
-    fresh = new_rows.join(existing.select(*key_cols), key_cols, "left_anti")
+    line = ["order_id", "item_id"]
+    fresh = new_rows.join(existing.select(*line), line, "left_anti")
+    last = existing.join(fresh.select("order_id").distinct(), "order_id", "left_semi").groupBy("order_id").agg(
+        F.max("order_line_num").alias("__last"))
     start = existing.agg(F.coalesce(F.max("sales_key"), F.lit(0)).alias("m")).scalar()
-    fresh = fresh.withColumn("sales_key", (F.col("sales_key") + start).cast("long"))
-    fresh = fresh.select(*[c for c in existing.columns if c in fresh.columns])
-    if order_buckets:
-        # materialise first: the appended table is also the anti-join's input
-        fresh = fresh.checkpoint(eager=True)
+    numbered = row_number_within(fresh, ["order_id"], ["item_id"], "__n").join(last, "order_id", "left")
+    fresh = numbered.withColumns({
+        "order_line_num": (F.coalesce("__last", F.lit(0)) + F.col("__n")).cast("int"),
+        "sales_key": (F.col("sales_key") + start).cast("long")})
+    part = None
+    if "month_key" in existing.columns:
+        fresh, part = fresh.withColumn("month_key", F.expr("date_key div 100")), ["month_key"]
+    # materialised first: the table appended to is also what the batch is compared with
+    fresh = fresh.select(*existing.columns).checkpoint(eager=True)
+    if order_buckets and not part:
         return _bucketed_fact(fresh, root, order_buckets, mode="append")
-    write_table(fresh, root, "warehouse", name, mode="append")
+    write_table(fresh, root, "warehouse", name, mode="append", partition_by=part)
     return fresh.sparkSession.read.parquet(layer_path(root, "warehouse", name))
 
 
 def write_snapshot(snapshot: DataFrame, root: str) -> DataFrame:
     """Write the inventory snapshot replacing only the partitions of its own snapshot dates:
-    loading the same day twice keeps one copy (the grain stays unique)."""
+    loading the same day twice keeps one copy (the grain stays unique). Identity keys start
+    after the largest key of the other days."""
     path = layer_path(root, "warehouse", "fact_inventory_snapshot")
+    spark = snapshot.sparkSession
+    if path_exists(spark, path):
+        days = [r[0] for r in snapshot.select("snapshot_date").distinct().collect()]  # the loaded days: one
+        stored = spark.read.parquet(path).where(~F.col("snapshot_date").isin(days)) if days else spark.read.parquet(path)
+        last = stored.agg(F.max("inventory_snapshot_key")).first()[0] or 0
+        snapshot = snapshot.withColumn("inventory_snapshot_key", F.col("inventory_snapshot_key") + F.lit(last).cast("long"))
     (snapshot.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("snapshot_date").parquet(path))
-    return snapshot.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
 
 
-def with_as_of(cfg: LoadConfig, as_of: date) -> LoadConfig:
-    return replace(cfg, as_of=as_of)
+def load_again(
+    spark: SparkSession,
+    previous: Star,
+    fact_root: str,
+    staging: dict[str, DataFrame],
+    cfg: LoadConfig,
+    root: str,
+) -> Star:
+    """A later load, end to end: the dimensions are merged (Type 1 and Type 2) and the calendar
+    extended under the new ``root``; new order lines and the load day's snapshot are appended
+    to the facts under ``fact_root``, where the earlier loads wrote them. ``staging`` may hold a
+    full extract or the new orders only. All of it is checked: dimensions and new rows before
+    anything is appended, so a load that raises leaves the facts as they were."""
+    d = build_dimensions(spark, staging, cfg, root, previous)
+    rows = facts.fact_sales(
+        staging["order_items"], staging["orders"], staging["products"], staging["promotions"],
+        d["dim_customer"], d["dim_product"], d["dim_store"], d["dim_promotion"], tax_rate=cfg.tax_rate)
+    snap = facts.fact_inventory_snapshot(staging["inventory"], d["dim_product"], d["dim_store"], cfg.as_of)
+    if cfg.enforce:
+        enforce({**d, "fact_sales": rows, "fact_inventory_snapshot": snap}, WAREHOUSE)
+    sales = append_sales(previous.fact_sales, rows, fact_root, order_buckets=cfg.order_buckets)
+    return Star(
+        fact_sales=sales, dim_date=d["dim_date"], dim_customer=d["dim_customer"],
+        dim_product=d["dim_product"], dim_store=d["dim_store"], dim_promotion=d["dim_promotion"],
+        fact_inventory_snapshot=write_snapshot(snap, fact_root),
+    )

@@ -1,8 +1,9 @@
 """Session defaults and the shared checkpoint folder.
 
 The library never decides where a cluster keeps its durable scratch data: it reads
-``spark.checkpoint.dir`` from the session. Only when nothing is configured (local tests,
-the laptop) does it create a private folder of its own.
+``spark.checkpoint.dir`` from the session. Only on a local master (tests, the laptop), and only
+when nothing is configured, does it create a private folder of its own; on a cluster a missing
+setting is an error, because executors do not share the driver's disk.
 """
 
 from __future__ import annotations
@@ -48,12 +49,17 @@ def get_session(
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, configuring one only if none is set.
 
     Order: an already-active SparkContext checkpoint dir, then ``spark.checkpoint.dir``
-    from the configuration (the cluster's shared folder), and only then a fresh private
-    folder under the system temp dir (single-machine use).
+    from the configuration (the cluster's shared folder), and only then, on a local master, a
+    fresh private folder under the system temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -12,16 +12,15 @@ customers    customer + nation: city = nation name; no e-mail/phone/address/stat
 stores       one store per nation: region = region name, type from the nation key
 promotions   one promotion per distinct discount percentage > 0 found on order lines
 orders       orders + customer: store = the store of the customer's nation
-order_items  lineitem: item id = order key + 4-digit position of the line inside the order
+order_items  lineitem: item id = order key + 10-digit position of the line inside the order
              (ordered by every column, lines are not unique on l_linenumber), unit price =
              extended price / quantity rounded to cents, discount = percentage 0..100
 inventory    per (store of the supplier's nation, part): on-hand = shipped quantity,
              reorder point = on-hand div 5, last restock = last ship date
 ===========  ==================================================================================
 
-The only broadcasts are of ``nation`` and ``region`` (reference tables, 25 and 5 rows in
-TPC-H), guarded by a row-count check. Everything else joins through Spark's planner, with
-AQE free to broadcast at run time when a side turns out small.
+``lineitem`` is aggregated once to (part, supplier), from which the primary supplier and the
+inventory come. No join is forced to a broadcast: Spark's planner and AQE choose by size.
 """
 
 from __future__ import annotations
@@ -32,7 +31,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.contracts import SOURCE
-from starloom.operators.joins import guarded_broadcast
 from starloom.operators.skew import row_number_within
 from starloom.sources.tables import conform
 
@@ -44,17 +42,37 @@ COST_RATIO = "0.60"
 DEFAULT_CUSTOMER_SINCE = date(1992, 1, 1)
 
 
+LINE_DIGITS = 10  # of an item id: ids sort like numbers, and no order has more lines
+
+
+def padded(number: F.Column, digits: int) -> F.Column:
+    """A number with leading zeros; a longer number keeps all its digits."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0"))
+
+
+def fixed_width(number: F.Column, digits: int) -> F.Column:
+    """A number in exactly so many digits; a longer one is an error, not cut."""
+    return F.when(F.length(number.cast("string")) > digits, F.raise_error(F.lit(f"more than {digits} digits")).cast(
+        "string")).otherwise(F.lpad(number.cast("string"), digits, "0"))
+
+
 def store_id(nation_key_col) -> F.Column:
-    return F.concat(F.lit("STR"), F.lpad(nation_key_col.cast("string"), 3, "0"))
+    return F.concat(F.lit("STR"), padded(nation_key_col, 3))
 
 
 def adapt(
     t: dict[str, DataFrame], customer_since: date = DEFAULT_CUSTOMER_SINCE
 ) -> dict[str, DataFrame]:
     """Driver tables (by name) -> the eight source tables (by name), contract-typed."""
-    nation = guarded_broadcast(t["nation"].select("n_nationkey", "n_name", "n_regionkey"))
-    region = guarded_broadcast(t["region"].select("r_regionkey", "r_name"))
+    nation = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
+    region = t["region"].select("r_regionkey", "r_name")
     li = t["lineitem"]
+    # the suppliers of each part, a fraction of the lines: two sources derive from it
+    shipped = li.groupBy("l_partkey", "l_suppkey").agg(
+        F.sum(F.col("l_quantity").cast("long")).alias("quantity"),
+        F.max(F.col("l_shipdate").cast("date")).alias("last_date"),
+    )
 
     suppliers = t["supplier"].join(
         nation, F.col("s_nationkey") == F.col("n_nationkey"), "left"
@@ -66,7 +84,7 @@ def adapt(
         F.lit(None).cast("int").alias("lead_time_days"),
     )
 
-    primary_supplier = li.groupBy("l_partkey").agg(F.min("l_suppkey").alias("primary_suppkey"))
+    primary_supplier = shipped.groupBy("l_partkey").agg(F.min("l_suppkey").alias("primary_suppkey"))
     list_price = F.col("p_retailprice").cast("decimal(10,2)")
     products = t["part"].join(
         primary_supplier, F.col("p_partkey") == F.col("l_partkey"), "left"
@@ -114,7 +132,7 @@ def adapt(
     pct = (F.col("l_discount").cast("decimal(4,2)") * 100).cast("decimal(5,2)")
     promotions = li.select(pct.alias("discount_pct")).where(F.col("discount_pct") > 0).distinct()
     promotions = promotions.select(
-        F.concat(F.lit("PRM"), F.lpad(F.col("discount_pct").cast("int").cast("string"), 3, "0"))
+        F.concat(F.lit("PRM"), fixed_width(F.col("discount_pct").cast("int"), 3))
         .alias("promo_id"),
         F.concat(F.col("discount_pct").cast("int").cast("string"), F.lit("% Off")).alias("name"),
         F.lit("Percentage").alias("type"),
@@ -149,7 +167,7 @@ def adapt(
     order_items = numbered.select(
         F.concat(
             F.col("l_orderkey").cast("string"), F.lit("-"),
-            F.lpad(F.col("line_seq").cast("string"), 4, "0"),
+            fixed_width(F.col("line_seq"), LINE_DIGITS),
         ).alias("item_id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
@@ -161,13 +179,9 @@ def adapt(
 
     supp_nation = t["supplier"].select("s_suppkey", "s_nationkey")
     inventory = (
-        li.select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
-        .join(supp_nation, F.col("l_suppkey") == F.col("s_suppkey"))
+        shipped.join(supp_nation, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("s_nationkey", "l_partkey")
-        .agg(
-            F.sum(F.col("l_quantity").cast("long")).alias("on_hand"),
-            F.max(F.col("l_shipdate").cast("date")).alias("last_restock_date"),
-        )
+        .agg(F.sum("quantity").alias("on_hand"), F.max("last_date").alias("last_restock_date"))
         .select(
             store_id(F.col("s_nationkey")).alias("store_id"),
             F.col("l_partkey").cast("string").alias("product_id"),

@@ -22,8 +22,8 @@ def read_driver_tables(
     return {n: read_driver_table(spark, sf_dir, n) for n in (names or DRIVER_SCHEMAS)}
 
 
-def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """Select the contract's columns in order, cast to its types.
+def conform(df: DataFrame, contract: Contract, *more: str) -> DataFrame:
+    """Select the contract's columns in order, cast to its types, then ``more`` as they are.
 
     A column that is absent gets its declared default (or NULL). Casting runs under ANSI
     rules, so a value that does not fit its decimal type raises instead of turning NULL.
@@ -36,7 +36,7 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
         else:
             default = contract.defaults.get(name)
             cols.append(F.lit(default).cast(typ).alias(name))
-    return df.select(*cols)
+    return df.select(*cols, *more)
 
 
 def layer_path(root: str, layer: str, name: str) -> str:
@@ -50,6 +50,11 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFra
     return conform(df, contract)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def write_table(
     df: DataFrame,
     root: str,
@@ -65,7 +70,3 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
-
-
-def empty_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
-    return spark.createDataFrame([], ALL[layer][name].schema)

@@ -7,8 +7,8 @@ current dimensions and writes them to the fact table.
 
 Exactly-once effect: every batch writes its own ``load_batch=<id>`` partition with dynamic
 partition overwrite, so a batch replayed after a failure replaces its earlier output instead
-of appending twice. Sales keys are unique across batches (``batch_id * 2**48`` plus a
-per-row id).
+of appending twice. Sales keys are numbered on from the largest key of the earlier batches (which
+no longer change), so they are dense and a replayed batch gets the same keys.
 
 Each micro-batch must carry whole orders: the line number restarts per batch, like the
 reference, whose load numbers the lines it sees.
@@ -22,8 +22,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starloom.contracts import STAGING
 from starloom.operators import facts
+from starloom.operators.ranking import assign_surrogate_keys
+from starloom.sources.tables import path_exists
 
-BATCH_KEY_SPAN = 2 ** 48
+
+def _last_key(spark: SparkSession, out_path: str, batch_id: int) -> int:
+    """The largest sales key of the batches before this one (0 if there is none)."""
+    if not path_exists(spark, out_path):
+        return 0
+    earlier = spark.read.parquet(out_path).where(F.col("load_batch") < batch_id)
+    return earlier.agg(F.max("sales_key")).first()[0] or 0
 
 
 def fact_sales_batch_writer(
@@ -38,8 +46,11 @@ def fact_sales_batch_writer(
         rows = facts.fact_sales(
             batch, staging["orders"], staging["products"], staging["promotions"],
             dims["dim_customer"], dims["dim_product"], dims["dim_store"], dims["dim_promotion"],
-            tax_rate=tax_rate, start_after=batch_id * BATCH_KEY_SPAN,
+            tax_rate=tax_rate,
         )
+        rows = assign_surrogate_keys(
+            rows.drop("sales_key"), ["order_id", "item_id"], "sales_key",
+            start_after=_last_key(batch.sparkSession, out_path, batch_id), key_type="bigint")
         (rows.withColumn("load_batch", F.lit(batch_id))
          .write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")

@@ -5,8 +5,12 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.contracts import WAREHOUSE
 from starloom.operators import facts, quality
-from starloom.plans.warehouse import LoadConfig, append_sales, build_star, stage_mirror, write_snapshot
+from starloom.plans.warehouse import LoadConfig, append_sales, build_star, load_again, stage_mirror, write_snapshot
 from starloom.session import scratch_path
 from starloom.sources.seed import seed_tables
 
@@ -70,8 +74,6 @@ def test_unresolved_product_leaves_no_gap(spark):
     (both join orders)."""
     from decimal import Decimal as D
 
-    from pyspark.sql import functions as F
-
     from starloom.operators import dims
 
     t = seed_tables(spark)
@@ -137,3 +139,143 @@ def test_append_to_bucketed_fact(spark):
     assert after.select("sales_key").distinct().count() == 26
     plan = after.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan or "SelectedBucketsCount" in plan
+
+
+def _line(staging, item, order, product="PRD010"):
+    return staging["order_items"].limit(1).selectExpr(
+        f"'{item}' AS item_id", f"'{order}' AS order_id", f"'{product}' AS product_id", "quantity", "unit_price", "discount")
+
+
+def _rows(items, staging, star):
+    return facts.fact_sales(items, staging["orders"], staging["products"], staging["promotions"],
+                            star.dim_customer, star.dim_product, star.dim_store, star.dim_promotion)
+
+
+@pytest.mark.parametrize("by_month", [False, True])
+def test_append_knows_lines_by_identity(spark, by_month):
+    """A late line that sorts first, a batch with only the new line of a known order, and the same
+    batch again: every line is stored once, stored rows keep their numbers."""
+    root = scratch_path(spark, "append")
+    staging = stage_mirror(seed_tables(spark), root)
+    cfg = LoadConfig(as_of=date(2024, 4, 1), fact_partition_by_month=by_month)
+    star = build_star(spark, staging, cfg, root)
+    before = {(r.order_id, r.item_id): r.order_line_num for r in star.fact_sales.collect()}
+    late = staging["order_items"].unionByName(_line(staging, "AAA001", "ORD011"))  # sorts before the order's lines
+    one = append_sales(star.fact_sales, _rows(late, staging, star), root)
+    assert one.count() == 26
+    only = _line(staging, "ZZZ001", "ORD011").unionByName(_line(staging, "ZZZ002", "ORD015"))
+    two = append_sales(one, _rows(only, staging, star), root)
+    again = append_sales(two, _rows(only, staging, star), root)
+    rows = again.collect()
+    assert len(rows) == 28 and len({r.sales_key for r in rows}) == 28
+    after = {(r.order_id, r.item_id): r.order_line_num for r in rows}
+    assert {k: after[k] for k in before} == before
+    last = max(n for (o, _), n in before.items() if o == "ORD011")
+    assert (after["ORD011", "AAA001"], after["ORD011", "ZZZ001"]) == (last + 1, last + 2)
+    assert all(len({n for (o2, _), n in after.items() if o2 == o}) == sum(o2 == o for o2, _ in after) for o, _ in after)
+    if by_month:
+        assert again.where("month_key <> date_key div 100").count() == 0
+
+
+def test_snapshot_keys_go_on_over_days(spark):
+    root = scratch_path(spark, "snapshots")
+    staging = stage_mirror(seed_tables(spark), root)
+    star = build_star(spark, staging, LoadConfig(as_of=date(2024, 4, 1)), root)
+    day = lambda d: facts.fact_inventory_snapshot(staging["inventory"], star.dim_product, star.dim_store, d)
+    write_snapshot(day(date(2024, 4, 2)), root)
+    both = write_snapshot(day(date(2024, 4, 2)), root)  # the same day again
+    assert (both.count(), both.select("inventory_snapshot_key").distinct().count()) == (22, 22)
+
+
+@pytest.mark.parametrize("broken, rule", [
+    ("null name", "customers.not_null"), ("doubled header", "orders.unique_key"), ("long id", "stores.length")])
+def test_staging_that_breaks_its_contract_fails_the_load(spark, broken, rule):
+    t = seed_tables(spark)
+    if broken == "null name":
+        t["customers"] = t["customers"].withColumn("name", F.when(F.col("customer_id") != "CUS001", F.col("name")))
+    elif broken == "doubled header":
+        t["orders"] = t["orders"].unionByName(t["orders"].limit(1))
+    else:
+        t["stores"] = t["stores"].withColumn("region", F.lit("r" * 21))
+    with pytest.raises(ValueError, match=rule):
+        stage_mirror(t, scratch_path(spark, "broken"))
+
+
+@pytest.mark.parametrize("broken, rule", [
+    ("null discount", "fact_sales.not_null"), ("missing day", "fact_sales.fk_dim_date")])
+def test_star_that_breaks_its_contract_fails_the_load(spark, broken, rule):
+    t = seed_tables(spark)
+    cfg = LoadConfig(as_of=date(2024, 4, 1))
+    if broken == "null discount":
+        t["order_items"] = t["order_items"].withColumn("discount", F.lit(None).cast("decimal(5,2)"))
+    else:
+        cfg = LoadConfig(as_of=date(2024, 4, 1), calendar_start=date(2024, 3, 1), calendar_end=date(2024, 12, 31))
+    root = scratch_path(spark, "broken")
+    with pytest.raises(ValueError, match=rule):
+        build_star(spark, stage_mirror(t, root), cfg, root)
+
+
+def test_second_load_end_to_end(spark):
+    """New orders in a later year, a moved and a new customer, a repriced product, a new store:
+    after the second load every line is in the fact, in the calendar and in q01."""
+    from decimal import Decimal as D
+
+    from starloom.operators import analytics as A
+
+    t = seed_tables(spark)
+    root = scratch_path(spark, "load1")
+    cfg = LoadConfig(as_of=date(2024, 4, 1))
+    first = build_star(spark, stage_mirror(t, root), cfg, root)
+    counts = {n: getattr(first, n).count() for n in ("fact_sales", "dim_customer", "dim_product", "dim_store")}
+    customers = t["customers"].withColumn(
+        "city", F.when(F.col("customer_id") == "CUS001", F.lit("Boston")).otherwise(F.col("city")))
+    new = t["customers"].where("customer_id = 'CUS002'").withColumn("customer_id", F.lit("CUS900"))
+    t2 = dict(t)
+    t2["customers"] = customers.unionByName(new)
+    t2["products"] = t["products"].withColumn(
+        "cost", F.when(F.col("product_id") == "PRD010", F.lit(D("1.00"))).otherwise(F.col("cost")).cast("decimal(10,2)"))
+    t2["stores"] = t["stores"].unionByName(t["stores"].limit(1).withColumn("store_id", F.lit("STR900")))
+    order = t["orders"].where("order_id = 'ORD015'").withColumns({
+        "order_id": F.lit("ORD900"), "customer_id": F.lit("CUS900"), "order_date": F.lit(date(2026, 2, 3)), "store_id": F.lit("STR900")})
+    t2["orders"] = t["orders"].unionByName(order)
+    t2["order_items"] = t["order_items"].unionByName(_line(t, "ITM900", "ORD900")).unionByName(_line(t, "ITM901", "ORD015"))
+    root2 = scratch_path(spark, "load2")
+    cfg2 = LoadConfig(as_of=date(2026, 3, 1))
+    star = load_again(spark, first, root, stage_mirror(t2, root2), cfg2, root2)
+    assert star.fact_sales.count() == counts["fact_sales"] + 2
+    assert star.dim_customer.count() == counts["dim_customer"] + 2 and star.dim_product.count() == counts["dim_product"] + 1
+    assert star.dim_store.count() == counts["dim_store"] + 1
+    total = star.fact_sales.agg(F.sum("net_revenue")).first()[0]
+    assert sum(r.monthly_revenue for r in A.q01_monthly_trend(star).collect()) == total
+    assert star.fact_inventory_snapshot.select("snapshot_date").distinct().count() == 2
+    tables = {n: getattr(star, n) for n in WAREHOUSE}
+    assert quality.violation_counts(tables, WAREHOUSE).where("violations > 0").collect() == []
+    # a line of the old order that came late takes the product's new cost and version
+    late = star.fact_sales.where("item_id = 'ITM901'").first()
+    assert late.unit_cost == D("1.00") and late.product_key == star.dim_product.where(
+        "product_id = 'PRD010' AND is_current").first().product_key
+    # the same load again adds nothing
+    root3 = scratch_path(spark, "load3")
+    again = load_again(spark, star, root, stage_mirror(t2, root3), cfg2, root3)
+    assert again.fact_sales.count() == star.fact_sales.count() and again.dim_customer.count() == star.dim_customer.count()
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from starloom import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+    assert session.is_local("local[8]") and not session.is_local("local-cluster[3,2,1024]")

@@ -11,7 +11,6 @@ import pytest
 
 from conftest import SF_SMALL
 from starloom.operators import analytics as A
-from starloom.operators import ranking as R
 from starloom.plans.registry import CONFIG, warehouse_for
 
 FACT_COLUMNS = {
@@ -59,11 +58,32 @@ def test_fact_scan_reads_only_needed_columns(star, name):
 
 
 @pytest.mark.parametrize("name", ["q04_top_customers", "q06_product_margin", "q11_rfm"])
-def test_distributed_ranks_have_no_global_sort_of_groups(star, name, monkeypatch):
+def test_ranks_have_no_global_sort_of_groups(star, name):
     from test_ranking import _global_windows
 
-    monkeypatch.setattr(R, "LOCAL_ROWS", 0)
     df = _run(star, name, buckets=4)
     plan = df._jdf.queryExecution().executedPlan().toString()
     orders = _global_windows(plan)
     assert all("__bucket" in o for o in orders), orders
+
+
+def test_cohort_aggregate_keeps_its_own_stage(star):
+    """The final sort does not pull the cohort aggregate into one task."""
+    plan = A.q03_cohort(star)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "rangepartitioning" in plan
+
+
+def test_sales_sanity_does_not_expand_the_fact(star):
+    from starloom.operators.quality import dq_sales_sanity
+
+    assert "Expand" not in dq_sales_sanity(star.fact_sales)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_scan_tasks_grow_with_the_lines(spark):
+    """The bucket count follows the number of order lines."""
+    from starloom.plans.warehouse import with_buckets
+
+    lines = spark.range(120_000)
+    assert with_buckets(CONFIG, lines).order_buckets == 3
+    assert with_buckets(CONFIG, lines.union(lines)).order_buckets == 5
+    assert with_buckets(CONFIG, lines.limit(0)).order_buckets == 1

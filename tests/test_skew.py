@@ -51,12 +51,23 @@ def test_fact_sales_with_hot_order(spark, monkeypatch):
     assert set(base.collect()) == set(split.collect())
 
 
-def test_sampled_detection_finds_hot_key(spark):
-    rows = [(f"O{i % 2000}", i) for i in range(20_000)] + [("HOT", i) for i in range(10_000)]
-    df = spark.createDataFrame(rows, "order_id string, v long")
-    hot = skew.hot_keys(df, ["order_id"], threshold=5_000, sample_fraction=0.05)
-    assert [r.order_id for r in hot.collect()] == ["HOT"]
-    ours = skew.row_number_within(df, ["order_id"], ["v"], "rn", threshold=5_000)
-    native = df.withColumn("rn", F.row_number().over(
-        Window.partitionBy("order_id").orderBy("v")).cast("int"))
-    assert set(ours.collect()) == set(native.collect())
+def test_line_ids_keep_every_digit(spark):
+    """An order of 12,000 lines: as many ids, in line order, and one line number each."""
+    from starloom.operators.facts import line_number
+    from starloom.sources.adapter import adapt, fixed_width, store_id
+    from starloom.sources.tables import read_driver_tables
+
+    t = read_driver_tables(spark, "/root/testdata/sf0.001")
+    big = t["lineitem"].crossJoin(spark.range(2)).limit(12_000).drop("id").withColumn("l_orderkey", F.lit(1).cast("long"))
+    items = adapt({**t, "lineitem": big})["order_items"]
+    got = items.withColumn("n", line_number()).agg(
+        F.count("*"), F.count_distinct("item_id"), F.max("n"), F.max(F.length("item_id"))).first()
+    assert tuple(got) == (12_000, 12_000, 12_000, 12)
+    last = items.orderBy(F.desc("item_id")).first()["item_id"]
+    assert last == "1-0000012000"
+    ids = spark.createDataFrame([(7,), (1000,)], "n long").select(store_id(F.col("n")).alias("s")).collect()
+    assert [r.s for r in ids] == ["STR007", "STR1000"]
+    import pytest
+
+    with pytest.raises(Exception, match="more than 3 digits"):
+        spark.range(1000, 1001).select(fixed_width(F.col("id"), 3)).collect()
