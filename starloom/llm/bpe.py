@@ -23,8 +23,11 @@ encoded alike; an empty table gives no rows; other columns are kept.
 from __future__ import annotations
 
 import base64
+import re
+import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -44,7 +47,7 @@ class MergeTransducer:
     since its last border, token that ends at that border, tokens not emitted yet up to it);
     ``moves[state << 8 | byte]`` the next state, or the tokens that are then certain and it."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000, max_pieces: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pieces: int = 400_000):
         self.ranks, self.bytes = ranks, {i: b for b, i in ranks.items()}
         self.max_states, self.max_pieces = max_states, max_pieces
         # trie: (node << 8 | byte) -> child; token_at[node]: the token that ends there
@@ -128,30 +131,35 @@ class MergeTransducer:
 
     def step(self, state: int, byte: int) -> int | tuple[tuple[int, ...], int]:
         """Build a transition."""
-        paths, border = [], None
+        paths, border, after, token_at = [], None, self.trie.get, self.token_at
         for node, last, held in self.paths[state]:
-            child = self.trie.get(node << 8 | byte)
+            child = after(node << 8 | byte)
             if child is not None:
                 paths.append((child, last, held))
-                token = self.token_at[child]
-                if border is None and token is not None and self.fit(last, token):
-                    border = ROOT, token, (*held, token)  # the one token that can end here
+                if border is None:
+                    token = token_at[child]
+                    if token is not None and self.fit(last, token):
+                        border = ROOT, token, (*held, token)  # the one token that can end here
         if border:
             paths.append(border)
-        # tokens that all open paths begin with are certain
-        first, *others = (held for _, _, held in paths)
+        # tokens that all open paths begin with are certain; the first path holds the fewest
+        first = paths[0][2]
         n = len(first)
-        for held in others if n else ():
-            n = next((k for k in range(min(n, len(held))) if held[k] != first[k]), min(n, len(held)))
         if n:
-            paths = [(node, last, held[n:]) for node, last, held in paths]
-        after = self._state(tuple(paths))
-        move = self.moves[state << 8 | byte] = (first[:n], after) if n else after
+            for path in paths:
+                held = path[2]
+                while held[:n] != first[:n]:
+                    n -= 1
+            if n:
+                paths = [(node, last, held[n:]) for node, last, held in paths]
+        following = self._state(tuple(paths))
+        move = self.moves[state << 8 | byte] = (first[:n], following) if n else following
         return move
 
     def _rest(self, state: int) -> tuple[int, ...]:
-        """What is left if the input ends here: the path whose last border is here."""
-        return next((held for node, _, held in self.paths[state] if node == ROOT), ())
+        """What is left if the input ends here: the path whose last border is here stands last."""
+        node, _, held = self.paths[state][-1]
+        return held if node == ROOT else ()
 
     def stream(self, data: Iterable[int]) -> Iterator[int]:
         """Tokens of one match of the pattern, each as soon as it is certain."""
@@ -174,41 +182,91 @@ class MergeTransducer:
             return (whole,)
         if len(self.paths) > self.max_states:
             self._reset()
-        return tuple(self.stream(data))
+        # as stream(), without handing over token by token
+        state, out, get = self.start, [], self.moves.get
+        for byte in data:
+            move = get(state << 8 | byte)
+            if move is None:
+                move = self.step(state, byte)
+            if move.__class__ is int:
+                state = move
+            else:
+                out += move[0]
+                state = move[1]
+        return (*out, *self._rest(state))
+
+
+def narrow_pattern(pattern: str) -> re.Pattern | None:
+    """The pattern for the standard library, which knows no Unicode properties, over characters
+    below U+0250 that are no odd white space: letters and numbers spelt out. None if the pattern
+    has other properties."""
+    chars = [chr(c) for c in range(0x250) if c not in ODD]
+    of = lambda kind: "".join(re.escape(c) for c in chars if unicodedata.category(c)[0] == kind)
+    out, inside = [], False
+    for part in re.findall(r"\\[pP]\{\w+\}|\\.|.", pattern):
+        inside = part == "[" or inside and part != "]"
+        if part in (r"\p{L}", r"\p{N}"):
+            part = of(part[3]) if inside else f"[{of(part[3])}]"
+        out.append(part)
+    found = "".join(out)
+    return None if re.search(r"\\[pP]\{", found) else re.compile(found)
+
+
+#: White space and controls below U+0250 that the two libraries see differently.
+ODD = frozenset([*range(0x1C, 0x20), 0x85, 0xA0])
 
 
 class Encoder(dict):
-    """Tokens of texts; remembers those of matches met before (a bounded number)."""
+    """Tokens of texts. The dict holds, for each match met, its place in ``flat``, the tokens of all
+    matches met (a bounded number)."""
 
     BLOCK = 1 << 16  # matches of a text that are held at a time
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self.transducer = MergeTransducer(ranks)
-        # the library's \s is the property White_Space
-        pattern = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(
+        self.narrow = narrow_pattern(pattern)
+        self.other = re.compile(f"[^{''.join(re.escape(chr(c)) for c in range(0x250) if c not in ODD)}]")
+        # the tokenizer's \s is the property White_Space
+        wide = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(
             r"\s", r"\p{White_Space}")
-        self.pattern = regex.compile(pattern)
+        self.wide = regex.compile(wide)
+        self._reset()
 
-    def __missing__(self, match: str) -> tuple[int, ...]:
-        ids = self.transducer.piece(match.encode())
+    def _reset(self) -> None:
+        self.clear()
+        self.flat, self.start = array("I"), array("q", [0])  # match k: flat[start[k]:start[k + 1]]
+
+    def __missing__(self, match: str) -> int:
+        self.flat.extend(self.transducer.piece(match.encode()))
+        self.start.append(len(self.flat))
+        k = len(self.start) - 2
         if len(match) <= 64:
-            if len(self) >= self.transducer.max_pieces:
-                self.clear()
-            self[match] = ids
-        return ids
+            self[match] = k
+        return k
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        pattern = self.wide if self.narrow is None or self.other.search(text) else self.narrow
         if len(text) <= 16 * self.BLOCK:
-            return self._ids(self.pattern.findall(text))
-        matches = (m[0] for m in self.pattern.finditer(text))
+            return self._ids(pattern.findall(text))
+        matches = (m[0] for m in pattern.finditer(text))
         return b"".join(iter(lambda: self._ids(list(islice(matches, self.BLOCK))), b""))
 
     def _ids(self, matches: list[str]) -> bytes:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, matches)), "<u4").tobytes()
+        if not matches:
+            return b""
+        if len(self.start) > self.transducer.max_pieces:
+            self._reset()
+        at = np.fromiter(map(self.__getitem__, matches), np.int64, len(matches))
+        starts = np.frombuffer(self.start, np.int64)  # a view: gone before the array grows
+        start, size = starts[at], starts[at + 1] - starts[at]
+        # the places of all tokens: each match's start, counted on
+        first = np.cumsum(size) - size
+        return np.frombuffer(self.flat, np.uint32)[np.repeat(start - first, size) + np.arange(size.sum())].astype(
+            "<u4", copy=False).tobytes()
 
 
 class Decoder:
