@@ -11,6 +11,7 @@ import pytest
 
 from conftest import SF_SMALL
 from starloom.operators import analytics as A
+from starloom.operators import ranking as R
 from starloom.plans.registry import CONFIG, warehouse_for
 
 FACT_COLUMNS = {
@@ -47,14 +48,16 @@ def star(spark):
 
 
 @pytest.mark.parametrize("name", sorted(FACT_COLUMNS))
-def test_fact_scan_reads_only_needed_columns(star, name):
+def test_fact_scan_reads_only_needed_columns(star, name, monkeypatch):
+    monkeypatch.setattr(R, "pin", lambda df: df)  # the plan up to the fact, not from a pinned table on
     plan = _formatted(_run(star, name))
     blocks = [b for b in plan.split("\n\n") if "fact_sales]" in b and "ReadSchema" in b]
     assert blocks, plan
-    for b in blocks:
+    read = set()
+    for b in blocks:  # without the pin, an input that is read twice shows as two scans
         schema = re.search(r"ReadSchema: struct<(.*)>", b).group(1)
-        cols = {c.split(":")[0] for c in re.split(r",(?![^()]*\))", schema)}
-        assert cols == FACT_COLUMNS[name], (name, cols)
+        read |= {c.split(":")[0] for c in re.split(r",(?![^()]*\))", schema)}
+    assert read == FACT_COLUMNS[name], (name, read)
 
 
 @pytest.mark.parametrize("name", ["q04_top_customers", "q06_product_margin", "q11_rfm"])
