@@ -5,10 +5,9 @@
 that is the one place a job would stop scaling, so ranks are computed in three steps:
 
 1. range-partition the (distinct) sort keys into ``n`` buckets; bucket ``b`` holds keys that
-   sort before every key of bucket ``b+1``. The bucketed table is pinned with a reliable
-   ``checkpoint()`` in the session's checkpoint folder (range bounds come from sampling, so
-   a re-evaluation could move rows; the checkpoint makes the numbering stable under task
-   retries and lost executors);
+   sort before every key of bucket ``b+1``. The bucketed table is written to the session's
+   checkpoint folder (range bounds come from sampling, so a re-evaluation could move rows; the
+   written table makes the numbering stable under task retries and lost executors);
 2. per-bucket row counts (``n`` rows, a bounded table) give each bucket its offset;
 3. a window partitioned by bucket numbers rows locally; offset + local number = global.
 
@@ -29,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import ensure_checkpoint_dir, shuffle_partitions
+from starloom.session import delete_at_exit, scratch_path, shuffle_partitions
 
 _B = "__bucket"
 _N = "__n"
@@ -70,9 +69,13 @@ def _keys(order: Sequence[SortKey | str]) -> list[SortKey]:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Materialise a DataFrame in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise a DataFrame as Parquet in the shared checkpoint folder and cut its lineage:
+    one job writes it, it outlives lost executors, and it goes when the application ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "pinned")
+    df.write.parquet(path)
+    delete_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _bucketed(df: DataFrame, keys: list[SortKey], buckets: int | None) -> DataFrame:
