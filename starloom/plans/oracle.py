@@ -12,12 +12,21 @@ query. Two rules keep them exact:
 
 from __future__ import annotations
 
-from starloom.plans.registry import AS_OF_2, CONFIG
+from starloom.plans.registry import AS_OF_2, AS_OF_3, BULK, CONFIG, FACT_COLUMNS, SECOND_LOAD
 from starloom.sources.adapter import COST_RATIO, STORE_TYPES
-from starloom.sources.batches import DEFAULT_ACTIVE_SINCE, EMAIL_DOMAIN
+from starloom.sources.batches import (
+    ABSENT_BELOW,
+    COST_RISE,
+    DEFAULT_ACTIVE_SINCE,
+    DROPPED_FROM,
+    EMAIL_DOMAIN,
+    REPRICED_FROM,
+    VARIANT_FROM,
+)
 
 AS_OF = CONFIG.as_of.isoformat()
 AS_OF2 = AS_OF_2.isoformat()
+AS_OF3 = AS_OF_3.isoformat()
 GOLD = CONFIG.gold
 SILVER = CONFIG.silver
 
@@ -438,6 +447,152 @@ SELECT store_key, store_id, store_name, city, state, region, store_type,
        'Manager of ' || store_name AS manager_name, opening_date
 FROM d_store""")
 
+# -- fuller second extracts; a key is changed if its hash differs -------------------------------
+
+_SEGMENT = (f"CASE WHEN total_spend >= {GOLD} THEN 'Gold' WHEN total_spend >= {SILVER} THEN 'Silver' ELSE 'Bronze' END")
+_MIXED = f"""
+mailed AS (SELECT DISTINCT customer_id FROM s_orders WHERE order_date >= DATE '{DEFAULT_ACTIVE_SINCE.isoformat()}'),
+extract2 AS (
+  SELECT c.customer_id, c.name, CASE WHEN m.customer_id IS NOT NULL THEN {_email} ELSE c.email END AS email,
+         CASE WHEN m.customer_id IS NULL AND c.email IS NULL THEN '000-' || c.customer_id ELSE c.phone END AS phone,
+         c.address, c.city, c.state, c.zip AS zip_code, sp.total_spend
+  FROM s_customers c LEFT JOIN mailed m ON m.customer_id = c.customer_id LEFT JOIN spend sp ON sp.customer_id = c.customer_id
+  WHERE coalesce(sp.total_spend, 0) >= {ABSENT_BELOW}
+  UNION ALL SELECT 'S' || supplier_id, name, NULL, NULL, NULL, country, NULL, NULL, NULL FROM s_suppliers),
+e2 AS (SELECT *, {CUSTOMER_HASH} AS new_hash, {_SEGMENT} AS segment FROM extract2),
+state2 AS (
+  SELECT e2.*, d.customer_id IS NULL AS is_new, d.row_hash <> new_hash AS is_changed
+  FROM e2 LEFT JOIN d_customer d ON d.customer_id = e2.customer_id),
+closed2 AS (
+  SELECT d.* REPLACE (CASE WHEN x.is_changed THEN DATE '{AS_OF2}' - 1 ELSE d.expiry_date END AS expiry_date,
+                      CASE WHEN x.is_changed THEN false ELSE d.is_current END AS is_current)
+  FROM d_customer d LEFT JOIN state2 x ON x.customer_id = d.customer_id)"""
+
+
+def _opened(where: str, day: str, after: str) -> str:
+    return f"""
+SELECT CAST(({after}) + row_number() OVER (ORDER BY customer_id) AS INTEGER) AS customer_key, customer_id, name AS customer_name,
+       email, phone, address, city, state, zip_code, segment AS customer_segment, DATE '{day}' AS effective_date,
+       DATE '9999-12-31' AS expiry_date, true AS is_current, new_hash AS row_hash
+FROM state2 WHERE {where}"""
+
+
+_N1 = "SELECT count(*) FROM d_customer"
+SCD2_CUSTOMER_MIXED = _with("SELECT * FROM closed2 UNION ALL " + _opened("is_new OR is_changed", AS_OF2, _N1), _MIXED)
+SCD2_CUSTOMER_TWICE = _with(
+    "SELECT * FROM closed2 UNION ALL " + _opened("is_new", AS_OF2, _N1) + " UNION ALL "
+    + _opened("is_changed", AS_OF3, f"({_N1}) + (SELECT count(*) FROM state2 WHERE is_new)"), _MIXED)
+
+_PRODUCT_HASH = ("md5(concat_ws('|', coalesce(name, ''), coalesce(category, ''), coalesce(subcategory, ''), coalesce(brand, ''), "
+                 "coalesce(CAST(cost AS VARCHAR), ''), coalesce(CAST(list_price AS VARCHAR), ''), coalesce(sname, ''), coalesce(country, '')))")
+_PRODUCTS2 = f"""
+risen AS (
+  SELECT product_id, name, category, subcategory, brand,
+         CASE WHEN list_price >= {REPRICED_FROM} THEN CAST(round(cost * CAST('{COST_RISE}' AS DECIMAL(3,2)), 2) AS DECIMAL(10,2))
+              ELSE cost END AS cost, list_price, supplier_id FROM s_products WHERE supplier_id IS NOT NULL
+  UNION ALL
+  SELECT 'N' || product_id, name || ' II', category, subcategory, brand, cost, list_price, supplier_id
+  FROM s_products WHERE list_price >= {VARIANT_FROM}),
+p2 AS (
+  SELECT r.*, s.name AS sname, s.country FROM risen r LEFT JOIN s_suppliers s ON s.supplier_id = r.supplier_id),
+pstate AS (
+  SELECT h.*, d.product_id IS NULL AS is_new, d.row_hash <> h.new_hash AS is_changed
+  FROM (SELECT *, {_PRODUCT_HASH} AS new_hash FROM p2) h LEFT JOIN d_product d ON d.product_id = h.product_id),
+popened AS (
+  SELECT CAST((SELECT count(*) FROM d_product) + row_number() OVER (ORDER BY product_id) AS INTEGER) AS product_key, *
+  FROM pstate WHERE is_new OR is_changed)"""
+SCD2_PRODUCT = _with(f"""
+SELECT d.* REPLACE (CASE WHEN x.is_changed THEN DATE '{AS_OF2}' - 1 ELSE d.expiry_date END AS expiry_date,
+                    CASE WHEN x.is_changed THEN false ELSE d.is_current END AS is_current)
+FROM d_product d LEFT JOIN pstate x ON x.product_id = d.product_id
+UNION ALL
+SELECT product_key, product_id, name, category, subcategory, brand, cost, list_price, sname, country, DATE '{AS_OF2}',
+       DATE '9999-12-31', true, new_hash FROM popened""", _PRODUCTS2)
+
+SCD1_PROMOTION = _with(f"""
+SELECT promotion_key, promo_id, CASE WHEN discount_pct < {DROPPED_FROM} THEN upper(promo_name) ELSE promo_name END AS promo_name,
+       promo_type, discount_pct, start_date, end_date, channel FROM d_promotion
+UNION ALL
+SELECT CAST((SELECT count(*) FROM d_promotion) + row_number() OVER (ORDER BY 'WEB' || promo_id) AS INTEGER), 'WEB' || promo_id,
+       promo_name, promo_type, discount_pct, start_date, end_date, 'Web' FROM d_promotion""")
+
+SCD1_STORE_MIXED = _with(f"""
+SELECT store_key, store_id, store_name, city, state, region, store_type,
+       CASE WHEN store_type = 'Online' THEN manager_name ELSE 'Manager of ' || store_name END AS manager_name, opening_date
+FROM d_store
+UNION ALL
+SELECT CAST((SELECT count(*) FROM d_store) + row_number() OVER (ORDER BY 'PUP' || store_id) AS INTEGER), 'PUP' || store_id,
+       store_name, city, state, region, 'Pick-up', 'Manager of ' || store_name, DATE '{AS_OF2}'
+FROM d_store WHERE store_type = 'Online'""")
+
+# -- later loads of the facts ---------------------------------------------------------------------
+
+_FACT = ", ".join(FACT_COLUMNS)
+_LINES = PRELUDE.replace("         o.order_id,\n", "         o.order_id, i.item_id,\n") + ",\n"
+assert _LINES.count("i.item_id,") == 1
+APPEND_SALES = _LINES + f"""
+late AS (
+  SELECT * REPLACE (CAST(row_number() OVER (PARTITION BY order_id ORDER BY quantity >= {BULK}, item_id) AS INTEGER) AS order_line_num)
+  FROM fact)
+SELECT {_FACT} FROM late"""
+
+SNAPSHOT_TWO_DAYS = _with(" UNION ALL ".join(f"""
+SELECT dp.product_key, ds.store_key, CAST(strftime(DATE '{day}', '%Y%m%d') AS INTEGER) AS date_key, i.quantity_on_hand AS qty_on_hand,
+       DATE '{day}' AS snapshot_date, true AS own_key, true AS later_key
+FROM s_inventory i JOIN d_product dp ON i.product_id = dp.product_id JOIN d_store ds ON i.store_id = ds.store_id"""
+    for day in (AS_OF, AS_OF2)))
+
+_SECOND = f"""{_PRODUCTS2.strip()},
+mailed AS (SELECT DISTINCT customer_id FROM s_orders WHERE order_date >= DATE '{DEFAULT_ACTIVE_SINCE.isoformat()}'),
+copened AS (
+  SELECT d.customer_key AS old_key, CAST(({_N1}) + row_number() OVER (ORDER BY d.customer_id) AS INTEGER) AS new_key
+  FROM d_customer d JOIN mailed USING (customer_id)),
+kept_products AS (SELECT d.product_key FROM d_product d JOIN risen r ON r.product_id = d.product_id),
+moved AS (
+  SELECT f.* REPLACE (
+    CASE WHEN full_date >= DATE '{SECOND_LOAD.isoformat()}' THEN coalesce(c.new_key, f.customer_key) ELSE f.customer_key END AS customer_key,
+    CASE WHEN full_date >= DATE '{SECOND_LOAD.isoformat()}' THEN coalesce(p.product_key, f.product_key) ELSE f.product_key END AS product_key,
+    CASE WHEN full_date >= DATE '{SECOND_LOAD.isoformat()}' THEN coalesce(p.cost, f.unit_cost) ELSE f.unit_cost END AS unit_cost,
+    CASE WHEN full_date >= DATE '{SECOND_LOAD.isoformat()}' AND p.cost IS NOT NULL
+         THEN CAST(ROUND(f.unit_price * f.quantity - f.unit_price * f.quantity * f.pct * 0.01 - p.cost * f.quantity, 2) AS DECIMAL(12,2))
+         ELSE f.gross_profit END AS gross_profit)
+  FROM fact f LEFT JOIN copened c ON c.old_key = f.customer_key
+  LEFT JOIN d_product d ON d.product_key = f.product_key
+  LEFT JOIN popened p ON p.product_id = d.product_id AND p.is_changed)"""
+SECOND_LOAD_FACT = _LINES.replace("i.quantity, i.unit_price, p.cost AS unit_cost,", "i.quantity, i.unit_price, i.discount AS pct, p.cost AS unit_cost,") \
+    + _SECOND + f"\nSELECT {_FACT} FROM moved"
+SECOND_LOAD_KEYS = _with("""
+SELECT (SELECT count(*) FROM fact) AS sales_rows, (SELECT count(*) FROM fact) AS sales_keys,
+       snapshot_rows, snapshot_rows AS snapshot_keys, 0::BIGINT AS lines_without_day
+FROM (SELECT count(*) FILTER (dp.product_key IS NOT NULL) + count(*) FILTER (r.product_id IS NOT NULL) AS snapshot_rows
+      FROM s_inventory i JOIN d_store ds ON i.store_id = ds.store_id LEFT JOIN d_product dp ON i.product_id = dp.product_id
+      LEFT JOIN d_product r ON r.product_id = i.product_id)""")
+
+# -- data quality on given tables ---------------------------------------------------------------
+
+DQ_UNIQUE_LINES = """
+SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY ALL HAVING count(*) > 1"""
+DQ_NOT_NULL_STORES = _with("""
+SELECT store_id, array_to_string(list_filter([CASE WHEN store_id IS NULL THEN 'store_id' END, CASE WHEN state IS NULL THEN 'state' END,
+  CASE WHEN region IS NULL THEN 'region' END, CASE WHEN manager IS NULL THEN 'manager' END], lambda x: x IS NOT NULL), ',') AS null_columns
+FROM s_stores WHERE store_id IS NULL OR state IS NULL OR region IS NULL OR manager IS NULL""")
+DQ_FK_IDLE = _with(f"""
+SELECT customer_id, name FROM s_customers
+WHERE customer_id NOT IN (SELECT customer_id FROM s_orders WHERE order_date >= DATE '{SECOND_LOAD.isoformat()}')""")
+DQ_DOMAIN_NAMES = _with("""
+SELECT 'name' AS "column", name AS value, 24 AS max_length FROM s_products WHERE length(name) > 24
+UNION ALL SELECT 'brand', brand, 7 FROM s_products WHERE length(brand) > 7
+UNION ALL SELECT 'product_id', product_id, 20 FROM s_products WHERE length(product_id) > 20""")
+DQ_DEFAULT = _with("SELECT * REPLACE (CAST(0 AS DECIMAL(5,2)) AS discount) FROM s_order_items")
+DQ_LOADCOUNT = _with("""
+SELECT a AS actual, e AS expected, a = e AS ok
+FROM (SELECT (SELECT count(*) FROM fact) AS a UNION ALL SELECT count(*) FROM fact WHERE discount_amount > 0),
+     (SELECT count(*) AS e FROM lineitem)""")
+DQ_ROWCOUNTS_ALL = _with(" UNION ALL ".join(
+    f"SELECT '{layer}.{t}' AS tbl, count(*) AS row_count FROM s_{t}" for layer, tables in (
+        ("public", ["suppliers", "products", "customers", "stores", "promotions", "orders", "order_items", "inventory"]),
+        ("staging", ["customers", "orders"])) for t in tables))
+
 DQ_SALES_SANITY = _with("""
 SELECT CAST(count(*) AS BIGINT) AS total_rows,
        CAST(count(DISTINCT order_id) AS BIGINT) AS distinct_orders,
@@ -567,6 +722,24 @@ SQL_EXACT: dict[str, str] = {
     "scd2_customer_refresh": SCD2_REFRESH,
     "scd2_customer_refresh_deferred": SCD2_REFRESH_DEFERRED,
     "scd1_store_refresh": SCD1_STORE_REFRESH,
+    "scd2_customer_mixed_refresh": SCD2_CUSTOMER_MIXED,
+    "scd2_customer_deferred_twice": SCD2_CUSTOMER_TWICE,
+    "scd2_product_refresh": SCD2_PRODUCT,
+    "scd1_promotion_refresh": SCD1_PROMOTION,
+    "scd1_store_mixed_refresh": SCD1_STORE_MIXED,
+    "append_sales_late_line": APPEND_SALES,
+    "append_sales_partial_batch": APPEND_SALES,
+    "snapshot_two_days": SNAPSHOT_TWO_DAYS,
+    "second_load_fact_sales": SECOND_LOAD_FACT,
+    "second_load_q01": Q01,
+    "second_load_keys": SECOND_LOAD_KEYS,
+    "dq_unique_lines": DQ_UNIQUE_LINES,
+    "dq_not_null_stores": DQ_NOT_NULL_STORES,
+    "dq_fk_idle_customers": DQ_FK_IDLE,
+    "dq_domain_names": DQ_DOMAIN_NAMES,
+    "dq_default": DQ_DEFAULT,
+    "dq_loadcount": DQ_LOADCOUNT,
+    "dq_rowcounts_all": DQ_ROWCOUNTS_ALL,
     "dq_sales_sanity": DQ_SALES_SANITY,
     "dq_inventory_listing": DQ_INVENTORY_LISTING,
     "dq_rowcounts": DQ_ROWCOUNTS,

@@ -11,8 +11,8 @@ import hashlib
 import os
 import threading
 from collections.abc import Callable
-from dataclasses import dataclass
-from datetime import timedelta
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,27 +21,32 @@ from pyspark.sql import functions as F
 from starloom.contracts import DRIVER_SCHEMAS, STAGING, WAREHOUSE
 from starloom.functions.hashing import hash_hex
 from starloom.operators import analytics as A
-from starloom.operators import dims, quality
+from starloom.operators import dims, facts, quality
 from starloom.operators.calendar import dim_date
+from starloom.operators.ranking import pin
 from starloom.operators.scd import DEFERRED, SINGLE_PASS
 from starloom.plans.warehouse import (
     TESTDATA_CONFIG,
     LoadConfig,
+    append_sales,
     build_star,
     calendar_range,
+    load_again,
     read_staging,
     read_star,
     stage_mirror,
     with_buckets,
+    write_snapshot,
 )
 from starloom.session import ensure_checkpoint_dir, scratch_path
 from starloom.sources import batches
 from starloom.sources.adapter import adapt
-from starloom.sources.tables import read_driver_tables
+from starloom.sources.tables import layer_path, read_driver_tables, write_table
 
 CONFIG = TESTDATA_CONFIG
 # The second (refresh) batch is loaded one month after the first.
 AS_OF_2 = CONFIG.as_of + timedelta(days=31)
+AS_OF_3 = AS_OF_2 + timedelta(days=31)
 
 
 @dataclass
@@ -212,10 +217,166 @@ def q_dim_store_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.dim_store(wh.star.dim_store, batches.stores_with_managers(wh.staging["stores"], AS_OF_2))
 
 
+def q_customer_mixed_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse_for(spark, sf_dir)
+    st = wh.staging
+    batch = batches.customers_second_extract(st["customers"], st["orders"], st["suppliers"])
+    return _hex_hash(dims.dim_customer(wh.star.dim_customer, batch, st["orders"], AS_OF_2, SINGLE_PASS, CONFIG.gold, CONFIG.silver))
+
+
+def q_customer_deferred_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same extract loaded twice in the deferred mode: the second run opens the versions that
+    the first one only expired."""
+    wh = warehouse_for(spark, sf_dir)
+    st = wh.staging
+    batch = batches.customers_second_extract(st["customers"], st["orders"], st["suppliers"])
+    dim = wh.star.dim_customer
+    for day in (AS_OF_2, AS_OF_3):
+        dim = pin(dims.dim_customer(dim, batch, st["orders"], day, DEFERRED, CONFIG.gold, CONFIG.silver))
+    return _hex_hash(dim)
+
+
+def q_product_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse_for(spark, sf_dir)
+    st = wh.staging
+    return _hex_hash(dims.dim_product(
+        wh.star.dim_product, batches.products_second_extract(st["products"]), st["suppliers"], AS_OF_2))
+
+
+def q_promotion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse_for(spark, sf_dir)
+    return dims.dim_promotion(wh.star.dim_promotion, batches.promotions_second_extract(wh.staging["promotions"]))
+
+
+def q_store_mixed_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse_for(spark, sf_dir)
+    return dims.dim_store(wh.star.dim_store, batches.stores_second_extract(wh.staging["stores"], AS_OF_2))
+
+
+# ---------------------------------------------------------------------------
+# later loads of the facts
+# ---------------------------------------------------------------------------
+
+BULK = 45  # lines of this quantity or more come late
+FACT_COLUMNS = ["order_id", "item_id", "order_line_num", "date_key", "customer_key", "product_key", "store_key",
+                "promotion_key", "quantity", "unit_price", "unit_cost", "discount_amount", "net_revenue", "gross_profit",
+                "tax_amount"]
+
+
+def _append_bulk(whole: bool) -> Callable[[SparkSession, str], DataFrame]:
+    """The fact of the lines below ``BULK``, then an append of the others, alone or in a whole extract."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wh = warehouse_for(spark, sf_dir)
+        st, s = wh.staging, wh.star
+
+        def rows(items: DataFrame) -> DataFrame:
+            return facts.fact_sales(items, st["orders"], st["products"], st["promotions"], s.dim_customer, s.dim_product,
+                                    s.dim_store, s.dim_promotion)
+
+        root = scratch_path(spark, "append")
+        items = st["order_items"]
+        write_table(rows(items.where(F.col("quantity") < BULK)), root, "warehouse", "fact_sales")
+        stored = spark.read.parquet(layer_path(root, "warehouse", "fact_sales"))
+        return append_sales(stored, rows(items if whole else items.where(F.col("quantity") >= BULK)), root)
+    return run
+
+
+def q_snapshot_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days' snapshots, and whether each row's identity key is its own and, on the second day,
+    above those of the first."""
+    wh = warehouse_for(spark, sf_dir)
+    root = scratch_path(spark, "snapshots")
+    for day in (CONFIG.as_of, AS_OF_2):
+        out = write_snapshot(facts.fact_inventory_snapshot(
+            wh.staging["inventory"], wh.star.dim_product, wh.star.dim_store, day), root)
+    key = F.col("inventory_snapshot_key")
+    first = out.where(F.col("snapshot_date") == F.lit(CONFIG.as_of)).agg(F.max(key).alias("m")).scalar()
+    twice = out.groupBy("inventory_snapshot_key").count().withColumnRenamed("count", "__n")
+    return out.join(twice, "inventory_snapshot_key").select(
+        "product_key", "store_key", "date_key", "qty_on_hand", "snapshot_date", (F.col("__n") == 1).alias("own_key"),
+        ((F.col("snapshot_date") == F.lit(CONFIG.as_of)) | (key > first)).alias("later_key"))
+
+
+SECOND_LOAD = date(2001, 1, 1)  # orders from this day on come with the second load
+_SECOND: dict[tuple, A.Star] = {}
+
+
+def second_load_for(spark: SparkSession, sf_dir: str) -> A.Star:
+    """The star after two loads: orders before ``SECOND_LOAD``; then a whole extract with mailed
+    customers and dearer products."""
+    app_key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if app_key not in _SECOND:
+        st = dict(warehouse_for(spark, sf_dir).staging)
+        early = {**st, "orders": st["orders"].where(F.col("order_date") < F.lit(SECOND_LOAD))}
+        early["order_items"] = st["order_items"].join(early["orders"].select("order_id"), "order_id", "left_semi").select(
+            *st["order_items"].columns)
+        cfg = replace(CONFIG, as_of=SECOND_LOAD, order_buckets=None, lines_per_bucket=None)
+        root = scratch_path(spark, "two-loads")
+        first = build_star(spark, early, cfg, root)
+        st["customers"] = batches.customers_with_contact_update(st["customers"], st["orders"])
+        st["products"] = batches.products_second_extract(st["products"])
+        _SECOND[app_key] = load_again(spark, first, root, st, replace(cfg, as_of=CONFIG.as_of), scratch_path(spark, "two-loads"))
+    return _SECOND[app_key]
+
+
+def q_second_load_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and identity keys of the facts, and lines without a day in the calendar."""
+    s = second_load_for(spark, sf_dir)
+    lost = s.fact_sales.join(s.dim_date, "date_key", "left_anti").agg(F.count("*").alias("lines_without_day"))
+    sales = s.fact_sales.agg(F.count("*").alias("sales_rows"), F.count_distinct("sales_key").alias("sales_keys"))
+    snapshot = s.fact_inventory_snapshot.agg(
+        F.count("*").alias("snapshot_rows"), F.count_distinct("inventory_snapshot_key").alias("snapshot_keys"))
+    return sales.join(F.broadcast(snapshot)).join(F.broadcast(lost))
+
+
 # ---------------------------------------------------------------------------
 # data-quality reports
 # ---------------------------------------------------------------------------
 
+def q_dq_unique_lines(spark, sf_dir):
+    """Line numbers that an order has more than once in the driver's lines."""
+    return quality.dq_unique(read_driver_tables(spark, sf_dir, ["lineitem"])["lineitem"], ["l_orderkey", "l_linenumber"])
+
+
+def q_dq_not_null_stores(spark, sf_dir):
+    rows = quality.dq_not_null(warehouse_for(spark, sf_dir).staging["stores"], ["store_id", "state", "region", "manager"])
+    return rows.select("store_id", F.array_join("null_columns", ",").alias("null_columns"))
+
+
+def q_dq_fk_idle_customers(spark, sf_dir):
+    """Customers that no order of the last year names."""
+    st = warehouse_for(spark, sf_dir).staging
+    recent = st["orders"].where(F.col("order_date") >= F.lit(SECOND_LOAD))
+    return quality.dq_fk(st["customers"], recent, ["customer_id"]).select("customer_id", "name")
+
+
+def q_dq_domain_names(spark, sf_dir):
+    """Product names and brands beyond tighter lengths than the contract's."""
+    tight = replace(STAGING["products"], lengths={"name": 24, "brand": 7, "product_id": 20})
+    return quality.dq_domain(warehouse_for(spark, sf_dir).staging["products"], tight)
+
+
+def q_dq_default(spark, sf_dir):
+    """Order lines of an extract without a discount column, with the declared default."""
+    lines = warehouse_for(spark, sf_dir).staging["order_items"].drop("discount")
+    return quality.dq_default(lines, STAGING["order_items"])
+
+
+def q_dq_loadcount(spark, sf_dir):
+    """Rows of the sales fact against the lines of the source, and of the lines with a discount."""
+    lines = read_driver_tables(spark, sf_dir, ["lineitem"])["lineitem"].count()
+    fact = _star(spark, sf_dir).fact_sales
+    return quality.dq_loadcount(fact, lines).unionByName(quality.dq_loadcount(fact.where("discount_amount > 0"), lines))
+
+
+def q_dq_rowcounts_all(spark, sf_dir):
+    """The ten-branch report: the eight sources and two of their staging copies."""
+    st = warehouse_for(spark, sf_dir).staging
+    sources = adapt(read_driver_tables(spark, sf_dir))
+    return quality.dq_rowcounts({**{f"public.{n}": df for n, df in sources.items()},
+                                 **{f"staging.{n}": st[n] for n in ("customers", "orders")}})
+
+
 def q_dq_sales_sanity(spark, sf_dir):
     return quality.dq_sales_sanity(_star(spark, sf_dir).fact_sales)
 
@@ -278,6 +439,24 @@ _QUERIES_EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_customer_refresh": _customer_refresh(SINGLE_PASS),
     "scd2_customer_refresh_deferred": _customer_refresh(DEFERRED),
     "scd1_store_refresh": q_dim_store_refresh,
+    "scd2_customer_mixed_refresh": q_customer_mixed_refresh,
+    "scd2_customer_deferred_twice": q_customer_deferred_twice,
+    "scd2_product_refresh": q_product_refresh,
+    "scd1_promotion_refresh": q_promotion_refresh,
+    "scd1_store_mixed_refresh": q_store_mixed_refresh,
+    "append_sales_late_line": lambda spark, sf_dir: _append_bulk(True)(spark, sf_dir).select(*FACT_COLUMNS),
+    "append_sales_partial_batch": lambda spark, sf_dir: _append_bulk(False)(spark, sf_dir).select(*FACT_COLUMNS),
+    "snapshot_two_days": q_snapshot_two_days,
+    "second_load_fact_sales": lambda spark, sf_dir: second_load_for(spark, sf_dir).fact_sales.select(*FACT_COLUMNS),
+    "second_load_q01": lambda spark, sf_dir: A.q01_monthly_trend(second_load_for(spark, sf_dir)),
+    "second_load_keys": q_second_load_keys,
+    "dq_unique_lines": q_dq_unique_lines,
+    "dq_not_null_stores": q_dq_not_null_stores,
+    "dq_fk_idle_customers": q_dq_fk_idle_customers,
+    "dq_domain_names": q_dq_domain_names,
+    "dq_default": q_dq_default,
+    "dq_loadcount": q_dq_loadcount,
+    "dq_rowcounts_all": q_dq_rowcounts_all,
     "dq_sales_sanity": q_dq_sales_sanity,
     "dq_inventory_listing": q_dq_inventory_listing,
     "dq_rowcounts": q_dq_rowcounts,

@@ -11,10 +11,10 @@ import decimal
 import math
 import sys
 import time
+from pathlib import Path
 
 import duckdb
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 # Spark simpleString -> DuckDB type name (decimals compare as DECIMAL(p,s) on both sides).
 _TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "string": "VARCHAR",
@@ -53,8 +53,8 @@ def _norm(v) -> str:
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 
