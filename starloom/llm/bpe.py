@@ -31,12 +31,14 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.llm.common import read
+from starloom.llm.common import held, read
 
 NEVER = 1 << 62
 ROOT = 0
@@ -47,7 +49,7 @@ class MergeTransducer:
     since its last border, token that ends at that border, tokens not emitted yet up to it);
     ``moves[state << 8 | byte]`` the next state, or the tokens that are then certain and it."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pieces: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000, max_pieces: int = 200_000):
         self.ranks, self.bytes = ranks, {i: b for b, i in ranks.items()}
         self.max_states, self.max_pieces = max_states, max_pieces
         # trie: (node << 8 | byte) -> child; token_at[node]: the token that ends there
@@ -122,7 +124,7 @@ class MergeTransducer:
             return self.reachable(y)
         known = self.sides.get(x << 32 | y)
         if known is None:
-            if len(self.sides) > 2 * self.max_states:
+            if len(self.sides) > self.max_states // 2:
                 self.sides.clear()
             known = self.sides[x << 32 | y] = self.reachable(y) and self._apart(x, y, NEVER)
         return known
@@ -353,16 +355,14 @@ class Vocabulary:
         self.shared: Broadcast = spark.sparkContext.broadcast((content, pattern))
 
 
-_MADE: dict[tuple, object] = {}
-
-
-def _worker(kind: type, key: int, shared: Broadcast):
-    """The encoder or decoder of this Python worker, kept between its tasks."""
-    if (kind, key) not in _MADE:
+def _worker(key: int, shared: Broadcast) -> tuple[Encoder, Decoder]:
+    """The encoder and decoder of this Python worker."""
+    def make():
         content, pattern = shared.value
         ranks = load_ranks(content)
-        _MADE[kind, key] = Encoder(ranks, pattern) if kind is Encoder else Decoder(ranks)
-    return _MADE[kind, key]
+        return Encoder(ranks, pattern), Decoder(ranks)
+
+    return held(("bpe", key), make)
 
 
 def encode(documents: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -371,7 +371,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text: str = "text", ids
 
     @F.pandas_udf("binary")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _worker(Encoder, key, shared)
+        encoder, _ = _worker(key, shared)
         for texts in parts:
             yield texts.map(encoder.encode)
 
@@ -384,7 +384,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str
 
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decoder = _worker(Decoder, key, shared)
+        _, decoder = _worker(key, shared)
         for coded in parts:
             yield coded.map(lambda b: None if b is None else decoder.decode(np.frombuffer(b, "<u4").tolist()))
 
@@ -397,23 +397,31 @@ def default_vocabulary(spark: SparkSession) -> Vocabulary:
     return Vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+SLICE = 256  # rows that a worker has as Python objects
+
+
 def round_trip(documents: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
     """doc_id, the columns to keep, n_tokens, ids, and digests of the ids and of the decoded text.
-    Both directions run in one Python worker, which needs one batch of texts."""
+    Both directions run in one Python worker, a few rows at a time."""
     key, shared = vocabulary.key, vocabulary.shared
 
-    @F.pandas_udf("ids binary, decoded string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder, decoder = _worker(Encoder, key, shared), _worker(Decoder, key, shared)
-        for texts in parts:
-            ids = texts.map(encoder.encode)
-            yield pd.DataFrame({"ids": ids, "decoded": ids.map(
-                lambda b: decoder.decode(np.frombuffer(b, "<u4").tolist()))})
-
-    rows = documents.select("doc_id", *keep, run(F.coalesce("text", F.lit(""))).alias("r"))
-    return rows.select("doc_id", *keep, F.expr("octet_length(r.ids) div 4").alias("n_tokens"), "r.ids",
-                       F.sha2("r.ids", 256).alias("ids_sha256"),
-                       F.sha2(F.col("r.decoded").cast("binary"), 256).alias("decoded_sha256"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _worker(key, shared)
+        for batch in batches:
+            for k in range(0, batch.num_rows, SLICE):
+                part = batch.slice(k, SLICE)
+                ids = [encoder.encode(t) for t in part.column("text").to_pylist()]
+                back = [decoder.decode(np.frombuffer(b, "<u4").tolist()) for b in ids]
+                kept = part.drop_columns(["text"])
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(ids, pa.binary()), pa.array(back, pa.string())], [*kept.schema.names, "ids", "decoded"])
+
+    rows = documents.select("doc_id", *keep, "text")
+    fields = [f for f in rows.schema.fields if f.name != "text"]
+    rows = rows.mapInArrow(run, T.StructType([*fields, T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]))
+    return rows.select("doc_id", *keep, F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids",
+                       F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op7_byte_bpe(spark, sf_dir: str) -> DataFrame:

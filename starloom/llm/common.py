@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import scratch_path
+from starloom.session import delete_at_exit, scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -13,6 +13,18 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FOLDS, HELD_OUT_FOLD = 3, 1
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """An object that a Python worker keeps between its tasks (a tokenizer, a model). A worker
+    keeps one at a time: the next operator's replaces it."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
@@ -34,10 +46,12 @@ def ascii_lower(text: Column) -> Column:
 
 def pin(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back: later
-    steps do not recompute it, and it outlives the executors that made it."""
+    steps do not recompute it, and it outlives the executors that made it. It goes when the
+    application ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import held_out, learnable, pin, read
+from starloom.llm.common import held, held_out, learnable, pin, read
 
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -164,19 +164,13 @@ class Scorer(dict):
         return self.model.langs[best], float(odds[best] / odds.sum())
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def predict(documents: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``documents`` with the predicted language of their text and its probability."""
     shared, key = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.pandas_udf("lang string, score double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(shared.value)
-        scorer = _SCORERS[key]
+        scorer = held(("language", key), lambda: Scorer(shared.value))
         for texts in parts:
             yield pd.DataFrame([scorer.score(t) for t in texts], columns=["lang", "score"])
 

@@ -20,26 +20,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.bpe import Encoder, Vocabulary, load_ranks
-from starloom.llm.common import pin, read
+from starloom.llm.common import held, pin, read
 
 BLOCK = 4096
 LONG = 1 << 20  # characters from which on a text is read match by match, in bounded memory
 
-_MADE: dict[int, tuple[tiktoken.Encoding, Encoder]] = {}
-
-
 def with_lengths(documents: DataFrame, vocabulary: Vocabulary, out: str = "n_tokens") -> DataFrame:
     """``documents`` with the number of tokens of their whole text."""
     key, shared = vocabulary.key, vocabulary.shared
 
+    def make():
+        content, pattern = shared.value
+        ranks = load_ranks(content)
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), Encoder(ranks, pattern)
+
     @F.pandas_udf("long")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if key not in _MADE:
-            content, pattern = shared.value
-            ranks = load_ranks(content)
-            _MADE[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), Encoder(
-                ranks, pattern)
-        fast, long = _MADE[key]
+        fast, long = held(("counts", key), make)
         for texts in parts:
             yield texts.map(lambda t: len(fast.encode_ordinary(t)) if len(t) < LONG else len(long.encode(t)) // 4)
 

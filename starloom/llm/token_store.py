@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.common import broadcast_below, pin, read
+from starloom.llm.common import broadcast_below, held, pin, read
 from starloom.session import scratch_path
 
 #: Fixed values of the file formats.
@@ -174,9 +174,6 @@ class WordEncoder(dict):
         return np.frombuffer(self.flat, np.uint32)[np.repeat(start - first, size) + np.arange(size.sum())]
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
-
-
 def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | None = END_ID,
                 shard_bytes: int = SHARD_BYTES) -> None:
     """Write the ids of ``documents`` (doc_id, text) under ``path`` in ascending doc_id order."""
@@ -186,9 +183,7 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | N
     key, shared = hash(content), spark.sparkContext.broadcast(content)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if key not in _ENCODERS:
-            _ENCODERS[key] = WordEncoder(shared.value)
-        encoder, partition, shard = _ENCODERS[key], TaskContext.get().partitionId(), 0
+        encoder, partition, shard = held(("words", key), lambda: WordEncoder(shared.value)), TaskContext.get().partitionId(), 0
         tail = [] if end_id is None else [end_id]
         out = TokenFile(encoder.item)
         for part in parts:

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import held_out, learnable, pin, read
+from starloom.llm.common import held, held_out, learnable, pin, read
 
 TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]")
 STOPS = frozenset(".!?\n")
@@ -337,19 +337,13 @@ class Tagger(dict):
         return [(*found[place[k]].span(), float(p[k])) for k in np.flatnonzero(p >= at)]
 
 
-_TAGGERS: dict[str, Tagger] = {}
-
-
 def tag(documents: DataFrame, field: Field) -> DataFrame:
     """``documents`` with ``score`` and ``spans`` (character offsets of toxic words)."""
     shared, key = documents.sparkSession.sparkContext.broadcast(field), uuid.uuid4().hex
 
     @F.pandas_udf("score double, spans array<struct<start:int,end:int,marginal:double>>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if key not in _TAGGERS:
-            _TAGGERS.clear()
-            _TAGGERS[key] = Tagger(shared.value)
-        tagger = _TAGGERS[key]
+        tagger = held(("toxicity", key), lambda: Tagger(shared.value))
         for texts in parts:
             texts = texts.tolist()
             scores = tagger.scores(texts)
