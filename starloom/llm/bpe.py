@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import held, read
+from starloom.llm.common import held, read, ship_package
 
 NEVER = 1 << 62
 ROOT = 0
@@ -349,6 +349,7 @@ class Vocabulary:
     """A rank file and a pattern, shipped to the executors once."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
+        ship_package(spark)
         with open(path, "rb") as f:
             content = f.read()
         self.key = hash((content, pattern))

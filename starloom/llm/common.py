@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import os
+import zipfile
+from pathlib import Path
+
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +19,29 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FOLDS, HELD_OUT_FOLD = 3, 1
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers. They see the driver's PYTHONPATH, its working
+    folder and added files; if the package was found in none of these (a script changed sys.path),
+    a zip of it is put in the shared checkpoint folder and added to the session, once."""
+    root = Path(__file__).resolve().parents[2]
+    seen = [Path(p or ".").resolve() for p in ("", *os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    sc = spark.sparkContext
+    if root in seen or not root.is_dir() or SparkFiles.getRootDirectory() in str(root) or any(
+            name.startswith("starloom") for name in sc._python_includes):
+        return
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for f in sorted((root / "starloom").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    path = scratch_path(spark, "starloom") + ".zip"
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p)
+    stream.write(bytearray(out.getvalue()))
+    stream.close()
+    delete_at_exit(spark, path)
+    sc.addPyFile(path)
+
+
 _HELD: dict = {}
 
 
@@ -26,6 +55,7 @@ def held(key, make):
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    ship_package(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
@@ -49,6 +79,7 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     steps do not recompute it, and it outlives the executors that made it. It goes when the
     application ends."""
     spark = df.sparkSession
+    ship_package(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     delete_at_exit(spark, path)
