@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from given import SF_SMALL
 from starloom.operators import analytics as A
 from starloom.plans.catalog import register_layers
 from starloom.plans.registry import warehouse_for

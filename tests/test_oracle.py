@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF_SMALL
+from given import SF_SMALL
 
 
 def test_entry_contract(spark):

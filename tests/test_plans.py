@@ -9,7 +9,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from given import SF_SMALL
 from starloom.operators import analytics as A
 from starloom.operators import ranking as R
 from starloom.plans.registry import CONFIG, warehouse_for
