@@ -65,6 +65,9 @@ def _contract(name, layer, cols, key=(), unique=(), fks=(), defaults=None) -> Co
     )
 
 
+# The column lists below are fixed values: names, order, types, lengths and defaults must equal the
+# tables' declared ones.
+
 # ---------------------------------------------------------------------------
 # Operational source tables (identical columns in the staging mirror)
 # ---------------------------------------------------------------------------
@@ -136,6 +139,7 @@ SOURCE_TABLES = list(SOURCE)
 # ---------------------------------------------------------------------------
 
 SENTINEL_EXPIRY = "9999-12-31"
+_VERSION_DEFAULTS = {"expiry_date": SENTINEL_EXPIRY, "is_current": True}
 
 WAREHOUSE: dict[str, Contract] = {
     "dim_date": _contract("dim_date", "warehouse", [
@@ -157,7 +161,7 @@ WAREHOUSE: dict[str, Contract] = {
         _c("zip_code", STR, True, 10), _c("customer_segment", STR, True, 20),
         _c("effective_date", DATE, False), _c("expiry_date", DATE, False),
         _c("is_current", BOOL, False), _c("row_hash", BIN),
-    ], key=["customer_key"]),
+    ], key=["customer_key"], defaults=_VERSION_DEFAULTS),
     "dim_product": _contract("dim_product", "warehouse", [
         _c("product_key", INT, False), _c("product_id", STR, False, 20),
         _c("product_name", STR, False, 200), _c("category", STR, False, 50),
@@ -166,7 +170,7 @@ WAREHOUSE: dict[str, Contract] = {
         _c("supplier_name", STR, True, 100), _c("supplier_country", STR, True, 50),
         _c("effective_date", DATE, False), _c("expiry_date", DATE, False),
         _c("is_current", BOOL, False), _c("row_hash", BIN),
-    ], key=["product_key"]),
+    ], key=["product_key"], defaults=_VERSION_DEFAULTS),
     "dim_store": _contract("dim_store", "warehouse", [
         _c("store_key", INT, False), _c("store_id", STR, False, 20),
         _c("store_name", STR, False, 100), _c("city", STR, True, 50),

@@ -1,7 +1,11 @@
 """Command-line job: build the star from driver tables and write the analytical reports.
 
     spark-submit starloom/plans/job.py --sf-dir <tables> [--root <shared folder>]
-        [--as-of 2002-01-01] [--order-buckets N] [--queries q01_monthly_trend,...]
+        [--previous <root of an earlier load>] [--as-of 2002-01-01] [--order-buckets N]
+        [--queries q01_monthly_trend,...]
+
+With ``--previous`` the tables are a later extract: dimensions are merged and the calendar extended
+under the new root, new lines and the snapshot appended to the facts of the earlier loads.
 
 Every layer and every report is written under ``--root`` (default: a fresh folder inside the
 session's ``spark.checkpoint.dir``): ``staging/``, ``warehouse/``, ``reports/<query>/``.
@@ -18,14 +22,22 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from starloom.operators import analytics as A
-from starloom.plans.warehouse import TESTDATA_CONFIG, build_star, stage_mirror, with_buckets
+from starloom.plans.warehouse import (
+    TESTDATA_CONFIG,
+    build_star,
+    load_again,
+    open_star,
+    stage_mirror,
+    with_buckets,
+    write_layout,
+)
 from starloom.session import get_session, scratch_path
 from starloom.sources.adapter import adapt
 from starloom.sources.tables import read_driver_tables
 
 
 def run(spark: SparkSession, sf_dir: str, root: str | None = None, as_of: date | None = None,
-        order_buckets: int | None = None, queries: list[str] | None = None) -> dict:
+        order_buckets: int | None = None, queries: list[str] | None = None, previous: str | None = None) -> dict:
     cfg = TESTDATA_CONFIG
     if as_of:
         cfg = replace(cfg, as_of=as_of)
@@ -35,12 +47,19 @@ def run(spark: SparkSession, sf_dir: str, root: str | None = None, as_of: date |
     timings: dict[str, float] = {}
     t = time.time()
     tables = read_driver_tables(spark, sf_dir)
-    if order_buckets is None:
+    if previous:
+        star, fact_root, buckets = open_star(spark, previous)
+        cfg = replace(cfg, order_buckets=buckets, lines_per_bucket=None)
+    elif order_buckets is None:
         cfg = with_buckets(cfg, tables["lineitem"])
     staging = stage_mirror(adapt(tables), root, cfg.order_buckets)
     timings["stage"] = time.time() - t
     t = time.time()
-    star = build_star(spark, staging, cfg, root)
+    if previous:
+        star = load_again(spark, star, fact_root, staging, cfg, root)
+    else:
+        star, fact_root = build_star(spark, staging, cfg, root), root
+    write_layout(spark, root, fact_root, cfg.order_buckets)
     timings["build_star"] = time.time() - t
     for name in queries or list(A.QUERIES):
         fn = A.QUERIES[name]
@@ -55,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--root")
+    ap.add_argument("--previous")
     ap.add_argument("--as-of", type=date.fromisoformat)
     ap.add_argument("--order-buckets", type=int)
     ap.add_argument("--queries")
@@ -62,7 +82,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = get_session(args.master, app_name="starloom-job")
     out = run(spark, args.sf_dir, args.root, args.as_of, args.order_buckets,
-              args.queries.split(",") if args.queries else None)
+              args.queries.split(",") if args.queries else None, args.previous)
     print(json.dumps(out))
 
 

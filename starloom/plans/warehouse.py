@@ -277,6 +277,22 @@ def read_star(spark: SparkSession, root: str, order_buckets: int | None = None)
     )
 
 
+def write_layout(spark: SparkSession, root: str, fact_root: str, order_buckets: int | None) -> None:
+    """Record beside a star's dimensions where its facts lie and how they are bucketed."""
+    spark.createDataFrame([(fact_root, order_buckets)], "fact_root string, order_buckets int").coalesce(1).write.mode(
+        "overwrite").json(layer_path(root, "warehouse", "_layout"))
+
+
+def open_star(spark: SparkSession, root: str) -> tuple[Star, str, int | None]:
+    """A star written by :func:`write_layout`'s caller, the root of its facts and their buckets."""
+    found = spark.read.schema("fact_root string, order_buckets int").json(layer_path(root, "warehouse", "_layout")).first()
+    fact_root, buckets = found["fact_root"], found["order_buckets"]
+    read = lambda r, n: spark.read.parquet(layer_path(r, "warehouse", n))
+    sales = register_bucketed_fact(spark, fact_root, buckets) if buckets else read(fact_root, "fact_sales")
+    dims_ = {n: read(root, n) for n in ("dim_date", "dim_customer", "dim_product", "dim_store", "dim_promotion")}
+    return Star(fact_sales=sales, fact_inventory_snapshot=read(fact_root, "fact_inventory_snapshot"), **dims_), fact_root, buckets
+
+
 def refresh_dimensions(
     spark: SparkSession,
     previous: Star,

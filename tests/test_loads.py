@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.contracts import WAREHOUSE
 from starloom.operators import facts, quality
-from starloom.plans.warehouse import LoadConfig, append_sales, build_star, load_again, stage_mirror, write_snapshot
+from starloom.plans.warehouse import LoadConfig, append_sales, build_star, load_again, open_star, stage_mirror, write_snapshot
 from starloom.session import scratch_path
 from starloom.sources.seed import seed_tables
 
@@ -101,6 +101,15 @@ def test_job_writes_reports(spark):
     assert spark.read.parquet(f"{out['root']}/reports/q01_monthly_trend").count() == 80
     assert spark.read.parquet(f"{out['root']}/reports/q09_promo_effect").count() == 2
     assert set(out["seconds"]) == {"stage", "build_star", "q01_monthly_trend", "q09_promo_effect"}
+    # a later load of the same extract, twice: nothing new, one more snapshot day each
+    root = out["root"]
+    for k, day in enumerate((date(2002, 2, 1), date(2002, 3, 1))):
+        again = job.run(spark, "/root/testdata/sf0.001", queries=["q01_monthly_trend"], as_of=day, previous=root)
+        star, fact_root, _ = open_star(spark, again["root"])
+        assert fact_root == out["root"] and star.fact_sales.count() == 6000
+        assert star.fact_inventory_snapshot.select("snapshot_date").distinct().count() == k + 2
+        root = again["root"]
+    assert spark.read.parquet(f"{root}/reports/q01_monthly_trend").count() == 80
 
 
 def test_empty_orders_build_and_query(spark):
