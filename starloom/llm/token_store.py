@@ -149,29 +149,45 @@ class WordEncoder(dict):
         return not self.other.search(text) and not any(s in text for s in self.specials)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text."""
+        """Ids of each text; texts of about BLOCK characters are looked up together."""
+        block, size = [], 0
         for text in texts:
-            text = text or ""
-            if not self._plain(text):
-                yield np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-            elif len(text) <= self.BLOCK:
-                yield self._ids(self.words.findall(text.lower()))
-            else:
+            block.append(text or "")
+            size += len(block[-1])
+            if size > self.BLOCK:
+                yield from self._block(block)
+                block, size = [], 0
+        yield from self._block(block)
+
+    def _block(self, texts: list[str]) -> Iterator[np.ndarray]:
+        short = [len(t) <= self.BLOCK and self._plain(t) for t in texts]
+        words = [self.words.findall(t.lower()) for t, s in zip(texts, short, strict=True) if s]
+        ids, sizes = self._ids(list(chain.from_iterable(words)))
+        # the ids of the first n words end at the sum of their sizes
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, words)])]
+        parts = (ids[x:y] for x, y in zip(ends, ends[1:], strict=False))
+        for text, is_short in zip(texts, short, strict=True):
+            if is_short:
+                yield next(parts)
+            elif self._plain(text):
                 found = (m[0] for m in self.words.finditer(text.lower()))
-                blocks = iter(lambda: list(islice(found, self.BLOCK)), [])
-                yield np.concatenate([self._ids(words) for words in blocks] or [np.empty(0, np.uint32)])
+                blocks = iter(lambda: list(islice(found, self.BLOCK)), [])  # noqa: B023  used at once
+                yield np.concatenate([self._ids(b)[0] for b in blocks] or [np.empty(0, np.uint32)])
+            else:
+                yield np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _ids(self, words: list[str]) -> np.ndarray:
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and how many each has."""
+        if not words:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
         if len(self) > self.KEPT:
             self._reset()
-        if not words:
-            return np.empty(0, np.uint32)
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         starts = np.frombuffer(self.start, np.int64)  # a view: gone before the array grows
         start, size = starts[at], starts[at + 1] - starts[at]
         # the places of all ids: each word's start, counted on
         first = np.cumsum(size) - size
-        return np.frombuffer(self.flat, np.uint32)[np.repeat(start - first, size) + np.arange(size.sum())]
+        return np.frombuffer(self.flat, np.uint32)[np.repeat(start - first, size) + np.arange(size.sum())], size
 
 
 def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | None = END_ID,
@@ -184,12 +200,12 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | N
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, partition, shard = held(("words", key), lambda: WordEncoder(shared.value)), TaskContext.get().partitionId(), 0
-        tail = [] if end_id is None else [end_id]
+        tail = np.array([] if end_id is None else [end_id], np.uint32)
         out = TokenFile(encoder.item)
         for part in parts:
             ids = [None if pd.isna(i) else int(i) for i in part["doc_id"]]
             for doc_id, coded in zip(ids, encoder.encode(part["text"].tolist()), strict=True):
-                out.add(doc_id, np.concatenate([coded, np.array(tail, "<u4")]))
+                out.add(doc_id, np.concatenate([coded, tail]))
                 if out.size > shard_bytes:
                     yield pd.DataFrame({"content": [out.content(partition, shard)]})
                     out, shard = TokenFile(encoder.item), shard + 1
