@@ -426,7 +426,12 @@ def test_chat_format(spark, monkeypatch):
     # 1, 3, 9 continue in 2; 6 repeats it; 11 continues in 10
     assert set(whole) == {2, 4, 5, 7, 8, 10}
     assert whole[2] == ["<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\nyes<|im_end|>\n<|im_start|>user\nmore<|im_end|>\n"]
-    assert whole[7] == ["<|im_start|>user\n<|im_end|>\n", "<|im_start|>\nx<|im_end|>\n"]
+    assert whole[7] == ["<|im_start|>user\n<|im_end|>\n<|im_start|>\nx<|im_end|>\n"]
     assert len(whole[10]) == 3 and "".join(whole[10]) == "".join(f"<|im_start|>user\n{k}<|im_end|>\n" for k in range(700))
     assert {r["conv_id"]: (r["n_turns"], r["copies"]) for r in out}[2] == (3, 2)
     assert chat.format_chats(df.limit(0)).count() == 0
+    # a conversation whose turns all have one number, and one numbered by ranges, are cut alike
+    monkeypatch.setattr("starloom.operators.skew.HOT_GROUP_ROWS", 300)
+    again = chat.format_chats(df.withColumn("turn", F.when(F.col("conv_id") != 10, F.col("turn")))).where("conv_id = 10").collect()
+    assert sorted(r["turns"] for r in again) == [188, 256, 256] and "".join(sorted(r["text"] for r in again)).count("<|im_start|>") == 700
+    assert sorted(map(tuple, chat.format_chats(df).collect())) == sorted(map(tuple, out))
