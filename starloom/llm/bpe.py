@@ -49,7 +49,7 @@ class MergeTransducer:
     since its last border, token that ends at that border, tokens not emitted yet up to it);
     ``moves[state << 8 | byte]`` the next state, or the tokens that are then certain and it."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000, max_pieces: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000, max_pieces: int = 350_000):
         self.ranks, self.bytes = ranks, {i: b for b, i in ranks.items()}
         self.max_states, self.max_pieces = max_states, max_pieces
         # trie: (node << 8 | byte) -> child; token_at[node]: the token that ends there
@@ -124,7 +124,7 @@ class MergeTransducer:
             return self.reachable(y)
         known = self.sides.get(x << 32 | y)
         if known is None:
-            if len(self.sides) > self.max_states // 2:
+            if len(self.sides) > self.max_states // 3:
                 self.sides.clear()
             known = self.sides[x << 32 | y] = self.reachable(y) and self._apart(x, y, NEVER)
         return known
