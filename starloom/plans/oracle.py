@@ -562,12 +562,17 @@ moved AS (
 SECOND_LOAD_FACT = _LINES.replace("i.quantity, i.unit_price, p.cost AS unit_cost,", "i.quantity, i.unit_price, i.discount AS pct, p.cost AS unit_cost,") \
     + _SECOND + f"\nSELECT {_FACT} FROM moved"
 SECOND_LOAD_KEYS = _with("""
-SELECT (SELECT count(*) FROM fact) AS sales_rows, (SELECT count(*) FROM fact) AS sales_keys,
+SELECT (SELECT count(*) FROM fact) AS sales_rows, (SELECT count(*) FROM fact) AS sales_keys, 0::BIGINT AS keys_below_1,
        snapshot_rows, snapshot_rows AS snapshot_keys, 0::BIGINT AS lines_without_day
 FROM (SELECT count(*) FILTER (dp.product_key IS NOT NULL) + count(*) FILTER (r.product_id IS NOT NULL) AS snapshot_rows
       FROM s_inventory i JOIN d_store ds ON i.store_id = ds.store_id LEFT JOIN d_product dp ON i.product_id = dp.product_id
       LEFT JOIN d_product r ON r.product_id = i.product_id)""")
 
+FACT_KEYS = _with("""
+SELECT (SELECT count(*) FROM fact) AS sales_rows, (SELECT count(*) FROM fact) AS sales_keys, 0::BIGINT AS keys_below_1,
+       count(*) AS snapshot_rows, count(*) AS snapshot_keys, 0::BIGINT AS lines_without_day
+FROM s_inventory i JOIN d_product dp ON i.product_id = dp.product_id JOIN d_store ds ON i.store_id = ds.store_id""")
+
 # -- data quality on given tables ---------------------------------------------------------------
 
 DQ_UNIQUE_LINES = """
@@ -733,6 +738,7 @@ SQL_EXACT: dict[str, str] = {
     "second_load_fact_sales": SECOND_LOAD_FACT,
     "second_load_q01": Q01,
     "second_load_keys": SECOND_LOAD_KEYS,
+    "fact_keys": FACT_KEYS,
     "dq_unique_lines": DQ_UNIQUE_LINES,
     "dq_not_null_stores": DQ_NOT_NULL_STORES,
     "dq_fk_idle_customers": DQ_FK_IDLE,

@@ -319,14 +319,14 @@ def second_load_for(spark: SparkSession, sf_dir: str) -> A.Star:
     return _SECOND[app_key]
 
 
-def q_second_load_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and identity keys of the facts, and lines without a day in the calendar."""
-    s = second_load_for(spark, sf_dir)
+def _keys_of(s: A.Star) -> DataFrame:
+    """Rows and identity keys of the facts, keys below 1, and lines without a day in the calendar."""
     lost = s.fact_sales.join(s.dim_date, "date_key", "left_anti").agg(F.count("*").alias("lines_without_day"))
-    sales = s.fact_sales.agg(F.count("*").alias("sales_rows"), F.count_distinct("sales_key").alias("sales_keys"))
+    sales = s.fact_sales.agg(F.count("*").alias("sales_rows"), F.count_distinct("sales_key").alias("sales_keys"),
+                             F.count_if(F.col("sales_key") < 1).alias("keys_below_1"))
     snapshot = s.fact_inventory_snapshot.agg(
         F.count("*").alias("snapshot_rows"), F.count_distinct("inventory_snapshot_key").alias("snapshot_keys"))
-    return sales.join(F.broadcast(snapshot)).join(F.broadcast(lost))
+    return sales.join(F.broadcast(snapshot)).join(F.broadcast(lost))  # single rows
 
 
 # ---------------------------------------------------------------------------
@@ -449,7 +449,8 @@ _QUERIES_EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_two_days": q_snapshot_two_days,
     "second_load_fact_sales": lambda spark, sf_dir: second_load_for(spark, sf_dir).fact_sales.select(*FACT_COLUMNS),
     "second_load_q01": lambda spark, sf_dir: A.q01_monthly_trend(second_load_for(spark, sf_dir)),
-    "second_load_keys": q_second_load_keys,
+    "second_load_keys": lambda spark, sf_dir: _keys_of(second_load_for(spark, sf_dir)),
+    "fact_keys": lambda spark, sf_dir: _keys_of(_star(spark, sf_dir)),
     "dq_unique_lines": q_dq_unique_lines,
     "dq_not_null_stores": q_dq_not_null_stores,
     "dq_fk_idle_customers": q_dq_fk_idle_customers,
