@@ -23,6 +23,7 @@ gives no rows; other columns are kept.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 import zlib
@@ -48,7 +49,7 @@ MIN_DOCS, MIN_PRECISION = 3, 0.6  # toxic documents of a unit, and their share o
 HIT = 0.3
 PREDICT_AT = 0.7
 SPAN_AT = 0.5  # marginal of an offending word; documents below this score have none
-KEPT_WORDS, BLOCK = 200_000, 1 << 18
+KEPT_WORDS, BLOCK = 350_000, 1 << 18
 
 
 def features(token: str) -> list[int]:
@@ -266,11 +267,13 @@ class Tagger(dict):
     def __init__(self, field: Field):
         super().__init__()
         self.field, self.odds = field, np.ones(KEPT_WORDS + BLOCK + 1)
+        self.weights = None if field.weights is None else field.weights.tolist()
         self.update(dict.fromkeys(STOPS, 0))
 
     def __missing__(self, token: str) -> int:
         k = self[token] = len(self)
-        self.odds[k] = np.exp(np.clip(self.field.weights[features(token)].sum(), -30, 30))
+        weights = self.weights
+        self.odds[k] = math.exp(max(-30.0, min(30.0, sum([weights[i] for i in features(token)]))))
         return k
 
     def marginals(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
