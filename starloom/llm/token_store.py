@@ -15,7 +15,8 @@ order of it. Spark's writer commits the files (a lost task leaves none), to any
 write: each row of a binary column becomes one file.
 
 Defined cases: null text is encoded as empty and holds the end id alone; documents without an id
-come first; repeated ids are ordered by the text's hash; a long text is one frame, of up to 2**32
+come first; repeated ids are ordered by the text's hash; a special token's string in a text is that
+token, as in the library; a long text is one frame, of up to 2**32
 bytes; an empty table gives no files and reads back as no rows; other columns are not stored.
 """
 
@@ -191,15 +192,17 @@ class WordEncoder(dict):
 
 
 def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | None = END_ID,
-                shard_bytes: int = SHARD_BYTES) -> None:
-    """Write the ids of ``documents`` (doc_id, text) under ``path`` in ascending doc_id order."""
+                shard_bytes: int = SHARD_BYTES, ordinary_specials: bool = False) -> None:
+    """Write the ids of ``documents`` (doc_id, text) under ``path`` in ascending doc_id order. Special
+    tokens' strings in a text get the special ids, as in the library, unless they are to be ordinary."""
     spark = documents.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         content = f.read()
-    key, shared = hash(content), spark.sparkContext.broadcast(content)
+    key, shared = (hash(content), ordinary_specials), spark.sparkContext.broadcast(content)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, partition, shard = held(("words", key), lambda: WordEncoder(shared.value)), TaskContext.get().partitionId(), 0
+        encoder = held(("words", key), lambda: WordEncoder(shared.value, ordinary_specials))
+        partition, shard = TaskContext.get().partitionId(), 0
         tail = np.array([] if end_id is None else [end_id], np.uint32)
         out = TokenFile(encoder.item)
         for part in parts:

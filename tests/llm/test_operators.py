@@ -345,6 +345,16 @@ def test_token_store(spark, edge, nothing):
     assert token_store.read_store(spark, empty).count() == 0
 
 
+def test_token_store_encodes_special_strings_as_the_library(spark):
+    plain = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = ["Hello <|endoftext|> World", "<|startoftext|>a<|endoftext|>", "<|EndOfText|> no", "<|endoftext|> 日本語", "plain"]
+    path = scratch_path(spark, "test-store")
+    token_store.write_store(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, P.path("word_bpe_49k.json"))
+    rows = token_store.read_store(spark, path).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in rows} == {
+        k: [*plain.encode(t, add_special_tokens=False).ids, 2] for k, t in enumerate(texts)}
+
+
 def test_token_file_reads_only_what_is_asked_for_and_checks_it():
     import zstandard
 
