@@ -22,6 +22,7 @@ bytes; an empty table gives no files and reads back as no rows; other columns ar
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
@@ -46,6 +47,13 @@ INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F
 END_ID = 2
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\s{L}{N}]+"  # the vocabulary's own pattern
 
+#: The parts of a tokenizer file that WORD, lower-casing and the letters below stand for.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": WORD.replace("{L}", r"\p{L}").replace("{N}", r"\p{N}")},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+
 #: The vocabulary writes bytes as letters: those of visible characters as themselves, the rest
 #: from U+0100 on.
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -108,13 +116,24 @@ class TokenReader:
         return np.frombuffer(data, f"<u{self.item}").astype("<u4")
 
 
+def splits_as_known(content: str) -> bool:
+    """Whether a tokenizer file makes words of plain characters as :class:`WordEncoder` does, and cuts
+    or pads nothing. Added tokens must be found in the text as it is."""
+    file = json.loads(content)
+    return file.get("normalizer") == {"type": "Sequence", "normalizers": NORMALIZERS} and \
+        file.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": PRE_TOKENIZERS} and \
+        not any(file.get(k) for k in ("truncation", "padding", "post_processor")) and \
+        all(t.get("special") and not t.get("normalized") for t in file.get("added_tokens") or [])
+
+
 class WordEncoder(dict):
     """Encodes whole texts with a `tokenizers` vocabulary whose tokens never span words.
 
     The library's model encodes each word when it is first met; the dict then holds the word's
     place in ``flat``, the ids of all words met (a bounded number). That holds for texts of plain
     printable characters, which normalise to their lower case; a text with any other character
-    is given to the whole library as it is."""
+    is given to the whole library as it is, and so is every text if the file normalises or splits
+    otherwise (:func:`splits_as_known`)."""
 
     KEPT = 500_000
     BLOCK = 1 << 20  # characters of texts that are held as words at a time
@@ -124,6 +143,7 @@ class WordEncoder(dict):
         self.library = Tokenizer.from_str(content)
         self.library.encode_special_tokens = ordinary_specials
         self.model = self.library.model
+        self.known = splits_as_known(content)
         self.item = 2 if max(self.library.get_vocab().values()) < 1 << 16 else 4
         # printable characters below U+0250 that lower-case and compose one by one
         plain = [c for c in map(chr, [9, 10, 13, *range(32, 127), *range(161, 0x250)])
@@ -147,7 +167,7 @@ class WordEncoder(dict):
         return k
 
     def _plain(self, text: str) -> bool:
-        return not self.other.search(text) and not any(s in text for s in self.specials)
+        return self.known and not self.other.search(text) and not any(s in text for s in self.specials)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text; texts of about BLOCK characters are looked up together."""

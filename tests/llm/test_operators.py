@@ -355,6 +355,23 @@ def test_token_store_encodes_special_strings_as_the_library(spark):
         k: [*plain.encode(t, add_special_tokens=False).ids, 2] for k, t in enumerate(texts)}
 
 
+def test_word_encoder_of_another_file_equals_the_library():
+    import json
+
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        content = f.read()
+    assert token_store.WordEncoder(content).known
+    cased, digits, cut = (json.loads(content) for _ in range(3))
+    cased["normalizer"] = {"type": "NFC"}
+    digits["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\p{L}+|\p{N}+"
+    cut["truncation"] = {"direction": "Right", "max_length": 3, "strategy": "LongestFirst", "stride": 0}
+    texts = ["Hello World", "in 2024, don't", "one two three four five", ""]
+    for other in map(json.dumps, (cased, digits, cut)):
+        plain = Tokenizer.from_str(other)
+        for text, ids in zip(texts, token_store.WordEncoder(other, False).encode(texts), strict=True):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def test_token_file_reads_only_what_is_asked_for_and_checks_it():
     import zstandard
 
