@@ -48,7 +48,7 @@ TRAIN_DOCS, TRAIN_SENTENCES = 4_000, 20_000
 MIN_DOCS, MIN_PRECISION = 3, 0.6  # toxic documents of a unit, and their share of its documents
 HIT = 0.3
 PREDICT_AT = 0.7
-SPAN_AT = 0.5  # marginal of an offending word; documents below this score have none
+SPAN_AT = 0.5  # marginal of an offending word, whatever its document's score
 KEPT_WORDS, BLOCK = 350_000, 1 << 18
 
 
@@ -324,12 +324,13 @@ class Tagger(dict):
             run()
         return largest, hits, words
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
+    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text: the score and the largest marginal."""
         if self.field.weights is None:
-            return np.zeros(len(texts))
+            return np.zeros(len(texts)), np.zeros(len(texts))
         largest, hits, words = self.read(texts)
         odds = np.clip(evidence(largest, hits, words) @ self.field.document, -30, 30)
-        return np.where(words > 0, 1 / (1 + np.exp(-odds)), 0.0)
+        return np.where(words > 0, 1 / (1 + np.exp(-odds)), 0.0), largest
 
     def spans(self, text: str, at: float = SPAN_AT) -> list[tuple[int, int, float]]:
         """(start, end, marginal) of the words of a text that are toxic with at least ``at``."""
@@ -349,10 +350,10 @@ def tag(documents: DataFrame, field: Field) -> DataFrame:
         tagger = held(("toxicity", key), lambda: Tagger(shared.value))
         for texts in parts:
             texts = texts.tolist()
-            scores = tagger.scores(texts)
+            scores, largest = tagger.scores(texts)
             yield pd.DataFrame({"score": scores, "spans": [
                 [dict(zip(("start", "end", "marginal"), s, strict=True)) for s in tagger.spans(t)] if p >= SPAN_AT else []
-                for t, p in zip(texts, scores, strict=True)]})
+                for t, p in zip(texts, largest, strict=True)]})
 
     out = documents.withColumn("__toxic", run(documents["text"]))
     return out.withColumns({"score": F.col("__toxic.score"), "spans": F.col("__toxic.spans")}).drop("__toxic")

@@ -133,6 +133,24 @@ def test_toxicity(spark, edge, nothing):
     assert {r["score"] for r in toxicity.tag(edge, unlearnt).collect()} == {0.0}
 
 
+def known_field(bad="idiot", document=(-12.0, 1.0, 0.0, 0.0)):
+    """A field that marks one word, with a score that stays low."""
+    weights = np.zeros(toxicity.DIM)
+    weights[zlib.crc32(b"bias") % toxicity.DIM] = -4.0
+    weights[zlib.crc32(f"w={bad}".encode()) % toxicity.DIM] = 3.0
+    field = toxicity.Field(weights, np.ones((2, 2)))
+    field.document = np.array(document)
+    return field
+
+
+def test_toxic_words_are_marked_whatever_the_score(spark):
+    texts = ["fine words, you idiot. " + "and more fine ones " * 50, "fine words", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in toxicity.tag(df, known_field()).collect()}
+    assert all(r["score"] < toxicity.SPAN_AT for r in out.values())
+    assert [[texts[k][s["start"]:s["end"]] for s in out[k]["spans"]] for k in range(4)] == [["idiot"], [], [], []]
+
+
 # -- 4 decontamination
 
 
