@@ -277,7 +277,7 @@ class Tagger(dict):
         return k
 
     def marginals(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(toxic marginal, place) of the words among tokens of whole sentences."""
+        """(toxic marginal, place) of the words among at most BLOCK tokens, besides stops."""
         if len(self) > KEPT_WORDS:
             self.clear()
             self.update(dict.fromkeys(STOPS, 0))
@@ -314,12 +314,12 @@ class Tagger(dict):
                 continue
             tokens = (m[0] for m in TOKEN.finditer(text)) if len(text) > 8 * BLOCK else iter(TOKEN.findall(text))
             while part := list(islice(tokens, BLOCK)):
+                if size + len(part) > BLOCK:  # marginals() has room for BLOCK new words
+                    run()
+                    held, ends, size = [], [], 0
                 held.append(part)
                 ends.append(k)
                 size += len(part)
-                if size >= BLOCK:
-                    run()
-                    held, ends, size = [], [], 0
         if held:
             run()
         return largest, hits, words
@@ -336,9 +336,11 @@ class Tagger(dict):
         """(start, end, marginal) of the words of a text that are toxic with at least ``at``."""
         if self.field.weights is None:
             return []
-        found = list(TOKEN.finditer(text))
-        p, place = self.marginals([m[0] for m in found])
-        return [(*found[place[k]].span(), float(p[k])) for k in np.flatnonzero(p >= at)]
+        out, matches = [], TOKEN.finditer(text)
+        while found := list(islice(matches, BLOCK)):  # the blocks of :meth:`read`
+            p, place = self.marginals([m[0] for m in found])
+            out += [(*found[place[k]].span(), float(p[k])) for k in np.flatnonzero(p >= at)]
+        return out
 
 
 def tag(documents: DataFrame, field: Field) -> DataFrame:

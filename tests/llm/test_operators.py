@@ -151,6 +151,21 @@ def test_toxic_words_are_marked_whatever_the_score(spark):
     assert [[texts[k][s["start"]:s["end"]] for s in out[k]["spans"]] for k in range(4)] == [["idiot"], [], [], []]
 
 
+def test_texts_of_many_new_words_are_read_in_blocks(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    monkeypatch.setattr(toxicity, "KEPT_WORDS", 20)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    new = [a + b + c for a in letters for b in letters for c in "xyz"]
+    long = " ".join([*new[:200], "idiot", *new[200:260], "idiot"])
+    for size in (1, 9, 15, 16):  # texts that nearly fill a block, then others
+        texts = [" ".join(new[k:k + size]) for k in range(0, 600, size)] + [long]
+        largest, _, words = toxicity.Tagger(known_field()).read(texts)
+        assert words.tolist() == [len(t.split()) for t in texts]
+        assert (largest >= toxicity.SPAN_AT).tolist() == ["idiot" in t for t in texts]
+    at = [m.span() for m in re.finditer("idiot", long)]
+    assert [s[:2] for s in toxicity.Tagger(known_field()).spans(long)] == at
+
+
 # -- 4 decontamination
 
 
