@@ -163,7 +163,7 @@ def path_words(path: Column) -> Column:
 def fit(urls: DataFrame) -> Bayes:
     """From rows (host, path, words): a bounded sample of the distinct URLs, weakly labelled."""
     rows = urls.select("host", "path", "words").dropDuplicates(["host", "path"])
-    n, spread = urls.count(), 1 << 30
+    n, spread = urls.select("host", "path").distinct().count(), 1 << 30
     rows = rows.where(F.pmod(F.xxhash64("host", "path"), F.lit(spread)) < int(spread * min(1.0, TRAIN_URLS / max(1, n))))
     rows = pin(rows.withColumn("bad", F.arrays_overlap("words", F.array(*map(F.lit, SEEDS))).cast("int")), "url-sample")
     sizes = dict(rows.groupBy("bad").count().collect())

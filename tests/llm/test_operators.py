@@ -233,6 +233,13 @@ def test_url_filter(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_url_sample_counts_distinct_urls(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "TRAIN_URLS", 40)
+    rows = [("h", f"/{k}", [f"word{k}", "bets"] if k == 7 else [f"word{k}"]) for k in range(40) for _ in range(50)]
+    model = url_filter.fit(spark.createDataFrame(rows, "host string, path string, words array<string>"))
+    assert {f"word{k}" for k in range(40)} <= set(model.weights)
+
+
 # -- 6 quality
 
 
