@@ -3,8 +3,8 @@ unigram Viterbi search, and a multinomial naive Bayes model scores the words of
 
 Word frequencies are counted over the visible text of all pages, but only for strings that some
 host holds: a join of the hosts' substrings with the words decides, so no vocabulary is gathered.
-Each distinct part of a host name (a run of letters, up to ``MAX_PART`` at a time) is split
-once, in its own row. The naive Bayes model learns from weak labels: a URL whose words hold one
+Each distinct part of a host name (a whole run of letters) is split once, in its own row; a word
+has at most ``MAX_WORD`` letters, as many as a label can hold. The naive Bayes model learns from weak labels: a URL whose words hold one
 of ``SEEDS`` is an example of a blocked one. It reads at most ``TRAIN_URLS`` distinct (host,
 path), chosen by hash, and keeps ``MAX_TOKENS`` words.
 
@@ -32,7 +32,7 @@ MAX_RULES = 1_000  # each URL is held against each rule in its own row
 
 SEEDS = ("casino", "poker", "bet", "bets", "betting", "pills", "viagra", "adult", "porn", "xxx", "spam", "ads", "malware")
 MIN_WORD_COUNT = 2
-MAX_WORD, MAX_PART = 24, 63  # letters of a word; of a run that is split at a time (a label's limit)
+MAX_WORD = 63  # letters of a word (a label's limit)
 TRAIN_URLS, MAX_TOKENS = 200_000, 100_000
 MAX_BROADCAST = 500_000
 
@@ -66,10 +66,9 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
 
 
 def parts_of(host: Column) -> Column:
-    """Runs of letters of all labels but the last (the registry's), at most MAX_PART letters each."""
+    """Runs of letters of all labels but the last (the registry's)."""
     names = F.regexp_replace(host, r"\.?[^.]*$", "")
-    runs = F.filter(F.split(names, r"[^\p{L}]+"), lambda x: x != "")
-    return F.flatten(F.transform(runs, lambda x: F.regexp_extract_all(x, F.lit(f"(?s).{{1,{MAX_PART}}}"), F.lit(0))))
+    return F.filter(F.split(names, r"[^\p{L}]+"), lambda x: x != "")
 
 
 def page_words(html: Column) -> Column:
@@ -79,11 +78,16 @@ def page_words(html: Column) -> Column:
 
 
 def substrings(parts: DataFrame) -> DataFrame:
-    """(part, at, word): every substring of a part of up to MAX_WORD letters."""
-    n = F.length("part")
-    return parts.select("part", F.explode(F.sequence(F.lit(1), n)).alias("at")).select(
-        "part", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), n - F.col("at") + 1))).alias("size")).select(
-        "part", "at", F.substring(F.col("part"), F.col("at"), F.col("size")).alias("word"))
+    """(id, at, word): every substring of a part of up to MAX_WORD letters."""
+    # pieces that start every MAX_WORD letters and reach as far as a word from there can
+    pieces = F.regexp_extract_all("part", F.lit(f"(?s)(?=(.{{1,{2 * MAX_WORD - 1}}})).{{1,{MAX_WORD}}}"), F.lit(1))
+    n = F.length("piece")
+    starts = parts.select("id", F.posexplode(pieces).alias("k", "piece")).select(
+        "id", "k", "piece", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), n))).alias("i"))
+    return starts.select("id", "k", "piece", "i", F.explode(
+        F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), n - F.col("i") + 1))).alias("size")).select(
+        "id", (F.col("k") * MAX_WORD + F.col("i")).alias("at"),
+        F.substring(F.col("piece"), F.col("i"), F.col("size")).alias("word"))
 
 
 def viterbi(part: str, words: dict[tuple[int, str], int], total: int) -> list[str]:
@@ -106,6 +110,7 @@ def viterbi(part: str, words: dict[tuple[int, str], int], total: int) -> list[st
 
 def segment(parts: DataFrame, pages: DataFrame) -> DataFrame:
     """(part, words) for the distinct parts of host names, by the word counts of ``pages``."""
+    parts = pin(parts.select(F.monotonically_increasing_id().alias("id"), "part"), "host-part-ids")
     held = pin(substrings(parts), "host-substrings")
     wanted = broadcast_below(pin(held.select("word").distinct(), "host-words"), MAX_BROADCAST)
     counts = pages.select(F.explode(page_words(F.col("html"))).alias("word")).join(wanted, "word", "left_semi").groupBy(
@@ -115,8 +120,8 @@ def segment(parts: DataFrame, pages: DataFrame) -> DataFrame:
     # the seeds are words, whether pages use them or not
     seeds = parts.sparkSession.createDataFrame([(s, MIN_WORD_COUNT) for s in SEEDS], "word string, n bigint")
     counts = counts.unionByName(seeds).groupBy("word").agg(F.max("n").alias("n"))
-    found = held.join(counts, "word").groupBy("part").agg(F.collect_list(F.struct("at", "word", "n")).alias("words"))
-    rows = parts.join(found, "part", "left")
+    found = held.join(counts, "word").groupBy("id").agg(F.collect_list(F.struct("at", "word", "n")).alias("words"))
+    rows = parts.join(found, "id", "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

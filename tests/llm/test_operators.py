@@ -233,6 +233,14 @@ def test_url_filter(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_long_words_and_runs_of_host_names(spark):
+    word = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    runs = {"goodnews" * 20: ["good", "news"] * 20, "good" + word + "news": ["good", word, "news"]}
+    hosts = spark.createDataFrame([(f"{r}.com",) for r in runs], "host string")
+    pages = spark.createDataFrame([(f"good news {word} " * 5,)], "html string")
+    assert {r["host"][:-4]: r["words"] for r in url_filter.host_words(hosts, pages).collect()} == runs
+
+
 def test_url_sample_counts_distinct_urls(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "TRAIN_URLS", 40)
     rows = [("h", f"/{k}", [f"word{k}", "bets"] if k == 7 else [f"word{k}"]) for k in range(40) for _ in range(50)]
