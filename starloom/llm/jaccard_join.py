@@ -159,8 +159,8 @@ def text_key(text: Column) -> Column:
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """(doc_id, key, fp, n, sig, bands) of each text with a word: key and fp are digests of the
-    text and of its shingle set."""
+    """(doc_id, key, fp, n, sig, bands) of each text: key and fp are digests of the text and of its
+    shingle set. A text without a word has n = 0 and no fp, sig or bands."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
@@ -168,15 +168,17 @@ def signatures(documents: DataFrame) -> DataFrame:
             rows = []
             for doc_id, key, text in zip(part["doc_id"], part["key"], part["text"], strict=True):
                 s = shingler.shingles(text)
-                if len(s):
-                    values = minhash(s)
-                    rows.append((doc_id, key, hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s),
-                                 values.astype(np.uint8).tobytes(), band_keys(values)))
+                if not len(s):
+                    rows.append((doc_id, key, None, 0, None, None))
+                    continue
+                values = minhash(s)
+                rows.append((doc_id, key, hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s),
+                             values.astype(np.uint8).tobytes(), band_keys(values)))
             out = pd.DataFrame(rows, columns=["doc_id", "key", "fp", "n", "sig", "bands"])
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
-    rows = documents.where(F.col("text").isNotNull()).select(
-        "doc_id", text_key(F.col("text")).alias("key"), ascii_lower(F.col("text")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    rows = documents.select("doc_id", text_key(text).alias("key"), ascii_lower(text).alias("text"))
     return rows.mapInPandas(run, "doc_id long, key binary, fp binary, n long, sig binary, bands array<long>")
 
 
@@ -250,7 +252,10 @@ def _verify(rows: list[tuple]) -> pd.DataFrame:
             roots = np.unique(np.append(root[linked], root[i]))
             root[np.isin(root, roots)] = roots[0]
     hit = np.flatnonzero(links)
-    return pd.DataFrame({"fp": [rows[k][2] for k in hit], "links": links[hit], "root": [rows[root[k]][2] for k in hit]})
+    named: dict[int, bytes] = {}  # a group's root is its smallest member, so that edges lead up from it
+    for k in hit:
+        named[root[k]] = min(rows[k][2], named.get(root[k], rows[k][2]))
+    return pd.DataFrame({"fp": [rows[k][2] for k in hit], "links": links[hit], "root": [named[root[k]] for k in hit]})
 
 
 def linked(documents: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
@@ -298,10 +303,12 @@ def linked(documents: DataFrame, classes: DataFrame, groups: DataFrame) -> DataF
     return blocks.mapInPandas(verify, "fp binary, links long, root binary")
 
 
-def join(documents: DataFrame) -> DataFrame:
+def join(documents: DataFrame, wordless: bool = False) -> DataFrame:
     """(doc_id, key, fp, class_id, n_links, copies) of each text with a word: ``class_id`` is the
-    smallest doc_id of its near-duplicate group, ``n_links`` the number of documents it links with."""
-    signed = pin(signatures(documents), "signatures")
+    smallest doc_id of its near-duplicate group, ``n_links`` the number of documents it links with.
+    With ``wordless``, the texts without a word too, each a class of its own."""
+    every = pin(signatures(documents), "signatures")
+    signed = every.where("n > 0")
     classes = pin(classes_of(signed), "classes")
     pairs, ties = candidates(classes)
     groups = components(pruned(pairs, classes).union(ties))
@@ -315,7 +322,12 @@ def join(documents: DataFrame) -> DataFrame:
     ids = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     info = named.join(ids, "label").select(
         "fp", "label", "class_id", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return signed.select("doc_id", "key", "fp").join(info, "fp")
+    found = signed.select("doc_id", "key", "fp").join(info, "fp")
+    if not wordless:
+        return found
+    return found.unionByName(every.where("n = 0").select(
+        "doc_id", "key", "fp", F.lit(None).cast("binary").alias("label"), F.col("doc_id").alias("class_id"),
+        F.lit(1).cast("bigint").alias("copies"), F.lit(0).cast("bigint").alias("n_links")))
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
@@ -338,10 +350,4 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents", "doc_id", "text")
-    found = join(documents).select("doc_id", "class_id", "n_links", "copies")
-    # texts without a word
-    empty = documents.where(F.length(F.regexp_replace(
-        ascii_lower(F.coalesce("text", F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "")) == 0)
-    return found.unionByName(empty.select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"),
-        F.lit(1).cast("bigint").alias("copies")))
+    return join(documents, wordless=True).select("doc_id", "class_id", "n_links", "copies")

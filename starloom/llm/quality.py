@@ -138,8 +138,9 @@ def judge(rows: DataFrame) -> DataFrame:
 
 
 def keep(documents: DataFrame) -> DataFrame:
-    """The documents that pass, with their columns as they were."""
-    return judge(measured(documents)).where("__kept").select(*[F.col(f"`{c}`") for c in documents.columns])
+    """The documents that pass, with their columns as they were. They are measured once: sketches
+    and verdicts read the written rows."""
+    return judge(pin(measured(documents), "quality-measures")).where("__kept").select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
