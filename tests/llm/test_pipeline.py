@@ -104,7 +104,7 @@ def test_pipeline_of_nothing(spark, nothing):
 def test_stages_are_the_dealt_ones():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "language_id", "jaccard_join", "benchmark_decontamination", "byte_level_bpe"]
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_contract_columns(spark):
@@ -114,6 +114,10 @@ def test_contract_columns(spark):
         "op7_byte_bpe": [("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")],
         "op8_token_store": [("doc_id", "bigint"), ("start", "bigint"), ("n_tokens", "bigint"), ("ids_crc32", "bigint")],
         "op9_jaccard_join": [("doc_id", "bigint"), ("class_id", "bigint"), ("n_links", "bigint")],
+        "op11_fill_middle": [("doc_id", "bigint"), ("n", "bigint"), ("form", "string"), ("prefix_chars", "bigint"),
+                             ("middle_chars", "bigint"), ("output_sha256", "string"), ("restored_sha256", "string")],
+        "op13_sharding": [("doc_id", "bigint"), ("size", "bigint"), ("text_crc32", "bigint"), ("law", "string"),
+                          ("shard", "int"), ("slot", "bigint"), ("grown_shard", "int")],
     }
     n = read(spark, SMALL, "documents").count()
     for name, columns in want.items():
