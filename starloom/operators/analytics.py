@@ -8,9 +8,10 @@ DataFrame with the reference's output columns. Conventions:
 * NULL ordering follows the reference engine (ASC -> NULLS LAST, DESC -> NULLS FIRST);
 * windows over inputs bounded by nature (months, weeks, quarters x categories, stores,
   segments, promotions) use plain Spark windows; ranks and tiles over customers and products
-  go through ``operators.ranking`` so no single task sorts the whole input;
-* dimension tables are broadcast only behind a row-count guard; the fact table is read with
-  just the columns each query needs (Parquet column pruning).
+  go through ``operators.ranking``, all of a query's in one range exchange, so no single task
+  sorts the whole input;
+* no dimension join is forced to a broadcast (Spark's byte limit and AQE choose); the fact table
+  is read with just the columns each query needs (Parquet column pruning).
 """
 
 from __future__ import annotations
@@ -194,16 +195,15 @@ def q05_store_vs_avg(star: Star) -> DataFrame:
             rounded_mean(F.sum("net_revenue"), F.count("net_revenue")).alias("avg_order_value"),
         )
     )
-    # the mean and the rank read the stores' totals again
-    sr = R.pin(sr)
-    avg = sr.agg(F.sum("total_revenue") / F.count("total_revenue")).scalar()
-    out = sr.select(
+    every, best = Window.partitionBy(), Window.orderBy(F.col("total_revenue").desc_nulls_first())  # stores: bounded
+    avg = F.sum("total_revenue").over(every) / F.count("total_revenue").over(every)
+    return sr.select(
         "store_name", "region", "store_type", "total_revenue", "total_orders",
         "avg_order_value",
         round2(avg).cast(MONEY_TOTAL).alias("avg_store_revenue"),
         round2(F.col("total_revenue") - avg).cast(MONEY_TOTAL).alias("deviation_from_avg"),
-    )
-    return R.rank(out, [R.desc("total_revenue")], out="store_rank").orderBy("store_rank", "store_name")
+        _bigint(F.rank().over(best)).alias("store_rank"),
+    ).orderBy("store_rank", "store_name")
 
 
 # ---------------------------------------------------------------------------
@@ -235,8 +235,8 @@ def q06_product_margin(star: Star, buckets: int | None = None) -> DataFrame:
             pct(money("__profit"), money("__rev"), guard_zero=True).alias("profit_margin_pct"),
         )
     )
-    pm = R.rank(R.pin(pm), [R.desc("profit_margin_pct")], out="margin_rank", buckets=buckets)
-    pm = R.rank(pm, [R.desc("total_revenue")], out="revenue_rank", buckets=buckets)
+    pm = R.scores(pm, ["product_name", "category", "brand"], [
+        R.Score("margin_rank", R.desc("profit_margin_pct")), R.Score("revenue_rank", R.desc("total_revenue"))], buckets)
     return pm.orderBy("revenue_rank", "margin_rank", "product_name", "category", "brand")
 
 
@@ -401,11 +401,9 @@ def q11_rfm(star: Star, as_of: date | str, buckets: int | None = None) -> DataFr
             .alias("days_since_last_purchase"),
         )
     )
-    base = R.pin(base)
-    tie = [R.asc("customer_name"), R.asc("customer_segment")]
-    out = R.ntile(base, 3, [R.asc("days_since_last_purchase"), *tie], "recency_score", buckets)
-    out = R.ntile(out, 3, [R.desc("frequency"), *tie], "frequency_score", buckets)
-    out = R.ntile(out, 3, [R.desc("monetary"), *tie], "monetary_score", buckets)
+    out = R.scores(base, ["customer_name", "customer_segment"], [
+        R.Score("recency_score", R.asc("days_since_last_purchase"), 3), R.Score("frequency_score", R.desc("frequency"), 3),
+        R.Score("monetary_score", R.desc("monetary"), 3)], buckets)
     return out.orderBy(F.col("monetary").desc_nulls_first(), "customer_name", "customer_segment")
 
 

@@ -6,14 +6,13 @@ number of line shuffles at two):
 1. order headers get their customer key (current version) and store key first: that join
    has order cardinality, four times smaller than lines;
 2. the two product-level inputs (current product version and staging cost) are joined to
-   each other once, so lines meet products in a single join; that lookup is broadcast when
-   its row count is under the guard, otherwise lines shuffle once on ``product_id``;
+   each other once, so lines meet products in a single join; Spark broadcasts that lookup
+   if it is small, otherwise lines shuffle once on ``product_id``;
 3. lines then join the enriched headers on ``order_id``, and the line-number window on
    ``order_id`` reuses that partitioning (no further exchange).
 
-The small dimensions (store, promotion) are broadcast behind a row-count guard; customer
-is left to Spark's join selection (AQE turns it into a broadcast at run time when it is
-small, and splits skewed keys otherwise).
+No dimension join is forced to a broadcast: Spark's byte limit and AQE choose (a join becomes a
+broadcast at run time when one side is small, and skewed keys are split otherwise).
 """
 
 from __future__ import annotations

@@ -16,6 +16,10 @@ key shared by a third of all rows is one row in step 1 and is counted, not sorte
 are joined back on the key (by Spark's own choice: a broadcast of a small key table, else a
 shuffle join whose skewed partitions AQE splits).
 
+:func:`scores` gives several RANK and NTILE columns over different numeric columns at once: all
+of them share one range exchange of (score, value, key) rows and one table of offsets. A tie may
+span buckets there; each bucket's row in the offsets says where its first value began.
+
 Inputs bounded by nature (months, weeks, stores, segments) should keep the plain window; every
 other input takes this one path, whatever its size.
 """
@@ -174,18 +178,101 @@ def ntile(
     With N rows, q = N div k and r = N mod k: the first r tiles hold q+1 rows, the rest q.
     ``order`` must be a total order for a deterministic answer.
     """
-    k = buckets_out
     rn = "__rn"
     tot = "__tot"
     numbered = row_number(df, order, out=rn, buckets=buckets, with_total=tot)
+    return numbered.withColumn(out, _tile(rn, tot, buckets_out)).drop(rn, tot)
+
+
+def _tile(rn: str, tot: str, k: int) -> Column:
+    """The tile, of ``k``, of row ``rn`` of ``tot`` (names of columns)."""
     q = f"({tot} div {k})"          # rows per tile
     r = f"({tot} - {q} * {k})"      # tiles holding one extra row
     big = f"({r} * ({q} + 1))"      # rows in the larger tiles
-    tile = F.expr(
+    return F.expr(
         f"CASE WHEN {rn} <= {big} THEN ({rn} - 1) div ({q} + 1) + 1 "
         f"ELSE {r} + ({rn} - 1 - {big}) div nullif({q}, 0) + 1 END"
-    )
-    return numbered.withColumn(out, tile.cast("long")).drop(rn, tot)
+    ).cast("long")
+
+
+@dataclass(frozen=True)
+class Score:
+    """A column of :func:`scores`: RANK() over ``by``, or NTILE(``tiles``) over ``by`` with ties in
+    the order of the key."""
+
+    out: str
+    by: SortKey
+    tiles: int | None = None
+
+
+_S, _F, _V, _R = "__score", "__null_flag", "__value", "__local"
+
+
+def _decimal_parts(df: DataFrame, name: str) -> tuple[int, int]:
+    """Digits before and after the point of an integer or decimal column."""
+    t = df.schema[name].dataType
+    whole = {"byte": 3, "short": 5, "integer": 10, "long": 19}
+    if t.typeName() in whole:
+        return whole[t.typeName()], 0
+    if t.typeName() == "decimal":
+        return t.precision - t.scale, t.scale
+    raise ValueError(f"scores need integer or decimal columns, {name} is {t.simpleString()}")
+
+
+def scores(df: DataFrame, key: Sequence[str], wanted: Sequence[Score], buckets: int | None = None) -> DataFrame:
+    """``df`` (one row per ``key``) with the ``wanted`` columns as BIGINT.
+
+    Each row becomes one narrow row a score; the first of them carries the row's other columns.
+    All are range-partitioned together by (score, value, key), so that a value shared by a third
+    of all rows is spread over buckets by its keys; they are numbered inside their buckets and
+    written once. Offsets have one row for each bucket and score. A last aggregate on the key
+    brings a row's scores together."""
+    key = list(key)
+    parts = [_decimal_parts(df, w.by.name) for w in wanted]
+    scale = max(p[1] for p in parts)
+    if max(p[0] for p in parts) + scale > 38:
+        raise ValueError("the scored columns have no decimal type in common")
+    n = buckets or shuffle_partitions(df.sparkSession)
+    rest = [c for c in df.columns if c not in key]
+
+    def place(i: int, w: Score) -> Column:
+        value = F.col(w.by.name).cast(f"decimal(38,{scale})")
+        return F.struct(
+            F.lit(i).alias(_S), F.when(value.isNotNull(), 1).otherwise(0 if w.by.null_first else 2).alias(_F),
+            (-value if w.by.descending else value).alias(_V),
+            (F.struct(*rest) if i == 0 else F.lit(None)).alias("__rest"))
+
+    rows = df.select(*key, F.inline(F.array(*[place(i, w) for i, w in enumerate(wanted)])))
+    value = [F.col(_F), F.col(_V)]
+    ties = [F.col(c).asc_nulls_last() for c in key]
+    rows = rows.repartitionByRange(n, _S, *value, *ties).withColumn(_B, F.spark_partition_id())
+    inside = Window.partitionBy(_B, _S)
+    # the rows' order by value and key serves the rank too: one sort
+    rows = rows.withColumn("__rn", F.row_number().over(inside.orderBy(*value, *ties)))
+    rows = pin(rows.withColumn(_R, F.rank().over(inside.orderBy(*value))))
+
+    edge = F.struct(_F, _V)
+    sizes = rows.groupBy(_B, _S).agg(
+        F.count(F.lit(1)).alias(_BN), F.min(edge).alias("__first"), F.max(edge).alias("__last"), F.max(_R).alias("__tail"))
+    order = Window.partitionBy(_S).orderBy(_B)
+    before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    offs = sizes.withColumns({
+        _OFF: F.coalesce(F.sum(_BN).over(before), F.lit(0)), _TOTAL: F.sum(_BN).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        "__goes_on": F.coalesce(F.lag("__last").over(order).eqNullSafe(F.col("__first")), F.lit(False))})
+    # where the value that ends a bucket began: in this bucket, unless the whole bucket goes on with one
+    one = F.col("__goes_on") & F.col("__first").eqNullSafe(F.col("__last"))
+    offs = offs.withColumn("__began", F.last(F.when(~one, F.col(_OFF) + F.col("__tail")), ignorenulls=True).over(upto))
+    offs = offs.withColumn("__first_rank", F.when(F.col("__goes_on"), F.lag("__began").over(order)).otherwise(F.col(_OFF) + 1))
+    numbered = rows.join(F.broadcast(offs.select(_B, _S, _OFF, _TOTAL, "__first", "__first_rank")), [_B, _S])
+    numbered = numbered.withColumns({
+        "__rank": F.when(F.col(_R) == 1, F.col("__first_rank")).otherwise(F.col(_OFF) + F.col(_R)),
+        "__rn": F.col(_OFF) + F.col("__rn")})
+    of = lambda i, w: F.col("__rank") if w.tiles is None else _tile("__rn", _TOTAL, w.tiles)
+    whole = numbered.groupBy(*key).agg(
+        F.first("__rest", ignorenulls=True).alias("__rest"),
+        *[F.max(F.when(F.col(_S) == i, of(i, w))).cast("long").alias(w.out) for i, w in enumerate(wanted)])
+    columns = [F.col(c) if c in key else F.col(f"__rest.{c}") for c in df.columns]
+    return whole.select(*columns, *[w.out for w in wanted])
 
 
 def assign_surrogate_keys(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -84,6 +85,48 @@ def test_distributed_plan_sorts_only_bucket_counts_globally(spark):
         assert orders and all("__bucket" in o for o in orders), orders
 
 
+def _check_scores(df, key, wanted, buckets):
+    got = R.scores(df, key, wanted, buckets)
+    assert got.columns == [*df.columns, *[w.out for w in wanted]]
+    ties = [F.col(c).asc_nulls_last() for c in key]
+    native = df
+    for w in wanted:
+        fn = F.rank().over(Window.orderBy(w.by.column())) if w.tiles is None else F.ntile(w.tiles).over(
+            Window.orderBy(w.by.column(), *ties))
+        native = native.withColumn(w.out, fn.cast("long"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, native.collect()), key=repr)
+
+
+def test_scores_match_native_with_ties_over_many_buckets(spark):
+    """A value of a third of all rows spans several buckets, whole buckets hold nothing else."""
+    df = _data(spark, n=3_000, values=40).withColumns({"q": (F.col("id") % 5).cast("int"), "big": F.col("id") * 1_000_003})
+    wanted = [R.Score("a", R.desc("v")), R.Score("b", R.asc("v")), R.Score("c", R.asc("q")), R.Score("t", R.desc("v"), 3),
+              R.Score("u", R.asc("big"), 4), R.Score("w", R.asc("v", nulls_first=True))]
+    for buckets in (1, 2, 7, 40):
+        _check_scores(df, ["id"], wanted, buckets)
+    _check_scores(df.withColumn("name", F.when(F.col("id") != 3, F.col("name"))), ["name", "id"], wanted[:4], 9)
+
+
+def test_scores_of_few_rows_and_none(spark):
+    wanted = [R.Score("a", R.desc("v")), R.Score("t", R.desc("v"), 3)]
+    for rows in ([], [(1, None)], [(1, 5), (2, 5)], [(1, 1), (2, None), (3, None), (4, 7)]):
+        _check_scores(spark.createDataFrame(rows, "id long, v int"), ["id"], wanted, 5)
+
+
+def test_scores_use_one_range_exchange_and_one_pinned_table(spark, monkeypatch):
+    pinned = []
+    pin = R.pin
+    monkeypatch.setattr(R, "pin", lambda df: pinned.append(df) or pin(df))
+    df = _data(spark, n=500)
+    out = R.scores(df, ["id"], [R.Score("a", R.desc("v")), R.Score("b", R.asc("v")), R.Score("t", R.asc("id"), 3)], 4)
+    assert len(pinned) == 1
+    assert pinned[0]._jdf.queryExecution().executedPlan().toString().count("rangepartitioning") == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and _global_windows(plan) == []
+    with pytest.raises(ValueError, match="name is string"):
+        R.scores(df, ["id"], [R.Score("a", R.desc("name"))])
+
+
 def test_surrogate_keys_dense_and_offset(spark):
     df = spark.createDataFrame([(f"K{i:03d}",) for i in range(50)], "k string")
     out = R.assign_surrogate_keys(df, ["k"], "sk", start_after=100, buckets=3)
