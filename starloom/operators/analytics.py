@@ -88,6 +88,42 @@ def q01_monthly_trend(star: Star) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------------------
+# Sales of a date range or of a fiscal period
+# ---------------------------------------------------------------------------
+
+def sales_by_day(star: Star, start: date | None = None, end: date | None = None,
+                 fiscal_year: int | None = None, fiscal_quarter: int | None = None) -> DataFrame:
+    """Lines, orders, quantity, revenue and profit of each day with sales from ``start`` to ``end`` and
+    within a fiscal year and quarter (each limit only if given).
+
+    On a fact in month folders the dates' months are filtered as literals, and the join with the
+    calendar names the month, so that a filter on the calendar prunes folders at run time."""
+    days = star.dim_date
+    for column, value in (("fiscal_year", fiscal_year), ("fiscal_quarter", fiscal_quarter)):
+        if value is not None:
+            days = days.where(F.col(column) == value)
+    f, on = star.fact_sales, ["date_key"]
+    if "month_key" in f.columns:
+        days, on = days.withColumn("month_key", F.expr("date_key div 100").cast("int")), ["month_key", "date_key"]
+    for limit, below in ((start, False), (end, True)):
+        if limit is not None:
+            key = limit.year * 10_000 + limit.month * 100 + limit.day
+            keep = lambda c, v: F.col(c) <= v if below else F.col(c) >= v
+            days, f = days.where(keep("date_key", key)), f.where(keep("date_key", key))
+            if len(on) > 1:
+                f = f.where(keep("month_key", key // 100))
+    f = f.select(*on, "order_id", "quantity", "net_revenue", "gross_profit")
+    return (
+        f.join(days.select(*on, "full_date"), on)
+        .groupBy("full_date")
+        .agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("order_id").alias("orders"),
+             _bigint(F.sum("quantity")).alias("units_sold"),
+             rounded_money(F.sum("net_revenue")).alias("revenue"), rounded_money(F.sum("gross_profit")).alias("profit"))
+        .orderBy("full_date")
+    )
+
+
 # ---------------------------------------------------------------------------
 # Q02 category ranking by region (top 5 per region, ties kept)
 # ---------------------------------------------------------------------------
@@ -255,10 +291,15 @@ def q07_weekly_moving_avg(star: Star) -> DataFrame:
             F.count_distinct("order_id").alias("weekly_orders"),
         )
     )
+    return moving_average(ws)
+
+
+def moving_average(weeks: DataFrame) -> DataFrame:
+    """The mean over four weeks and the year's running total, of one row a week."""
     last4 = Window.orderBy("year_number", "week_of_year").rowsBetween(-3, 0)  # bounded: weeks
     ytd = Window.partitionBy("year_number").orderBy("week_of_year")
     return (
-        ws.select(
+        weeks.select(
             "week_start", "weekly_revenue", "weekly_orders",
             rounded_mean(F.sum("weekly_revenue").over(last4), F.count("weekly_revenue").over(last4))
             .alias("moving_avg_4week"),

@@ -4,7 +4,8 @@ After ``register_layers(spark, root)`` the staging and warehouse tables are quer
 ``spark.sql`` under the same schema-qualified names the reference's scripts use
 (``warehouse.fact_sales``, ``warehouse.dim_date``, ``staging.orders`` ...). The tables are
 external Parquet tables over the files already written under ``root``: nothing is copied,
-and the database folders live under ``root`` too.
+and the database folders live under ``root`` too. ``register_version(spark, store)`` does the same
+for a version of a store (``plans.versions``), as temporary views.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from starloom.contracts import STAGING, WAREHOUSE
+from starloom.plans import versions
 from starloom.sources.tables import layer_path
 
 
@@ -38,3 +40,14 @@ def register_layers(spark: SparkSession, root: str, layers: tuple[str, ...] = ("
             spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{_quote(path)}'")
             names.append(f"{layer}.{name}")
     return names
+
+
+def register_version(spark: SparkSession, store: str, number: int | None = None) -> list[str]:
+    """Create (or replace) a temporary view named like its table for each table of a version, by
+    default the last one, and for its partial sums (``state_day`` and so on)."""
+    star = versions.open_version(spark, store, number)
+    views = {name: getattr(star, name) for name in WAREHOUSE}
+    views |= {f"state_{n}": versions.read_state(spark, store, n, number) for n in versions.state.NAMES}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)

@@ -12,7 +12,7 @@ query. Two rules keep them exact:
 
 from __future__ import annotations
 
-from starloom.plans.registry import AS_OF_2, AS_OF_3, BULK, CONFIG, FACT_COLUMNS, SECOND_LOAD
+from starloom.plans.registry import AS_OF_2, AS_OF_3, BULK, CONFIG, FACT_COLUMNS, PERIOD, RANGE, SECOND_LOAD
 from starloom.sources.adapter import COST_RATIO, STORE_TYPES
 from starloom.sources.batches import (
     ABSENT_BELOW,
@@ -561,6 +561,24 @@ moved AS (
   LEFT JOIN popened p ON p.product_id = d.product_id AND p.is_changed)"""
 SECOND_LOAD_FACT = _LINES.replace("i.quantity, i.unit_price, p.cost AS unit_cost,", "i.quantity, i.unit_price, i.discount AS pct, p.cost AS unit_cost,") \
     + _SECOND + f"\nSELECT {_FACT} FROM moved"
+# growth counts lines of current product versions only
+SECOND_LOAD_Q10 = (_LINES.replace("i.quantity, i.unit_price, p.cost AS unit_cost,", "i.quantity, i.unit_price, i.discount AS pct, p.cost AS unit_cost,")
+                   + _SECOND + """,
+gone AS (SELECT d.product_key FROM d_product d JOIN popened p ON p.product_id = d.product_id AND p.is_changed),
+qc AS (SELECT year(full_date) AS y, quarter(full_date) AS q, category, sum(net_revenue) AS rev, sum(quantity) AS units
+       FROM moved WHERE product_key NOT IN (SELECT product_key FROM gone) GROUP BY 1, 2, 3)
+""" + Q10[Q10.index("SELECT CAST(y AS SMALLINT)"):])
+
+_BY_DAY = """
+SELECT full_date, count(*) AS lines, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units_sold,
+       CAST(sum(net_revenue) AS DECIMAL(22,2)) AS revenue, CAST(sum(gross_profit) AS DECIMAL(22,2)) AS profit
+FROM moved WHERE {} GROUP BY 1"""
+SALES_IN_RANGE = SECOND_LOAD_FACT[:SECOND_LOAD_FACT.rindex("SELECT")] + _BY_DAY.format(
+    f"full_date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'")
+SALES_IN_PERIOD = SECOND_LOAD_FACT[:SECOND_LOAD_FACT.rindex("SELECT")] + _BY_DAY.format(
+    f"(CASE WHEN month(full_date) >= 7 THEN year(full_date) + 1 ELSE year(full_date) END) = {PERIOD[0]} "
+    f"AND ((month(full_date) + 5) % 12) // 3 + 1 = {PERIOD[1]}")
+
 SECOND_LOAD_KEYS = _with("""
 SELECT (SELECT count(*) FROM fact) AS sales_rows, (SELECT count(*) FROM fact) AS sales_keys, 0::BIGINT AS keys_below_1,
        snapshot_rows, snapshot_rows AS snapshot_keys, 0::BIGINT AS lines_without_day
@@ -737,6 +755,11 @@ SQL_EXACT: dict[str, str] = {
     "snapshot_two_days": SNAPSHOT_TWO_DAYS,
     "second_load_fact_sales": SECOND_LOAD_FACT,
     "second_load_q01": Q01,
+    "second_load_q07": Q07,
+    "second_load_q10": SECOND_LOAD_Q10,
+    "load_rollback": SECOND_LOAD_FACT,
+    "sales_in_range": SALES_IN_RANGE,
+    "sales_in_period": SALES_IN_PERIOD,
     "second_load_keys": SECOND_LOAD_KEYS,
     "fact_keys": FACT_KEYS,
     "dq_unique_lines": DQ_UNIQUE_LINES,

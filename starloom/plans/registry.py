@@ -21,24 +21,24 @@ from pyspark.sql import functions as F
 from starloom.contracts import DRIVER_SCHEMAS, STAGING, WAREHOUSE
 from starloom.functions.hashing import hash_hex
 from starloom.operators import analytics as A
-from starloom.operators import dims, facts, quality
+from starloom.operators import dims, facts, quality, state
 from starloom.operators.calendar import dim_date
 from starloom.operators.ranking import pin
 from starloom.operators.scd import DEFERRED, SINGLE_PASS
+from starloom.plans import versions
 from starloom.plans.warehouse import (
     TESTDATA_CONFIG,
     LoadConfig,
     append_sales,
     build_star,
     calendar_range,
-    load_again,
     read_staging,
     read_star,
     stage_mirror,
     with_buckets,
     write_snapshot,
 )
-from starloom.session import ensure_checkpoint_dir, scratch_path
+from starloom.session import delete_at_exit, ensure_checkpoint_dir, scratch_path
 from starloom.sources import batches
 from starloom.sources.adapter import adapt
 from starloom.sources.tables import layer_path, read_driver_tables, write_table
@@ -257,6 +257,13 @@ def q_store_mixed_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 # later loads of the facts
 # ---------------------------------------------------------------------------
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A folder for what a query writes, deleted when the application ends."""
+    path = scratch_path(spark, name)
+    delete_at_exit(spark, path)
+    return path
+
+
 BULK = 45  # lines of this quantity or more come late
 FACT_COLUMNS = ["order_id", "item_id", "order_line_num", "date_key", "customer_key", "product_key", "store_key",
                 "promotion_key", "quantity", "unit_price", "unit_cost", "discount_amount", "net_revenue", "gross_profit",
@@ -273,7 +280,7 @@ def _append_bulk(whole: bool) -> Callable[[SparkSession, str], DataFrame]:
             return facts.fact_sales(items, st["orders"], st["products"], st["promotions"], s.dim_customer, s.dim_product,
                                     s.dim_store, s.dim_promotion)
 
-        root = scratch_path(spark, "append")
+        root = _folder(spark, "append")
         items = st["order_items"]
         write_table(rows(items.where(F.col("quantity") < BULK)), root, "warehouse", "fact_sales")
         stored = spark.read.parquet(layer_path(root, "warehouse", "fact_sales"))
@@ -285,7 +292,7 @@ def q_snapshot_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two days' snapshots, and whether each row's identity key is its own and, on the second day,
     above those of the first."""
     wh = warehouse_for(spark, sf_dir)
-    root = scratch_path(spark, "snapshots")
+    root = _folder(spark, "snapshots")
     for day in (CONFIG.as_of, AS_OF_2):
         out = write_snapshot(facts.fact_inventory_snapshot(
             wh.staging["inventory"], wh.star.dim_product, wh.star.dim_store, day), root)
@@ -298,27 +305,70 @@ def q_snapshot_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SECOND_LOAD = date(2001, 1, 1)  # orders from this day on come with the second load
-_SECOND: dict[tuple, A.Star] = {}
+_SECOND: dict[tuple, str] = {}
 
 
-def second_load_for(spark: SparkSession, sf_dir: str) -> A.Star:
-    """The star after two loads: orders before ``SECOND_LOAD``; then a whole extract with mailed
-    customers and dearer products."""
+def second_load_store(spark: SparkSession, sf_dir: str) -> str:
+    """A store of two loads, in order buckets and month folders: orders before ``SECOND_LOAD``; then a
+    whole extract with mailed customers and dearer products."""
     app_key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if app_key not in _SECOND:
-        st = dict(warehouse_for(spark, sf_dir).staging)
+        wh = warehouse_for(spark, sf_dir)
+        st = dict(wh.staging)
         early = {**st, "orders": st["orders"].where(F.col("order_date") < F.lit(SECOND_LOAD))}
         early["order_items"] = st["order_items"].join(early["orders"].select("order_id"), "order_id", "left_semi").select(
             *st["order_items"].columns)
-        cfg = replace(CONFIG, as_of=SECOND_LOAD, order_buckets=None, lines_per_bucket=None)
-        root = scratch_path(spark, "two-loads")
-        first = build_star(spark, early, cfg, root)
-        st["customers"] = batches.customers_with_contact_update(st["customers"], st["orders"])
-        st["products"] = batches.products_second_extract(st["products"])
-        _SECOND[app_key] = load_again(spark, first, root, st, replace(cfg, as_of=CONFIG.as_of), scratch_path(spark, "two-loads"))
+        cfg = replace(with_buckets(CONFIG, st["order_items"]), as_of=SECOND_LOAD, fact_partition_by_month=True)
+        store = _folder(spark, "two-loads")
+        versions.load(spark, store, early, cfg)
+        versions.load(spark, store, _second_extract(st), replace(cfg, as_of=CONFIG.as_of))
+        _SECOND[app_key] = store
     return _SECOND[app_key]
 
 
+def _second_extract(st: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {**st, "customers": batches.customers_with_contact_update(st["customers"], st["orders"]),
+            "products": batches.products_second_extract(st["products"])}
+
+
+def second_load_for(spark: SparkSession, sf_dir: str) -> A.Star:
+    return versions.open_version(spark, second_load_store(spark, sf_dir), 2)
+
+
+def q_load_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two more loads on the second version: one breaks a contract (lines without a discount), one
+    is stopped when all is written but nothing published. The fact that readers then see."""
+    store = second_load_store(spark, sf_dir)
+    st = _second_extract(warehouse_for(spark, sf_dir).staging)
+    cfg = replace(with_buckets(CONFIG, st["order_items"]), as_of=AS_OF_2)
+    lines = st["order_items"]
+    late = lines.withColumn("item_id", F.concat("item_id", F.lit("-again")))
+    torn = lines.withColumn("discount", F.when(F.col("quantity") < BULK, F.col("discount")))
+
+    def stop(_: A.Star) -> None:
+        raise ValueError("stopped before the version was published")
+
+    for items, gate in ((torn, None), (late, stop)):
+        try:
+            versions.load(spark, store, {**st, "order_items": items}, cfg, before_publish=gate)
+        except ValueError:
+            continue
+        raise AssertionError("the load should have failed")
+    return versions.open_version(spark, store).fact_sales.select(*FACT_COLUMNS)
+
+
+def _from_state(fn: Callable, name: str, *with_star: bool) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = second_load_store(spark, sf_dir)
+        sums = versions.read_state(spark, store, name, 2)
+        return fn(sums, versions.open_version(spark, store, 2)) if with_star else fn(sums)
+    return run
+
+
+RANGE = (date(2000, 11, 15), date(2001, 2, 10))  # spans both loads
+PERIOD = (2001, 2)                               # fiscal year and quarter
+
+
 def _keys_of(s: A.Star) -> DataFrame:
     """Rows and identity keys of the facts, keys below 1, and lines without a day in the calendar."""
     lost = s.fact_sales.join(s.dim_date, "date_key", "left_anti").agg(F.count("*").alias("lines_without_day"))
@@ -448,7 +498,13 @@ _QUERIES_EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_sales_partial_batch": lambda spark, sf_dir: _append_bulk(False)(spark, sf_dir).select(*FACT_COLUMNS),
     "snapshot_two_days": q_snapshot_two_days,
     "second_load_fact_sales": lambda spark, sf_dir: second_load_for(spark, sf_dir).fact_sales.select(*FACT_COLUMNS),
-    "second_load_q01": lambda spark, sf_dir: A.q01_monthly_trend(second_load_for(spark, sf_dir)),
+    "second_load_q01": _from_state(state.q01_from_state, "day", True),
+    "second_load_q07": _from_state(state.q07_from_state, "week"),
+    "second_load_q10": _from_state(state.q10_from_state, "day_product", True),
+    "load_rollback": q_load_rollback,
+    "sales_in_range": lambda spark, sf_dir: A.sales_by_day(second_load_for(spark, sf_dir), *RANGE),
+    "sales_in_period": lambda spark, sf_dir: A.sales_by_day(
+        second_load_for(spark, sf_dir), fiscal_year=PERIOD[0], fiscal_quarter=PERIOD[1]),
     "second_load_keys": lambda spark, sf_dir: _keys_of(second_load_for(spark, sf_dir)),
     "fact_keys": lambda spark, sf_dir: _keys_of(_star(spark, sf_dir)),
     "dq_unique_lines": q_dq_unique_lines,

@@ -6,7 +6,8 @@ Order of a load (the five dimensions are mutually independent; the facts need al
 
 Each table is written to ``<root>/<layer>/<table>`` and read back before the next step uses
 it, so a step never recomputes its inputs and a lost executor only repeats the current step.
-A refresh writes the new star under a new root and never overwrites the root it reads.
+A refresh writes the new star under a new root and never overwrites the root it reads. Loads that
+follow each other in one store, published as versions, are in ``plans.versions``.
 """
 
 from __future__ import annotations
@@ -277,22 +278,6 @@ def read_star(spark: SparkSession, root: str, order_buckets: int | None = None)
     )
 
 
-def write_layout(spark: SparkSession, root: str, fact_root: str, order_buckets: int | None) -> None:
-    """Record beside a star's dimensions where its facts lie and how they are bucketed."""
-    spark.createDataFrame([(fact_root, order_buckets)], "fact_root string, order_buckets int").coalesce(1).write.mode(
-        "overwrite").json(layer_path(root, "warehouse", "_layout"))
-
-
-def open_star(spark: SparkSession, root: str) -> tuple[Star, str, int | None]:
-    """A star written by :func:`write_layout`'s caller, the root of its facts and their buckets."""
-    found = spark.read.schema("fact_root string, order_buckets int").json(layer_path(root, "warehouse", "_layout")).first()
-    fact_root, buckets = found["fact_root"], found["order_buckets"]
-    read = lambda r, n: spark.read.parquet(layer_path(r, "warehouse", n))
-    sales = register_bucketed_fact(spark, fact_root, buckets) if buckets else read(fact_root, "fact_sales")
-    dims_ = {n: read(root, n) for n in ("dim_date", "dim_customer", "dim_product", "dim_store", "dim_promotion")}
-    return Star(fact_sales=sales, fact_inventory_snapshot=read(fact_root, "fact_inventory_snapshot"), **dims_), fact_root, buckets
-
-
 def refresh_dimensions(
     spark: SparkSession,
     previous: Star,
@@ -356,31 +341,3 @@ def write_snapshot(snapshot: DataFrame, root: str) -> DataFrame:
     (snapshot.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("snapshot_date").parquet(path))
     return spark.read.parquet(path)
-
-
-def load_again(
-    spark: SparkSession,
-    previous: Star,
-    fact_root: str,
-    staging: dict[str, DataFrame],
-    cfg: LoadConfig,
-    root: str,
-) -> Star:
-    """A later load, end to end: the dimensions are merged (Type 1 and Type 2) and the calendar
-    extended under the new ``root``; new order lines and the load day's snapshot are appended
-    to the facts under ``fact_root``, where the earlier loads wrote them. ``staging`` may hold a
-    full extract or the new orders only. All of it is checked: dimensions and new rows before
-    anything is appended, so a load that raises leaves the facts as they were."""
-    d = build_dimensions(spark, staging, cfg, root, previous)
-    rows = facts.fact_sales(
-        staging["order_items"], staging["orders"], staging["products"], staging["promotions"],
-        d["dim_customer"], d["dim_product"], d["dim_store"], d["dim_promotion"], tax_rate=cfg.tax_rate)
-    snap = facts.fact_inventory_snapshot(staging["inventory"], d["dim_product"], d["dim_store"], cfg.as_of)
-    if cfg.enforce:
-        enforce({**d, "fact_sales": rows, "fact_inventory_snapshot": snap}, WAREHOUSE)
-    sales = append_sales(previous.fact_sales, rows, fact_root, order_buckets=cfg.order_buckets)
-    return Star(
-        fact_sales=sales, dim_date=d["dim_date"], dim_customer=d["dim_customer"],
-        dim_product=d["dim_product"], dim_store=d["dim_store"], dim_promotion=d["dim_promotion"],
-        fact_inventory_snapshot=write_snapshot(snap, fact_root),
-    )
