@@ -31,6 +31,9 @@ from starloom.sources.tables import conform
 
 TAX_RATE = "0.08"
 
+# Which version of a customer or product a sale is bound to.
+CURRENT, AS_OF = "current", "as_of"
+
 
 # ---------------------------------------------------------------------------
 # Line measures (exact decimals; every rounding is half away from zero)
@@ -98,6 +101,39 @@ def _identity(start_after: int | Column) -> Column:
     return (start + F.lit(1) + F.monotonically_increasing_id()).cast("long")
 
 
+def bind_as_of(rows: DataFrame, dim: DataFrame, natural: str, day: str, surrogate: str) -> DataFrame:
+    """``rows`` with the surrogate key of the version that was valid on ``day``.
+
+    Versions and rows of a natural key meet in one sorted window, where each row takes the last
+    version that had begun: no row is multiplied by versions. Rows before the first version take
+    that one (a first load's versions begin on the load date, after all its sales); rows without
+    any version are dropped. Versions closed before they began (a second change on one day)
+    were never valid. Natural keys with very many rows meet a broadcast of their versions instead.
+    """
+    valid = dim.where(F.col("expiry_date") >= F.col("effective_date")).select(
+        natural, F.col("effective_date").alias("__from"), F.col(surrogate).alias("__version"))
+    ordinary, hot_rows, hot = split_hot(rows, [natural])
+    line = F.struct(*[F.col(c) for c in rows.columns]).alias("__line")
+    none = F.lit(None)
+    both = ordinary.select(natural, F.col(day).alias("__at"), F.lit(1).alias("__is_line"), none.cast("int").alias("__version"), line).unionByName(
+        valid.select(natural, F.col("__from").alias("__at"), F.lit(0).alias("__is_line"), F.col("__version").cast("int"),
+                     none.cast(ordinary.select(line).schema["__line"].dataType).alias("__line")))
+    order = Window.partitionBy(natural).orderBy("__at", "__is_line")
+    begun = F.last("__version", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    first = F.first("__version", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    out = both.withColumn("__version", F.coalesce(begun, first)).where("__is_line = 1 AND __version IS NOT NULL").select(
+        "__line.*", F.col("__version").alias(surrogate))
+    if hot_rows is None:
+        return out
+    # a key's versions in one row: bounded by the few hot keys
+    few = valid.join(F.broadcast(hot), natural, "left_semi").groupBy(natural).agg(
+        F.array_sort(F.collect_list(F.struct("__from", "__version"))).alias("__all"))
+    begun = F.filter("__all", lambda v: v["__from"] <= F.col(day))
+    chosen = F.coalesce(F.try_element_at(begun, F.lit(-1)), F.get("__all", F.lit(0)))["__version"]
+    return out.unionByName(hot_rows.join(F.broadcast(few), natural).select(
+        *rows.columns, chosen.cast("int").alias(surrogate)))
+
+
 # ---------------------------------------------------------------------------
 # fact_sales
 # ---------------------------------------------------------------------------
@@ -114,6 +150,7 @@ def fact_sales(
     tax_rate: str = TAX_RATE,
     start_after: int | Column = 0,
     lines_colocated: bool = False,
+    binding: str = CURRENT,
 ) -> DataFrame:
     """One row per order line with surrogate keys and measures, and as a last column the
     ``item_id`` that identifies the line in later loads.
@@ -127,18 +164,23 @@ def fact_sales(
     Inner joins: orders, current customer, current product, store, staging product (the
     cost comes from staging, not from the dimension version). Left: promotion. Lines whose
     keys do not resolve are dropped; no filter on order status.
+
+    ``binding="as_of"`` binds customers and products to the versions valid on the order date
+    (:func:`bind_as_of`) instead of the current ones.
     """
-    cust = scd_current(dim_customer).select("customer_id", "customer_key")
+    if binding not in (CURRENT, AS_OF):
+        raise ValueError(f"unknown binding {binding!r}")
     store = dim_store.select("store_id", "store_key")
-    headers = (
-        orders.select("order_id", "customer_id", "order_date", "store_id")
-        .join(cust, "customer_id")
-        .join(store, "store_id")
-        .select("order_id", "order_date", "customer_key", "store_key")
-    )
-    current_products = scd_current(dim_product).select("product_id", "product_key")
-    product_lookup = current_products.join(
-        products.select("product_id", F.col("cost").alias("unit_cost")), "product_id")
+    headers = orders.select("order_id", "customer_id", "order_date", "store_id")
+    costs = products.select("product_id", F.col("cost").alias("unit_cost"))
+    if binding == CURRENT:
+        headers = headers.join(scd_current(dim_customer).select("customer_id", "customer_key"), "customer_id")
+        product_lookup = scd_current(dim_product).select("product_id", "product_key").join(costs, "product_id")
+    else:
+        headers = bind_as_of(headers, dim_customer, "customer_id", "order_date", "customer_key")
+        # known products; the version follows when the line has its date
+        product_lookup = costs.join(dim_product.where("expiry_date >= effective_date").select("product_id"), "product_id", "left_semi")
+    headers = headers.join(store, "store_id").select("order_id", "order_date", "customer_key", "store_key")
     items = order_items.select("item_id", "order_id", "product_id", "quantity", "unit_price", "discount")
     # Orders with a huge number of lines are split off: they meet a broadcast of their own
     # headers and are numbered by the distributed path instead of one task per order.
@@ -163,6 +205,8 @@ def fact_sales(
             ["order_id"], ["item_id"], "order_line_num",
         )
         lines = lines.unionByName(hot_lines.select(*lines.columns))
+    if binding == AS_OF:
+        lines = bind_as_of(lines, dim_product, "product_id", "order_date", "product_key")
     price, qty, pct, cost = F.col("unit_price"), F.col("quantity"), F.col("discount"), F.col("unit_cost")
     out = lines.select(
         D.date_key("order_date").alias("date_key"),

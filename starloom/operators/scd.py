@@ -2,7 +2,8 @@
 
 * ``scd1_upsert``: overwrite in place (INSERT ... ON CONFLICT DO UPDATE).
 * ``scd2_detect`` / ``scd2_expire`` / ``scd2_insert`` / ``scd2_apply``: versioned history with
-  change detection by a row hash.
+  change detection by a row hash;
+* ``scd2_splice``: a batch of any date, also one before versions that are already there.
 
 Each operator is a pure function ``(current table, source batch) -> new table``. The caller
 writes the result to a new location and then switches to it; the path being read is never
@@ -190,6 +191,8 @@ def scd2_apply(
         check_unique_batch(raw, key)
     history = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current"))
+    # the derived source is evaluated once: for the status, and for the versions it opens
+    source = pin(source)
     # one narrow row per key (key, status), classified once for both steps
     status = pin(scd2_detect(current, source, key, hash_col))
     closed = scd2_expire(current, status, key, as_of)
@@ -201,6 +204,82 @@ def scd2_apply(
     return history.unionByName(closed).unionByName(opened.select(*dim.columns))
 
 
+def observations(source: DataFrame, key: Sequence[str], as_of: date | str | Column, hash_col: str = "row_hash") -> DataFrame:
+    """What a batch shows: (key, observed_on, hash) of each of its rows, for the log that
+    :func:`scd2_splice` reads. A row is some dozens of bytes."""
+    return source.select(*key, _lit_date(as_of).alias("observed_on"), F.col(hash_col).alias("observed"))
+
+
+def scd2_splice(
+    dim: DataFrame,
+    log: DataFrame,
+    source: DataFrame,
+    key: Sequence[str],
+    surrogate: str,
+    as_of: date | str,
+    hash_col: str = "row_hash",
+) -> tuple[DataFrame, DataFrame]:
+    """One Type 2 load of a batch of any date; returns the new dimension and the new log.
+
+    ``log`` holds the :func:`observations` of every earlier batch. A batch later than all of them
+    is an ordinary single-pass load. Otherwise the intervals of its keys are drawn anew from all
+    their observations: a version begins where the hash differs from that of the observation before
+    it, and ends the day before the next one begins. So the intervals depend on the batches and
+    not on their order. Stored versions keep their surrogate keys: each one belongs to the
+    new version that covers its first day (which may now begin earlier); other versions, such as the
+    second half of one that a late change cut in two, get new keys. Attributes come from the
+    batch where a version begins with it, else from the stored version of that hash.
+
+    Keys that the batch does not hold are not touched. The same batch again changes nothing; another
+    batch with the same date and a different row for a key raises, since a day holds one state.
+    """
+    key = list(key)
+    check_unique_batch(source, key)
+    source = pin(source)
+    seen = observations(source, key, as_of, hash_col)
+    grown = log.join(seen.select(*key, "observed_on"), [*key, "observed_on"], "left_anti").unionByName(seen)
+    clash = log.alias("l").join(seen.alias("s"), [*key, "observed_on"]).where(~F.col("l.observed").eqNullSafe(F.col("s.observed")))
+    if not clash.isEmpty():
+        raise ValueError(f"another batch of {as_of} has different rows for the same keys")
+    latest = log.agg(F.max("observed_on")).first()[0]
+    if latest is None or str(latest) < str(as_of):
+        return scd2_apply(dim, source, key, surrogate, as_of, hash_col=hash_col, validate=False), grown
+
+    mine = grown.join(source.select(*key), key, "left_semi")
+    by_day = Window.partitionBy(*key).orderBy("observed_on")  # one row a batch
+    before = F.lag(F.struct("observed")).over(by_day)
+    begins = mine.withColumn("__before", before).where(
+        F.col("__before").isNull() | ~F.col("__before.observed").eqNullSafe(F.col("observed")))
+    following = F.lead("observed_on").over(by_day)
+    drawn = begins.select(
+        *key, F.col("observed_on").alias("effective_date"), F.col("observed").alias("__hash"),
+        F.coalesce(F.date_sub(following, 1), F.lit(SENTINEL_EXPIRY).cast("date")).alias("expiry_date"),
+        following.isNull().alias("is_current"))
+    intervals = ["effective_date", "expiry_date", "is_current"]
+    attributes = [c for c in dim.columns if c not in (*key, surrogate, *intervals)]
+    # a version closed before it began (a second change on one day) was never valid and stays as it is
+    valid = F.col("expiry_date") >= F.col("effective_date")
+    touched = dim.where(valid).join(source.select(*key), key, "left_semi")
+    rest = dim.where(valid).join(source.select(*key), key, "left_anti").unionByName(dim.where(~valid))
+    stored = touched.select(*key, F.col(surrogate), F.col("effective_date").alias("__day"), F.struct(*attributes).alias("__a"), F.col(hash_col).alias("__h"))
+    covers = (F.col("__day") >= F.col("effective_date")) & (F.col("__day") <= F.col("expiry_date")) & F.col("__h").eqNullSafe(F.col("__hash"))
+    owned = drawn.join(stored, key, "left").groupBy(*key, *intervals, "__hash").agg(
+        F.min_by(surrogate, F.when(covers, F.col("__day"))).alias("__own"),
+        F.min_by("__a", F.when(F.col("__h").eqNullSafe(F.col("__hash")), F.col("__day"))).alias("__a"))
+    given = source.select(*key, F.struct(*attributes).alias("__given"))
+    whole = pin(owned.join(given, key).select(
+        *key, "__own", *intervals, F.when(F.col("effective_date") == _lit_date(as_of), F.col("__given")).otherwise(
+            F.coalesce("__a", "__given")).alias("__a")))
+    kept = whole.where("__own IS NOT NULL").withColumnRenamed("__own", surrogate)
+    if not touched.join(kept.select(surrogate), surrogate, "left_anti").isEmpty():
+        raise ValueError("the log lacks the batches of some stored versions")
+    fresh = assign_surrogate_keys(
+        whole.where("__own IS NULL").drop("__own"), [*key, "effective_date"], surrogate,
+        start_after=_max_key(dim, surrogate), key_type=dim.schema[surrogate].dataType.simpleString())
+    columns = [F.col(f"__a.{c}") if c in attributes else F.col(c) for c in dim.columns]
+    return rest.select(*dim.columns).unionByName(kept.select(*columns)).unionByName(fresh.select(*columns)), grown
+
+
 def scd_current(dim: DataFrame) -> DataFrame:
     """The current version of every key (``is_current = TRUE``)."""
     return dim.where(F.col("is_current"))

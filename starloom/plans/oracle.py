@@ -12,7 +12,18 @@ query. Two rules keep them exact:
 
 from __future__ import annotations
 
-from starloom.plans.registry import AS_OF_2, AS_OF_3, BULK, CONFIG, FACT_COLUMNS, PERIOD, RANGE, SECOND_LOAD
+from starloom.plans.registry import (
+    AS_OF_2,
+    AS_OF_3,
+    BULK,
+    CHANGE_DAYS,
+    CONFIG,
+    FACT_COLUMNS,
+    MAILED_SINCE,
+    PERIOD,
+    RANGE,
+    SECOND_LOAD,
+)
 from starloom.sources.adapter import COST_RATIO, STORE_TYPES
 from starloom.sources.batches import (
     ABSENT_BELOW,
@@ -20,6 +31,7 @@ from starloom.sources.batches import (
     DEFAULT_ACTIVE_SINCE,
     DROPPED_FROM,
     EMAIL_DOMAIN,
+    LONG_NAME,
     REPRICED_FROM,
     VARIANT_FROM,
 )
@@ -591,6 +603,74 @@ SELECT (SELECT count(*) FROM fact) AS sales_rows, (SELECT count(*) FROM fact) AS
        count(*) AS snapshot_rows, count(*) AS snapshot_keys, 0::BIGINT AS lines_without_day
 FROM s_inventory i JOIN d_product dp ON i.product_id = dp.product_id JOIN d_store ds ON i.store_id = ds.store_id""")
 
+# -- versions by date: late batches, sales bound as of their dates -------------------------------------
+
+_SINCE = f"full_date >= DATE '{CHANGE_DAYS[1].isoformat()}'"
+FACT_AS_OF = _LINES + f"""{_PRODUCTS2.strip()},
+mailed AS (SELECT DISTINCT customer_id FROM s_orders WHERE order_date >= DATE '{DEFAULT_ACTIVE_SINCE.isoformat()}'),
+copened AS (
+  SELECT d.customer_key AS old_key, CAST(({_N1}) + row_number() OVER (ORDER BY d.customer_id) AS INTEGER) AS new_key
+  FROM d_customer d JOIN mailed USING (customer_id)),
+dated AS (
+  SELECT f.* REPLACE (CASE WHEN {_SINCE} THEN coalesce(c.new_key, f.customer_key) ELSE f.customer_key END AS customer_key,
+                      CASE WHEN {_SINCE} THEN coalesce(p.product_key, f.product_key) ELSE f.product_key END AS product_key)
+  FROM fact f LEFT JOIN copened c ON c.old_key = f.customer_key
+  LEFT JOIN d_product d ON d.product_key = f.product_key
+  LEFT JOIN popened p ON p.product_id = d.product_id AND p.is_changed)
+SELECT {_FACT} FROM dated"""
+
+SCD2_LATE = _with("""
+SELECT customer_id, name AS customer_name, email, city, seen AS effective_date,
+       coalesce(lead(seen) OVER k - 1, DATE '9999-12-31') AS expiry_date, lead(seen) OVER k IS NULL AS is_current,
+       new_hash AS row_hash, true AS own_key, true AS no_overlap
+FROM began WINDOW k AS (PARTITION BY customer_id ORDER BY seen)""", _MIXED.strip() + f""",
+mailed2 AS (SELECT DISTINCT customer_id FROM s_orders WHERE order_date >= DATE '{MAILED_SINCE.isoformat()}'),
+batch2 AS (
+  SELECT c.customer_id, c.name, CASE WHEN m.customer_id IS NOT NULL THEN {_email} ELSE c.email END AS email, c.address, c.city, c.state
+  FROM s_customers c LEFT JOIN mailed2 m ON m.customer_id = c.customer_id),
+seen AS (
+  SELECT DATE '{AS_OF}' AS seen, customer_id, name, email, city, {CUSTOMER_HASH} AS new_hash FROM s_customers
+  UNION ALL SELECT DATE '{AS_OF2}', customer_id, name, email, city, {CUSTOMER_HASH} FROM batch2
+  UNION ALL SELECT DATE '{AS_OF3}', customer_id, name, email, city, new_hash FROM e2),
+began AS (SELECT * FROM seen QUALIFY lag(new_hash) OVER (PARTITION BY customer_id ORDER BY seen) IS DISTINCT FROM new_hash)""")
+
+# -- a dirty extract: what is set apart, and what the rest adds up to --------------------------------------
+
+_DIRTY = f"""
+x_customers AS (SELECT * REPLACE (CASE WHEN city LIKE 'A%' THEN NULL ELSE name END AS name) FROM s_customers),
+x_products AS (SELECT * REPLACE (CASE WHEN brand LIKE '%1' THEN repeat(brand, {LONG_NAME}) ELSE brand END AS brand) FROM s_products),
+x_orders AS (SELECT * FROM s_orders UNION ALL SELECT * FROM s_orders WHERE day(order_date) = 13),
+x_items AS (SELECT * REPLACE (CASE WHEN quantity = 50 THEN 'X' || product_id ELSE product_id END AS product_id) FROM s_order_items),
+b_customers AS (SELECT *, CASE WHEN name IS NULL THEN 'not_null:name' END AS broken FROM x_customers),
+b_products AS (SELECT *, CASE WHEN length(brand) > 50 THEN 'length:brand' END AS broken FROM x_products),
+b_orders AS (
+  SELECT *, concat_ws(',', CASE WHEN customer_id NOT IN (SELECT customer_id FROM b_customers WHERE broken IS NULL) THEN 'fk:customers' END,
+                           CASE WHEN count(*) OVER (PARTITION BY order_id) > 1 THEN 'unique_key' END) AS broken FROM x_orders),
+b_items AS (
+  SELECT *, concat_ws(',', CASE WHEN order_id NOT IN (SELECT order_id FROM b_orders WHERE broken = '') THEN 'fk:orders' END,
+                           CASE WHEN product_id NOT IN (SELECT product_id FROM b_products WHERE broken IS NULL) THEN 'fk:products' END)
+    AS broken FROM x_items),
+b_inventory AS (
+  SELECT *, CASE WHEN product_id NOT IN (SELECT product_id FROM b_products WHERE broken IS NULL) THEN 'fk:products' END AS broken
+  FROM s_inventory),
+b AS (
+  SELECT 'customers' AS tbl, customer_id AS row_id, broken FROM b_customers
+  UNION ALL SELECT 'products', product_id, broken FROM b_products
+  UNION ALL SELECT 'orders', order_id, nullif(broken, '') FROM b_orders
+  UNION ALL SELECT 'order_items', item_id, nullif(broken, '') FROM b_items
+  UNION ALL SELECT 'inventory', store_id || '|' || product_id, broken FROM b_inventory
+  UNION ALL SELECT 'suppliers', supplier_id, NULL FROM s_suppliers
+  UNION ALL SELECT 'stores', store_id, NULL FROM s_stores
+  UNION ALL SELECT 'promotions', promo_id, NULL FROM s_promotions)"""
+QUARANTINE_REJECTED = _with("SELECT * FROM b WHERE broken IS NOT NULL", _DIRTY)
+QUARANTINE_COUNTS = _with("""
+SELECT tbl, count(*) FILTER (broken IS NULL) AS accepted, count(*) FILTER (broken IS NOT NULL) AS rejected FROM b GROUP BY tbl""", _DIRTY)
+QUARANTINE_Q01 = _LINES + _DIRTY.strip() + """,
+m AS (SELECT year(full_date) AS y, month(full_date) AS mn,
+             rpad(monthname(full_date), 9, ' ') AS month_name, sum(net_revenue) AS rev
+      FROM fact WHERE item_id IN (SELECT item_id FROM b_items WHERE broken = '') GROUP BY 1, 2, 3)
+""" + Q01[Q01.index("SELECT CAST(y AS SMALLINT)"):]
+
 # -- data quality on given tables ---------------------------------------------------------------
 
 DQ_UNIQUE_LINES = """
@@ -691,6 +771,26 @@ w_fact_inventory AS (
 DQ_VIOLATIONS = _violations_sql()
 
 
+def _dirty_violations_sql() -> str:
+    """The source contracts' rules counted over the dirty extract."""
+    from starloom.contracts import SOURCE
+
+    rel = {n: f"s_{n}" for n in SOURCE} | {"customers": "x_customers", "products": "x_products", "orders": "x_orders", "order_items": "x_items"}
+    parts = []
+    for name, c in SOURCE.items():
+        r = rel[name]
+        rules = {"not_null": f"SELECT count(*) FROM {r} WHERE " + " OR ".join(f"{x} IS NULL" for x in c.required),
+                 "length": "SELECT " + " + ".join(f"count(*) FILTER (length({x}) > {n})" for x, n in c.lengths.items()) + f" FROM {r}",
+                 "unique_key": f"SELECT count(*) FROM (SELECT 1 FROM {r} GROUP BY {', '.join(c.key)} HAVING count(*) > 1)"}
+        for cols, parent, parent_cols in c.foreign_keys:
+            rules[f"fk_{parent}"] = f"SELECT count(*) FROM {r} WHERE {cols[0]} NOT IN (SELECT {parent_cols[0]} FROM {rel[parent]})"
+        parts += [f"SELECT '{name}.{k}' AS check_name, CAST(({q}) AS BIGINT) AS violations" for k, q in rules.items()]
+    return _with("\nUNION ALL\n".join(parts), _DIRTY)
+
+
+DQ_VIOLATIONS_DIRTY = _dirty_violations_sql()
+
+
 _DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
                "timestamp_ntz": "TIMESTAMP"}
 
@@ -758,6 +858,12 @@ SQL_EXACT: dict[str, str] = {
     "second_load_q07": Q07,
     "second_load_q10": SECOND_LOAD_Q10,
     "load_rollback": SECOND_LOAD_FACT,
+    "fact_sales_as_of": FACT_AS_OF,
+    "scd2_late_batch": SCD2_LATE,
+    "quarantine_rejected": QUARANTINE_REJECTED,
+    "quarantine_counts": QUARANTINE_COUNTS,
+    "quarantine_q01": QUARANTINE_Q01,
+    "dq_violations_dirty": DQ_VIOLATIONS_DIRTY,
     "sales_in_range": SALES_IN_RANGE,
     "sales_in_period": SALES_IN_PERIOD,
     "second_load_keys": SECOND_LOAD_KEYS,

@@ -18,10 +18,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.contracts import DRIVER_SCHEMAS, STAGING, WAREHOUSE
+from starloom.contracts import DRIVER_SCHEMAS, SOURCE, STAGING, WAREHOUSE
 from starloom.functions.hashing import hash_hex
 from starloom.operators import analytics as A
-from starloom.operators import dims, facts, quality, state
+from starloom.operators import dims, facts, quality, quarantine, scd, state
 from starloom.operators.calendar import dim_date
 from starloom.operators.ranking import pin
 from starloom.operators.scd import DEFERRED, SINGLE_PASS
@@ -365,6 +365,61 @@ def _from_state(fn: Callable, name: str, *with_star: bool) -> Callable[[SparkSes
     return run
 
 
+CHANGE_DAYS = (date(1998, 1, 1), date(2000, 1, 1))  # versions that sales are bound to by their dates
+
+
+def q_fact_sales_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales fact bound to the versions valid on the order date, after two batches of customers
+    and products."""
+    wh = warehouse_for(spark, sf_dir)
+    st, s = wh.staging, wh.star
+    second = _second_extract(st)
+    customers, products = None, None
+    for day, x in zip(CHANGE_DAYS, (st, second), strict=True):
+        customers = pin(dims.dim_customer(customers, x["customers"], st["orders"], day, SINGLE_PASS, CONFIG.gold, CONFIG.silver))
+        products = pin(dims.dim_product(products, x["products"], st["suppliers"], day))
+    return facts.fact_sales(st["order_items"], st["orders"], st["products"], st["promotions"], customers, products,
+                            s.dim_store, s.dim_promotion, lines_colocated=True, binding=facts.AS_OF).select(*FACT_COLUMNS)
+
+
+MAILED_SINCE = date(2000, 1, 1)  # orders from this day on have an e-mail in the late batch
+
+
+def q_scd2_late_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers after three batches of which the second comes last: the intervals, and whether a
+    version's key is its own and the key's intervals do not overlap."""
+    wh = warehouse_for(spark, sf_dir)
+    st, key = wh.staging, ["customer_id"]
+    of = lambda c: dims.scd2_source_customer(c, st["orders"], CONFIG.gold, CONFIG.silver)
+    late = of(batches.customers_with_contact_update(st["customers"], st["orders"], MAILED_SINCE))
+    dim, log = wh.star.dim_customer, scd.observations(of(st["customers"]), key, CONFIG.as_of)
+    for day, source in ((AS_OF_3, of(batches.customers_second_extract(st["customers"], st["orders"], st["suppliers"]))), (AS_OF_2, late)):
+        dim, log = (pin(x) for x in scd.scd2_splice(dim, log, source, key, "customer_key", day))
+    keys = dim.groupBy("customer_key").count().withColumnRenamed("count", "__n")
+    overlaps = scd.overlapping_versions(dim, key).select("customer_id").distinct().withColumn("__bad", F.lit(True))
+    return dim.join(keys, "customer_key").join(overlaps, "customer_id", "left").select(
+        "customer_id", "customer_name", "email", "city", "effective_date", "expiry_date", "is_current",
+        hash_hex("row_hash").alias("row_hash"), (F.col("__n") == 1).alias("own_key"), F.col("__bad").isNull().alias("no_overlap"))
+
+
+_MARKED: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    app_key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if app_key not in _MARKED:
+        _MARKED[app_key] = quarantine.quarantine(batches.dirty_extract(warehouse_for(spark, sf_dir).staging), STAGING)
+    return _MARKED[app_key]
+
+
+def q_quarantine_q01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly trend of a star loaded from the rows of a dirty extract that passed."""
+    clean = {n: quarantine.accepted(df) for n, df in _quarantined(spark, sf_dir).items()}
+    store = _folder(spark, "clean-rows")
+    versions.load(spark, store, clean, CONFIG)
+    return A.q01_monthly_trend(versions.open_version(spark, store))
+
+
 RANGE = (date(2000, 11, 15), date(2001, 2, 10))  # spans both loads
 PERIOD = (2001, 2)                               # fiscal year and quarter
 
@@ -502,6 +557,13 @@ _QUERIES_EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "second_load_q07": _from_state(state.q07_from_state, "week"),
     "second_load_q10": _from_state(state.q10_from_state, "day_product", True),
     "load_rollback": q_load_rollback,
+    "fact_sales_as_of": q_fact_sales_as_of,
+    "scd2_late_batch": q_scd2_late_batch,
+    "quarantine_rejected": lambda spark, sf_dir: quarantine.report(_quarantined(spark, sf_dir), STAGING),
+    "quarantine_counts": lambda spark, sf_dir: quarantine.counts(_quarantined(spark, sf_dir)),
+    "quarantine_q01": q_quarantine_q01,
+    "dq_violations_dirty": lambda spark, sf_dir: quality.violation_counts(
+        batches.dirty_extract(warehouse_for(spark, sf_dir).staging), SOURCE),
     "sales_in_range": lambda spark, sf_dir: A.sales_by_day(second_load_for(spark, sf_dir), *RANGE),
     "sales_in_period": lambda spark, sf_dir: A.sales_by_day(
         second_load_for(spark, sf_dir), fiscal_year=PERIOD[0], fiscal_quarter=PERIOD[1]),

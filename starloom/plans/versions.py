@@ -255,7 +255,7 @@ def load(
     rows = pin(facts.fact_sales(
         staging["order_items"], staging["orders"], staging["products"], staging["promotions"],
         d["dim_customer"], d["dim_product"], d["dim_store"], d["dim_promotion"], tax_rate=cfg.tax_rate,
-        lines_colocated=cfg.order_buckets is not None))
+        lines_colocated=cfg.order_buckets is not None, binding=cfg.binding))
     snapshot = pin(facts.fact_inventory_snapshot(staging["inventory"], d["dim_product"], d["dim_store"], cfg.as_of))
     if cfg.enforce:
         enforce({**d, "fact_sales": rows, "fact_inventory_snapshot": snapshot}, WAREHOUSE)

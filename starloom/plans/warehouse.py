@@ -47,6 +47,7 @@ class LoadConfig:
     order_buckets: int | None = None         # bucket staging orders, order lines and the
                                              # sales fact by order_id (co-located joins)
     lines_per_bucket: int | None = None      # sets order_buckets from the number of lines
+    binding: str = facts.CURRENT             # or facts.AS_OF: versions valid on the order date
     enforce: bool = True                     # a load that breaks a table contract raises
 
 
@@ -209,6 +210,7 @@ def build_facts(
         dim["dim_customer"], dim["dim_product"], dim["dim_store"], dim["dim_promotion"],
         tax_rate=cfg.tax_rate,
         lines_colocated=cfg.order_buckets is not None,
+        binding=cfg.binding,
     )
     part = None
     if cfg.fact_partition_by_month:

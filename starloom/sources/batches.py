@@ -101,3 +101,22 @@ def stores_with_managers(stores: DataFrame, open_date: date) -> DataFrame:
             for c in stores.columns
         ]
     )
+
+
+LONG_NAME = 8  # times a product's brand is repeated in the dirty extract
+
+
+def dirty_extract(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """An extract that breaks rules: customers of nations with A have no name, brands that end with 1
+    are too long, headers of the 13th of a month come twice, and lines of 50 pieces name products
+    that do not exist."""
+    orders = tables["orders"]
+    return {
+        **tables,
+        "customers": _set(tables["customers"], name=F.when(~F.col("city").startswith("A"), F.col("name"))),
+        "products": _set(tables["products"], brand=F.when(
+            F.col("brand").endswith("1"), F.repeat("brand", F.lit(LONG_NAME))).otherwise(F.col("brand"))),
+        "orders": orders.unionByName(orders.where(F.dayofmonth("order_date") == 13)),
+        "order_items": _set(tables["order_items"], product_id=F.when(
+            F.col("quantity") == 50, F.concat(F.lit("X"), "product_id")).otherwise(F.col("product_id"))),
+    }
