@@ -22,6 +22,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions import bitmaps as B
 from starloom.functions import dates as D
 from starloom.functions.money import (
     MONEY_TOTAL,
@@ -58,6 +59,26 @@ def _stores(star: Star, *cols: str) -> DataFrame:
     return star.dim_store.select("store_key", *cols)
 
 
+def _with_orders(df: DataFrame, groups: list[str], orders: str, sums: dict[str, str], least: dict[str, str] | None = None) -> DataFrame:
+    """Per group: distinct orders, and for each ``sums`` name the sum and the count (name + "_n") of
+    its column; ``least``: minima. A fact that carries dense order numbers (``order_no``) is counted
+    by bitmaps, one row per group and 32,768 orders in the shuffle; any other by the order id."""
+    least = least or {}
+    if "order_no" not in df.columns:
+        return df.groupBy(*groups).agg(
+            F.count_distinct("order_id").alias(orders), *[F.sum(c).alias(n) for n, c in sums.items()],
+            *[F.count(c).alias(f"{n}_n") for n, c in sums.items()], *[F.min(c).alias(n) for n, c in least.items()])
+    parts = B.bitmaps(df, groups, "order_no", *[F.sum(c).alias(n) for n, c in sums.items()],
+                      *[F.count(c).alias(f"{n}_n") for n, c in sums.items()], *[F.min(c).alias(n) for n, c in least.items()])
+    return parts.groupBy(*groups).agg(
+        B.n_set().cast("long").alias(orders), *[F.sum(n).alias(n) for n in sums], *[F.sum(f"{n}_n").alias(f"{n}_n") for n in sums],
+        *[F.min(n).alias(n) for n in least])
+
+
+def _order(fact: DataFrame) -> str:
+    return "order_no" if "order_no" in fact.columns else "order_id"
+
+
 def _bigint(c):
     return (F.col(c) if isinstance(c, str) else c).cast("long")
 
@@ -221,15 +242,13 @@ def q04_top_customers(star: Star, buckets: int | None = None) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q05_store_vs_avg(star: Star) -> DataFrame:
-    f = star.fact_sales.select("store_key", "order_id", "net_revenue")
-    sr = (
-        f.join(_stores(star, "store_name", "region", "store_type"), "store_key")
-        .groupBy("store_name", "region", "store_type")
-        .agg(
-            rounded_money(F.sum("net_revenue")).alias("total_revenue"),
-            F.count_distinct("order_id").alias("total_orders"),
-            rounded_mean(F.sum("net_revenue"), F.count("net_revenue")).alias("avg_order_value"),
-        )
+    f = star.fact_sales.select("store_key", _order(star.fact_sales), "net_revenue")
+    sr = _with_orders(
+        f.join(_stores(star, "store_name", "region", "store_type"), "store_key"),
+        ["store_name", "region", "store_type"], "total_orders", {"rev": "net_revenue"},
+    ).select(
+        "store_name", "region", "store_type", rounded_money("rev").alias("total_revenue"), "total_orders",
+        rounded_mean("rev", "rev_n").alias("avg_order_value"),
     )
     every, best = Window.partitionBy(), Window.orderBy(F.col("total_revenue").desc_nulls_first())  # stores: bounded
     avg = F.sum("total_revenue").over(every) / F.count("total_revenue").over(every)
@@ -281,16 +300,11 @@ def q06_product_margin(star: Star, buckets: int | None = None) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q07_weekly_moving_avg(star: Star) -> DataFrame:
-    f = star.fact_sales.select("date_key", "order_id", "net_revenue")
-    ws = (
-        f.join(_dates(star, "year_number", "week_of_year", "full_date"), "date_key")
-        .groupBy("year_number", "week_of_year")
-        .agg(
-            F.min("full_date").alias("week_start"),
-            rounded_money(F.sum("net_revenue")).alias("weekly_revenue"),
-            F.count_distinct("order_id").alias("weekly_orders"),
-        )
-    )
+    f = star.fact_sales.select("date_key", _order(star.fact_sales), "net_revenue")
+    ws = _with_orders(
+        f.join(_dates(star, "year_number", "week_of_year", "full_date"), "date_key"),
+        ["year_number", "week_of_year"], "weekly_orders", {"rev": "net_revenue"}, {"week_start": "full_date"},
+    ).select("year_number", "week_of_year", "week_start", rounded_money("rev").alias("weekly_revenue"), "weekly_orders")
     return moving_average(ws)
 
 
@@ -354,21 +368,16 @@ def q08_segment_share(star: Star) -> DataFrame:
 
 def q09_promo_effect(star: Star) -> DataFrame:
     f = star.fact_sales.select(
-        "promotion_key", "order_id", "quantity", "discount_amount", "net_revenue", "gross_profit"
+        "promotion_key", _order(star.fact_sales), "quantity", "discount_amount", "net_revenue", "gross_profit"
     )
     pr = star.dim_promotion.select("promotion_key", "promo_name", "promo_type")
-    pm = (
-        f.join(pr, "promotion_key", "left")
-        .groupBy("promo_name", "promo_type")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            _bigint(F.sum("quantity")).alias("units_sold"),
-            rounded_money(F.sum("discount_amount")).alias("total_discount_given"),
-            rounded_money(F.sum("net_revenue")).alias("total_revenue"),
-            rounded_money(F.sum("gross_profit")).alias("total_profit"),
-            rounded_mean(F.sum("discount_amount"), F.count("discount_amount"))
-            .alias("avg_discount_per_order"),
-        )
+    pm = _with_orders(
+        f.join(pr, "promotion_key", "left"), ["promo_name", "promo_type"], "total_orders",
+        {"units": "quantity", "disc": "discount_amount", "rev": "net_revenue", "profit": "gross_profit"},
+    ).select(
+        "promo_name", "promo_type", "total_orders", _bigint("units").alias("units_sold"),
+        rounded_money("disc").alias("total_discount_given"), rounded_money("rev").alias("total_revenue"),
+        rounded_money("profit").alias("total_profit"), rounded_mean("disc", "disc_n").alias("avg_discount_per_order"),
     )
     every = Window.partitionBy()  # one row per promotion: bounded
     return (

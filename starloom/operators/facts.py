@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from starloom.contracts import WAREHOUSE
 from starloom.functions import dates as D
 from starloom.functions.money import decimal_lit
+from starloom.operators.ranking import assign_surrogate_keys
 from starloom.operators.scd import scd_current
 from starloom.operators.skew import number_hot, split_hot
 from starloom.sources.tables import conform
@@ -101,6 +102,20 @@ def _identity(start_after: int | Column) -> Column:
     return (start + F.lit(1) + F.monotonically_increasing_id()).cast("long")
 
 
+def number_orders(fact: DataFrame, orders: DataFrame, numbered: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``fact`` with ``order_no``, the orders' numbers): orders are numbered densely from 1 in the
+    order of their ids, new ones after those that ``numbered`` (order_id, order_no) of the earlier
+    loads holds. For distinct counts by bitmap; the numbers are made at the size of the headers."""
+    ids = orders.select("order_id").distinct()
+    start = 0
+    if numbered is not None:
+        ids = ids.join(numbered, "order_id", "left_anti")
+        start = numbered.agg(F.coalesce(F.max("order_no"), F.lit(0)).alias("m")).scalar()
+    fresh = assign_surrogate_keys(ids, ["order_id"], "order_no", start_after=start, key_type="bigint")
+    every = fresh if numbered is None else numbered.unionByName(fresh)
+    return fact.join(every, "order_id").select(*[fact[c] for c in fact.columns], "order_no"), every
+
+
 def bind_as_of(rows: DataFrame, dim: DataFrame, natural: str, day: str, surrogate: str) -> DataFrame:
     """``rows`` with the surrogate key of the version that was valid on ``day``.
 

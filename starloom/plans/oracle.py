@@ -857,6 +857,9 @@ SQL_EXACT: dict[str, str] = {
     "second_load_q01": Q01,
     "second_load_q07": Q07,
     "second_load_q10": SECOND_LOAD_Q10,
+    "q05_bitmap": Q05,
+    "q07_bitmap": Q07,
+    "q09_bitmap": Q09,
     "load_rollback": SECOND_LOAD_FACT,
     "fact_sales_as_of": FACT_AS_OF,
     "scd2_late_batch": SCD2_LATE,

@@ -420,6 +420,19 @@ def q_quarantine_q01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.q01_monthly_trend(versions.open_version(spark, store))
 
 
+_NUMBERED: dict[tuple, A.Star] = {}
+
+
+def numbered_star(spark: SparkSession, sf_dir: str) -> A.Star:
+    """The star with a sales fact that lies in no buckets and carries dense order numbers."""
+    app_key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if app_key not in _NUMBERED:
+        wh = warehouse_for(spark, sf_dir)
+        fact, _ = facts.number_orders(wh.star.fact_sales, wh.staging["orders"])
+        _NUMBERED[app_key] = replace(wh.star, fact_sales=pin(fact))
+    return _NUMBERED[app_key]
+
+
 RANGE = (date(2000, 11, 15), date(2001, 2, 10))  # spans both loads
 PERIOD = (2001, 2)                               # fiscal year and quarter
 
@@ -556,6 +569,9 @@ _QUERIES_EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "second_load_q01": _from_state(state.q01_from_state, "day", True),
     "second_load_q07": _from_state(state.q07_from_state, "week"),
     "second_load_q10": _from_state(state.q10_from_state, "day_product", True),
+    "q05_bitmap": lambda spark, sf_dir: A.q05_store_vs_avg(numbered_star(spark, sf_dir)),
+    "q07_bitmap": lambda spark, sf_dir: A.q07_weekly_moving_avg(numbered_star(spark, sf_dir)),
+    "q09_bitmap": lambda spark, sf_dir: A.q09_promo_effect(numbered_star(spark, sf_dir)),
     "load_rollback": q_load_rollback,
     "fact_sales_as_of": q_fact_sales_as_of,
     "scd2_late_batch": q_scd2_late_batch,
