@@ -18,6 +18,7 @@ from starloom.plans.registry import (
     BULK,
     CHANGE_DAYS,
     CONFIG,
+    EXACT,
     FACT_COLUMNS,
     MAILED_SINCE,
     PERIOD,
@@ -795,9 +796,9 @@ _DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "doubl
                "timestamp_ntz": "TIMESTAMP"}
 
 
-def _decimal_outputs_as_double(sql_by_name: dict[str, str]) -> dict[str, str]:
-    """Wrap each statement so that its DECIMAL output columns come out as DOUBLE, matching the
-    driver-facing Spark queries. The decimal columns are found by describing each statement
+def _decimal_outputs_as(duck_type: str, sql_by_name: dict[str, str]) -> dict[str, str]:
+    """Wrap each statement so that its DECIMAL output columns come out as DOUBLE or as VARCHAR,
+    matching the driver-facing Spark queries. The decimal columns are found by describing each statement
     against empty tables with the driver schemas (no data is read)."""
     import duckdb
 
@@ -812,7 +813,7 @@ def _decimal_outputs_as_double(sql_by_name: dict[str, str]) -> dict[str, str]:
         rel = con.sql(sql)
         decimals = [c for c, t in zip(rel.columns, rel.types) if str(t).startswith("DECIMAL")]
         if decimals:
-            repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in decimals)
+            repl = ", ".join(f"CAST({c} AS {duck_type}) AS {c}" for c in decimals)
             out[name] = f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS exact_result"
         else:
             out[name] = sql
@@ -884,4 +885,7 @@ SQL_EXACT: dict[str, str] = {
     "dq_violations": DQ_VIOLATIONS,
 }
 
-SQL: dict[str, str] = _decimal_outputs_as_double(SQL_EXACT)
+SQL: dict[str, str] = {
+    **_decimal_outputs_as("DOUBLE", SQL_EXACT),
+    **{f"{n}_exact": q for n, q in _decimal_outputs_as("VARCHAR", {n: SQL_EXACT[n] for n in EXACT}).items()},
+}

@@ -598,8 +598,22 @@ _QUERIES_EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_violations": q_dq_violations,
 }
 
+def _decimals_as_text(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The same with exact decimals as their digits: no cent is lost at any size."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        return df.select(*[F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
+                           for f in df.schema.fields])
+    return run
+
+
+#: Queries that are also handed over with every digit of their decimals, as <name>_exact.
+EXACT = ("q01_monthly_trend", "q04_top_customers", "q06_product_margin", "q08_segment_share", "q10_quarterly_growth",
+         "dq_sales_sanity", "second_load_fact_sales")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: _decimals_as_double(fn) for name, fn in _QUERIES_EXACT.items()
+    **{name: _decimals_as_double(fn) for name, fn in _QUERIES_EXACT.items()},
+    **{f"{name}_exact": _decimals_as_text(_QUERIES_EXACT[name]) for name in EXACT},
 }
 
 FLAGSHIP = "q02_category_rank_by_region"
