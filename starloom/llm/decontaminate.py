@@ -89,7 +89,8 @@ def hits(documents: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     found = pin(found, "window-hits")
     some = documents.select("text").where(F.col("text").isNotNull()).withColumn("key", text_key(F.col("text"))).join(
         broadcast_below(found.select("key"), MAX_BROADCAST_KEYS), "key", "left_semi")
-    texts = some.join(found, "key").select("key", "at", words_of(F.col("text")).alias("words"))
+    # copies of a text are verified once
+    texts = some.groupBy("key").agg(F.first("text").alias("text")).join(found, "key").select("key", "at", words_of(F.col("text")).alias("words"))
     windows = texts.select("key", F.explode(F.transform("at", lambda a: F.struct(
         a["size"].alias("size"), a["pos"].alias("pos"),
         F.concat_ws(" ", F.slice("words", a["pos"], a["size"])).alias("window")))).alias("w")).select("key", "w.*")
@@ -114,8 +115,9 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 
 def judge(documents: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items (array), contaminated."""
-    # null texts have a null key, which joins with nothing
-    found = summary(hits(documents, benchmark, n))
+    # null texts have a null key, which joins with nothing; most texts meet no partner, and with a
+    # broadcast neither they nor the copies of one are moved
+    found = broadcast_below(pin(summary(hits(documents, benchmark, n)), "window-summary"), MAX_BROADCAST_KEYS)
     docs = documents.select("doc_id", F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"),
                             text_key(F.col("text")).alias("key"))
     out = docs.join(found, "key", "left").select(

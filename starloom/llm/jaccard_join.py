@@ -339,12 +339,12 @@ def one_of_each(documents: DataFrame) -> DataFrame:
         F.col("first.doc_id").alias("__id"), F.col("first.key").alias("__k"), F.lit(True).alias("__first"))
     others = found.select(F.col("doc_id").alias("__id"), F.col("key").alias("__k")).distinct()
     firsts, others = (broadcast_below(pin(x, "decisions"), MAX_BROADCAST) for x in (first, others))
-    marked = documents.withColumn("__key", text_key(documents["text"]))
-    same = lambda x: F.col("__key").eqNullSafe(x["__k"]) & documents["doc_id"].eqNullSafe(x["__id"])
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    alone = marked.join(others, same(others), "left_anti").select(*columns)
+    marked = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"),
+                              documents["doc_id"].alias("id"), text_key(documents["text"]).alias("key"))
+    same = lambda x: marked["key"].eqNullSafe(x["__k"]) & marked["id"].eqNullSafe(x["__id"])
+    alone = marked.join(others, same(others), "left_anti").select("row.*")
     # repeated rows of the chosen document are one
-    chosen = marked.join(firsts, same(firsts), "left_semi").dropDuplicates(["doc_id", "__key"]).select(*columns)
+    chosen = marked.join(firsts, same(firsts), "left_semi").dropDuplicates(["id", "key"]).select("row.*")
     return alone.unionAll(chosen)
 
 

@@ -3,9 +3,12 @@ language; a word never seen falls back to its longest known character n-grams, t
 to short at each place of the word.
 
 The model is counted from labelled texts of the learning folds: at most ``TRAIN_DOCS`` documents
-of each language (a hash of the id decides), and of the counts the ``MAX_WORDS`` words and
-``MAX_GRAMS`` n-grams with the largest share in their language. So the broadcast model is
-bounded whatever the input holds. Every text is then scored whole, in its own row.
+of each language (a hash of the id decides), and of each language's counts its ``MAX_WORDS`` most
+frequent words and ``MAX_GRAMS`` n-grams, however many languages there are. Learnt are the
+``MAX_LANGUAGES`` languages with the most documents (then the first in the alphabet); a column of
+free text in place of languages gives as many, and ends no job. Words and n-grams keep the
+languages that they occur in only (the others share one value), so that the broadcast model is
+bounded by languages times words. Every text is then scored whole, in its own row.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text
 when there is nothing to learn from; equal scores go to the language first in the alphabet; words without any
@@ -24,7 +27,7 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import held, held_out, learnable, pin, read
@@ -34,12 +37,12 @@ WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 MAX_N = 5  # longest n-gram of "^word$"
 
 TRAIN_DOCS = 5_000  # learnt from, for each language
-MAX_WORDS, MAX_GRAMS = 100_000, 100_000
-MAX_LANGUAGES = 1_000
+MAX_WORDS, MAX_GRAMS = 25_000, 25_000  # of each language
+MAX_LANGUAGES = 100
 SMOOTHING = 0.5
 MIN_SCORE = 0.5  # a document below it is rejected by :func:`keep`
 KEPT_WORDS = 200_000  # words whose scores a worker remembers
-BLOCK = 1 << 18  # words held at a time
+BLOCK = 1 << 16  # words held at a time
 
 
 def grams(word: str) -> Iterator[str]:
@@ -52,9 +55,7 @@ def grams(word: str) -> Iterator[str]:
 def training_rows(documents: DataFrame, max_docs: int = TRAIN_DOCS) -> DataFrame:
     """(lang, text) of the labelled rows to learn from."""
     rows = documents.where(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return rows.select("lang", "text").limit(0)
     spread = 1 << 30
@@ -79,35 +80,48 @@ def _count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Model:
-    """Log frequencies by language of words and n-grams."""
+    """Log frequencies by language of words and n-grams. ``words`` and ``grams`` give an item's row in
+    one sparse table: the languages it occurs in, and by how much its log frequency there exceeds
+    that of an item the language lacks (``lacking``, one vector for words and one for n-grams)."""
 
     def __init__(self, langs: list[str], words: dict[str, dict[str, int]], grams_: dict[str, dict[str, int]],
                  totals: dict[tuple[str, str], int]):
         self.langs = langs
-        self.words = self._logs(words, [totals.get(("w", x), 0) for x in langs])
-        # n-grams of one length compete with each other only
-        self.grams = self._logs(grams_, [totals.get(("g", x), 0) for x in langs])
-
-    def _logs(self, table: dict, totals: list[int]) -> dict[str, tuple[float, ...]]:
-        rest = [math.log(t + SMOOTHING * (len(table) + 1)) for t in totals]
-        return {item: tuple(math.log(by.get(x, 0) + SMOOTHING) - r for x, r in zip(self.langs, rest, strict=True))
-                for item, by in table.items()}
-
-    def word(self, word: str) -> tuple[float, ...]:
+        place = {x: k for k, x in enumerate(langs)}
+        self.words = {w: k for k, w in enumerate(words)}
+        self.grams = {g: k + len(words) for k, g in enumerate(grams_)}
+        rows = [*words.values(), *grams_.values()]
+        self.start = np.concatenate([[0], np.cumsum([len(by) for by in rows])]).astype(np.int64)
+        self.lang = np.fromiter((place[x] for by in rows for x in by), np.int32)
+        self.gain = np.log(np.fromiter((n for by in rows for n in by.values()), float) + SMOOTHING) - math.log(SMOOTHING)
+        # n-grams compete with n-grams only
+        self.lacking = np.array([[math.log(SMOOTHING) - math.log(totals.get((kind, x), 0) + SMOOTHING * (len(table) + 1))
+                                  for x in langs] for kind, table in (("w", words), ("g", grams_))]).reshape(2, len(langs))
+
+    def found(self, word: str) -> tuple[int, list[int]]:
+        """(0 and the row of a known word), or (1 and the rows of the n-grams that stand for it)."""
         known = self.words.get(word)
         if known is not None:
-            return known
-        marked, out, i = f"^{word}$", [0.0] * len(self.langs), 0
+            return 0, [known]
+        marked, out, i = f"^{word}$", [], 0
         while i < len(marked):
             for n in range(min(MAX_N, len(marked) - i), 0, -1):
-                found = self.grams.get(marked[i:i + n])
-                if found is not None:
-                    out = [a + b for a, b in zip(out, found, strict=True)]
+                row = self.grams.get(marked[i:i + n])
+                if row is not None:
+                    out.append(row)
                     i += n
                     break
             else:
                 i += 1
-        return tuple(out)
+        return 1, out
+
+    def word(self, word: str) -> np.ndarray:
+        """The word's score in each language."""
+        kind, rows = self.found(word)
+        out = len(rows) * self.lacking[kind]
+        for r in rows:
+            out[self.lang[self.start[r]:self.start[r + 1]]] += self.gain[self.start[r]:self.start[r + 1]]
+        return out
 
 
 def fit(documents: DataFrame, max_docs: int = TRAIN_DOCS) -> Model:
@@ -115,35 +129,55 @@ def fit(documents: DataFrame, max_docs: int = TRAIN_DOCS) -> Model:
         _count, "lang string, kind string, item string, n long").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
     counts = pin(counts, "language-counts")
     totals = {(r["kind"], r["lang"]): r["n"] for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted({lang for _, lang in totals})
+    # a language's items are those of TRAIN_DOCS documents
+    place = F.row_number().over(Window.partitionBy("kind", "lang").orderBy(F.desc("n"), "item"))
+    best = counts.withColumn("place", place).where(F.col("place") <= F.when(F.col("kind") == "w", MAX_WORDS).otherwise(MAX_GRAMS))
     tables: dict[str, dict[str, dict[str, int]]] = {"w": {}, "g": {}}
-    for kind, most in (("w", MAX_WORDS), ("g", MAX_GRAMS)):
-        if langs:
-            total = F.create_map(*[F.lit(x) for lang in langs for x in (lang, float(totals[kind, lang]))])
-            best = counts.where(F.col("kind") == kind).orderBy(
-                (F.col("n") / total[F.col("lang")]).desc(), "lang", "item").limit(most)
-            for r in best.select("lang", "item", "n").collect():
-                tables[kind].setdefault(r["item"], {})[r["lang"]] = r["n"]
-    return Model(langs, tables["w"], tables["g"], totals)
+    for r in best.select("kind", "lang", "item", "n").toLocalIterator():
+        tables[r["kind"]].setdefault(r["item"], {})[r["lang"]] = r["n"]
+    return Model(sorted({lang for _, lang in totals}), tables["w"], tables["g"], totals)
 
 
 class Scorer(dict):
-    """Scores texts; keeps a row of scores for each word met (a bounded number)."""
+    """Scores texts; keeps the sparse scores of the words met (a bounded number)."""
+
+    KEPT_ENTRIES = 1 << 22
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.rows = np.zeros((KEPT_WORDS + BLOCK, max(1, len(model.langs))))
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.rows = np.zeros((3, KEPT_WORDS + BLOCK), np.int64)  # first entry, entries; kind and items as one number
+        self.lang, self.gain, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 16), 0
 
     def __missing__(self, word: str) -> int:
-        self.rows[len(self)] = self.model.word(word)
-        self[word] = k = len(self)
+        m = self.model
+        kind, found = m.found(word)
+        at = [slice(m.start[r], m.start[r + 1]) for r in found]
+        n = sum(x.stop - x.start for x in at)
+        while self.used + n > len(self.lang):
+            self.lang, self.gain = np.resize(self.lang, 2 * len(self.lang)), np.resize(self.gain, 2 * len(self.gain))
+        k, to = len(self), self.used
+        self.rows[:, k] = to, n, 2 * len(found) + kind
+        for x in at:
+            self.lang[to:to + x.stop - x.start], self.gain[to:to + x.stop - x.start] = m.lang[x], m.gain[x]
+            to += x.stop - x.start
+        self.used, self[word] = to, k
         return k
 
     def _sum(self, words: list[str]) -> np.ndarray:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        return self.rows[np.fromiter(map(self.__getitem__, words), np.int64, len(words))].sum(axis=0)
+        if len(self) > KEPT_WORDS or self.used > self.KEPT_ENTRIES:
+            self.forget()
+        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        first, n, kinds = self.rows[:, ids]
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        total = np.bincount(self.lang[at], self.gain[at], len(self.model.langs))
+        items = kinds >> 1
+        known = int(items[kinds & 1 == 0].sum())
+        return total + known * self.model.lacking[0] + (int(items.sum()) - known) * self.model.lacking[1]
 
     def score(self, text: str | None) -> tuple[str, float]:
         if not self.model.langs or not text:
@@ -180,9 +214,9 @@ def predict(documents: DataFrame, model: Model, lang: str = "lang_pred", score:
 
 def keep(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents whose language can be told, with their columns as they were."""
-    marked = predict(documents, fit(documents), "__lang", "__score")
-    return marked.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(
-        *[F.col(f"`{c}`") for c in documents.columns])
+    rows = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"), documents["text"])
+    marked = predict(rows, fit(documents), "lang", "score")
+    return marked.where((F.col("lang") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:

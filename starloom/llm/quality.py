@@ -140,7 +140,8 @@ def judge(rows: DataFrame) -> DataFrame:
 def keep(documents: DataFrame) -> DataFrame:
     """The documents that pass, with their columns as they were. They are measured once: sketches
     and verdicts read the written rows."""
-    return judge(pin(measured(documents), "quality-measures")).where("__kept").select(*[F.col(f"`{c}`") for c in documents.columns])
+    rows = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"), "text", "lang", "source")
+    return judge(pin(measured(rows).drop("text"), "quality-measures")).where("__kept").select("row.*")
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -8,10 +8,13 @@ keeps company with them is left out. In toxic documents the words so named are t
 tokens. The field (states: toxic or not; features: word, beginnings, ending, writing; transitions)
 is then trained on sentences around them and on sentences of clean documents.
 
-Training reads a bounded sample: at most ``TRAIN_DOCS`` labelled documents of either kind and
-``TRAIN_SENTENCES`` sentences, of learnable rows, chosen by hash. Scoring reads every whole text:
-the state chain runs through a sentence (cut after ``LONGEST`` words), sentences of a block
-are run together. A document's score is a logistic function, fitted on the training documents, of
+Training reads a bounded sample: at most ``TRAIN_DOCS`` labelled ids of either kind, some
+``ROWS_PER_ID`` different texts of each, and ``TRAIN_SENTENCES`` sentences, of learnable rows, chosen by
+hash. Scoring reads every whole text: the state chain runs through a sentence of any length,
+sentences of a block are run together. A sentence of more than ``LONGEST`` words is run in
+pieces of that size side by side, and what its pieces pass on to each other is their product of
+transition matrices, so its marginals are those of the whole (but for a run of more than ``BLOCK``
+words without a stop, which is cut there). A document's score is a logistic function, fitted on the training documents, of
 its largest toxic marginal, the sum of its marginals above ``HIT`` and its number of words: a
 beginning that now and then turns up in clean texts counts when it recurs.
 
@@ -33,7 +36,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import held, held_out, learnable, pin, read
@@ -42,9 +45,9 @@ TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?\n]")
 STOPS = frozenset(".!?\n")
 DIM = 1 << 18  # hashed features
 PREFIXES = range(3, 9)  # lengths of beginnings
-LONGEST = 128  # words of a chain
+LONGEST = 128  # words of a piece; of a sentence in training
 
-TRAIN_DOCS, TRAIN_SENTENCES = 4_000, 20_000
+TRAIN_DOCS, TRAIN_SENTENCES, ROWS_PER_ID = 4_000, 20_000, 4
 MIN_DOCS, MIN_PRECISION = 3, 0.6  # toxic documents of a unit, and their share of its documents
 HIT = 0.3
 PREDICT_AT = 0.7
@@ -73,21 +76,30 @@ class Chains:
 
     def __init__(self, starts: np.ndarray, sizes: np.ndarray):
         order = np.argsort(-sizes, kind="stable")
+        self.order, self.last = order, starts + sizes - 1
         starts, sizes = starts[order], sizes[order]
         longest = int(sizes[0]) if len(sizes) else 0
         self.count = np.searchsorted(-sizes, -np.arange(longest), "left")
         self.at = [starts[:c] + t for t, c in enumerate(self.count)]
 
-    def marginals(self, odds: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def marginals(self, odds: np.ndarray, trans: np.ndarray, before: np.ndarray | None = None,
+                  after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(toxic marginal of each word, forward, backward), the two as ratios toxic / other.
-        odds: exp of each word's score; trans[a, b]: weight of going from state a to b."""
+        odds: exp of each word's score; trans[a, b]: weight of going from state a to b.
+        before: the forward ratio of the word before each chain (NaN where none is); after: the
+        backward ratio of its last word."""
+        step = lambda r: (trans[0, 1] + r * trans[1, 1]) / (trans[0, 0] + r * trans[1, 0])
         forward, backward = np.empty_like(odds), np.ones_like(odds)
+        if after is not None:
+            backward[self.last] = after
         for t, at in enumerate(self.at):
             if t:
-                r = forward[at - 1]
-                forward[at] = odds[at] * (trans[0, 1] + r * trans[1, 1]) / (trans[0, 0] + r * trans[1, 0])
-            else:
+                forward[at] = odds[at] * step(forward[at - 1])
+            elif before is None:
                 forward[at] = odds[at]
+            else:
+                r = before[self.order]
+                forward[at] = odds[at] * np.where(np.isnan(r), 1.0, step(np.nan_to_num(r)))
         for t in range(len(self.at) - 2, -1, -1):
             at = self.at[t][:self.count[t + 1]]
             s = odds[at + 1] * backward[at + 1]
@@ -96,6 +108,35 @@ class Chains:
         return both / (1 + both), forward, backward
 
 
+def passed_on(odds: np.ndarray, trans: np.ndarray, starts: np.ndarray, sizes: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(before, after) of :meth:`Chains.marginals` for the pieces of sentences, given in order."""
+    before, after = np.full(len(starts), np.nan), np.ones(len(starts))
+    goes_on = np.flatnonzero(sentence[1:] == sentence[:-1]) + 1  # pieces that are not their sentence's first
+    if not len(goes_on):
+        return before, after
+    long = np.unique(np.concatenate([goes_on, goes_on - 1]))
+    opens = ~np.isin(long, goes_on)
+    # the product of a piece's steps: into the next state, times its word's weights
+    m = np.broadcast_to(np.eye(2), (len(long), 2, 2)).copy()
+    for t in range(int(sizes[long].max())):
+        on = sizes[long] > t
+        step = np.broadcast_to(trans, (int(on.sum()), 2, 2)).copy()
+        if t == 0:
+            step[opens[on]] = 1.0  # nothing leads into a sentence's first word
+        step[:, :, 1] *= odds[starts[long[on]] + t, None]
+        m[on] = m[on] @ step
+        m[on] /= m[on].sum(axis=(1, 2), keepdims=True)
+    at = {int(k): i for i, k in enumerate(long)}
+    for k in goes_on:
+        v = np.array([0.5, 0.5]) if opens[at[k - 1]] else np.array([1.0, before[k - 1]])
+        v = v @ m[at[k - 1]]
+        before[k] = v[1] / v[0]
+    for k in goes_on[::-1]:
+        v = m[at[k]] @ np.array([1.0, after[k]])
+        after[k - 1] = v[1] / v[0]
+    return before, after
+
+
 class Field:
     def __init__(self, weights: np.ndarray | None = None, trans: np.ndarray | None = None):
         self.weights = weights  # None: nothing was learnt
@@ -159,9 +200,13 @@ def training_texts(documents: DataFrame, labels: DataFrame, max_docs: int = TRAI
     spread = 1 << 30
     share = {t: min(1.0, max_docs / sizes.get(t, 1)) for t in (True, False)}
     limit = F.when(F.col("toxic") > 0, int(spread * share[True])).otherwise(int(spread * share[False]))
-    marks = marks.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(spread)) < limit)
+    marks = pin(marks.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(spread)) < limit), "toxicity-ids")
     texts = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(F.broadcast(marks), "doc_id").select(
+    # ids may repeat: of one with many rows some are drawn, and of equal rows one
+    rows = texts.select("doc_id").join(F.broadcast(marks), "doc_id").groupBy("doc_id").count()
+    drawn = F.pmod(F.xxhash64("text", F.lit("row")), F.lit(spread)) < spread * F.least(F.lit(1.0), ROWS_PER_ID / F.col("count"))
+    sample = texts.join(F.broadcast(marks.join(rows, "doc_id")), "doc_id").where(drawn).withColumn("digest", F.xxhash64("text"))
+    return sample.dropDuplicates(["doc_id", "digest"]).select(
         "doc_id", "text", (F.col("toxic") > 0).alias("toxic")), share[True] / share[False]
 
 
@@ -182,18 +227,26 @@ def toxic_units(texts: DataFrame, clean_weight: float = 1.0) -> list[str]:
     counts = texts.mapInPandas(count, "unit string, t long, c long").groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     precise = F.col("t") * (1 - MIN_PRECISION) >= MIN_PRECISION * F.col("c") * clean_weight
     often = pin(counts.where((F.col("t") >= MIN_DOCS) & precise), "toxic-units")
-    units_ = texts.where("toxic").mapInPandas(_unit_rows, "doc_id long, unit string").join(often, "unit")
-    found = {r["unit"]: set(r["docs"]) for r in units_.groupBy("unit").agg(F.collect_set("doc_id").alias("docs")).collect()}
+    # a unit's documents as bits; the sample's toxic documents are numbered from 1
+    number = F.row_number().over(Window.orderBy("doc_id", F.xxhash64("text")))
+    numbered = pin(texts.where("toxic").select(number.alias("number"), "text"), "toxic-documents")
+    size = max(1, -(-int(sizes[True]) // 8))
+    units_ = numbered.mapInPandas(_unit_rows, "number long, unit string").join(often, "unit")
+    bits = units_.withColumn("block", F.bitmap_bucket_number("number")).groupBy("unit", "block").agg(
+        F.substring(F.bitmap_construct_agg(F.bitmap_bit_position("number")), 1, size).alias("bits"))
+    found: dict[str, int] = {}
+    for r in bits.toLocalIterator():  # some hundred bytes a unit
+        found[r["unit"]] = found.get(r["unit"], 0) | int.from_bytes(r["bits"], "little") << 32_768 * (r["block"] - 1)
     precision = {r["unit"]: r["t"] / (r["t"] + r["c"] * clean_weight) for r in often.collect()}
-    support = {u: len(d) for u, d in found.items()}  # of at most TRAIN_DOCS documents
+    support = {u: d.bit_count() for u, d in found.items()}  # of the sample's documents
     taken = []
     while found:
-        unit = max(found, key=lambda u: (len(found[u]) * precision[u], len(u), u))
+        unit = max(found, key=lambda u: (found[u].bit_count() * precision[u], len(u), u))
         docs = found.pop(unit)
-        if len(docs) < MIN_DOCS:
+        if docs.bit_count() < MIN_DOCS:
             break
         taken.append(unit)
-        found = {u: rest for u, d in found.items() if (rest := d - docs)}
+        found = {u: rest for u, d in found.items() if (rest := d & ~docs)}
     # what others explained away, but is as frequent and hardly ever clean, is toxic all the same
     usual = sorted(support[u] for u in taken)[len(taken) // 2] if taken else 0
     return taken + sorted(u for u in support if u not in taken and precision[u] >= 0.95 and 2 * support[u] >= usual)
@@ -205,8 +258,8 @@ def _units_of(text: str) -> set[str]:
 
 def _unit_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
-        yield pd.DataFrame([(r.doc_id, u) for r in part.itertuples(index=False) for u in _units_of(r.text)],
-                           columns=["doc_id", "unit"])
+        yield pd.DataFrame([(r.number, u) for r in part.itertuples(index=False) for u in _units_of(r.text)],
+                           columns=["number", "unit"])
 
 
 def sentences_of(text: str) -> Iterator[list[str]]:
@@ -285,13 +338,15 @@ class Tagger(dict):
         place = np.flatnonzero(ids)
         if not len(place):
             return np.empty(0), place
-        # chains: runs of words without a stop between, cut after LONGEST
+        # chains: runs of words without a stop between, in pieces of LONGEST
         first = np.flatnonzero(np.diff(place, prepend=-2) > 1)
         sizes = np.diff(np.append(first, len(place)))
         pieces = -(-sizes // LONGEST)
         starts = np.repeat(first, pieces) + LONGEST * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
         sizes = np.minimum(LONGEST, np.repeat(first + sizes, pieces) - starts)
-        return Chains(starts, sizes).marginals(self.odds[ids[place]], self.field.trans)[0], place
+        odds, trans = self.odds[ids[place]], self.field.trans
+        between = passed_on(odds, trans, starts, sizes, np.repeat(np.arange(len(first)), pieces))
+        return Chains(starts, sizes).marginals(odds, trans, *between)[0], place
 
     def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each text: the largest marginal, the sum of those from HIT on, the number of words."""

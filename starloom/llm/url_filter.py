@@ -6,7 +6,7 @@ host holds: a join of the hosts' substrings with the words decides, so no vocabu
 Each distinct part of a host name (a whole run of letters) is split once, in its own row; a word
 has at most ``MAX_WORD`` letters, as many as a label can hold. The naive Bayes model learns from weak labels: a URL whose words hold one
 of ``SEEDS`` is an example of a blocked one. It reads at most ``TRAIN_URLS`` distinct (host,
-path), chosen by hash, and keeps ``MAX_TOKENS`` words.
+path), chosen by hash, and knows all their words.
 
 Defined cases: a null url or one without ``://`` has empty host and path, no word and the verdict
 of the prior; rules of equal length that fit both: the first in the alphabet; without any URL
@@ -33,7 +33,7 @@ MAX_RULES = 1_000  # each URL is held against each rule in its own row
 SEEDS = ("casino", "poker", "bet", "bets", "betting", "pills", "viagra", "adult", "porn", "xxx", "spam", "ads", "malware")
 MIN_WORD_COUNT = 2
 MAX_WORD = 63  # letters of a word (a label's limit)
-TRAIN_URLS, MAX_TOKENS = 200_000, 100_000
+TRAIN_URLS = 100_000
 MAX_BROADCAST = 500_000
 
 HOST, PATH = 1, 2
@@ -113,8 +113,9 @@ def segment(parts: DataFrame, pages: DataFrame) -> DataFrame:
     parts = pin(parts.select(F.monotonically_increasing_id().alias("id"), "part"), "host-part-ids")
     held = pin(substrings(parts), "host-substrings")
     wanted = broadcast_below(pin(held.select("word").distinct(), "host-words"), MAX_BROADCAST)
-    counts = pages.select(F.explode(page_words(F.col("html"))).alias("word")).join(wanted, "word", "left_semi").groupBy(
-        "word").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_WORD_COUNT)
+    # counted before they are joined: a frequent word is one row a task, whatever the join
+    counts = pages.select(F.explode(page_words(F.col("html"))).alias("word")).groupBy("word").agg(
+        F.count("*").alias("n")).where(F.col("n") >= MIN_WORD_COUNT).join(wanted, "word", "left_semi")
     counts = pin(counts, "word-counts")
     total = counts.agg(F.sum("n")).first()[0] or 1
     # the seeds are words, whether pages use them or not
@@ -173,8 +174,7 @@ def fit(urls: DataFrame) -> Bayes:
     rows = pin(rows.withColumn("bad", F.arrays_overlap("words", F.array(*map(F.lit, SEEDS))).cast("int")), "url-sample")
     sizes = dict(rows.groupBy("bad").count().collect())
     table = rows.select("bad", F.explode("words").alias("w")).groupBy("w").agg(
-        F.sum(1 - F.col("bad")).alias("good"), F.sum("bad").alias("bad")).orderBy(
-        F.desc(F.col("good") + F.col("bad")), "w").limit(MAX_TOKENS).collect()
+        F.sum(1 - F.col("bad")).alias("good"), F.sum("bad").alias("bad")).collect()  # words of TRAIN_URLS URLs
     return Bayes({r["w"]: (r["good"], r["bad"]) for r in table}, (sizes.get(0, 0), sizes.get(1, 0)))
 
 

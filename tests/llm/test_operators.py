@@ -83,6 +83,47 @@ def test_language_learns_from_its_folds_only(spark):
     assert set(model.words) == {"gamma", "delta"}
 
 
+def test_many_languages_end_no_job(spark, monkeypatch):
+    """More languages than are learnt: the most frequent are, and each keeps its own vocabulary."""
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 3)
+    monkeypatch.setattr(language_id, "MAX_WORDS", 8)
+    learnable = [k for k in range(40_000) if zlib.crc32(str(k).encode()) % 3 != 1]
+    free = [(k, f"word{n} word{n}", f"free text {n}") for n, k in enumerate(learnable[:1500])]
+    sets = {"aa": "alpha anna aqua arm ark art ash", "bb": "beta bone boat bug bus bay bee", "cc": "cat cow cup car can cab"}
+    known = [(k, " ".join(sets[x].split()[(n + j) % len(sets[x].split())] for j in range(4)), x)
+             for x, base in (("aa", 0), ("bb", 90), ("cc", 160)) for n, k in enumerate(learnable[2000 + base:2000 + base + 60])]
+    model = language_id.fit(spark.createDataFrame([*free, *known], "doc_id long, text string, lang string"))
+    assert model.langs == ["aa", "bb", "cc"]
+    assert set(model.words) == {w for x in sets.values() for w in x.split()}  # none pushes another's out
+    out = language_id.predict(spark.createDataFrame([(1, "ark art"), (2, "bus bug"), (3, "cup cap")], "doc_id long, text string"), model)
+    assert {r["doc_id"]: r["lang_pred"] for r in out.collect()} == {1: "aa", 2: "bb", 3: "cc"}
+
+
+def test_sparse_scores_are_the_sum_of_the_words(spark, monkeypatch):
+    rows = [(k, prose(k, 30, x.split()), x[:2]) for k in range(0, 90) for x in ("de der die das und", "en the of and to", "fr le la et les")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    monkeypatch.setattr(language_id, "KEPT_WORDS", 30)
+    monkeypatch.setattr(language_id, "BLOCK", 40)
+    scorer = language_id.Scorer(model)
+    scorer.KEPT_ENTRIES = 50
+    for _, text, _ in [*rows[:40], (0, prose(1, 300, "the der le unseen words here".split()), "")]:
+        words = language_id.WORD.findall(text.lower())
+        total = np.sum([model.word(w) for w in words], axis=0)
+        p = np.exp((total - total.max()) / np.sqrt(len(words)))
+        assert scorer.score(text) == (model.langs[int(total.argmax())], pytest.approx(p.max() / p.sum()))
+
+
+CLASHES = ["__lang", "__score", "__language", "__w", "__lines", "__m", "__kept", "__key", "__id", "row", "lang_pred"]
+
+
+def test_internal_names_do_not_clash(spark, edge):
+    docs = edge.withColumns({c: F.lit("x") for c in CLASHES})
+    for stage in (quality.keep, language_id.keep, jaccard_join.one_of_each):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        assert out.select(*CLASHES).distinct().collect() == [tuple("x" for _ in CLASHES)]
+
+
 # -- 3 toxicity
 
 
@@ -108,6 +149,40 @@ def test_forward_backward_is_the_sum_over_paths():
         assert np.allclose(p[a:a + n], brute_marginals(odds[a:a + n], trans))
 
 
+def test_long_sentences_are_not_cut(monkeypatch):
+    """Pieces pass on what they know: the marginals of a sentence of 500 words are those of one chain."""
+    r = np.random.default_rng(3)
+    sizes = np.array([500, 7, 41, 20, 1, 260])
+    odds, trans = r.uniform(0.05, 6, sizes.sum()), np.array([[1.3, 0.2], [0.3, 2.5]])
+    starts = np.cumsum(sizes) - sizes
+    want = toxicity.Chains(starts, sizes).marginals(odds, trans)[0]
+    for piece in (1, 3, 20, 128):
+        n = -(-sizes // piece)
+        first = np.repeat(starts, n) + piece * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        size = np.minimum(piece, np.repeat(starts + sizes, n) - first)
+        between = toxicity.passed_on(odds, trans, first, size, np.repeat(np.arange(len(sizes)), n))
+        assert np.allclose(toxicity.Chains(first, size).marginals(odds, trans, *between)[0], want, rtol=1e-9, atol=0)
+    # through the tagger: the cut leaves no trace
+    tokens = "idiot fine utter thing".split() * 130
+    field = known_field()
+    field.trans = trans
+    whole = []
+    for longest in (10 ** 6, 16):
+        monkeypatch.setattr(toxicity, "LONGEST", longest)
+        whole.append(toxicity.Tagger(field).marginals(tokens)[0])
+    assert np.allclose(*whole, rtol=1e-9)
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark):
+    hot = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 3 != 1)
+    other = next(k for k in range(hot + 1, 100) if zlib.crc32(str(k).encode()) % 3 != 1)
+    rows = [(hot, f"text number {k}") for k in range(3000)] + [(hot, "the same text")] * 500 + [(other, "clean text")] * 2
+    sample, _ = toxicity.training_texts(spark.createDataFrame(rows, "doc_id long, text string"),
+                                        spark.createDataFrame([(hot, 1), (other, 0)], "doc_id long, toxic int"))
+    got = [r["doc_id"] for r in sample.collect()]
+    assert 0 < got.count(hot) < 8 * toxicity.ROWS_PER_ID and got.count(other) == 1
+
+
 def test_toxicity(spark, edge, nothing):
     texts, marks = [], []
     for k in range(400):
