@@ -8,18 +8,23 @@ copies it has; the largest group of copies costs one partial aggregation.
 1. Each text gets ``HASHES`` MinHash values: band keys (``ROWS`` values each) and one byte of each
    value. At similarity 0.8 two sets share no band with a probability below 2e-7.
 2. Classes that share a band are candidates. A band bucket of up to ``PAIRED`` classes gives its
-   pairs; of a larger one each class is tied to one head, so no bucket is expanded.
+   pairs; of a larger one each class is tied to one head, so no bucket is expanded. A class in one
+   large bucket only (texts with a common passage) is not tied: two sets of similarity 0.8 share a
+   single band, and that a large one, with a probability below 3e-6.
 3. Pairs are pruned: their bytes are compared ``STEP`` at a time, and a pair is dropped as soon as
    the posterior probability (uniform prior) that its similarity reaches the threshold falls
    below ``TOLERANCE``.
 4. What remains, pairs and ties, is grouped by connected components. Members of a component are
-   dealt to chunks of bounded size, and each pair of chunks is one group of rows: there all
-   pairs are pruned as in 3 and the rest verified exactly on the shingles. It returns each
-   member's number of links and one edge to its local root, never the pairs.
+   dealt to cells by the size of their sets, sets of linked texts lying in the same or neighbouring
+   cells, and in a cell to chunks of bounded size. Each pair of chunks that may hold links is one
+   group of rows: there all pairs are pruned as in 3 and the rest verified exactly on the
+   shingles. It returns each member's number of links and one edge to its local root, never the
+   pairs.
 5. The edges' components are the near-duplicate groups.
 
-A hot component of m classes costs m * m / 2 byte comparisons in independent tasks of bounded
-memory; its rows shuffled grow with m * (m / CHUNK).
+A hot component costs, for each cell of m classes, m * m / 2 byte comparisons and as many with each
+neighbouring cell, in independent tasks of bounded memory; its rows shuffled grow with
+m * (m / CHUNK).
 
 Defined cases: a null or empty text (no word) links with nothing; a text of fewer than
 ``SHINGLE`` words is one shingle of all its words; repeated rows and equal ids are documents of
@@ -37,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import ascii_lower, broadcast_below, pin, read
@@ -48,7 +53,9 @@ BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 8, 1e-9
 PAIRED = 16  # classes of a band bucket that is expanded to pairs: at most 7.5 pairs a class
+LEAST_HOT = 2  # large buckets of a class that is tied
 CHUNK, CHUNK_SHINGLES = 1024, 1 << 20  # classes and shingles of a chunk, about
+CELL = 1 / THRESHOLD + 1e-5  # ratio of the set sizes of neighbouring cells: a little over that of linked sets
 MAX_BROADCAST = 500_000  # rows of up to about 60 bytes
 
 #: Fixed values of the contract: the words.
@@ -195,7 +202,8 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = spread.groupBy("band").agg(F.count("*").alias("m"), F.min("fp").alias("head")).where("m > 1")
     buckets = broadcast_below(pin(buckets, "buckets"), MAX_BROADCAST)
     members = pin(spread.join(buckets, "band"), "bucket-members")
-    ties = members.where((F.col("m") > PAIRED) & (F.col("fp") != F.col("head"))).select(
+    hot = members.where(F.col("m") > PAIRED).withColumn("hot", F.count("*").over(Window.partitionBy("fp")))
+    ties = hot.where((F.col("hot") >= LEAST_HOT) & (F.col("fp") != F.col("head"))).select(
         F.col("head").alias("a"), F.col("fp").alias("b")).distinct()
     small = members.where(F.col("m") <= PAIRED).groupBy("band").agg(F.array_sort(F.collect_list("fp")).alias("x"))
     pairs = small.select("x", F.posexplode("x").alias("i", "a")).select(
@@ -219,7 +227,7 @@ def pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _verify(rows: list[tuple]) -> pd.DataFrame:
-    """All pairs of one pair of chunks. rows: (same, chunk side, fp, n, copies, sig, shingles)."""
+    """All pairs of one pair of chunks. rows: (same, in the first chunk, fp, n, copies, sig, shingles)."""
     rows.sort(key=lambda r: r[3])
     same = rows[0][0]
     side = np.array([r[1] for r in rows])
@@ -258,12 +266,39 @@ def _verify(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame({"fp": [rows[k][2] for k in hit], "links": links[hit], "root": [named[root[k]] for k in hit]})
 
 
+def dealt(members: DataFrame) -> DataFrame:
+    """``members`` (label, fp, n, ...) with their cell and chunk and the chunk pairs that they meet in:
+    ``meets``, structs (lo, i, hi, j) of chunk i of cell lo and chunk j of cell hi. A group that fits one
+    chunk is one cell; a label has one row a cell, some sixty at most, in the windows here."""
+    members = members.withColumn("cell", F.floor(F.log("n") / math.log(CELL)))
+    sizes = members.groupBy("label", "cell").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    group = Window.partitionBy("label")
+    sizes = sizes.withColumn("one", (F.sum("m").over(group) <= CHUNK) & (F.sum("s").over(group) <= CHUNK_SHINGLES))
+    sizes = sizes.withColumn("chunks", F.when(F.col("one"), F.lit(1).cast("bigint")).otherwise(
+        F.ceil(F.greatest(F.col("m") / CHUNK, F.col("s") / CHUNK_SHINGLES))))
+    by_cell, none = group.orderBy("cell"), F.lit(0).cast("bigint")
+    beside = lambda f, d: F.when(~F.col("one") & (f("cell").over(by_cell) == F.col("cell") + d),
+                                 f("chunks").over(by_cell)).otherwise(none)
+    sizes = sizes.withColumns({"below": beside(F.lag, -1), "above": beside(F.lead, 1)}).drop("m", "s")
+    out = members.join(sizes, ["label", "cell"]).withColumns({
+        "cell": F.when(F.col("one"), none).otherwise(F.col("cell")), "chunk": F.pmod(F.xxhash64("fp"), F.col("chunks"))})
+    own, at = F.col("cell"), F.col("chunk")
+
+    def meet(n: Column, lo: Column, i, hi: Column, j) -> Column:
+        return F.transform(F.filter(F.sequence(none, F.greatest(n - 1, none)), lambda o: o < n), lambda o: F.struct(
+            lo.alias("lo"), i(o).alias("i"), hi.alias("hi"), j(o).alias("j")))
+
+    mine, other = lambda o: at, lambda o: o
+    return out.withColumn("meets", F.concat(
+        meet(F.col("chunks"), own, lambda o: F.least(at, o), own, lambda o: F.greatest(at, o)),
+        meet(F.col("below"), own - 1, other, own, mine),
+        meet(F.col("above"), own, mine, own + 1, other))).drop("one", "chunks", "below", "above")
+
+
 def linked(documents: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
     """(fp, links, root): exact links of each class within each pair of chunks of its group."""
     members = groups.join(classes.select("fp", "n", "copies", "sig", "key"), groups["node"] == classes["fp"]).drop("node")
-    sizes = members.groupBy("label").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
-    members = pin(members.join(sizes, "label").withColumn("chunks", F.ceil(F.greatest(
-        F.col("m") / CHUNK, F.col("s") / CHUNK_SHINGLES))), "group-members")
+    members = pin(dealt(pin(members, "groups")), "group-members")
     # one text of each class, its shingles made again
     keys = members.select("key").distinct()
     texts = documents.select("text").where(F.col("text").isNotNull()).withColumn("key", text_key(F.col("text"))).join(
@@ -276,24 +311,23 @@ def linked(documents: DataFrame, classes: DataFrame, groups: DataFrame) -> DataF
             yield pd.DataFrame({"key": part["key"], "shingles": [shingler.shingles(t).tobytes() for t in part["text"]]})
 
     sets = texts.select("key", ascii_lower(F.col("text")).alias("text")).mapInPandas(shingle, "key binary, shingles binary")
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    rows = members.withColumn("chunk", chunk).join(sets, "key")
-    # the chunk meets each chunk, itself included, once
-    blocks = rows.select("label", "fp", "n", "copies", "sig", "shingles", "chunk", F.explode(
-        F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("other")).select(
-        "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-        "chunk", "fp", "n", "copies", "sig", "shingles")
-    blocks = blocks.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
+    met = members.join(sets, "key").withColumn("at", F.explode("meets")).select(
+        "label", "at.*", "cell", "chunk", "fp", "n", "copies", "sig", "shingles")
+    block = ["label", "lo", "i", "hi", "j"]
+    blocks = met.select(
+        *block, ((F.col("lo") == F.col("hi")) & (F.col("i") == F.col("j"))).alias("same"),
+        ((F.col("cell") == F.col("lo")) & (F.col("chunk") == F.col("i"))).alias("first"),
+        "fp", "n", "copies", "sig", "shingles").repartition(*block).sortWithinPartitions(*block)
 
     def verify(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held, out = None, [], []
         for part in parts:
             for r in part.itertuples(index=False):
-                if (r.label, r.i, r.j) != at:
+                if (r.label, r.lo, r.i, r.hi, r.j) != at:
                     if len(held) > 1:
                         out.append(_verify(held))
-                    at, held = (r.label, r.i, r.j), []
-                held.append((r.i == r.j, r.chunk, r.fp, r.n, r.copies, r.sig, r.shingles))
+                    at, held = (r.label, r.lo, r.i, r.hi, r.j), []
+                held.append((r.same, r.first, r.fp, r.n, r.copies, r.sig, r.shingles))
             if out:
                 yield pd.concat(out)
                 out = []

@@ -537,6 +537,45 @@ def test_jaccard_join(spark, edge, nothing, monkeypatch):
     assert jaccard_join.join(nothing).count() == 0 and jaccard_join.one_of_each(nothing).count() == 0
 
 
+def test_a_common_passage_makes_no_large_group(spark, monkeypatch):
+    """Texts that share a passage but are not near copies are hardly compared; those that are, all are."""
+    monkeypatch.setattr(jaccard_join, "PAIRED", 3)
+    monkeypatch.setattr(jaccard_join, "CHUNK", 20)
+    r = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(5000)]
+    passage = " ".join(r.choice(words, 100))
+    rows = []
+    for k in range(400):
+        own = r.choice(words, int(r.integers(60, 400)))
+        rows.append((len(rows), passage + " " + " ".join(own)))
+        if k % 40 == 0:  # near copies
+            for cut in range(1, 9):
+                rows.append((len(rows), passage + " " + " ".join(own[:-1 if cut < 2 else None]) + " x" * cut))
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    _, want, _ = brute_links([(*row, None, None) for row in rows])
+    assert rows_of(jaccard_join.join(texts), "doc_id", "class_id", "n_links") == sorted(want, key=repr)
+    compared = []
+    for least in (1, jaccard_join.LEAST_HOT):
+        monkeypatch.setattr(jaccard_join, "LEAST_HOT", least)
+        classes = jaccard_join.classes_of(jaccard_join.signatures(texts).where("n > 0")).cache()
+        pairs, ties = jaccard_join.candidates(classes)
+        groups = jaccard_join.components(jaccard_join.pruned(pairs, classes).union(ties))
+        met = jaccard_join.dealt(groups.join(classes, groups["node"] == classes["fp"]).drop("node")).select(
+            "label", F.explode("meets").alias("at"), "cell", "chunk")
+        at = met.groupBy("label", "at").agg(F.sum(((F.col("cell") == F.col("at.lo")) & (
+            F.col("chunk") == F.col("at.i"))).cast("int")).alias("a"), F.count("*").alias("n")).collect()
+        compared.append(sum(x["a"] * (x["a"] - 1) // 2 if (x["at"]["lo"], x["at"]["i"]) == (x["at"]["hi"], x["at"]["j"])
+                            else x["a"] * (x["n"] - x["a"]) for x in at))
+    print("compared", compared, "of", len(rows) ** 2 // 2)
+    assert compared[1] < 0.6 * compared[0] and compared[1] < len(rows) ** 2 / 2 / 20
+
+
+def test_linked_sizes_are_in_neighbouring_cells():
+    cell = lambda n: np.floor(np.log(n) / np.log(jaccard_join.CELL))
+    n = np.arange(1, 2_000_000)
+    assert (cell(n) - cell(np.ceil(n * jaccard_join.THRESHOLD)) <= 1).all()
+
+
 def test_posterior_limits_and_pruning():
     limits = dict(jaccard_join.LEAST)
     assert all(limits[n] < 0.8 * n for n in limits) and limits[200] > 100  # loose early, tight late
