@@ -6,8 +6,10 @@ Sketches (KLL, ``K`` items a level) are built with partial aggregation, so a hot
 each task one sketch, and they can be stored and merged with those of later loads
 (:func:`merge_sketches`). A group of fewer than ``MIN_GROUP`` measured documents takes the
 merged sketch of its language, and a language of fewer that of all documents. A fence lies
-``FENCE`` interquartile ranges beyond the quartiles, plus a floor for measures that are the
-same in almost all documents; so a usual document stays however many are measured.
+``FENCE`` times the distance of two quantiles beyond them, plus a margin for measures that are
+the same in almost all documents; so a usual document stays however many are measured. The
+quantiles are the quartiles or, for repetition, of which most documents have none, the median
+and the highest hundredth.
 
 Defined cases: null text has no words and fails the base rules (as empty text does); null lang
 or source is a group of its own; repeated rows and ties are measured and judged alike; groups
@@ -30,9 +32,10 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 50, 50, 3
 K = 4000  # KLL parameter: rank error about 0.05 %; groups of fewer documents are exact
 MIN_GROUP = 30
 FENCE = 3.0
-#: measure -> (least allowed distance from the quartile, whether the low side is fenced too)
-FLOORS = {"symbol_share": (0.02, False), "word_length": (1.0, True),
-          "dup_line_share": (0.5, False), "repeat_share": (0.4, False)}
+#: measure -> (low quantile, high quantile, least distance of a fence from it, whether the low side is
+#: fenced too)
+FENCES = {"symbol_share": (0.25, 0.75, 0.02, False), "word_length": (0.25, 0.75, 1.0, True),
+          "dup_line_share": (0.5, 0.99, 0.1, False), "repeat_share": (0.5, 0.99, 0.1, False)}
 MAX_BROADCAST_GROUPS = 100_000
 
 
@@ -94,13 +97,13 @@ def sketches(rows: DataFrame) -> DataFrame:
     m = F.col("__m")
     ok = rows.where(~base_failed(m)).select("lang", "source", *[c.alias(k) for k, c in measures(m).items()])
     return ok.groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(k, F.lit(K)).alias(k) for k in FLOORS])
+        F.count("*").alias("n"), *[F.kll_sketch_agg_double(k, F.lit(K)).alias(k) for k in FENCES])
 
 
 def merge_sketches(stored: DataFrame, *keys: str) -> DataFrame:
     """Stored sketches merged to coarser groups, or over several loads with the same keys."""
     return stored.groupBy(*keys).agg(F.sum("n").alias("n"), *[
-        F.kll_merge_agg_double(k).alias(k) for k in FLOORS])
+        F.kll_merge_agg_double(k).alias(k) for k in FENCES])
 
 
 def fences(stored: DataFrame) -> DataFrame:
@@ -109,12 +112,12 @@ def fences(stored: DataFrame) -> DataFrame:
     wide = stored.join(_as(langs, "l"), F.col("lang").eqNullSafe(F.col("l_lang")), "left").join(
         F.broadcast(_as(whole, "a")))  # one row
     out = []
-    for k, (floor, low) in FLOORS.items():
+    for k, (q_low, q_high, margin, low) in FENCES.items():
         sketch = F.when(F.col("n") >= MIN_GROUP, F.col(k)).when(
             F.col("l_n") >= MIN_GROUP, F.col(f"l_{k}")).otherwise(F.col(f"a_{k}"))
-        q1, q3 = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
-        reach = FENCE * (q3 - q1) + floor
-        out += [(q1 - reach if low else F.lit(0.0)).alias(f"{k}_lo"), (q3 + reach).alias(f"{k}_hi")]
+        below, above = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (q_low, q_high))
+        reach = FENCE * (above - below) + margin
+        out += [(below - reach if low else F.lit(0.0)).alias(f"{k}_lo"), (above + reach).alias(f"{k}_hi")]
     return wide.select("lang", "source", *out)
 
 
@@ -153,20 +156,20 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql_fence(k: str) -> str:
-    floor, low = FLOORS[k]
+    _, _, margin, low = FENCES[k]
     q = lambda p: (f"CASE WHEN n >= {MIN_GROUP} THEN {k}_{p} WHEN l_n >= {MIN_GROUP} THEN l_{k}_{p} "
                    f"ELSE a_{k}_{p} END")
-    q1, q3 = q("1"), q("3")
-    lo = f"({q1}) - ({FENCE} * (({q3}) - ({q1})) + {floor})" if low else "0.0"
-    return f"{lo} AS {k}_lo, ({q3}) + ({FENCE} * (({q3}) - ({q1})) + {floor}) AS {k}_hi"
+    below, above = q("below"), q("above")
+    reach = f"({FENCE} * (({above}) - ({below})) + {margin})"
+    return f"{f'({below}) - {reach}' if low else '0.0'} AS {k}_lo, ({above}) + {reach} AS {k}_hi"
 
 
-def _sql_quartiles(prefix: str) -> str:
+def _sql_quantiles(prefix: str) -> str:
     return f"count(*) AS {prefix}n, " + ", ".join(
-        f"quantile_disc({k}, {p}) AS {prefix}{k}_{i}" for k in FLOORS for i, p in (("1", 0.25), ("3", 0.75)))
+        f"quantile_disc({k}, {q}) AS {prefix}{k}_{i}" for k, x in FENCES.items() for i, q in zip(("below", "above"), x, strict=False))
 
 
-#: Exact quartiles: the sketches' own up to K documents in a group.
+#: Exact quantiles: the sketches' own up to K documents in a group.
 SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
@@ -193,12 +196,12 @@ b AS (
          n_dup_lines / nullif(n_lines, 0)::DOUBLE AS dup_line_share,
          n_repeat_words / nullif(n_words, 0)::DOUBLE AS repeat_share FROM m),
 f AS (
-  SELECT lang, source, {", ".join(_sql_fence(k) for k in FLOORS)}
-  FROM (SELECT lang, source, {_sql_quartiles("")} FROM b WHERE NOT base_failed GROUP BY ALL) x
-  LEFT JOIN (SELECT lang AS l_lang, {_sql_quartiles("l_")} FROM b WHERE NOT base_failed GROUP BY ALL) y
+  SELECT lang, source, {", ".join(_sql_fence(k) for k in FENCES)}
+  FROM (SELECT lang, source, {_sql_quantiles("")} FROM b WHERE NOT base_failed GROUP BY ALL) x
+  LEFT JOIN (SELECT lang AS l_lang, {_sql_quantiles("l_")} FROM b WHERE NOT base_failed GROUP BY ALL) y
     ON lang IS NOT DISTINCT FROM l_lang
-  CROSS JOIN (SELECT {_sql_quartiles("a_")} FROM b WHERE NOT base_failed) z)
+  CROSS JOIN (SELECT {_sql_quantiles("a_")} FROM b WHERE NOT base_failed) z)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND {" AND ".join(f"coalesce({k} BETWEEN {k}_lo AND {k}_hi, true)" for k in FLOORS)} AS kept
+       NOT base_failed AND {" AND ".join(f"coalesce({k} BETWEEN {k}_lo AND {k}_hi, true)" for k in FENCES)} AS kept
 FROM b LEFT JOIN f ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
 """

@@ -364,6 +364,20 @@ def test_quality_fences_follow_their_group_and_sketches_merge(spark):
     assert one == rows_of(quality.fences(quality.sketches(measured)), "*")
 
 
+def test_repetition_fences_follow_their_group(spark):
+    """A share of repeated lines that is usual in one source lies outside the fence of another."""
+    def text(k, lines, same):
+        return "\n".join([prose(k, 12)] * same + [prose(10_000 + 1000 * k + j, 12) for j in range(lines - same)])
+
+    rows = [(k, text(k, 20, 2 if k % 25 == 0 else 1), "en", "plain") for k in range(150)]
+    rows += [(1000 + k, text(k, 20, 8 if k % 25 == 0 else 1), "en", "lists") for k in range(150)]
+    rows += [(2000, text(500, 20, 8), "en", "plain"), (2001, text(501, 20, 8), "en", "lists")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = quality.judge(quality.measured(docs)).cache()
+    assert not got.where("__base_failed").count()
+    assert [r["doc_id"] for r in got.where("not __kept").collect()] == [2000]
+
+
 # -- 7 byte-level BPE
 
 
