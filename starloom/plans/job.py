@@ -46,7 +46,7 @@ def run(spark: SparkSession, sf_dir: str, root: str | None = None, as_of: date |
     elif order_buckets is None:
         cfg = with_buckets(cfg, tables["lineitem"])
     folder = versions.load_folder(root, load_id)
-    staging = stage_mirror(adapt(tables), folder, cfg.order_buckets)
+    staging = stage_mirror(adapt(tables, order_buckets=cfg.order_buckets), folder, cfg.order_buckets)
     timings["stage"] = time.time() - t
     t = time.time()
     version = versions.load(spark, root, staging, cfg, at=(base, load_id))

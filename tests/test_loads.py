@@ -240,3 +240,38 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
     assert session.is_local("local[8]") and not session.is_local("local-cluster[3,2,1024]")
+
+
+def test_each_bucket_of_the_fact_is_one_file(spark):
+    """Also where the product lookup is no broadcast, so that the lines are shuffled on the way: the
+    number of files does not grow with tasks times buckets."""
+    import glob
+    from dataclasses import replace
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.shuffle.partitions": "5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        root = scratch_path(spark, "one-file-a-bucket")
+        staging = stage_mirror(seed_tables(spark), root, order_buckets=3)
+        star = build_star(spark, staging, replace(LoadConfig(as_of=date(2024, 4, 1)), order_buckets=3), root)
+        assert star.fact_sales.count() == 25
+        files = glob.glob(f"{root.removeprefix('file:')}/warehouse/fact_sales/*.parquet")
+        assert 1 <= len(files) <= 3, files
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_numbered_lines_lie_in_the_buckets_they_are_staged_in(spark):
+    """Lines are shuffled once for their numbers and their buckets."""
+    from starloom.sources.adapter import adapt
+    from starloom.sources.tables import read_driver_tables
+
+    t = read_driver_tables(spark, "/root/testdata/sf0.001")
+    plain, laid = adapt(t)["order_items"], adapt(t, order_buckets=4)["order_items"]
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, laid.collect()))
+    plan = laid.repartition(4, "order_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, plan

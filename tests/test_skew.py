@@ -71,3 +71,16 @@ def test_line_ids_keep_every_digit(spark):
 
     with pytest.raises(Exception, match="more than 3 digits"):
         spark.range(1000, 1001).select(fixed_width(F.col("id"), 3)).collect()
+
+
+def test_hot_keys_are_counted_in_large_hash_groups_only(spark, monkeypatch):
+    """No key is counted by itself where no hash group is large enough; keys that share a group
+    with a hot one are told apart."""
+    df = _lines(spark)
+    for groups in (1, 3, 65_536):
+        monkeypatch.setattr(skew, "HASH_GROUPS", groups)
+        assert [r.order_id for r in skew.hot_keys(df, ["order_id"], 100).collect()] == ["HOT"]
+    seen = []
+    monkeypatch.setattr(skew.R, "pin", lambda d: seen.append(d) or d)
+    assert skew.hot_keys(df, ["order_id"], 10_000).isEmpty()
+    assert "Scan ExistingRDD" not in seen[0]._jdf.queryExecution().executedPlan().toString()
