@@ -221,3 +221,40 @@ def test_sql_on_a_version(spark):
     assert a == b and a is not None
     for name in names:
         spark.catalog.dropTempView(name)
+
+
+def test_month_folders_take_fewer_buckets_than_lines_alone(spark):
+    """Where the number of buckets comes from the lines, files of a bucket and month are not a tenth of
+    a bucket; a number that is given stays."""
+    from dataclasses import replace
+
+    from starloom.operators.calendar import dim_date
+
+    cfg = replace(FIRST, order_buckets=72, lines_per_bucket=50_000)
+    days = dim_date(spark, date(1995, 1, 1), date(2001, 12, 31))
+    assert versions.store_buckets(cfg, days) == 72
+    by_month = replace(cfg, fact_partition_by_month=True)
+    assert versions.store_buckets(by_month, days) == 8
+    assert versions.store_buckets(by_month, days.where("year_number = 1995 AND month_number < 4")) == 24
+    assert versions.store_buckets(replace(by_month, lines_per_bucket=None), days) == 72
+    assert versions.store_buckets(replace(by_month, order_buckets=None), days) is None
+    t = seed_tables(spark)
+    store = scratch_path(spark, "store")
+    one = versions.load(spark, store, t, replace(by_month, order_buckets=20))
+    two = versions.load(spark, store, t, replace(LATER, order_buckets=20))
+    assert one.order_buckets == two.order_buckets == 2 and two.last_sales_key == one.last_sales_key
+    assert versions.open_version(spark, store).fact_sales.count() == 25
+
+
+def test_new_lines_are_shuffled_once_for_numbers_and_buckets(spark):
+    """The numbered lines of a later load lie in the store's buckets: the write adds no exchange."""
+    rows = spark.createDataFrame(
+        [(f"O{i % 7}", f"I{i:03d}", 1, 20240101) for i in range(60)],
+        "order_id string, item_id string, order_line_num int, date_key int")
+    stored = rows.where("item_id < 'I020'").withColumn("order_line_num", F.expr("cast(substr(item_id, 2) as int) div 7 + 1"))
+    fresh, known = versions.new_lines(stored, rows, 3)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(fresh.repartition(3, "order_id")).count("Exchange hashpartitioning") == plan(fresh).count("Exchange hashpartitioning")
+    got = {r.item_id: r.order_line_num for r in fresh.collect()}
+    assert got == {f"I{i:03d}": i // 7 + 1 for i in range(20, 60)}
+    assert known.count() == 20
