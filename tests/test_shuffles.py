@@ -68,3 +68,14 @@ def test_lines_meet_products_before_they_carry_headers(spark, no_broadcast):
     lines = [x for x in shuffled(rows) if "item_id" in x]
     assert len(lines) == 2 and not any({"customer_key", "order_date"} & x for x in lines), lines
     assert rows.count() == 25
+
+
+def test_rows_without_twins_are_not_shuffled_for_their_key(spark):
+    t = seed_tables(spark)
+    c = Contract(**{**WAREHOUSE["dim_store"].__dict__, "name": "stores", "columns": tuple(
+        (f.name, f.dataType, True) for f in t["stores"].schema.fields), "key": ("store_id",), "unique": (), "lengths": {}})
+    rows = t["stores"].unionByName(t["stores"].limit(1))
+    for df, bad in ((t["stores"], 0), (rows, 2)):
+        out = quarantine.marked(df.repartition(2), c)
+        assert not shuffled(out)
+        assert quarantine.rejected(out).count() == bad and out.count() == df.count()
