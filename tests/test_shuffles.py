@@ -79,3 +79,24 @@ def test_rows_without_twins_are_not_shuffled_for_their_key(spark):
         out = quarantine.marked(df.repartition(2), c)
         assert not shuffled(out)
         assert quarantine.rejected(out).count() == bad and out.count() == df.count()
+
+
+def test_append_evaluates_its_batch_once(spark):
+    t, d = seed_star(spark)
+    rows = facts.fact_sales(t["order_items"], t["orders"], t["products"], t["promotions"], *d)
+    root, seen = scratch_path(spark, "once"), spark.sparkContext.accumulator(0)
+    first = F.col("quantity") < 2
+    write_table(rows.where(first), root, "warehouse", "fact_sales")
+    stored = spark.read.parquet(layer_path(root, "warehouse", "fact_sales"))
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    batch = rows.withColumn("item_id", counted.asNondeterministic()("item_id"))
+    out = append_sales(stored, batch, root)
+    assert seen.value == 25
+    assert out.count() == 25 == out.select("order_id", "item_id").distinct().count() == out.select("sales_key").distinct().count()
+    numbers = out.groupBy("order_id").agg(F.max("order_line_num").alias("m"), F.count("*").alias("n"), F.count_distinct("order_line_num").alias("d"))
+    assert numbers.where("m <> n OR n <> d").isEmpty()
