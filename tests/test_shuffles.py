@@ -100,3 +100,21 @@ def test_append_evaluates_its_batch_once(spark):
     assert out.count() == 25 == out.select("order_id", "item_id").distinct().count() == out.select("sales_key").distinct().count()
     numbers = out.groupBy("order_id").agg(F.max("order_line_num").alias("m"), F.count("*").alias("n"), F.count_distinct("order_line_num").alias("d"))
     assert numbers.where("m <> n OR n <> d").isEmpty()
+
+
+def test_a_bitmap_is_no_larger_than_its_numbers(spark):
+    sparse = spark.range(100).select((F.col("id") * 40_000 + 1).alias("n"))
+    dense = spark.range(6_400).select((F.col("id") + 1).alias("n"))
+    for df, words in ((sparse, 100), (dense, 100)):
+        parts = B.bitmaps(df, [], "n")
+        assert parts.schema[B.BITS].dataType.simpleString() == "bigint" and parts.count() == words
+        assert parts.agg(B.n_set()).first()[0] == df.count()
+    assert "SortAggregate" not in B.bitmaps(dense, [], "n")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_orders_of_a_bucket_have_neighbouring_numbers(spark):
+    orders = spark.range(1_000).select(F.col("id").cast("string").alias("order_id"))
+    _, numbers = facts.number_orders(orders, orders, order_buckets=7)
+    by = numbers.groupBy(F.pmod(F.hash("order_id"), F.lit(7))).agg(
+        (F.max("order_no") - F.min("order_no") + 1 == F.count("*")).alias("dense"))
+    assert by.where("dense").count() == 7 and numbers.agg(F.max("order_no")).first()[0] == 1_000
