@@ -118,3 +118,12 @@ def test_orders_of_a_bucket_have_neighbouring_numbers(spark):
     by = numbers.groupBy(F.pmod(F.hash("order_id"), F.lit(7))).agg(
         (F.max("order_no") - F.min("order_no") + 1 == F.count("*")).alias("dense"))
     assert by.where("dense").count() == 7 and numbers.agg(F.max("order_no")).first()[0] == 1_000
+
+
+def test_as_of_binding_comes_before_the_numbers(spark, no_broadcast):
+    t, d = seed_star(spark)
+    rows = facts.fact_sales(t["order_items"], t["orders"], t["products"], t["promotions"], *d, binding=facts.AS_OF, order_buckets=3)
+    # the lines go to their orders with the product's version: nothing is shuffled after the numbering
+    lines = [x for x in shuffled(rows) if "item_id" in x]
+    assert any({"product_key", "unit_cost"} <= x for x in lines), lines
+    assert rows.count() == 25
