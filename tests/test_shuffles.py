@@ -9,14 +9,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from given import SF_SMALL
-from starloom.contracts import WAREHOUSE, Contract
+from starloom.contracts import STAGING, WAREHOUSE, Contract
 from starloom.functions import bitmaps as B
-from starloom.operators import dims, facts, quality, quarantine
-from starloom.plans.warehouse import append_sales
-from starloom.session import scratch_path
+from starloom.operators import dims, facts, quality, quarantine, state
+from starloom.operators.calendar import dim_date
+from starloom.operators.ranking import pin
+from starloom.plans import versions
+from starloom.plans.warehouse import append_sales, stage_mirror
+from starloom.session import laid_out_by_order, scratch_path
 from starloom.sources.adapter import adapt
 from starloom.sources.seed import seed_tables
-from starloom.sources.tables import layer_path, read_driver_tables, write_table
+from starloom.sources.tables import conform, layer_path, read_driver_tables, write_table
 
 
 @pytest.fixture
@@ -127,3 +130,27 @@ def test_as_of_binding_comes_before_the_numbers(spark, no_broadcast):
     lines = [x for x in shuffled(rows) if "item_id" in x]
     assert any({"product_key", "unit_cost"} <= x for x in lines), lines
     assert rows.count() == 25
+
+
+def test_a_batch_meets_stored_lines_without_moving_them(spark, no_broadcast):
+    rows = spark.createDataFrame(
+        [(f"O{i % 7}", f"I{i:03d}", 1, 20240101, "x" * 9) for i in range(60)],
+        "order_id string, item_id string, order_line_num int, date_key int, wide string")
+    stored = versions._pin_by_order(rows.where("item_id < 'I020'").withColumn(
+        "order_line_num", F.expr("cast(substr(item_id, 2) as int) div 7 + 1")), 3)
+    batch = versions._pin_by_order(rows, 3)
+    with laid_out_by_order(spark):
+        fresh, known = versions.new_lines(stored, batch, 3)
+        assert not shuffled(fresh.repartition(3, "order_id")), shuffled(fresh)
+        got = {r.item_id: (r.order_line_num, r.wide) for r in fresh.collect()}
+    assert got == {f"I{i:03d}": (i // 7 + 1, "x" * 9) for i in range(20, 60)} and known.count() == 20
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_a_load_without_stock(spark):
+    from starloom.plans.warehouse import LoadConfig
+
+    t, store = seed_tables(spark), scratch_path(spark, "no-stock")
+    v = versions.load(spark, store, {**t, "inventory": t["inventory"].limit(0)}, LoadConfig(as_of=date(2024, 4, 1)))
+    assert (v.snapshots, v.last_snapshot_key) == ({}, 0)
+    assert versions.open_version(spark, store).fact_inventory_snapshot.count() == 0
