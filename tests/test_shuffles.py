@@ -154,3 +154,38 @@ def test_a_load_without_stock(spark):
     v = versions.load(spark, store, {**t, "inventory": t["inventory"].limit(0)}, LoadConfig(as_of=date(2024, 4, 1)))
     assert (v.snapshots, v.last_snapshot_key) == ({}, 0)
     assert versions.open_version(spark, store).fact_inventory_snapshot.count() == 0
+
+
+def test_lines_go_into_a_stores_buckets_once(spark, no_broadcast):
+    """Also where the headers are staged in other buckets, and the store's are fewer than the shuffle partitions."""
+    t, d = seed_star(spark)
+    st = stage_mirror(t, scratch_path(spark, "six-buckets"), 6, check=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for customers_fit in (False, True):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000" if customers_fit else before)
+        dim = tuple(pin(x) for x in d)
+        rows = facts.fact_sales(st["order_items"], st["orders"], st["products"], st["promotions"], *dim, lines_colocated=True, order_buckets=2)
+        lines = [x for x in shuffled(rows.repartition(2, "order_id")) if "item_id" in x]
+        assert len(lines) == 2 and not any("net_revenue" in x for x in lines), lines
+        assert rows.count() == 25
+
+
+def test_weeks_add_up_days(spark):
+    """The revenue of a load's lines is read once for its days and weeks."""
+    t, d = seed_star(spark)
+    rows = pin(facts.fact_sales(t["order_items"], t["orders"], t["products"], t["promotions"], *d))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("decimal(12,2)")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    days = pin(dim_date(spark, date(2023, 1, 1), date(2024, 12, 31)))
+    sums = state.of_load(rows.withColumn("net_revenue", counted.asNondeterministic()("net_revenue")), days, None)
+    week = sums["week"].collect()
+    day = sums["day"].collect()
+    assert seen.value == 25
+    total = rows.agg(F.sum("net_revenue")).first()[0]
+    assert sum(r.net_revenue for r in week) == sum(r.net_revenue for r in day) == total
+    assert sums["week"].schema["net_revenue"].dataType == sums["day"].schema["net_revenue"].dataType
