@@ -189,3 +189,18 @@ def test_weeks_add_up_days(spark):
     total = rows.agg(F.sum("net_revenue")).first()[0]
     assert sum(r.net_revenue for r in week) == sum(r.net_revenue for r in day) == total
     assert sums["week"].schema["net_revenue"].dataType == sums["day"].schema["net_revenue"].dataType
+
+
+def test_rows_are_counted_without_lists_of_what_they_break(spark):
+    t = seed_tables(spark)
+    got = quality.violation_counts({"stores": t["stores"]}, STAGING)
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r.violations == 0 for r in got.collect())
+    # null, too long, both, and neither; NULL is not too long
+    rows = spark.createDataFrame([("a", None, None), ("b", "n", "s" * 3), ("c", None, "s" * 3), ("d", "n", "NY")],
+                                 "store_id string, name string, state string")
+    wide = conform(rows, STAGING["stores"])
+    counts = {r.check_name: r.violations for r in quality.violation_counts({"stores": wide}, STAGING).collect()}
+    assert (counts["stores.not_null"], counts["stores.length"]) == (2, 2)
+    marked = {r.store_id: r.broken_rules for r in quarantine.marked(wide, STAGING["stores"]).collect()}
+    assert marked == {"a": ["not_null:name"], "b": ["length:state"], "c": ["not_null:name", "length:state"], "d": []}
